@@ -38,3 +38,55 @@ reg("u3_funnel_by_channel", "E", lambda t: funnel.funnel_by(t.users, t.events, "
 reg("u4_attempt_outcomes", "E", lambda t: funnel.attempt_outcomes(t.events), sf.U4)
 reg("u5_abandonment", "E", lambda t: funnel.abandonment(t.events), sf.U5)
 reg("u6_channel_funnel", "E", lambda t: funnel.step_rates(t.users, t.events), sf.U6())
+
+# --- overview and KPIs (K1–K22) ----------------------------------------------
+from cohortlab.operators import kpi  # noqa: E402
+from sql_oracle import kpi as sk  # noqa: E402
+
+reg("k1_headline", "E", lambda t: kpi.headline(t.users, t.events), sk.K1)
+reg("k1_headline_orders", "O", lambda t: kpi.headline(t.users, t.events), sk.K1)
+reg("k2_users_by_country", "E", lambda t: kpi.composition(t.users, "country"), sk.K2("country"))
+reg("k2_users_by_platform", "E", lambda t: kpi.composition(t.users, "platform"), sk.K2("platform"))
+reg("k2_users_by_channel", "E", lambda t: kpi.composition(t.users, "acquisition_channel"), sk.K2("acquisition_channel"))
+reg("k2_users_by_age_group", "E", lambda t: kpi.composition(t.users, "age_group", null_label="Unspecified"), sk.K2("age_group", "Unspecified"))
+reg("k3_users_by_city", "E", lambda t: kpi.composition(t.users, "city"), sk.K2("city"))
+reg("k3_users_by_experiment_group", "E", lambda t: kpi.composition(t.users, "experiment_group"), sk.K2("experiment_group"))
+reg("k3_users_by_first_device", "E", lambda t: kpi.composition(t.users, "first_device_type"), sk.K2("first_device_type"))
+reg("k4_signup_trend", "O", lambda t: kpi.signup_trend(t.users), sk.K4)
+reg("k5_booking_trend", "O", lambda t: kpi.booking_trend(t.events), sk.K5)
+reg("k5_booking_trend_clicks", "E", lambda t: kpi.booking_trend(t.events), sk.K5)
+reg(
+    "k6_events_by_product_area",
+    "E",
+    lambda t: kpi.composition(t.events, "product_area", count_name="event_count", pct_name="pct_of_events"),
+    sk.K2("product_area", table="app_events", count_name="event_count", pct_name="pct_of_events"),
+)
+reg("k7_ever_active", "E", lambda t: kpi.ever_active(t.users, t.events), sk.K7)
+reg("k8_dau", "E", lambda t: kpi.active_users(t.events, "day"), sk.K8)
+reg("k9_wau", "E", lambda t: kpi.active_users(t.events, "week_mon"), sk.K9)
+reg("k9_wau_orders", "O", lambda t: kpi.active_users(t.events, "week_mon"), sk.K9)
+reg("k10_mau", "O", lambda t: kpi.active_users(t.events, "month"), sk.K10)
+reg("k11_stickiness", "E", lambda t: kpi.stickiness(t.events), sk.K11)
+reg("k11_stickiness_orders", "O", lambda t: kpi.stickiness(t.events), sk.K11)
+reg("k12_activation", "E", lambda t: kpi.activation(t.users, t.events), sk.K12)
+reg("k13_conversion", "E", lambda t: kpi.conversion(t.users, t.events), sk.K13)
+reg("k14_revenue_kpis", "E", lambda t: kpi.revenue_kpis(t.users, t.events), sk.K14)
+reg("k14_revenue_kpis_orders", "O", lambda t: kpi.revenue_kpis(t.users, t.events), sk.K14)
+reg("k15_revenue_by_country", "E", lambda t: kpi.revenue_by(t.users, t.events, "country"), sk.K15("country"))
+reg("k15_revenue_by_platform", "E", lambda t: kpi.revenue_by(t.users, t.events, "platform"), sk.K15("platform"))
+reg("k15_revenue_by_channel", "E", lambda t: kpi.revenue_by(t.users, t.events, "acquisition_channel"), sk.K15("acquisition_channel"))
+reg("k16_exec_kpis", "E", lambda t: kpi.exec_kpis(t.users, t.events), sk.K16)
+reg("k17_exec_kpis_churn", "E", lambda t: kpi.exec_kpis_churn(t.users, t.events, inactive=2), sk.K17(2))
+reg("k17_exec_kpis_churn_orders", "O", lambda t: kpi.exec_kpis_churn(t.users, t.events, inactive=30), sk.K17(30))
+reg("k18_kpi_tiles", "E", lambda t: kpi.kpi_tiles(t.users, t.events, day=14), sk.K18(14))
+reg("k18_kpi_tiles_orders", "O", lambda t: kpi.kpi_tiles(t.users, t.events, day=30), sk.K18(30))
+reg("k19_conversion_by_channel", "E", lambda t: kpi.conversion_by(t.users, t.events, "acquisition_channel"), sk.K19("acquisition_channel"))
+reg("k19_conversion_by_platform", "E", lambda t: kpi.conversion_by(t.users, t.events, "platform"), sk.K19("platform"))
+reg("k20_platform_device_mismatch", "E", lambda t: kpi.mismatch_rate(t.users), sk.K20)
+reg("k21_country_platform_crosstab", "E", lambda t: kpi.crosstab(t.users, "country", "platform", ["iOS", "Android", "Web"]), sk.K21)
+reg(
+    "k22_channel_platform_mix",
+    "E",
+    lambda t: kpi.crosstab(t.users, "acquisition_channel", "platform", ["iOS", "Android", "Web"], normalize=True),
+    sk.K22,
+)
