@@ -90,3 +90,22 @@ reg(
     lambda t: kpi.crosstab(t.users, "acquisition_channel", "platform", ["iOS", "Android", "Web"], normalize=True),
     sk.K22,
 )
+
+# --- retention, churn, cohorts (T0–T4, C1–C4) --------------------------------
+from cohortlab.operators import retention as ret  # noqa: E402
+from sql_oracle import retention as sr  # noqa: E402
+
+_E_DAYS = (1, 7, 14)
+reg("t0_retention_flags", "E", lambda t: ret.compute_retention_flags(t.users, t.events, _E_DAYS), sr.T0(_E_DAYS))
+reg("t1_retention", "E", lambda t: ret.retention(t.users, t.events, _E_DAYS), sr.T1(_E_DAYS))
+reg("t1_retention_orders", "O", lambda t: ret.retention(t.users, t.events), sr.T1())
+for _dim, _tag in (("country", "country"), ("platform", "platform"), ("acquisition_channel", "channel")):
+    reg(f"t2_retention_by_{_tag}", "E", (lambda d: lambda t: ret.retention_by(t.users, t.events, d, _E_DAYS))(_dim), sr.T2(_dim, _E_DAYS))
+reg("t3_retention_curve", "E", lambda t: ret.retention_curve(t.users, t.events, max_day=29), sr.T3(29))
+reg("t3_retention_curve_orders", "O", lambda t: ret.retention_curve(t.users, t.events, max_day=60), sr.T3(60))
+reg("t4_churn", "O", lambda t: ret.churn(t.users, t.events, inactive=30), sr.T4(30))
+reg("t4_churn_clicks", "E", lambda t: ret.churn(t.users, t.events, inactive=2), sr.T4(2))
+reg("c1_cohort_sizes", "O", lambda t: ret.cohort_sizes(t.users), sr.C1)
+reg("c2_cohort_retention", "O", lambda t: ret.cohort_retention(t.users, t.events), sr.C2)
+reg("c3_cohort_matrix", "O", lambda t: ret.cohort_matrix(t.users, t.events), sr.C3())
+reg("c4_cohort_revenue", "O", lambda t: ret.cohort_revenue(t.users, t.events), sr.C4)
