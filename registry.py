@@ -109,3 +109,13 @@ reg("c1_cohort_sizes", "O", lambda t: ret.cohort_sizes(t.users), sr.C1)
 reg("c2_cohort_retention", "O", lambda t: ret.cohort_retention(t.users, t.events), sr.C2)
 reg("c3_cohort_matrix", "O", lambda t: ret.cohort_matrix(t.users, t.events), sr.C3())
 reg("c4_cohort_revenue", "O", lambda t: ret.cohort_revenue(t.users, t.events), sr.C4)
+
+# --- feature adoption (A1–A5) -------------------------------------------------
+from cohortlab.operators import adoption  # noqa: E402
+from sql_oracle import adoption as sa  # noqa: E402
+
+reg("a1_adoption", "E", lambda t: adoption.adoption(t.users, t.events), sa.A1)
+reg("a2_adoption_effect", "E", lambda t: adoption.adoption_effect(t.users, t.events, days=(7, 14)), sa.A2((7, 14)))
+reg("a3_adoption_by_platform", "E", lambda t: adoption.adoption_by(t.users, t.events, "platform"), sa.A3("platform"))
+reg("a4_adoption_depth", "E", lambda t: adoption.adoption_depth(t.users, t.events, day=14), sa.A4(14))
+reg("a5_adoption_impact", "E", lambda t: adoption.adoption_impact(t.users, t.events), sa.A5)
