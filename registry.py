@@ -119,3 +119,24 @@ reg("a2_adoption_effect", "E", lambda t: adoption.adoption_effect(t.users, t.eve
 reg("a3_adoption_by_platform", "E", lambda t: adoption.adoption_by(t.users, t.events, "platform"), sa.A3("platform"))
 reg("a4_adoption_depth", "E", lambda t: adoption.adoption_depth(t.users, t.events, day=14), sa.A4(14))
 reg("a5_adoption_impact", "E", lambda t: adoption.adoption_impact(t.users, t.events), sa.A5)
+
+# --- segmentation and descriptive statistics (S1–S9) ------------------------
+from cohortlab.operators import segments as seg  # noqa: E402
+from sql_oracle import segments as ss  # noqa: E402
+
+for _dim, _tag, _null in (("country", "country", None), ("platform", "platform", None), ("age_group", "age_group", "Unspecified"), ("acquisition_channel", "channel", None)):
+    reg(f"s1_segment_by_{_tag}", "E", (lambda d, n: lambda t: seg.segment_summary(t.users, t.events, d, n))(_dim, _null), ss.S1(_dim, _null))
+reg("s2_value_tiers", "O", lambda t: seg.value_tiers(t.users, t.events), ss.S2)
+reg("s2_value_tiers_clicks", "E", lambda t: seg.value_tiers(t.users, t.events), ss.S2)
+reg("s3_top_segments", "E", lambda t: seg.top_segments(t.users, t.events), ss.S3())
+reg("s3_top_segments_orders", "O", lambda t: seg.top_segments(t.users, t.events, ("city", "acquisition_channel")), ss.S3(("city", "acquisition_channel")))
+reg("s4_underperforming_channels", "E", lambda t: seg.underperformers(t.users, t.events), ss.S4())
+reg("s5_retention_risk", "E", lambda t: seg.retention_risk(t.users, t.events, day=14), ss.S5(day=14))
+reg("s5_retention_risk_orders", "O", lambda t: seg.retention_risk(t.users, t.events, day=30), ss.S5(day=30))
+reg("s6_user_features", "E", lambda t: seg.user_features(t.users, t.events, t.experiments), ss.S6)
+reg("s7_corr_matrix", "E", lambda t: seg.corr_matrix(seg.user_features(t.users, t.events, t.experiments)), ss.S7())
+reg("s8_describe_events", "E", lambda t: seg.describe(t.events, ["revenue", "ride_distance_km"]), ss.S8("app_events", ["revenue", "ride_distance_km"]))
+reg("s8_describe_experiments", "O", lambda t: seg.describe(t.experiments, ["days_to_conversion"]), ss.S8("app_experiments", ["days_to_conversion"]))
+reg("s9_histogram_revenue", "E", lambda t: seg.histogram(t.events, "revenue"), ss.S9("app_events", "revenue"))
+reg("s9_histogram_distance", "E", lambda t: seg.histogram(t.events, "ride_distance_km"), ss.S9("app_events", "ride_distance_km"))
+reg("s9_histogram_days_to_conversion", "O", lambda t: seg.histogram(t.experiments, "days_to_conversion"), ss.S9("app_experiments", "days_to_conversion"))
