@@ -140,3 +140,25 @@ reg("s8_describe_experiments", "O", lambda t: seg.describe(t.experiments, ["days
 reg("s9_histogram_revenue", "E", lambda t: seg.histogram(t.events, "revenue"), ss.S9("app_events", "revenue"))
 reg("s9_histogram_distance", "E", lambda t: seg.histogram(t.events, "ride_distance_km"), ss.S9("app_events", "ride_distance_km"))
 reg("s9_histogram_days_to_conversion", "O", lambda t: seg.histogram(t.experiments, "days_to_conversion"), ss.S9("app_experiments", "days_to_conversion"))
+
+# --- experiments (X1–X13) -----------------------------------------------------
+from cohortlab.operators import experiment as xp  # noqa: E402
+from sql_oracle import experiment as sx  # noqa: E402
+
+for _b, _sfx in (("E", ""), ("O", "_orders")):
+    reg(f"x1_arms{_sfx}", _b, lambda t: xp.arms(t.experiments), sx.X1)
+    reg(f"x2_uplift{_sfx}", _b, lambda t: xp.uplift(t.experiments), sx.X2)
+    reg(f"x3_arm_arpu{_sfx}", _b, lambda t: xp.arm_arpu(t.experiments, t.events), sx.X3)
+    reg(f"x4_prop_ztest{_sfx}", _b, lambda t: xp.prop_ztest(t.experiments), sx.X4)
+    reg(f"x6_mean_ztest{_sfx}", _b, lambda t: xp.mean_ztest(t.experiments, t.events), sx.X6)
+    reg(f"x10_time_to_conversion{_sfx}", _b, lambda t: xp.time_to_conversion(t.experiments), sx.X10)
+    reg(f"x11_conversion_trend{_sfx}", _b, lambda t: xp.conversion_trend(t.experiments), sx.X11)
+    reg(f"x12_rollout_decision{_sfx}", _b, lambda t: xp.rollout_decision(t.experiments), sx.X12)
+reg("x5_ztest_statistic", "O", lambda t: xp.two_proportion_ztest(t.experiments, with_p=False), sx.X5)
+reg("x5_ztest_pvalue", "O", lambda t: xp.two_proportion_ztest(t.experiments), None)
+reg("x7_welch_revenue", "E", lambda t: xp.welch_ttest(t.experiments, t.events, "cents", with_p=False), sx.X7("cents"))
+reg("x7_welch_bookings", "E", lambda t: xp.welch_ttest(t.experiments, t.events, "bookings", with_p=False), sx.X7("bookings"))
+reg("x7_welch_revenue_pvalue", "E", lambda t: xp.welch_ttest(t.experiments, t.events, "cents"), None)
+reg("x8_wald_ci", "O", lambda t: xp.wald_ci(t.experiments), sx.X8)
+reg("x9_mean_ci_revenue", "E", lambda t: xp.mean_ci(t.experiments, t.events, "cents"), sx.X9("cents"))
+reg("x9_mean_ci_bookings", "E", lambda t: xp.mean_ci(t.experiments, t.events, "bookings"), sx.X9("bookings"))
