@@ -162,3 +162,35 @@ reg("x7_welch_revenue_pvalue", "E", lambda t: xp.welch_ttest(t.experiments, t.ev
 reg("x8_wald_ci", "O", lambda t: xp.wald_ci(t.experiments), sx.X8)
 reg("x9_mean_ci_revenue", "E", lambda t: xp.mean_ci(t.experiments, t.events, "cents"), sx.X9("cents"))
 reg("x9_mean_ci_bookings", "E", lambda t: xp.mean_ci(t.experiments, t.events, "bookings"), sx.X9("bookings"))
+
+# --- data quality (DQ1–DQ19) --------------------------------------------------
+from cohortlab.operators import quality as dq  # noqa: E402
+from sql_oracle import quality as sq  # noqa: E402
+
+
+def _tables(t):
+    return {"users": t.users, "events": t.events, "experiments": t.experiments}
+
+
+for _b, _sfx in (("E", ""), ("O", "_orders")):
+    reg(f"dq1_row_counts{_sfx}", _b, lambda t: dq.row_counts(t.users, t.events, t.experiments), sq.DQ1)
+    reg(f"dq2_duplicate_keys{_sfx}", _b, lambda t: dq.duplicate_keys(_tables(t)), sq.DQ2)
+    reg(f"dq4_orphans{_sfx}", _b, lambda t: dq.orphans(t.users, {"events": t.events, "experiments": t.experiments}), sq.DQ4)
+    reg(f"dq5_events_before_signup{_sfx}", _b, lambda t: dq.events_before_signup(t.users, t.events), sq.DQ5)
+    reg(f"dq6_revenue_integrity{_sfx}", _b, lambda t: dq.revenue_integrity(t.events), sq.DQ6)
+    reg(f"dq11_domain_violations{_sfx}", _b, lambda t: dq.domain_violations(_tables(t)), sq.DQ11())
+    reg(f"dq15_session_prerequisites{_sfx}", _b, lambda t: dq.session_prerequisites(t.events), sq.DQ15)
+    reg(f"dq16_converted_consistency{_sfx}", _b, lambda t: dq.converted_consistency(t.events, t.experiments), sq.DQ16)
+    reg(f"dq19_validation_report{_sfx}", _b, lambda t: dq.validation_report(t.users, t.events, t.experiments), sq.DQ19())
+reg("dq3_full_row_duplicates", "E", lambda t: dq.full_row_duplicates(_tables(t)), sq.DQ3)
+reg("dq7_cancelled_revenue", "E", lambda t: dq.cancelled_revenue(t.events), sq.DQ7)
+reg("dq8_null_profile", "E", lambda t: dq.null_profile(_tables(t)), sq.DQ8)
+for _t in ("users", "events", "experiments"):
+    reg(f"dq9_null_rates_{_t}", "E", (lambda n: lambda t: dq.null_rates(_tables(t)[n], n))(_t), sq.DQ9(_t))
+    reg(f"dq10_missing_report_{_t}", "E", (lambda n: lambda t: dq.missing_report(_tables(t)[n], n))(_t), sq.DQ10(_t))
+reg("dq11_domain_violations_all", "E", lambda t: dq.domain_violations(_tables(t), dq.default_domain_checks(), nulls_are_invalid=True), sq.DQ11(True))
+reg("dq12_group_mismatch", "E", lambda t: dq.group_mismatch(t.users, t.experiments), sq.DQ12)
+reg("dq13_signup_span", "O", lambda t: dq.date_span(t.users, "signup_date", "signup"), sq.DQ13("users", "signup_date", "signup"))
+reg("dq13_event_span", "O", lambda t: dq.date_span(t.events, "event_date", "event"), sq.DQ13("events", "event_date", "event"))
+reg("dq14_date_bounds", "E", lambda t: dq.date_bounds(t.users, t.events), sq.DQ14())
+reg("dq18_volume_checks", "E", lambda t: dq.volume_checks(t.users, t.events, t.experiments), sq.DQ18)
