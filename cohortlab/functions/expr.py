@@ -20,8 +20,43 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _rnd_sql(x_sql: str, k: int) -> str:
+    p = f"{float(10 ** k)!r}D"
+    v = f"CAST(({x_sql}) AS DOUBLE)"
+    up = f"CAST(floor(abs({v}) * {p} + 0.5D) AS DOUBLE) / {p}"
+    return f"(CAST(CASE WHEN {v} < 0 THEN -({up}) ELSE {up} END + 0.0D AS DOUBLE))"
+
+
+def _pct_sql(n: str, d: str) -> str:
+    return f"try_divide(100.0D * CAST({_q(n)} AS DOUBLE), CAST({_q(d)} AS DOUBLE))"
+
+
+def _div_sql(n: str, d: str) -> str:
+    return f"try_divide(CAST({_q(n)} AS DOUBLE), CAST({_q(d)} AS DOUBLE))"
+
+
+def rnd_pct(n: str, d: str, k: int) -> Column:
+    """``rnd(pct(n, d), k)`` for two column names, built as one expression."""
+    return F.expr(_rnd_sql(_pct_sql(n, d), k))
+
+
+def rnd_div(n: str, d: str, k: int) -> Column:
+    """``rnd(div(n, d), k)`` for two column names, built as one expression."""
+    return F.expr(_rnd_sql(_div_sql(n, d), k))
+
+
 def rnd(x, k: int = 2) -> Column:
-    """Round half away from zero to ``k`` decimals (NULL stays NULL)."""
+    """Round half away from zero to ``k`` decimals (NULL stays NULL).
+
+    A column name is turned into a single SQL expression (one JVM round trip
+    while the plan is built); a Column is composed with Column operators.
+    """
+    if isinstance(x, str):
+        return F.expr(_rnd_sql(_q(x), k))
     x = col(x).cast("double")
     p = float(10 ** k)
     up = F.floor(F.abs(x) * p + 0.5).cast("double") / p

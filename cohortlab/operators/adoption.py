@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import pct, rnd
+from cohortlab.functions.expr import pct, rnd, rnd_div, rnd_pct
 from cohortlab.plans.facts import flag_name, retention_flags, user_event_flags
 from cohortlab.plans.scale import with_scalars
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy
@@ -36,7 +36,7 @@ def adoption(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXONO
     counts = flags.agg(*[F.coalesce(F.sum(flag_name(f)), F.lit(0)).cast("long").alias(f) for f in features])
     total = users.agg(F.count(F.lit(1)).alias("_total"))
     rows = counts.unpivot([], features, "feature", "adopters")
-    return with_scalars(rows, total).select("feature", "adopters", rnd(pct("adopters", "_total"), 1).alias("adoption_rate_pct"))
+    return with_scalars(rows, total).select("feature", "adopters", rnd_pct("adopters", "_total", 1).alias("adoption_rate_pct"))
 
 
 def adoption_effect(users: DataFrame, events: DataFrame, days=(7, 30), tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import div, from_cents, pct, rnd, week_key
+from cohortlab.functions.expr import div, from_cents, pct, rnd, week_key, rnd_div, rnd_pct
 from cohortlab.functions.stats import normal_p_udf, significance_label, student_t_p_udf, z_verdict
 from cohortlab.plans.facts import user_bookings
 from cohortlab.plans.scale import with_scalars
@@ -32,7 +32,7 @@ def arms(experiments: DataFrame) -> DataFrame:
     agg = experiments.groupBy("experiment_group").agg(
         F.count(F.lit(1)).alias("users"), F.sum(_conv(experiments)).cast("long").alias("converted_users")
     )
-    return agg.select("*", rnd(pct("converted_users", "users"), 2).alias("conversion_rate_pct"))
+    return agg.select("*", rnd_pct("converted_users", "users", 2).alias("conversion_rate_pct"))
 
 
 def _pivot(agg: DataFrame, cols) -> DataFrame:
@@ -252,7 +252,7 @@ def conversion_trend(experiments: DataFrame) -> DataFrame:
     agg = experiments.groupBy(week_key("exposure_date").alias("exposure_week"), "experiment_group").agg(
         F.count(F.lit(1)).alias("users_exposed"), F.sum(_conv(experiments)).cast("long").alias("conversions")
     )
-    return agg.select("*", rnd(pct("conversions", "users_exposed"), 1).alias("conversion_rate_pct"))
+    return agg.select("*", rnd_pct("conversions", "users_exposed", 1).alias("conversion_rate_pct"))
 
 
 # Rollout recommendation texts.

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import flag, pct, rnd
+from cohortlab.functions.expr import flag, pct, rnd, rnd_div, rnd_pct
 from cohortlab.plans.facts import flag_name, user_event_flags
 from cohortlab.plans.scale import scalars
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy
@@ -135,8 +135,8 @@ def attempt_outcomes(events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> Dat
     )
     return counts.select(
         "*",
-        rnd(pct("cancelled", "booking_attempts"), 1).alias("cancellation_rate_pct"),
-        rnd(pct("completed", "booking_attempts"), 1).alias("booking_completion_rate_pct"),
+        rnd_pct("cancelled", "booking_attempts", 1).alias("cancellation_rate_pct"),
+        rnd_pct("completed", "booking_attempts", 1).alias("booking_completion_rate_pct"),
     )
 
 
@@ -162,7 +162,7 @@ def abandonment(events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY, start: str
     return per_event.join(F.broadcast(total), how="inner").select(
         "last_event_reached",
         "session_count",
-        rnd(pct("session_count", "_total"), 1).alias("pct_of_non_converting_sessions"),
+        rnd_pct("session_count", "_total", 1).alias("pct_of_non_converting_sessions"),
     )
 
 
@@ -188,8 +188,8 @@ def step_rates(users: DataFrame, events: DataFrame, dim: str = "acquisition_chan
         "searched",
         "booking_started",
         "booked",
-        rnd(pct("searched", "signups"), 1).alias("search_rate_pct"),
-        rnd(pct("booking_started", "searched"), 1).alias("booking_start_rate_pct"),
-        rnd(pct("booked", "booking_started"), 1).alias("booking_completion_rate_pct"),
-        rnd(pct("booked", "signups"), 1).alias("overall_conversion_pct"),
+        rnd_pct("searched", "signups", 1).alias("search_rate_pct"),
+        rnd_pct("booking_started", "searched", 1).alias("booking_start_rate_pct"),
+        rnd_pct("booked", "booking_started", 1).alias("booking_completion_rate_pct"),
+        rnd_pct("booked", "signups", 1).alias("overall_conversion_pct"),
     )

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import div, flag, from_cents, month_key, pct, rnd, week_key, day_offset
+from cohortlab.functions.expr import div, flag, from_cents, month_key, pct, rnd, week_key, day_offset, rnd_div, rnd_pct
 from cohortlab.plans.facts import user_activity, user_bookings
 from cohortlab.plans.scale import scalars, with_scalars
 from cohortlab.sources.schema import ACTIVATION_WINDOW_DAYS, CHURN_INACTIVITY_DAYS, DEFAULT_TAXONOMY, Taxonomy
@@ -93,7 +93,7 @@ def ever_active(users: DataFrame, events: DataFrame) -> DataFrame:
     """K7 — total users, users with ≥1 event, and their share."""
     active = events.select("user_id").distinct().agg(F.count(F.lit(1)).alias("ever_active_users"))
     return scalars(_total_users(users), active).select(
-        "total_users", "ever_active_users", rnd(pct("ever_active_users", "total_users"), 1).alias("pct_ever_active")
+        "total_users", "ever_active_users", rnd_pct("ever_active_users", "total_users", 1).alias("pct_ever_active")
     )
 
 
@@ -129,7 +129,7 @@ def stickiness(events: DataFrame) -> DataFrame:
         "month",
         rnd("_avg_dau", 1).alias("avg_dau"),
         "mau",
-        rnd(pct("_avg_dau", "mau"), 1).alias("stickiness_pct"),
+        rnd_pct("_avg_dau", "mau", 1).alias("stickiness_pct"),
     )
 
 
@@ -170,7 +170,7 @@ def _converted_count(events: DataFrame, tax: Taxonomy, alias: str = "converted_u
 def conversion(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
     """K13 — total_users, converted_users, conversion_rate_pct (2 dp)."""
     return scalars(_total_users(users), _converted_count(events, tax)).select(
-        "total_users", "converted_users", rnd(pct("converted_users", "total_users"), 2).alias("conversion_rate_pct")
+        "total_users", "converted_users", rnd_pct("converted_users", "total_users", 2).alias("conversion_rate_pct")
     )
 
 
@@ -193,8 +193,8 @@ def revenue_kpis(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TA
         rnd(div(rev, "_users"), 2).alias("arpu_eur"),
         rnd(div(rev, "_payers"), 2).alias("arppu_eur"),
         rnd(div(rev, "_rev_rows"), 2).alias("avg_booking_value_eur"),
-        rnd(div("_bookings", "_users"), 2).alias("bookings_per_user_overall"),
-        rnd(div("_bookings", "_payers"), 2).alias("bookings_per_paying_user"),
+        rnd_div("_bookings", "_users", 2).alias("bookings_per_user_overall"),
+        rnd_div("_bookings", "_payers", 2).alias("bookings_per_paying_user"),
     )
 
 
@@ -233,9 +233,9 @@ def exec_kpis(users: DataFrame, events: DataFrame, window: int = ACTIVATION_WIND
         "total_users",
         "active_users",
         "activated_users",
-        rnd(pct("activated_users", "total_users"), 2).alias("activation_rate_pct"),
+        rnd_pct("activated_users", "total_users", 2).alias("activation_rate_pct"),
         F.col("_payers").alias("converted_users"),
-        rnd(pct("_payers", "total_users"), 2).alias("conversion_rate_pct"),
+        rnd_pct("_payers", "total_users", 2).alias("conversion_rate_pct"),
         rnd(rev, 2).alias("total_revenue_eur"),
         rnd(div(rev, "total_users"), 2).alias("arpu_eur"),
         rnd(div(rev, "_rev_rows"), 2).alias("avg_booking_value_eur"),
@@ -260,11 +260,11 @@ def exec_kpis_churn(users: DataFrame, events: DataFrame, window: int = ACTIVATIO
     rev = from_cents("_rev")
     return row.select(
         "total_users",
-        rnd(pct("_activated", "total_users"), 1).alias("activation_rate_pct"),
-        rnd(pct("_payers", "total_users"), 1).alias("conversion_rate_pct"),
+        rnd_pct("_activated", "total_users", 1).alias("activation_rate_pct"),
+        rnd_pct("_payers", "total_users", 1).alias("conversion_rate_pct"),
         rnd(rev, 0).alias("total_revenue_eur"),
         rnd(div(rev, "total_users"), 2).alias("arpu_eur"),
-        rnd(pct("_churned", "_active"), 1).alias("churn_rate_pct"),
+        rnd_pct("_churned", "_active", 1).alias("churn_rate_pct"),
     )
 
 
@@ -280,8 +280,8 @@ def kpi_tiles(users: DataFrame, events: DataFrame, day: int = 30, tax: Taxonomy
         "total_users",
         rnd(rev, 0).alias("total_revenue_eur"),
         rnd(div(rev, "total_users"), 2).alias("arpu_eur"),
-        rnd(pct("_conv", "total_users"), 1).alias("conversion_rate_pct"),
-        rnd(pct("_ret", "total_users"), 1).alias(f"day{day}_retention_pct"),
+        rnd_pct("_conv", "total_users", 1).alias("conversion_rate_pct"),
+        rnd_pct("_ret", "total_users", 1).alias(f"day{day}_retention_pct"),
         rnd(div(rev, "_rev_rows"), 2).alias("avg_booking_value_eur"),
     )
 
@@ -297,7 +297,7 @@ def conversion_by(users: DataFrame, events: DataFrame, dim: str, tax: Taxonomy =
         .join(payers, "user_id", "left")
         .groupBy(dim)
         .agg(F.count(F.lit(1)).alias("users"), F.coalesce(F.sum("_c"), F.lit(0)).cast("long").alias("converted_users"))
-        .withColumn("conversion_rate_pct", rnd(pct("converted_users", "users"), 2))
+        .withColumn("conversion_rate_pct", rnd_pct("converted_users", "users", 2))
     )
     ext = per.agg(
         F.max_by(F.col(dim), F.struct("conversion_rate_pct", F.col(dim))).alias("_best"),
@@ -318,7 +318,7 @@ def mismatch_rate(users: DataFrame, a: str = "platform", b: str = "first_device_
     return users.agg(
         F.count(F.lit(1)).alias("total_users"),
         F.count_if(F.col(a) != F.col(b)).alias("mismatched_users"),
-    ).select("total_users", "mismatched_users", rnd(pct("mismatched_users", "total_users"), 2).alias("mismatch_pct"))
+    ).select("total_users", "mismatched_users", rnd_pct("mismatched_users", "total_users", 2).alias("mismatch_pct"))
 
 
 def crosstab(users: DataFrame, row: str, column: str, values, labels=None, normalize: bool = False) -> DataFrame:

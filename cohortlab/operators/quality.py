@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import day_offset, flag, pct, rnd
+from cohortlab.functions.expr import day_offset, flag, pct, rnd, rnd_div, rnd_pct
 from cohortlab.plans.scale import scalars
 from cohortlab.sources.schema import (
     COUNTRIES,
@@ -154,7 +154,7 @@ def null_profile(tables: dict, columns=NULLABLE_PROFILE) -> DataFrame:
         long = row.unpivot(["_n"], [f"{t}__{c}" for c in cols], "_col", "_nulls")
         frames.append(
             long.select(
-                F.regexp_replace("_col", "__", ".").alias("column_checked"), rnd(pct("_nulls", "_n"), 2).alias("null_rate_pct")
+                F.regexp_replace("_col", "__", ".").alias("column_checked"), rnd_pct("_nulls", "_n", 2).alias("null_rate_pct")
             )
         )
     return _union(frames)
@@ -186,7 +186,7 @@ def missing_report(df: DataFrame, table: str) -> DataFrame:
     """DQ10 — columns with missing values: missing count and % (2 dp)."""
     r = null_rates(df, table)
     return r.filter(F.col("null_count") > 0).select(
-        "table_name", "column_name", F.col("null_count").alias("missing"), rnd(pct("null_count", "rows"), 2).alias("missing_pct")
+        "table_name", "column_name", F.col("null_count").alias("missing"), rnd_pct("null_count", "rows", 2).alias("missing_pct")
     )
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import cents, day_offset, from_cents, month_index, month_key, pct, rnd
+from cohortlab.functions.expr import cents, day_offset, from_cents, month_index, month_key, pct, rnd, rnd_div, rnd_pct
 from cohortlab.plans.facts import retention_flags, user_activity, user_offsets
 from cohortlab.plans.scale import with_scalars
 from cohortlab.sources.schema import CHURN_INACTIVITY_DAYS, DEFAULT_TAXONOMY, RETENTION_CHECKPOINTS_DAYS, Taxonomy
@@ -77,7 +77,7 @@ def churn(users: DataFrame, events: DataFrame, inactive: int = CHURN_INACTIVITY_
         F.count(F.lit(1)).alias("total_users"),
         F.count_if(day_offset("_end", "last_event_date") >= inactive).alias("churned_users"),
     )
-    return agg.select("total_users", "churned_users", rnd(pct("churned_users", "total_users"), 1).alias("churn_rate_pct"))
+    return agg.select("total_users", "churned_users", rnd_pct("churned_users", "total_users", 1).alias("churn_rate_pct"))
 
 
 def _cohorts(users: DataFrame) -> DataFrame:
@@ -112,7 +112,7 @@ def cohort_retention(users: DataFrame, events: DataFrame) -> DataFrame:
         "months_since_signup",
         "cohort_size",
         "retained_users",
-        rnd(pct("retained_users", "cohort_size"), 1).alias("retention_pct"),
+        rnd_pct("retained_users", "cohort_size", 1).alias("retention_pct"),
     )
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import div, from_cents, pct, rnd
+from cohortlab.functions.expr import div, from_cents, pct, rnd, rnd_div, rnd_pct
 from cohortlab.plans.facts import retention_flags, user_bookings
 from cohortlab.plans.scale import exact_ntile, scalars, with_scalars
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy
@@ -38,7 +38,7 @@ def segment_summary(users: DataFrame, events: DataFrame, dim: str, null_label: s
         dim,
         "users",
         "converted_users",
-        rnd(pct("converted_users", "users"), 1).alias("conversion_rate_pct"),
+        rnd_pct("converted_users", "users", 1).alias("conversion_rate_pct"),
         rnd(rev, 2).alias("total_revenue_eur"),
         rnd(div(rev, "users"), 2).alias("arpu_eur"),
     )
@@ -75,9 +75,9 @@ def value_tiers(users: DataFrame, events: DataFrame, tiles: int = 3, tax: Taxono
     return with_scalars(agg, totals).select(
         "revenue_segment",
         "users",
-        rnd(pct("users", "_users"), 1).alias("pct_of_users"),
+        rnd_pct("users", "_users", 1).alias("pct_of_users"),
         rnd(from_cents("_rev"), 2).alias("segment_revenue_eur"),
-        rnd(pct("_rev", "_all"), 1).alias("pct_of_total_revenue"),
+        rnd_pct("_rev", "_all", 1).alias("pct_of_total_revenue"),
         rnd(F.col("_avg") / 100.0, 2).alias("avg_revenue_per_user_eur"),
     )
 
@@ -114,7 +114,7 @@ def underperformers(users: DataFrame, events: DataFrame, dim: str = "acquisition
         _users_with_revenue(users, events, [dim], tax)
         .groupBy(dim)
         .agg(F.count_distinct("user_id").alias("users"), F.count("bookings").alias("_conv"))
-        .withColumn("conversion_rate_pct", rnd(pct("_conv", "users"), 1))
+        .withColumn("conversion_rate_pct", rnd_pct("_conv", "users", 1))
     )
     overall = stats.agg(F.avg("users").alias("_avg_users"), F.avg("conversion_rate_pct").alias("_avg_conv"))
     return (

@@ -169,3 +169,35 @@ class Tables:
     events: object
     experiments: object = None
     extra: dict = field(default_factory=dict)
+
+
+class LazyTables:
+    """Tables whose DataFrames are defined on first access.
+
+    Building a DataFrame costs analysis round trips to the JVM; an operator
+    that only reads ``events`` never pays for defining ``users`` or
+    ``experiments``.  Builders receive this object so they can refer to the
+    other tables.
+    """
+
+    def __init__(self, users, events, experiments=None):
+        self._builders = {"users": users, "events": events, "experiments": experiments}
+        self._built: dict = {}
+
+    def _get(self, name):
+        if name not in self._built:
+            builder = self._builders[name]
+            self._built[name] = None if builder is None else builder(self)
+        return self._built[name]
+
+    @property
+    def users(self):
+        return self._get("users")
+
+    @property
+    def events(self):
+        return self._get("events")
+
+    @property
+    def experiments(self):
+        return self._get("experiments")

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlab.sources.experiments import derive_experiments
-from cohortlab.sources.schema import EVENT_PRODUCT_AREA, EXPERIMENT_GROUPS, PAYMENT_METHODS, Tables
+from cohortlab.sources.schema import EVENT_PRODUCT_AREA, EXPERIMENT_GROUPS, PAYMENT_METHODS, LazyTables
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -129,13 +129,17 @@ def clickstream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def clickstream(spark: SparkSession, sf_dir: str) -> Tables:
+def _first_date(events: DataFrame) -> DataFrame:
+    return events.groupBy("user_id").agg(F.min("event_date").alias("first_date"))
+
+
+def clickstream(spark: SparkSession, sf_dir: str) -> LazyTables:
     """Binding E: clickstream events + customers."""
-    events = clickstream_events(spark, sf_dir)
-    first = events.groupBy("user_id").agg(F.min("event_date").alias("first_date"))
-    users = _customer_users(spark, sf_dir, first, "2024-01-01")
-    experiments = derive_experiments(users, events)
-    return Tables(users, events, experiments)
+    return LazyTables(
+        users=lambda t: _customer_users(spark, sf_dir, _first_date(t.events), "2024-01-01"),
+        events=lambda t: clickstream_events(spark, sf_dir),
+        experiments=lambda t: derive_experiments(t.users, t.events),
+    )
 
 
 # Order status → booking event of binding O, and its conversion bar.
@@ -163,14 +167,14 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_history(spark: SparkSession, sf_dir: str) -> Tables:
+def order_history(spark: SparkSession, sf_dir: str) -> LazyTables:
     """Binding O: orders as booking events over a multi-year span."""
-    events = order_events(spark, sf_dir)
-    first = events.groupBy("user_id").agg(F.min("event_date").alias("first_date"))
-    users = _customer_users(spark, sf_dir, first, "1995-01-01")
     big = (F.col("event_name") == "booking_completed") & (F.col("revenue") >= ORDER_CONVERSION_MIN_PRICE)
-    experiments = derive_experiments(users, events, conversion_filter=big)
-    return Tables(users, events, experiments)
+    return LazyTables(
+        users=lambda t: _customer_users(spark, sf_dir, _first_date(t.events), "1995-01-01"),
+        events=lambda t: order_events(spark, sf_dir),
+        experiments=lambda t: derive_experiments(t.users, t.events, conversion_filter=big),
+    )
 
 
 BINDINGS = {"E": clickstream, "O": order_history}
