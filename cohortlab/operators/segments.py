@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortlab.functions.expr import div, from_cents, pct, rnd, rnd_div, rnd_pct
 from cohortlab.plans.facts import retention_flags, user_bookings
-from cohortlab.plans.scale import exact_ntile, scalars, with_scalars
+from cohortlab.plans.scale import exact_ntile, exact_quantiles, scalars, with_scalars
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy
 
 
@@ -188,37 +188,35 @@ def corr_matrix(df: DataFrame, cols=FEATURE_COLUMNS, digits: int = 4) -> DataFra
     return row.select(F.inline(F.array(*cells))).select("feature_x", "feature_y", rnd("c", digits).alias("correlation"))
 
 
-def describe(df: DataFrame, cols, digits: int = 4, approx: bool = False) -> DataFrame:
+def describe(df: DataFrame, cols, digits: int = 4) -> DataFrame:
     """S8 — count, mean, std (sample), min, quartiles (linear interpolation),
-    max per numeric column, nulls dropped.  One pass: columns are unpivoted
-    to (column, value) and aggregated together.  ``approx`` swaps the exact
-    percentile for ``percentile_approx`` when a column's domain is very wide."""
+    max per numeric column, nulls dropped.
+
+    Columns are unpivoted to (column, value).  Moments come from one partial
+    aggregate; the quartiles from :func:`exact_quantiles`, which ranks values
+    with range partitioning instead of collecting a column's distinct values
+    into a single task."""
     cols = list(cols)
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value").filter(
         F.col("value").isNotNull()
     )
-    q = (
-        F.percentile_approx("value", [0.25, 0.5, 0.75], 100000)
-        if approx
-        else F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    )
-    agg = long.groupBy("column").agg(
+    moments = long.groupBy("column").agg(
         F.count(F.lit(1)).alias("count"),
         F.avg("value").alias("_mean"),
         F.stddev_samp("value").alias("_std"),
         F.min("value").alias("_min"),
-        q.alias("_q"),
         F.max("value").alias("_max"),
     )
-    return agg.select(
+    quarts = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["column"], max_groups=len(cols))
+    return moments.join(quarts, "column").select(
         "column",
         "count",
         rnd("_mean", digits).alias("mean"),
         rnd("_std", digits).alias("std"),
         rnd("_min", digits).alias("min"),
-        rnd(F.col("_q")[0], digits).alias("p25"),
-        rnd(F.col("_q")[1], digits).alias("p50"),
-        rnd(F.col("_q")[2], digits).alias("p75"),
+        rnd("q0", digits).alias("p25"),
+        rnd("q1", digits).alias("p50"),
+        rnd("q2", digits).alias("p75"),
         rnd("_max", digits).alias("max"),
     )
 

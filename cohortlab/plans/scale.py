@@ -40,56 +40,96 @@ def _ordering(order_cols) -> list[Column]:
     return out
 
 
-def exact_ntile(df: DataFrame, n: int, order_cols, out_col: str = "tile", num_ranges: int | None = None) -> DataFrame:
-    """Exact ``NTILE(n) OVER (ORDER BY order_cols)``.
-
-    ``order_cols`` should end with a unique key so ties are broken
-    deterministically.  Plan:
-
-    1. range-partition on the ordering (the sampled bounds split even a single
-       hot value, because the unique key is part of the range key), sort
-       within partitions, and number rows by ``monotonically_increasing_id``;
-    2. checkpoint that numbered frame to the shared checkpoint folder so the
-       sampled ranges and positions are fixed for both later passes (and
-       survive executor loss);
-    3. count rows per range (one row per range — bounded by the range count)
-       and turn the counts into global offsets;
-    4. broadcast the offsets (≤ ``num_ranges`` rows) and derive the tile from
-       the global rank: with ``q = N // n`` and ``r = N % n`` the first ``r``
-       tiles hold ``q + 1`` rows.
+def global_ranks(df: DataFrame, order_cols, group_cols=(), num_ranges: int | None = None, max_groups: int | None = None) -> DataFrame:
+    """Add ``_rank`` (1-based position in ``order_cols`` order within each
+    group) and ``_total`` (rows in the group) without a single-task window.
+
+    ``order_cols`` should end with a unique key when ties must be
+    deterministic.  Plan:
+
+    1. range-partition on (group, order) — the sampled bounds split even one
+       hot value when a unique key is part of the range key — sort within
+       partitions and number rows with ``monotonically_increasing_id``;
+    2. checkpoint that numbered frame to the shared checkpoint folder, so the
+       sampled ranges and positions are fixed for the passes below and the
+       lineage survives executor loss;
+    3. count rows per (range, group): ranges hold contiguous blocks of
+       groups, so this frame has at most ``num_ranges + #groups`` rows, and
+       running sums over it give each range's offset within its group;
+    4. join the offsets back and derive the rank.  The offsets are broadcast
+       when their size is proven: no groups (≤ ``num_ranges`` rows) or a
+       caller-supplied bound ``max_groups`` (≤ ``num_ranges + max_groups``
+       rows); otherwise the planner decides from its size estimate.
     """
+    from cohortlab.session import checkpoint_dir
+
     spark = df.sparkSession
     if num_ranges is None:
         num_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = _ordering(order_cols)
-    mid = F.monotonically_increasing_id()
+    groups = list(group_cols)
+    order = _ordering(groups) + _ordering(order_cols)
     numbered = (
         df.repartitionByRange(num_ranges, *order)
         .sortWithinPartitions(*order)
-        .withColumn("_mid", mid)
+        .withColumn("_mid", F.monotonically_increasing_id())
         .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
         .withColumn("_pos", F.col("_mid").bitwiseAND((1 << _POS_BITS) - 1))
         .drop("_mid")
     )
-    from cohortlab.session import checkpoint_dir
-
     checkpoint_dir(spark)
     numbered = numbered.checkpoint(eager=True)
-    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    # ≤ num_ranges rows: the window below runs over the per-range counts only.
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    counts = numbered.groupBy("_pid", *groups).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"))
+    before = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = counts.select(
         "_pid",
+        *groups,
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(everything).alias("_total"),
+        F.sum("_cnt").over(whole).alias("_total"),
+        "_first",
     )
-    ranked = numbered.join(F.broadcast(offsets), "_pid").withColumn("_rank", F.col("_off") + F.col("_pos") + 1)
+    keys = ["_pid", *groups]
+    if not groups or max_groups is not None:
+        offsets = F.broadcast(offsets)
+    ranked = numbered.join(offsets, keys).withColumn("_rank", F.col("_off") + F.col("_pos") - F.col("_first") + 1)
+    return ranked.drop("_pid", "_pos", "_off", "_first")
+
+
+def exact_ntile(df: DataFrame, n: int, order_cols, out_col: str = "tile", num_ranges: int | None = None) -> DataFrame:
+    """Exact ``NTILE(n) OVER (ORDER BY order_cols)`` on top of
+    :func:`global_ranks`: with ``q = N // n`` and ``r = N % n`` the first
+    ``r`` tiles hold ``q + 1`` rows."""
+    ranked = global_ranks(df, order_cols, (), num_ranges)
     total = F.col("_total")
     q = F.floor(total / n).cast("long")
     r = (total % n).cast("long")
     big = r * (q + 1)
-    tile = F.when(F.col("_rank") <= big, F.floor((F.col("_rank") - 1) / (q + 1)) + 1).otherwise(
-        r + F.floor((F.col("_rank") - 1 - big) / q) + 1
-    )
-    return ranked.withColumn(out_col, tile.cast("long")).drop("_pid", "_pos", "_off", "_total", "_rank")
+    rank = F.col("_rank")
+    tile = F.when(rank <= big, F.floor((rank - 1) / (q + 1)) + 1).otherwise(r + F.floor((rank - 1 - big) / q) + 1)
+    return ranked.withColumn(out_col, tile.cast("long")).drop("_total", "_rank")
+
+
+def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), num_ranges: int | None = None, max_groups: int | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation (position ``(n-1)·p``) per
+    group, NULLs ignored.  Distributed: ranks come from :func:`global_ranks`
+    and only the (at most two) rows bracketing each position are kept by a
+    partial aggregate — no group's values are gathered in one task.
+    Output: group columns, ``q0``, ``q1``, … in the order of ``probs``."""
+    groups = list(group_cols)
+    vals = df.select(*groups, F.col(value_col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    ranked = global_ranks(vals, ["_v"], groups, num_ranges, max_groups)
+    n1 = F.col("_total") - 1
+    aggs = [F.max("_total").alias("_n")]
+    for i, p in enumerate(probs):
+        h = n1.cast("double") * float(p)
+        lo = F.floor(h).cast("long") + 1
+        hi = F.ceil(h).cast("long") + 1
+        aggs.append(F.max(F.when(F.col("_rank") == lo, F.col("_v"))).alias(f"_lo{i}"))
+        aggs.append(F.max(F.when(F.col("_rank") == hi, F.col("_v"))).alias(f"_hi{i}"))
+    agg = ranked.groupBy(*groups).agg(*aggs)
+    outs = []
+    for i, p in enumerate(probs):
+        h = (F.col("_n") - 1).cast("double") * float(p)
+        frac = h - F.floor(h).cast("double")
+        outs.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * frac).alias(f"q{i}"))
+    return agg.select(*groups, *outs)
