@@ -94,23 +94,31 @@ def orphans(users: DataFrame, children: dict, key: str = "user_id") -> DataFrame
     parent = users.select(key).distinct()
     frames = []
     for name, child in children.items():
+        # rows per key first (partial aggregation), then the anti join sees one row per key
         frames.append(
-            child.select(key)
-            .join(parent, key, "left_anti")
-            .groupBy(key)
+            child.groupBy(key)
             .agg(F.count(F.lit(1)).alias("row_count"))
+            .join(parent, key, "left_anti")
             .select(F.lit(name).alias("source_table"), F.col(key).cast("string").alias(f"orphan_{key}"), "row_count")
         )
     return _union(frames)
 
 
 def events_before_signup(users: DataFrame, events: DataFrame) -> DataFrame:
-    """DQ5 — events dated before their user's signup date."""
-    return (
-        events.select("event_id", "user_id", "event_date")
+    """DQ5 — events dated before their user's signup date.
+
+    Violating (user, date) pairs are found on distinct activity days joined
+    to users; only then are the matching events fetched.  The pair set is
+    normally empty or small, so AQE turns the final join into a broadcast and
+    a user with a huge number of events never concentrates in one task."""
+    bad_days = (
+        events.select("user_id", "event_date")
+        .distinct()
         .join(users.select("user_id", "signup_date"), "user_id")
         .filter(F.col("event_date") < F.col("signup_date"))
-        .select("event_id", "user_id", "event_date", "signup_date")
+    )
+    return events.select("event_id", "user_id", "event_date").join(bad_days, ["user_id", "event_date"]).select(
+        "event_id", "user_id", "event_date", "signup_date"
     )
 
 
@@ -338,12 +346,17 @@ def validation_report(users: DataFrame, events: DataFrame, experiments: DataFram
         frames.append(_check(name, f"duplicate_{key}", dup))
     parent = users.select("user_id").distinct()
     for name in ("events", "experiments"):
-        orphan = tables[name].select("user_id").join(parent, "user_id", "left_anti").agg(F.count(F.lit(1)).alias("v"))
+        orphan = (
+            tables[name].groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+            .join(parent, "user_id", "left_anti")
+            .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("v"))
+        )
         frames.append(_check(name, "orphan_user_id", orphan))
     before = (
-        events.select("user_id", F.to_date("event_time").alias("_d"))
+        events.groupBy("user_id", F.to_date("event_time").alias("_d"))
+        .agg(F.count(F.lit(1)).alias("_n"))
         .join(users.select("user_id", "signup_date"), "user_id")
-        .agg(F.count_if(F.col("_d") < F.col("signup_date")).alias("v"))
+        .agg(F.coalesce(F.sum(F.when(F.col("_d") < F.col("signup_date"), F.col("_n"))), F.lit(0)).alias("v"))
     )
     frames.append(_check("events", "event_before_signup", before))
     rev, nm = F.col("revenue"), F.col("event_name")

@@ -147,8 +147,12 @@ def cohort_matrix(users: DataFrame, events: DataFrame, mask: bool = True, digits
 
 def cohort_revenue(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
     """C4 — revenue per cohort and months since signup, and per cohort user."""
-    bookings = events.filter(F.col("event_name") == tax.booking_completed).select(
-        "user_id", cents("revenue").alias("_c"), month_index("event_date").alias("event_month_index")
+    # revenue per (user, month) first: a user owning many bookings reaches
+    # the join as one row per active month
+    bookings = (
+        events.filter(F.col("event_name") == tax.booking_completed)
+        .groupBy("user_id", month_index("event_date").alias("event_month_index"))
+        .agg(F.sum(cents("revenue")).alias("_c"))
     )
     cohorts = _cohorts(users)
     sizes = cohort_sizes(users)
