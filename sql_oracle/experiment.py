@@ -63,7 +63,7 @@ FROM zed
 X5 = (
     _PROP
     + f"""
-SELECT conv_c AS control_conversions, n_c AS control_n, conv_t AS treatment_conversions, n_t AS treatment_n,
+SELECT CAST(conv_c AS BIGINT) AS control_conversions, n_c AS control_n, CAST(conv_t AS BIGINT) AS treatment_conversions, n_t AS treatment_n,
        {R('z', 6)} AS z_statistic
 FROM zed
 """
