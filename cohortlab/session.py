@@ -46,6 +46,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: configure a shared (distributed) folder for checkpoints; "
+                "a machine-local temporary folder is only used in local mode"
+            )
         configured = tempfile.mkdtemp(prefix="cohortlab-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
