@@ -97,21 +97,33 @@ def ever_active(users: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def active_users(events: DataFrame, grain: str = "day") -> DataFrame:
+def active_users(events: DataFrame, grain: str = "day", approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """K8/K9/K10 — distinct active users per day, Monday-week or month.
 
-    (user, period) pairs are deduplicated by a first aggregate; the second
-    counts them, so no DISTINCT aggregate is mixed with others.
+    Exact mode deduplicates (period, user) with a first aggregate and counts
+    with a second, so no DISTINCT aggregate is mixed with others.  With
+    ``approx`` the count is a HyperLogLog++ sketch (``approx_count_distinct``,
+    relative standard deviation ``rsd``): one partial aggregate whose state
+    per period is a few KB no matter how many users are active.
     """
+    keys = {
+        "day": [F.col("event_date")],
+        "week_mon": [week_key("event_date").alias("iso_week")],
+        "month": [month_key("event_date").alias("month")],
+    }
+    if grain not in keys:
+        raise ValueError(f"unknown grain {grain!r}")
+    out = {"day": "dau", "week_mon": "wau", "month": "mau"}[grain]
+    if approx:
+        extra = [F.min("event_date").alias("week_start_sample")] if grain == "week_mon" else []
+        return events.groupBy(*keys[grain]).agg(*extra, F.approx_count_distinct("user_id", rsd).alias(out))
     if grain == "day":
         return events.groupBy("event_date").agg(F.count_distinct("user_id").alias("dau"))
     if grain == "week_mon":
         per = events.groupBy(week_key("event_date").alias("iso_week"), "user_id").agg(F.min("event_date").alias("_d"))
         return per.groupBy("iso_week").agg(F.min("_d").alias("week_start_sample"), F.count(F.lit(1)).alias("wau"))
-    if grain == "month":
-        per = events.select(month_key("event_date").alias("month"), "user_id").distinct()
-        return per.groupBy("month").agg(F.count(F.lit(1)).alias("mau"))
-    raise ValueError(f"unknown grain {grain!r}")
+    per = events.select(month_key("event_date").alias("month"), "user_id").distinct()
+    return per.groupBy("month").agg(F.count(F.lit(1)).alias("mau"))
 
 
 def stickiness(events: DataFrame) -> DataFrame:

@@ -255,3 +255,13 @@ def test_csv_ingest_round_trip(spark, tmp_path):
     assert t.experiments.first()["converted"] is True
     as_null = load_tables(spark, str(src), fmt="csv", none_is_null=True)
     assert as_null.events.first()["payment_method"] is None
+
+
+def test_active_users_approx_close_to_exact(micro):
+    from cohortlab.operators.kpi import active_users
+
+    _, events, _ = micro
+    for grain in ("day", "week_mon", "month"):
+        exact = sorted(tuple(r) for r in active_users(events, grain).collect())
+        approx = sorted(tuple(r) for r in active_users(events, grain, approx=True).select(*active_users(events, grain).columns).collect())
+        assert exact == approx  # tiny cardinalities are exact in HLL++
