@@ -28,12 +28,14 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _pick(idx: Column, values: list) -> Column:
-    """``values[idx]`` for a small literal list (JVM-side CASE chain)."""
-    expr = None
-    for i, v in enumerate(values):
-        expr = F.when(idx == i, F.lit(v)) if expr is None else expr.when(idx == i, F.lit(v))
-    return expr
+def _lit(v) -> str:
+    return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
+
+
+def _pick(idx_sql: str, values: list) -> Column:
+    """``values[idx]`` for a small literal list, as one SQL CASE expression."""
+    cases = " ".join(f"WHEN {i} THEN {_lit(v)}" for i, v in enumerate(values))
+    return F.expr(f"CASE {idx_sql} {cases} END")
 
 
 # The (event_type, value band) → event_name rule of binding E.
@@ -50,27 +52,25 @@ _PAYMENT_EVENTS = ["booking_completed", "payment_failed"]
 _AGE_BANDS = [(2000, "18-24"), (4000, "25-34"), (6000, "35-44"), (8000, "45-54"), (None, "55+")]
 
 
-def event_name_expr(event_type: Column, value: Column) -> Column:
-    expr = None
+def event_name_expr(event_type: str = "event_type", value: str = "value") -> Column:
+    whens = []
     for etype, bands in _EVENT_BANDS.items():
         for bound, name in bands:
-            cond = event_type == etype
-            if bound is not None:
-                cond = cond & (value < bound)
-            expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    return expr
+            cond = f"{event_type} = {_lit(etype)}" + (f" AND {value} < {bound}" if bound is not None else "")
+            whens.append(f"WHEN {cond} THEN {_lit(name)}")
+    return F.expr("CASE " + " ".join(whens) + " END")
 
 
-def product_area_expr(event_name: Column) -> Column:
-    mapping = F.create_map(*[F.lit(x) for kv in EVENT_PRODUCT_AREA.items() for x in kv])
-    return F.element_at(mapping, event_name)
+def product_area_expr(event_name: str = "event_name") -> Column:
+    cases = " ".join(f"WHEN {_lit(k)} THEN {_lit(v)}" for k, v in EVENT_PRODUCT_AREA.items())
+    return F.expr(f"CASE {event_name} {cases} END")
 
 
-def _age_group(acctbal: Column) -> Column:
-    expr = F.when(acctbal < 0, F.lit(None).cast("string"))
+def _age_group(acctbal: str = "c_acctbal") -> Column:
+    whens = [f"WHEN {acctbal} < 0 THEN NULL"]
     for bound, label in _AGE_BANDS:
-        expr = expr.when(acctbal < bound, F.lit(label)) if bound is not None else expr.otherwise(F.lit(label))
-    return expr
+        whens.append(f"WHEN {acctbal} < {bound} THEN {_lit(label)}" if bound is not None else f"ELSE {_lit(label)}")
+    return F.expr("CASE " + " ".join(whens) + " END")
 
 
 def _customer_users(spark: SparkSession, sf_dir: str, first_date: DataFrame, fallback_start: str) -> DataFrame:
@@ -90,18 +90,18 @@ def _customer_users(spark: SparkSession, sf_dir: str, first_date: DataFrame, fal
             ).alias("signup_date"),
             F.col("r_name").alias("country"),
             F.col("n_name").alias("city"),
-            _pick(key % 3, _DEVICES_BY_MOD3).alias("platform"),
+            _pick("c_custkey % 3", _DEVICES_BY_MOD3).alias("platform"),
             F.col("c_mktsegment").alias("acquisition_channel"),
-            _age_group(F.col("c_acctbal")).alias("age_group"),
-            _pick(key % 2, EXPERIMENT_GROUPS).alias("experiment_group"),
-            _pick(key % 4, _DEVICES_BY_MOD4).alias("first_device_type"),
+            _age_group("c_acctbal").alias("age_group"),
+            _pick("c_custkey % 2", EXPERIMENT_GROUPS).alias("experiment_group"),
+            _pick("c_custkey % 4", _DEVICES_BY_MOD4).alias("first_device_type"),
         )
     )
 
 
 def clickstream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _read(spark, sf_dir, "events")
-    name = event_name_expr(F.col("event_type"), F.col("value"))
+    name = event_name_expr("event_type", "value")
     ev = raw.select(
         F.col("event_id"),
         F.col("user_id"),
@@ -111,7 +111,6 @@ def clickstream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value"),
         F.col("props"),
     )
-    k = F.get_json_object(F.col("props"), "$.k").cast("long")
     return ev.select(
         "event_id",
         "user_id",
@@ -121,11 +120,16 @@ def clickstream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             "session_id"
         ),
         "event_name",
-        product_area_expr(F.col("event_name")).alias("product_area"),
-        _pick(F.col("event_id") % 3, _DEVICES_BY_MOD3).alias("device_type"),
-        F.when(F.col("event_name") == "booking_completed", F.col("value")).alias("revenue"),
-        F.when(F.col("event_name").startswith("booking_"), F.col("value") / 10.0).alias("ride_distance_km"),
-        F.when(F.col("event_name").isin(*_PAYMENT_EVENTS), _pick(k % 6, PAYMENT_METHODS)).alias("payment_method"),
+        product_area_expr("event_name").alias("product_area"),
+        _pick("event_id % 3", _DEVICES_BY_MOD3).alias("device_type"),
+        F.expr("CASE WHEN event_name = 'booking_completed' THEN value END").alias("revenue"),
+        F.expr("CASE WHEN startswith(event_name, 'booking_') THEN value / 10.0D END").alias("ride_distance_km"),
+        F.expr(
+            "CASE WHEN event_name IN (" + ", ".join(_lit(x) for x in _PAYMENT_EVENTS) + ") THEN "
+            + "CASE CAST(get_json_object(props, '$.k') AS BIGINT) % 6 "
+            + " ".join(f"WHEN {i} THEN {_lit(v)}" for i, v in enumerate(PAYMENT_METHODS))
+            + " END END"
+        ).alias("payment_method"),
     )
 
 
@@ -160,7 +164,7 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("o_custkey").cast("string"), F.lit("_"), F.date_format(date, "yyyy-MM-dd")).alias("session_id"),
         name.alias("event_name"),
         F.lit("Booking").alias("product_area"),
-        _pick(F.col("o_orderkey") % 3, _DEVICES_BY_MOD3).alias("device_type"),
+        _pick("o_orderkey % 3", _DEVICES_BY_MOD3).alias("device_type"),
         F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).alias("revenue"),
         F.lit(None).cast("double").alias("ride_distance_km"),
         F.lit(None).cast("string").alias("payment_method"),
