@@ -324,77 +324,133 @@ def _check(table: str, check: str, violations, severity_if_bad: str = "fail") ->
     )
 
 
+def _rows_to_checks(row: DataFrame, table: str, checks: dict) -> DataFrame:
+    """One aggregated row with a column per check → (table, check, violations, severity) rows.
+
+    ``checks`` maps check name → severity when violated."""
+    long = row.select(*checks).unpivot([], list(checks), "check_name", "v")
+    sev = F.create_map(*[F.lit(x) for kv in checks.items() for x in kv])
+    return long.select(
+        F.lit(table).alias("table_name"),
+        "check_name",
+        F.col("v").cast("long").alias("violations"),
+        F.when(F.col("v") == 0, F.lit("ok")).otherwise(F.element_at(sev, F.col("check_name"))).alias("severity"),
+    )
+
+
+def _null_exceed_count(df: DataFrame, limits: dict, default_max: float):
+    """(aggregate columns, expression) counting columns whose null rate exceeds
+    the tolerated maximum — evaluated inside the table's single scan."""
+    aggs = [F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in df.columns]
+    n = F.col("_rows").cast("double")
+    exceed = sum(
+        (F.when(F.coalesce(F.try_divide(F.col(f"_null_{c}").cast("double"), n), F.lit(0.0)) > float(limits.get(c, default_max)), 1).otherwise(0) for c in df.columns),
+        F.lit(0),
+    )
+    return aggs, exceed
+
+
 def validation_report(users: DataFrame, events: DataFrame, experiments: DataFrame, start: str = START_DATE, end: str = END_DATE, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
     """DQ19 — one DataFrame of (table_name, check_name, violations, severity).
 
     Severity is ``ok`` for zero violations, else ``fail`` (``warn`` for the
     span and null-rate rules).  The schema contract (DQ17) compares column
-    names — metadata, no data pass.  Row rules on each table share one scan.
+    names — metadata, no data pass.
+
+    Scans: each table is read once for all of its row rules, domain rules
+    and per-column null counts; events are additionally aggregated per
+    (user, day) — which yields orphans, events before signup and the set of
+    booked users after one join with users — per event_id (duplicates) and
+    per session (funnel prerequisites).  Every aggregate is partial+final, so
+    a hot user, day or session is collapsed map-side.
     """
-    spark = users.sparkSession
     tables = {"users": users, "events": events, "experiments": experiments}
     frames = []
     for name, df in tables.items():
         missing = len([c for c in REQUIRED_COLUMNS[name] if c not in df.columns])
-        frames.append(
-            _check(name, "required_columns", df.agg(F.lit(missing).alias("v")))
-        )
-    for name, key in (("users", "user_id"), ("events", "event_id")):
-        dup = tables[name].groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(
-            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("v")
-        )
-        frames.append(_check(name, f"duplicate_{key}", dup))
-    parent = users.select("user_id").distinct()
-    for name in ("events", "experiments"):
-        orphan = (
-            tables[name].groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
-            .join(parent, "user_id", "left_anti")
-            .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("v"))
-        )
-        frames.append(_check(name, "orphan_user_id", orphan))
-    before = (
-        events.groupBy("user_id", F.to_date("event_time").alias("_d"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .join(users.select("user_id", "signup_date"), "user_id")
-        .agg(F.coalesce(F.sum(F.when(F.col("_d") < F.col("signup_date"), F.col("_n"))), F.lit(0)).alias("v"))
-    )
-    frames.append(_check("events", "event_before_signup", before))
-    rev, nm = F.col("revenue"), F.col("event_name")
+        frames.append(_check(name, "required_columns", df.agg(F.lit(missing).alias("v"))))
+
     s, e = F.lit(start).cast("date"), F.lit(end).cast("date")
-    ev_checks = {
-        "negative_revenue": rev < 0,
-        "revenue_on_non_completed_booking": rev.isNotNull() & (rev > 0) & (nm != tax.booking_completed),
-        "completed_booking_missing_revenue": (nm == tax.booking_completed) & (rev.isNull() | (rev <= 0)),
-        "cancelled_or_failed_with_revenue": nm.isin(tax.booking_cancelled, tax.payment_failed) & rev.isNotNull() & (rev > 0),
-        "event_date_out_of_range": (F.col("event_date") < s) | (F.col("event_date") > e),
+    rev, nm = F.col("revenue"), F.col("event_name")
+    rules = {
+        "events": {
+            "negative_revenue": rev < 0,
+            "revenue_on_non_completed_booking": rev.isNotNull() & (rev > 0) & (nm != tax.booking_completed),
+            "completed_booking_missing_revenue": (nm == tax.booking_completed) & (rev.isNull() | (rev <= 0)),
+            "cancelled_or_failed_with_revenue": nm.isin(tax.booking_cancelled, tax.payment_failed) & rev.isNotNull() & (rev > 0),
+            "event_date_out_of_range": (F.col("event_date") < s) | (F.col("event_date") > e),
+        },
+        "users": {"signup_date_out_of_range": (F.col("signup_date") < s) | (F.col("signup_date") > e)},
+        "experiments": {},
     }
-    us_checks = {"signup_date_out_of_range": (F.col("signup_date") < s) | (F.col("signup_date") > e)}
-    ex_checks = {}
     for chk in default_domain_checks():
         c = F.col(chk.column)
         bad = (~c.isin(*chk.allowed)) if chk.drop_nulls else (c.isNull() | ~c.isin(*chk.allowed))
-        {"users": us_checks, "events": ev_checks, "experiments": ex_checks}[chk.table][f"domain_{chk.column}"] = bad
-    for name, checks in (("events", ev_checks), ("users", us_checks), ("experiments", ex_checks)):
-        row = tables[name].agg(*[F.count_if(cond).alias(k) for k, cond in checks.items()])
-        long = row.unpivot([], list(checks), "check_name", "v")
-        frames.append(
-            long.select(
-                F.lit(name).alias("table_name"),
-                "check_name",
-                F.col("v").cast("long").alias("violations"),
-                F.when(F.col("v") == 0, F.lit("ok")).otherwise(F.lit("fail")).alias("severity"),
+        rules[chk.table][f"domain_{chk.column}"] = bad
+
+    # one scan per table: row rules + domain rules + null counts (+ signup span)
+    for name, df in tables.items():
+        null_aggs, exceed = _null_exceed_count(df, EXPECTED_NULL_RATE_MAX, DEFAULT_NULL_RATE_MAX)
+        extra = []
+        if name == "users":
+            extra = [F.min("signup_date").alias("_min_signup"), F.max("signup_date").alias("_max_signup")]
+        row = df.agg(
+            F.count(F.lit(1)).alias("_rows"), *[F.count_if(cond).alias(k) for k, cond in rules[name].items()], *null_aggs, *extra
+        ).withColumn("null_rate_above_limit", exceed)
+        checks = {k: "fail" for k in rules[name]}
+        if name == "users":
+            row = row.withColumn(
+                "signup_span_below_300_days", F.when(day_offset("_max_signup", "_min_signup") < 300, 1).otherwise(0)
             )
+            checks["signup_span_below_300_days"] = "warn"
+        checks["null_rate_above_limit"] = "warn"
+        frames.append(_rows_to_checks(row, name, checks))
+
+    for name, key in (("users", "user_id"), ("events", "event_id")):
+        dup = tables[name].groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(
+            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("v")
         )
+        frames.append(_check(name, f"duplicate_{key}", dup))
+
+    # events per (user, day): orphans, events before signup, booked users
+    known = users.groupBy("user_id").agg(F.min("signup_date").alias("_signup"))
+    per_day = events.groupBy("user_id", F.to_date("event_time").alias("_d")).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(flag(nm == tax.booking_completed)).alias("_booked")
+    )
+    matched = per_day.join(known.withColumn("_known", F.lit(1)), "user_id", "left")
+    ev_user = matched.agg(
+        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0)).alias("orphan_user_id"),
+        F.coalesce(F.sum(F.when(F.col("_d") < F.col("_signup"), F.col("_n"))), F.lit(0)).alias("event_before_signup"),
+    )
+    frames.append(_rows_to_checks(ev_user, "events", {"orphan_user_id": "fail", "event_before_signup": "fail"}))
+    exp_orphans = (
+        experiments.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+        .join(known, "user_id", "left_anti")
+        .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("v"))
+    )
+    frames.append(_check("experiments", "orphan_user_id", exp_orphans))
+
     mism = group_mismatch(users, experiments).agg(F.count(F.lit(1)).alias("v"))
     frames.append(_check("experiments", "experiment_group_mismatch", mism))
-    span = users.agg(F.when(day_offset(F.max("signup_date"), F.min("signup_date")) < 300, 1).otherwise(0).alias("v"))
-    frames.append(_check("users", "signup_span_below_300_days", span, "warn"))
-    for name, df in tables.items():
-        nr = null_rates(df, name).agg(F.count_if(F.col("exceeds")).alias("v"))
-        frames.append(_check(name, "null_rate_above_limit", nr, "warn"))
-    sp = session_prerequisites(events, tax)
-    for issue in ("booking_completed_without_booking_started", "booking_started_without_search_started"):
-        frames.append(_check("events", f"sessions_{issue}", sp.filter(F.col("issue") == issue).select(F.col("session_count").alias("v"))))
-    cc = converted_consistency(events, experiments, tax).select(F.col("mismatched_users").alias("v"))
+
+    sp = session_flags(events, tax).agg(
+        F.count_if((F.col("has_booking_completed") == 1) & (F.col("has_booking_started") == 0)).alias(
+            "sessions_booking_completed_without_booking_started"
+        ),
+        F.count_if((F.col("has_booking_started") == 1) & (F.col("has_search_started") == 0)).alias(
+            "sessions_booking_started_without_search_started"
+        ),
+    )
+    frames.append(
+        _rows_to_checks(
+            sp,
+            "events",
+            {"sessions_booking_completed_without_booking_started": "fail", "sessions_booking_started_without_search_started": "fail"},
+        )
+    )
+
+    booked = per_day.filter(F.col("_booked") == 1).select("user_id").distinct().withColumn("_b", F.lit(1))
+    flagged = experiments.filter(F.col("converted")).select("user_id").distinct().withColumn("_f", F.lit(1))
+    cc = booked.join(flagged, "user_id", "full_outer").agg(F.count_if(F.col("_b").isNull() | F.col("_f").isNull()).alias("v"))
     frames.append(_check("experiments", "converted_flag_mismatch", cc))
     return _union(frames)

@@ -265,3 +265,27 @@ def test_active_users_approx_close_to_exact(micro):
         exact = sorted(tuple(r) for r in active_users(events, grain).collect())
         approx = sorted(tuple(r) for r in active_users(events, grain, approx=True).select(*active_users(events, grain).columns).collect())
         assert exact == approx  # tiny cardinalities are exact in HLL++
+
+
+def test_validation_report(micro):
+    from cohortlab.operators import quality as dq
+
+    users, events, exp = micro
+    rep = {(r["table_name"], r["check_name"]): (r["violations"], r["severity"]) for r in dq.validation_report(users, events, exp).collect()}
+    bad = {k: v for k, v in rep.items() if v[0] != 0}
+    assert bad == {
+        ("users", "domain_country"): (1, "fail"),
+        ("users", "signup_span_below_300_days"): (1, "warn"),
+        ("users", "null_rate_above_limit"): (1, "warn"),
+        ("events", "negative_revenue"): (1, "fail"),
+        ("events", "revenue_on_non_completed_booking"): (1, "fail"),
+        ("events", "completed_booking_missing_revenue"): (1, "fail"),
+        ("events", "cancelled_or_failed_with_revenue"): (1, "fail"),
+        ("events", "null_rate_above_limit"): (2, "warn"),
+        ("events", "duplicate_event_id"): (1, "fail"),
+        ("events", "orphan_user_id"): (1, "fail"),
+        ("events", "event_before_signup"): (1, "fail"),
+        ("events", "sessions_booking_completed_without_booking_started"): (2, "fail"),
+    }
+    assert all(sev == "ok" for (v, sev) in rep.values() if v == 0)
+    assert len(rep) == 32
