@@ -80,3 +80,55 @@ def test_rankings_do_not_window_over_all_users(spark):
     top = _plan(E.queries()["s3_top_segments"](spark, "/root/testdata/sf0.001"))
     # the rank window sits above the distributed top-k, i.e. over k rows only
     assert "TakeOrderedAndProject" in top and top.index("Window") < top.index("TakeOrderedAndProject")
+
+
+def _children(node):
+    it = node.children().iterator()
+    out = []
+    while it.hasNext():
+        out.append(it.next())
+    return out
+
+
+def _raw_fact_below(node):
+    n = node.nodeName()
+    if "Aggregate" in n:
+        return False
+    if "Scan" in n:
+        s = node.toString()
+        return "events.parquet" in s or "orders.parquet" in s
+    return any(_raw_fact_below(c) for c in _children(node))
+
+
+def _shuffle_joins_on_raw_facts(node, out):
+    if node.nodeName() in ("SortMergeJoin", "ShuffledHashJoin"):
+        if any(_raw_fact_below(c) for c in _children(node)):
+            out.append(node.nodeName())
+    for c in _children(node):
+        _shuffle_joins_on_raw_facts(c, out)
+
+
+def test_fact_rows_are_aggregated_before_shuffle_joins(spark):
+    """A user/session/day holding a third of all events must never reach a
+    shuffle join as raw rows: every join input over a fact table passes an
+    aggregate first.  The only exception is DQ5, whose output *is* the list
+    of violating events (its other side is the small violating-day set)."""
+    import os
+
+    import __spark_entry__ as E
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        offenders = []
+        for name, q in E.queries().items():
+            found = []
+            _shuffle_joins_on_raw_facts(q(spark, sf)._jdf.queryExecution().sparkPlan(), found)
+            if found:
+                offenders.append(name)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert set(offenders) <= {"dq5_events_before_signup", "dq5_events_before_signup_orders"}
