@@ -48,6 +48,44 @@ REQUIRED_COLUMNS = {
 }
 
 
+# Type families accepted by the schema contract (ids may be text or integers).
+_FAMILIES = {
+    "id": ("string", "bigint", "int"),
+    "date": ("date",),
+    "timestamp": ("timestamp", "timestamp_ntz"),
+    "text": ("string",),
+    "number": ("double", "float", "bigint", "int", "decimal"),
+    "integer": ("int", "bigint"),
+    "flag": ("boolean",),
+}
+_EXPECTED_FAMILY = {
+    "user_id": "id", "event_id": "id", "session_id": "text", "signup_date": "date", "event_date": "date",
+    "exposure_date": "date", "conversion_date": "date", "event_time": "timestamp", "revenue": "number",
+    "ride_distance_km": "number", "converted": "flag", "days_to_conversion": "integer",
+}
+
+
+def _type_family_ok(column: str, simple_type: str) -> bool:
+    family = _EXPECTED_FAMILY.get(column, "text")
+    base = simple_type.split("(")[0]
+    return base in _FAMILIES[family]
+
+
+def schema_contract(df: DataFrame, table: str) -> list[tuple]:
+    """DQ17 — (table, column, expected family, actual type, status) for every
+    required column; status is ok / missing / wrong_type.  Reads the schema
+    only (no data pass)."""
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    out = []
+    for c in REQUIRED_COLUMNS[table]:
+        fam = _EXPECTED_FAMILY.get(c, "text")
+        if c not in actual:
+            out.append((table, c, fam, None, "missing"))
+        else:
+            out.append((table, c, fam, actual[c], "ok" if _type_family_ok(c, actual[c]) else "wrong_type"))
+    return out
+
+
 def _union(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
@@ -367,8 +405,8 @@ def validation_report(users: DataFrame, events: DataFrame, experiments: DataFram
     tables = {"users": users, "events": events, "experiments": experiments}
     frames = []
     for name, df in tables.items():
-        missing = len([c for c in REQUIRED_COLUMNS[name] if c not in df.columns])
-        frames.append(_check(name, "required_columns", df.agg(F.lit(missing).alias("v"))))
+        broken = sum(1 for row in schema_contract(df, name) if row[-1] != "ok")
+        frames.append(_check(name, "required_columns", df.agg(F.lit(broken).alias("v"))))
 
     s, e = F.lit(start).cast("date"), F.lit(end).cast("date")
     rev, nm = F.col("revenue"), F.col("event_name")

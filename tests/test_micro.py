@@ -289,3 +289,27 @@ def test_validation_report(micro):
     }
     assert all(sev == "ok" for (v, sev) in rep.values() if v == 0)
     assert len(rep) == 32
+
+
+def test_schema_contract(micro, spark):
+    from cohortlab.operators import quality as dq
+
+    users, events, exp = micro
+    assert all(r[-1] == "ok" for r in dq.schema_contract(events, "events"))
+    broken = events.drop("session_id").withColumn("revenue", F.col("revenue").cast("string"))
+    got = {r[1]: r[-1] for r in dq.schema_contract(broken, "events") if r[-1] != "ok"}
+    assert got == {"session_id": "missing", "revenue": "wrong_type"}
+
+
+def test_session_across_midnight(spark):
+    from cohortlab.operators import funnel
+    from conftest import events_df
+
+    ev = events_df(
+        spark,
+        [
+            ("A1", "U1", TS(2024, 1, 1, 23, 50), "S9", "search_started", None),
+            ("A2", "U1", TS(2024, 1, 2, 0, 10), "S9", "promo_viewed", None),
+        ],
+    )
+    assert rows(funnel.abandonment(ev)) == [("promo_viewed", 1, 100.0)]
