@@ -32,7 +32,17 @@ def _rnd_sql(x_sql: str, k: int) -> str:
 
 
 def _pct_sql(n: str, d: str) -> str:
-    return f"try_divide(100.0D * CAST({_q(n)} AS DOUBLE), CAST({_q(d)} AS DOUBLE))"
+    return pct_expr_sql(_q(n), _q(d))
+
+
+def pct_expr_sql(n_sql: str, d_sql: str) -> str:
+    """SQL text of ``100.0 * n / d`` in DOUBLE (NULL for a zero denominator)."""
+    return f"try_divide(100.0D * CAST(({n_sql}) AS DOUBLE), CAST(({d_sql}) AS DOUBLE))"
+
+
+def rnd_sql(x_sql: str, k: int | None) -> str:
+    """SQL text of :func:`rnd` (identity when ``k`` is None)."""
+    return x_sql if k is None else _rnd_sql(x_sql, k)
 
 
 def _div_sql(n: str, d: str) -> str:

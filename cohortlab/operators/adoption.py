@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import pct, rnd, rnd_div, rnd_pct
+from cohortlab.functions.expr import rnd, rnd_pct
 from cohortlab.plans.facts import flag_name, retention_flags, user_event_flags
 from cohortlab.plans.scale import with_scalars
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import div, from_cents, pct, rnd, week_key, rnd_div, rnd_pct
+from cohortlab.functions.expr import div, from_cents, rnd, rnd_pct, week_key
 from cohortlab.functions.stats import normal_p_udf, significance_label, student_t_p_udf, z_verdict
 from cohortlab.plans.facts import user_bookings
 from cohortlab.plans.scale import with_scalars

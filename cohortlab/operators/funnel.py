@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import flag, pct, rnd, rnd_div, rnd_pct
+from cohortlab.functions.expr import flag, pct, pct_expr_sql, rnd, rnd_pct, rnd_sql
 from cohortlab.plans.facts import flag_name, user_event_flags
 from cohortlab.plans.scale import scalars
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy
@@ -43,16 +43,28 @@ def funnel_counts(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_T
     )
 
 
-def _funnel_rows(labels, count_cols, digits):
-    rows = []
-    top = count_cols[0]
-    for i, (label, c) in enumerate(zip(labels, count_cols)):
-        prev = count_cols[i - 1] if i > 0 else None
-        of_prev = pct(c, prev) if prev is not None else F.lit(None).cast("double")
-        drop = pct(prev - c, prev) if prev is not None else F.lit(None).cast("double")
-        r = (lambda x: rnd(x, digits)) if digits is not None else (lambda x: x)
-        rows.append((label, i + 1, c, r(pct(c, top)), r(of_prev), r(drop)))
-    return rows
+def _stages_sql(labels, digits, drop_from_share: bool) -> str:
+    """``inline(array(named_struct(...)))`` over count columns ``n_0 … n_k``:
+    one row per stage with its share of the top stage and of the previous
+    stage, and the drop-off (NULL for the first stage).
+
+    ``drop_from_share`` computes the drop-off as ``100 − share of previous``;
+    otherwise as ``100 · (previous − reached) / previous``."""
+    structs = []
+    for i, label in enumerate(labels):
+        c = f"n_{i}"
+        top = rnd_sql(pct_expr_sql(c, "n_0"), digits)
+        if i == 0:
+            prev = drop = "CAST(NULL AS DOUBLE)"
+        else:
+            p = f"n_{i - 1}"
+            prev = rnd_sql(pct_expr_sql(c, p), digits)
+            drop = rnd_sql("100.0D - " + pct_expr_sql(c, p), digits) if drop_from_share else rnd_sql(pct_expr_sql(f"{p} - {c}", p), digits)
+        structs.append(
+            f"named_struct('stage', '{label}', 'stage_order', {i + 1}, 'users', {c}, "
+            f"'pct_top', {top}, 'pct_prev', {prev}, 'drop_off', {drop})"
+        )
+    return "inline(array(" + ", ".join(structs) + "))"
 
 
 def compute_funnel(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY, digits: int = 1) -> DataFrame:
@@ -60,23 +72,12 @@ def compute_funnel(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_
     drop_off_pct_vs_previous (first stage: NULL for the last two)."""
     names = list(tax.funnel)
     row = scalars(users.agg(F.count(F.lit(1)).alias("n_0")), _stage_counts(events, names))
-    cols = [F.col(f"n_{i}") for i in range(len(names) + 1)]
-    rows = _funnel_rows(list(tax.funnel_labels), cols, digits)
-    return row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(label).alias("stage"),
-                        c.alias("users_reached"),
-                        top.alias("pct_of_top_of_funnel"),
-                        prev.alias("pct_of_previous_stage"),
-                        drop.alias("drop_off_pct_vs_previous"),
-                    )
-                    for label, _, c, top, prev, drop in rows
-                ]
-            )
-        )
+    return row.selectExpr(_stages_sql(list(tax.funnel_labels), digits, drop_from_share=False)).selectExpr(
+        "stage",
+        "users AS users_reached",
+        "pct_top AS pct_of_top_of_funnel",
+        "pct_prev AS pct_of_previous_stage",
+        "drop_off AS drop_off_pct_vs_previous",
     )
 
 
@@ -85,7 +86,8 @@ def funnel_by(users: DataFrame, events: DataFrame, dim: str, tax: Taxonomy = DEF
 
     Per value: users in the segment, and users of the segment that fired each
     funnel event (events are restricted to the segment's users).  Output: dim,
-    stage, users, pct_of_signups, pct_of_previous_stage, drop_off_pct.
+    stage, stage_order, users, pct_of_signups, pct_of_previous_stage,
+    drop_off_pct (= 100 − pct_of_previous_stage, unrounded inputs).
     """
     names = list(tax.funnel)
     flags = user_event_flags(events.filter(F.col("event_name").isin(*names)), names)
@@ -101,25 +103,15 @@ def funnel_by(users: DataFrame, events: DataFrame, dim: str, tax: Taxonomy = DEF
             ],
         )
     )
-    cols = [F.col(f"n_{i}") for i in range(len(names) + 1)]
-    rows = _funnel_rows(list(tax.funnel_labels), cols, digits)
-    return per_dim.select(
-        dim,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(label).alias("stage"),
-                        F.lit(order).alias("stage_order"),
-                        c.alias("users"),
-                        top.alias("pct_of_signups"),
-                        prev.alias("pct_of_previous_stage"),
-                        F.when(prev.isNotNull(), rnd(F.lit(100.0) - pct(c, cols[order - 2]), digits) if digits is not None else F.lit(100.0) - pct(c, cols[order - 2])).alias("drop_off_pct"),
-                    )
-                    for label, order, c, top, prev, _ in rows
-                ]
-            )
-        ),
+    q = "`" + dim.replace("`", "``") + "`"
+    return per_dim.selectExpr(q, _stages_sql(list(tax.funnel_labels), digits, drop_from_share=True)).selectExpr(
+        q,
+        "stage",
+        "stage_order",
+        "users",
+        "pct_top AS pct_of_signups",
+        "pct_prev AS pct_of_previous_stage",
+        "drop_off AS drop_off_pct",
     )
 
 

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import day_offset, flag, pct, rnd, rnd_div, rnd_pct
+from cohortlab.functions.expr import day_offset, flag, rnd, rnd_pct
 from cohortlab.plans.scale import scalars
 from cohortlab.sources.schema import (
     COUNTRIES,

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import div, from_cents, pct, rnd, rnd_div, rnd_pct
+from cohortlab.functions.expr import div, from_cents, rnd, rnd_pct
 from cohortlab.plans.facts import retention_flags, user_bookings
 from cohortlab.plans.scale import exact_ntile, exact_quantiles, scalars, with_scalars
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlab.sources.schema import EVENTS_SCHEMA, EXPERIMENTS_SCHEMA, SCHEMAS, USERS_SCHEMA, Tables
+from cohortlab.sources.schema import EVENTS_SCHEMA, SCHEMAS, USERS_SCHEMA, Tables
 
 TABLES = ("users", "events", "experiments")
 

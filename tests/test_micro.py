@@ -1,7 +1,5 @@
 """Hand-made micro tables with hand-computed answers (one per trap / rule)."""
 
-import datetime as dt
-
 import pytest
 from pyspark.sql import functions as F
 

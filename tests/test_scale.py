@@ -1,6 +1,5 @@
 """Scale-sensitive pieces: exact distributed NTILE and plan shapes."""
 
-import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
