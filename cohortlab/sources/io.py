@@ -20,36 +20,55 @@ from cohortlab.sources.schema import EVENTS_SCHEMA, SCHEMAS, USERS_SCHEMA, Table
 TABLES = ("users", "events", "experiments")
 
 
-def _csv_reader(spark: SparkSession, schema, none_is_null: bool):
-    reader = (
+# Text tokens a pandas CSV reader treats as missing by default.
+PANDAS_MISSING_TOKENS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+
+
+def _csv_reader(spark: SparkSession, schema):
+    return (
         spark.read.schema(schema)
         .option("header", True)
         .option("mode", "FAILFAST")
         .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
         .option("dateFormat", "yyyy-MM-dd")
     )
-    # The literal text "None" is a legal payment method.  ``none_is_null``
-    # reproduces readers that turn it into a missing value.
-    if none_is_null:
-        reader = reader.option("nullValue", "None")
-    return reader
 
 
-def read_csv_table(spark: SparkSession, path: str, name: str, none_is_null: bool = False) -> DataFrame:
+def _missing_to_null(df: DataFrame) -> DataFrame:
+    """Text columns: pandas' default missing tokens (including ``"None"``) → NULL."""
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.StringType):
+            c = F.when(c.isin(*PANDAS_MISSING_TOKENS), F.lit(None).cast("string")).otherwise(c)
+        out.append(c.alias(f.name))
+    return df.select(*out)
+
+
+def read_csv_table(spark: SparkSession, path: str, name: str, none_is_null: bool = True) -> DataFrame:
+    """Read one canonical table from CSV with its explicit schema.
+
+    The source system loads its CSVs with pandas, which turns the text
+    ``"None"`` (a legal payment method) and its other default missing-value
+    tokens into NULL; ``none_is_null=True`` (default) reproduces that, and
+    ``False`` keeps the literal text."""
     schema = SCHEMAS[name]
     if name == "experiments":
         # converted arrives as True/False text (or 0/1); parse as string first.
         raw_schema = T.StructType(
             [f if f.name != "converted" else T.StructField("converted", T.StringType(), True) for f in schema.fields]
         )
-        df = _csv_reader(spark, raw_schema, none_is_null).csv(path)
-        return df.withColumn(
-            "converted", F.lower(F.col("converted")).isin("true", "1", "1.0")
-        )
-    return _csv_reader(spark, schema, none_is_null).csv(path)
+        df = _csv_reader(spark, raw_schema).csv(path)
+        df = df.withColumn("converted", F.lower(F.col("converted")).isin("true", "1", "1.0"))
+    else:
+        df = _csv_reader(spark, schema).csv(path)
+    return _missing_to_null(df) if none_is_null else df
 
 
-def load_tables(spark: SparkSession, data_dir: str, fmt: str = "parquet", none_is_null: bool = False) -> Tables:
+def load_tables(spark: SparkSession, data_dir: str, fmt: str = "parquet", none_is_null: bool = True) -> Tables:
     """Load users / events / experiments from ``data_dir`` (parquet or csv)."""
     out = {}
     for name in TABLES:
@@ -77,7 +96,7 @@ def write_table(df: DataFrame, path: str, name: str) -> dict:
     return {name: obs.get.get("rows", 0)}
 
 
-def ingest_csv(spark: SparkSession, csv_dir: str, out_dir: str, none_is_null: bool = False) -> dict:
+def ingest_csv(spark: SparkSession, csv_dir: str, out_dir: str, none_is_null: bool = True) -> dict:
     """Bulk-load the three CSV files into typed Parquet tables (drop and recreate)."""
     counts = {}
     for name in TABLES:
