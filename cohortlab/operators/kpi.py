@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.functions.expr import div, flag, from_cents, month_key, pct, rnd, week_key, day_offset, rnd_div, rnd_pct
-from cohortlab.plans.facts import user_activity, user_bookings
+from cohortlab.plans.facts import user_activity, user_bookings, user_day_facts
 from cohortlab.plans.scale import scalars, with_scalars
 from cohortlab.sources.schema import ACTIVATION_WINDOW_DAYS, CHURN_INACTIVITY_DAYS, DEFAULT_TAXONOMY, Taxonomy
 
@@ -235,17 +235,64 @@ def revenue_by(users: DataFrame, events: DataFrame, dim: str, tax: Taxonomy = DE
     )
 
 
+def _executive_row(users: DataFrame, events: DataFrame, window: int, tax: Taxonomy, day: int | None = None) -> DataFrame:
+    """One row with every executive figure, from a single linear plan:
+
+    events → (user, day) facts → ⟕ users → per-user flags → rows per last
+    activity date → one global row.  Events are scanned once; the
+    per-last-date frame has at most one row per calendar day, and the final
+    row keeps that (date, users) histogram so churn for any inactivity
+    threshold is read off it without another pass.
+    """
+    facts = user_day_facts(events, tax)
+    joined = facts.join(users.select("user_id", "signup_date"), "user_id", "left")
+    off = day_offset("event_date", "signup_date")
+    in_window = off.between(0, window)
+    per_user = joined.groupBy("user_id").agg(
+        F.max("did_booking").alias("_paid"),
+        F.sum("revenue_cents").alias("_cents"),
+        F.sum("revenue_rows").alias("_rows"),
+        F.max(F.when(in_window, F.col("did_search"))).alias("_s"),
+        F.max(F.when(in_window, F.col("did_booking"))).alias("_b"),
+        (F.max(flag(off == day)) if day is not None else F.lit(0)).alias("_ret"),
+        F.max("event_date").alias("_last"),
+    )
+    by_last = per_user.groupBy("_last").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum("_paid").alias("_paid"),
+        F.sum(F.when(F.col("_paid") == 1, F.col("_cents"))).alias("_cents"),
+        F.sum("_rows").alias("_rows"),
+        F.count_if((F.col("_s") == 1) & (F.col("_b") == 1)).alias("_act"),
+        F.sum("_ret").alias("_ret"),
+    )
+    return by_last.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("_active"),
+        F.coalesce(F.sum("_paid"), F.lit(0)).cast("long").alias("_payers"),
+        F.sum("_cents").alias("_rev"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("_rev_rows"),
+        F.coalesce(F.sum("_act"), F.lit(0)).cast("long").alias("_activated"),
+        F.coalesce(F.sum("_ret"), F.lit(0)).cast("long").alias("_ret"),
+        F.max("_last").alias("_end"),
+        F.collect_list(F.struct(F.col("_last").alias("d"), F.col("_n").alias("n"))).alias("_by_last"),
+    )
+
+
+def _churned(inactive: int):
+    """Users whose last activity is ≥ ``inactive`` days before the last date,
+    read from the per-last-date histogram of :func:`_executive_row`."""
+    late = F.filter("_by_last", lambda x: F.datediff(F.col("_end"), x["d"]) >= inactive)
+    return F.aggregate(late, F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
+
+
 def exec_kpis(users: DataFrame, events: DataFrame, window: int = ACTIVATION_WINDOW_DAYS, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
     """K16 — single-row executive KPI summary (9 columns)."""
-    active = events.select("user_id").distinct().agg(F.count(F.lit(1)).alias("active_users"))
-    act = activated_users(users, events, window, tax).agg(F.count(F.lit(1)).alias("activated_users"))
-    row = scalars(_total_users(users), active, act, _booking_totals(events, tax))
+    row = scalars(_total_users(users), _executive_row(users, events, window, tax))
     rev = from_cents("_rev")
     return row.select(
         "total_users",
-        "active_users",
-        "activated_users",
-        rnd_pct("activated_users", "total_users", 2).alias("activation_rate_pct"),
+        F.col("_active").alias("active_users"),
+        F.col("_activated").alias("activated_users"),
+        rnd_pct("_activated", "total_users", 2).alias("activation_rate_pct"),
         F.col("_payers").alias("converted_users"),
         rnd_pct("_payers", "total_users", 2).alias("conversion_rate_pct"),
         rnd(rev, 2).alias("total_revenue_eur"),
@@ -257,18 +304,18 @@ def exec_kpis(users: DataFrame, events: DataFrame, window: int = ACTIVATION_WIND
 def churn_counts(events: DataFrame, inactive: int = CHURN_INACTIVITY_DAYS) -> DataFrame:
     """One row: active users and those whose last event is ≥ ``inactive`` days
     before the dataset's last event date."""
-    last = user_activity(events)
-    bound = last.agg(F.max("last_event_date").alias("_end"))
-    return with_scalars(last, bound).agg(
-        F.count(F.lit(1)).alias("_active"),
-        F.count_if(day_offset("_end", "last_event_date") >= inactive).alias("_churned"),
+    by_last = user_activity(events).groupBy("last_event_date").agg(F.count(F.lit(1)).alias("_n"))
+    row = by_last.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("_active"),
+        F.max("last_event_date").alias("_end"),
+        F.collect_list(F.struct(F.col("last_event_date").alias("d"), F.col("_n").alias("n"))).alias("_by_last"),
     )
+    return row.select("_active", _churned(inactive).alias("_churned"))
 
 
 def exec_kpis_churn(users: DataFrame, events: DataFrame, window: int = ACTIVATION_WINDOW_DAYS, inactive: int = CHURN_INACTIVITY_DAYS, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
     """K17 — executive row with churn; the churn denominator is *active* users."""
-    act = activated_users(users, events, window, tax).agg(F.count(F.lit(1)).alias("_activated"))
-    row = scalars(_total_users(users), act, _booking_totals(events, tax), churn_counts(events, inactive))
+    row = scalars(_total_users(users), _executive_row(users, events, window, tax)).withColumn("_churned", _churned(inactive))
     rev = from_cents("_rev")
     return row.select(
         "total_users",
@@ -283,16 +330,13 @@ def exec_kpis_churn(users: DataFrame, events: DataFrame, window: int = ACTIVATIO
 def kpi_tiles(users: DataFrame, events: DataFrame, day: int = 30, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
     """K18 — the six headline tiles: users, revenue (0 dp), ARPU, conversion %
     (1 dp), day-``day`` retention % (1 dp), average booking value."""
-    from cohortlab.plans.facts import retention_flags
-
-    ret = retention_flags(users, events, days=(day,)).agg(F.sum(f"retained_day{day}").alias("_ret"))
-    row = scalars(_total_users(users), _booking_totals(events, tax), _converted_count(events, tax, "_conv"), ret)
+    row = scalars(_total_users(users), _executive_row(users, events, ACTIVATION_WINDOW_DAYS, tax, day=day))
     rev = from_cents("_rev")
     return row.select(
         "total_users",
         rnd(rev, 0).alias("total_revenue_eur"),
         rnd(div(rev, "total_users"), 2).alias("arpu_eur"),
-        rnd_pct("_conv", "total_users", 1).alias("conversion_rate_pct"),
+        rnd_pct("_payers", "total_users", 1).alias("conversion_rate_pct"),
         rnd_pct("_ret", "total_users", 1).alias(f"day{day}_retention_pct"),
         rnd(div(rev, "_rev_rows"), 2).alias("avg_booking_value_eur"),
     )

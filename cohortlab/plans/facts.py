@@ -78,3 +78,24 @@ def retention_flags(users: DataFrame, events: DataFrame, days=(1, 7, 30), keep=(
     return out.select(
         "user_id", *keep, *[F.coalesce(F.col(f"retained_day{d}"), F.lit(0)).alias(f"retained_day{d}") for d in days]
     )
+
+
+def user_day_facts(events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
+    """Per (user, day): event count, search_completed / booking_completed
+    flags, bookings, booking ids, revenue cents and revenue rows.
+
+    One partial+final aggregate over events; executive KPI rows derive every
+    figure (active users, activation, conversion, revenue, churn, day-N
+    retention) from this frame, so Spark plans it once and reuses its
+    exchange — events are scanned once per report."""
+    name = F.col("event_name")
+    booking = name == tax.booking_completed
+    return events.groupBy("user_id", "event_date").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.max(flag(name == tax.search_completed)).alias("did_search"),
+        F.max(flag(booking)).alias("did_booking"),
+        F.count_if(booking).alias("bookings"),
+        F.count(F.when(booking, F.col("event_id"))).alias("booking_ids"),
+        F.sum(F.when(booking, cents("revenue"))).alias("revenue_cents"),
+        F.count(F.when(booking, F.col("revenue"))).alias("revenue_rows"),
+    )

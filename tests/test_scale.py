@@ -136,12 +136,20 @@ def test_fact_rows_are_aggregated_before_shuffle_joins(spark):
 def test_union_branches_become_one_scan(spark, tmp_path):
     """The source SQL scans events once per UNION ALL branch (funnel stages,
     adoption features, revenue rules); here each is a single scan."""
-    from cohortlab.operators import adoption, funnel, quality
+    from cohortlab.operators import adoption, funnel, kpi, quality
     from conftest import D, TS, events_df, users_df
 
     users = users_df(spark, [("U1", D(2024, 1, 1), "Germany", "iOS", "Organic", None, "control", "iOS")])
     events_df(spark, [("E1", "U1", TS(2024, 1, 1), "S1", "search_started", None)]).write.parquet(str(tmp_path / "ev"))
     ev = spark.read.parquet(str(tmp_path / "ev"))
-    for df in (funnel.funnel_counts(users, ev), adoption.adoption(users, ev), quality.revenue_integrity(ev)):
+    # the executive rows replace many scalar subqueries (each a scan in the source SQL)
+    for df in (
+        funnel.funnel_counts(users, ev),
+        adoption.adoption(users, ev),
+        quality.revenue_integrity(ev),
+        kpi.exec_kpis(users, ev),
+        kpi.exec_kpis_churn(users, ev),
+        kpi.kpi_tiles(users, ev),
+    ):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("FileScan parquet") == 1, plan
