@@ -69,15 +69,28 @@ def retention_curve(users: DataFrame, events: DataFrame, max_day: int = 60, digi
 def churn(users: DataFrame, events: DataFrame, inactive: int = CHURN_INACTIVITY_DAYS) -> DataFrame:
     """T4 — total users, churned users (last event ≥ ``inactive`` days before the
     dataset's last event date) and rate; denominator is all users and
-    never-active users do not count as churned."""
+    never-active users do not count as churned.
+
+    One events scan, one linear plan: per-user last dates ⟗ users, counted
+    per (last date, known user) — at most two rows per calendar day — and the
+    dataset's last date and the churned count are read off that histogram
+    (orphan users' dates still move the dataset's last date)."""
     last = user_activity(events).select("user_id", "last_event_date")
-    bound = events.agg(F.max("event_date").alias("_end"))
-    per_user = users.select("user_id").join(last, "user_id", "left")
-    agg = with_scalars(per_user, bound).agg(
-        F.count(F.lit(1)).alias("total_users"),
-        F.count_if(day_offset("_end", "last_event_date") >= inactive).alias("churned_users"),
+    known = users.select("user_id").withColumn("_u", F.lit(1))
+    hist = last.join(known, "user_id", "full_outer").groupBy("last_event_date", "_u").agg(F.count(F.lit(1)).alias("_n"))
+    row = hist.agg(
+        F.coalesce(F.sum(F.when(F.col("_u") == 1, F.col("_n"))), F.lit(0)).cast("long").alias("total_users"),
+        F.max("last_event_date").alias("_end"),
+        F.collect_list(F.struct(F.col("last_event_date").alias("d"), F.col("_u").alias("u"), F.col("_n").alias("n"))).alias("_h"),
+    )
+    churned = F.aggregate(
+        F.filter("_h", lambda x: (x["u"] == 1) & (F.datediff(F.col("_end"), x["d"]) >= inactive)),
+        F.lit(0).cast("long"),
+        lambda acc, x: acc + x["n"],
+    )
+    return row.select("total_users", churned.alias("churned_users")).select(
+        "total_users", "churned_users", rnd_pct("churned_users", "total_users", 1).alias("churn_rate_pct")
     )
-    return agg.select("total_users", "churned_users", rnd_pct("churned_users", "total_users", 1).alias("churn_rate_pct"))
 
 
 def _cohorts(users: DataFrame) -> DataFrame:
