@@ -238,7 +238,13 @@ def mean_ci(experiments: DataFrame, events: DataFrame, value: str = "cents", z:
 
 def time_to_conversion(experiments: DataFrame) -> DataFrame:
     """X10 — per group over converted units: count, mean and exact median of
-    days_to_conversion (1 dp)."""
+    days_to_conversion (1 dp).
+
+    Spark's exact ``median`` keeps one counter per distinct value of the
+    group; days between two dates of the observed span are a bounded domain
+    (a few thousand values at most), so its state stays small however many
+    units convert.  Wide-domain quantiles use
+    :func:`cohortlab.plans.scale.exact_quantiles` instead."""
     conv = experiments.filter(F.col("converted"))
     return conv.groupBy("experiment_group").agg(
         F.count(F.lit(1)).alias("converted_users"),
