@@ -248,20 +248,32 @@ def domain_violations(tables: dict, checks=None, nulls_are_invalid: bool = False
     """DQ11 — column_checked, invalid_value, row_count for values outside the
     allowed set.  With ``nulls_are_invalid`` a NULL counts as an invalid value
     unless the rule drops nulls; otherwise NULLs are never reported (SQL
-    ``NOT IN`` semantics)."""
+    ``NOT IN`` semantics).
+
+    One scan per table for all of its rules: every row emits only its
+    violating (column, value) pairs — an array filtered in place, normally
+    empty — which one aggregate then counts."""
     checks = SQL_DOMAIN_CHECKS if checks is None else checks
-    frames = []
+    by_table: dict = {}
     for chk in checks:
-        c = F.col(chk.column)
-        bad = ~c.isin(*chk.allowed)
-        if nulls_are_invalid and not chk.drop_nulls:
-            bad = bad | c.isNull()
+        by_table.setdefault(chk.table, []).append(chk)
+    frames = []
+    for table, rules in by_table.items():
+        items = []
+        for chk in rules:
+            c = F.col(chk.column)
+            bad = ~c.isin(*chk.allowed)
+            if nulls_are_invalid and not chk.drop_nulls:
+                bad = bad | c.isNull()
+            items.append(
+                F.when(bad, F.struct(F.lit(f"{chk.table}.{chk.column}").alias("column_checked"), c.cast("string").alias("invalid_value")))
+            )
+        found = F.filter(F.array(*items), lambda x: x.isNotNull())
         frames.append(
-            tables[chk.table]
-            .filter(bad)
-            .groupBy(c.alias("invalid_value"))
+            tables[table]
+            .select(F.explode(found).alias("_v"))
+            .groupBy(F.col("_v.column_checked").alias("column_checked"), F.col("_v.invalid_value").alias("invalid_value"))
             .agg(F.count(F.lit(1)).alias("row_count"))
-            .select(F.lit(f"{chk.table}.{chk.column}").alias("column_checked"), F.col("invalid_value").cast("string"), "row_count")
         )
     return _union(frames)
 
