@@ -11,22 +11,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import rnd, rnd_pct
-from cohortlab.plans.facts import flag_name, retention_flags, user_event_flags
+from cohortlab.functions.expr import day_offset, flag, rnd, rnd_pct
+from cohortlab.plans.facts import flag_name, user_event_flags
 from cohortlab.plans.scale import with_scalars
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy
 
 
 def _user_flags(users: DataFrame, events: DataFrame, names, days=()) -> DataFrame:
-    """users ⟕ per-user event flags (0-filled) ⟕ day-N retention flags."""
-    ev = events.filter(F.col("event_name").isin(*names))
-    flags = user_event_flags(ev, names)
-    base = users.select("user_id").join(flags, "user_id", "left").select(
-        "user_id", *[F.coalesce(F.col(flag_name(n)), F.lit(0)).alias(flag_name(n)) for n in names]
+    """One row per user: ``has_<name>`` flags (0-filled) and, for ``days``,
+    ``retained_day<N>`` flags.
+
+    Without ``days`` only the named events are read.  With ``days`` both kinds
+    of flag come from one (user, day) aggregate of events joined to users —
+    a single events scan, and at most one row per active day per user reaches
+    the join."""
+    if not days:
+        flags = user_event_flags(events.filter(F.col("event_name").isin(*names)), names)
+        return users.select("user_id").join(flags, "user_id", "left").select(
+            "user_id", *[F.coalesce(F.col(flag_name(n)), F.lit(0)).alias(flag_name(n)) for n in names]
+        )
+    name = F.col("event_name")
+    per_day = events.groupBy("user_id", "event_date").agg(
+        *[F.max(flag(name == n)).alias(flag_name(n)) for n in names]
+    )
+    joined = users.select("user_id", "signup_date").join(per_day, "user_id", "left")
+    off = day_offset("event_date", "signup_date")
+    return joined.groupBy("user_id").agg(
+        *[F.coalesce(F.max(flag_name(n)), F.lit(0)).alias(flag_name(n)) for n in names],
+        *[F.max(flag(off == d)).alias(f"retained_day{d}") for d in days],
     )
-    if days:
-        base = base.join(retention_flags(users, events, days).select("user_id", *[f"retained_day{d}" for d in days]), "user_id", "left")
-    return base
 
 
 def adoption(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
