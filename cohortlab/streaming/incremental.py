@@ -69,3 +69,31 @@ def run_to_memory(df: DataFrame, name: str, checkpoint: str, mode: str = "append
     q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return q
+
+
+def abandoned_sessions_stream(events: DataFrame, gap: str = "1 day", lateness: str = "1 day", start: str = "search_started", goal: str = "booking_completed") -> DataFrame:
+    """U5 per session, incrementally: sessions that fired ``start`` but never
+    ``goal``, with the last event reached (latest (event_time, event_id)).
+
+    Events are grouped by ``session_id`` and an event-time ``session_window``
+    (a session closes after ``gap`` without events); the watermark bounds the
+    state and the session row is emitted once it has closed (append mode).
+    Counting the emitted rows per ``last_event_reached`` gives the batch
+    abandonment table for the closed sessions.
+    """
+    name = F.col("event_name")
+    per_session = (
+        events.withWatermark("event_time", lateness)
+        .groupBy("session_id", F.session_window("event_time", gap).alias("w"))
+        .agg(
+            F.max(F.when(name == start, 1).otherwise(0)).alias("_start"),
+            F.max(F.when(name == goal, 1).otherwise(0)).alias("_goal"),
+            F.max_by("event_name", F.struct("event_time", "event_id")).alias("last_event_reached"),
+        )
+    )
+    return per_session.filter((F.col("_start") == 1) & (F.col("_goal") == 0)).select(
+        "session_id",
+        F.col("w.start").alias("session_start"),
+        F.col("w.end").alias("session_end"),
+        "last_event_reached",
+    )
