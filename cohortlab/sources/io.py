@@ -105,6 +105,19 @@ def ingest_csv(spark: SparkSession, csv_dir: str, out_dir: str, none_is_null: bo
     return counts
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str = "user_id", buckets: int | None = None) -> DataFrame:
+    """Store a dimension (normally ``users``) bucketed and sorted by ``key`` as
+    an external table at ``path`` and return it read back.
+
+    Joins of the bucketed table with per-user aggregates then shuffle only the
+    aggregate side: Spark keeps the bucket layout and repartitions the other
+    side to match.  ``buckets`` defaults to ``spark.sql.shuffle.partitions``."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(n, key).sortBy(key).mode("overwrite").option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV sink with a header row (overwrites)."""
     df.write.mode("overwrite").option("header", True).csv(path)

@@ -153,3 +153,26 @@ def test_union_branches_become_one_scan(spark, tmp_path):
     ):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("FileScan parquet") == 1, plan
+
+
+def test_bucketed_users_skip_their_shuffle(spark, tmp_path):
+    from cohortlab.operators import segments
+    from cohortlab.sources.io import write_bucketed
+    from conftest import D, TS, events_df, users_df
+
+    users = users_df(spark, [(f"U{i}", D(2024, 1, 1), "Germany" if i % 2 else "Spain", "iOS", "Organic", None, "control", "iOS") for i in range(20)])
+    ev = events_df(spark, [(f"E{i}", f"U{i % 20}", TS(2024, 1, 1), "S", "booking_completed", 1.0 + i) for i in range(60)])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bucketed = write_bucketed(users, "users_bucketed_test", str(tmp_path / "users"), buckets=4)
+        plain = segments.segment_summary(users, ev, "country")
+        fast = segments.segment_summary(bucketed, ev, "country")
+        assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, fast.collect()))
+
+        def shuffles(df):
+            return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hashpartitioning(user_id")
+
+        assert shuffles(fast) < shuffles(plain)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
