@@ -128,8 +128,3 @@ def week_key(d) -> Column:
 def day_offset(later, earlier) -> Column:
     """Whole days from ``earlier`` to ``later`` (BIGINT)."""
     return F.datediff(col(later), col(earlier)).cast("long")
-
-
-def sum_flag(cond: Column) -> Column:
-    """Number of rows where ``cond`` holds (BIGINT, 0 on empty input)."""
-    return F.coalesce(F.sum(flag(cond)).cast("long"), F.lit(0).cast("long"))

@@ -301,18 +301,6 @@ def exec_kpis(users: DataFrame, events: DataFrame, window: int = ACTIVATION_WIND
     )
 
 
-def churn_counts(events: DataFrame, inactive: int = CHURN_INACTIVITY_DAYS) -> DataFrame:
-    """One row: active users and those whose last event is ≥ ``inactive`` days
-    before the dataset's last event date."""
-    by_last = user_activity(events).groupBy("last_event_date").agg(F.count(F.lit(1)).alias("_n"))
-    row = by_last.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("_active"),
-        F.max("last_event_date").alias("_end"),
-        F.collect_list(F.struct(F.col("last_event_date").alias("d"), F.col("_n").alias("n"))).alias("_by_last"),
-    )
-    return row.select("_active", _churned(inactive).alias("_churned"))
-
-
 def exec_kpis_churn(users: DataFrame, events: DataFrame, window: int = ACTIVATION_WINDOW_DAYS, inactive: int = CHURN_INACTIVITY_DAYS, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
     """K17 — executive row with churn; the churn denominator is *active* users."""
     row = scalars(_total_users(users), _executive_row(users, events, window, tax)).withColumn("_churned", _churned(inactive))

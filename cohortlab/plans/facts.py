@@ -20,11 +20,6 @@ def flag_name(event_name: str) -> str:
     return f"has_{event_name}"
 
 
-def user_days(events: DataFrame) -> DataFrame:
-    """Distinct (user_id, event_date) activity pairs."""
-    return events.select("user_id", "event_date").distinct()
-
-
 def user_event_flags(events: DataFrame, names) -> DataFrame:
     """Per user: ``has_<name>`` 0/1 for each event name (one pass)."""
     return events.groupBy("user_id").agg(

@@ -312,3 +312,11 @@ def test_session_across_midnight(spark):
         ],
     )
     assert rows(funnel.abandonment(ev)) == [("promo_viewed", 1, 100.0)]
+
+
+def test_safe_pct_zero_denominator(spark):
+    from cohortlab.functions.expr import pct, safe_pct
+
+    df = spark.createDataFrame([(1, 4), (3, 0)], "n long, d long")
+    got = [(r.a, r.b) for r in df.select(safe_pct("n", "d").alias("a"), pct("n", "d").alias("b")).collect()]
+    assert got == [(25.0, 25.0), (0.0, None)]
