@@ -75,7 +75,11 @@ def load_tables(spark: SparkSession, data_dir: str, fmt: str = "parquet", none_i
         if fmt == "csv":
             out[name] = read_csv_table(spark, os.path.join(data_dir, f"{name}.csv"), name, none_is_null)
         else:
-            out[name] = spark.read.schema(SCHEMAS[name]).parquet(os.path.join(data_dir, name))
+            schema = SCHEMAS[name]
+            if name == "events":
+                # expose the month partition column so range filters on it prune folders
+                schema = T.StructType(schema.fields + [T.StructField("event_month", T.StringType(), True)])
+            out[name] = spark.read.schema(schema).parquet(os.path.join(data_dir, name))
     return Tables(out["users"], out["events"], out["experiments"])
 
 

@@ -320,3 +320,23 @@ def test_safe_pct_zero_denominator(spark):
     df = spark.createDataFrame([(1, 4), (3, 0)], "n long, d long")
     got = [(r.a, r.b) for r in df.select(safe_pct("n", "d").alias("a"), pct("n", "d").alias("b")).collect()]
     assert got == [(25.0, 25.0), (0.0, None)]
+
+
+def test_write_table_is_idempotent_and_month_partitioned(micro, tmp_path):
+    import os
+
+    from cohortlab.sources.io import load_tables, write_table
+
+    users, events, exp = micro
+    out = str(tmp_path / "tables")
+    for _ in range(2):  # drop-and-recreate: the second run replaces the first
+        counts = {}
+        for name, df in (("users", users), ("events", events), ("experiments", exp)):
+            counts.update(write_table(df, os.path.join(out, name), name))
+    assert counts == {"users": 4, "events": 14, "experiments": 4}
+    assert sorted(p for p in os.listdir(os.path.join(out, "events")) if p.startswith("event_month=")) == ["event_month=2024-01"]
+    t = load_tables(events.sparkSession, out)
+    assert (t.users.count(), t.events.count(), t.experiments.count()) == (4, 14, 4)
+    jan = t.events.filter("event_month = '2024-01'")
+    assert jan.count() == 14
+    assert "PartitionFilters: [isnotnull(event_month" in jan._jdf.queryExecution().executedPlan().toString()
