@@ -388,16 +388,20 @@ def _rows_to_checks(row: DataFrame, table: str, checks: dict) -> DataFrame:
     )
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _null_exceed_count(df: DataFrame, limits: dict, default_max: float):
     """(aggregate columns, expression) counting columns whose null rate exceeds
-    the tolerated maximum — evaluated inside the table's single scan."""
-    aggs = [F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in df.columns]
-    n = F.col("_rows").cast("double")
-    exceed = sum(
-        (F.when(F.coalesce(F.try_divide(F.col(f"_null_{c}").cast("double"), n), F.lit(0.0)) > float(limits.get(c, default_max)), 1).otherwise(0) for c in df.columns),
-        F.lit(0),
-    )
-    return aggs, exceed
+    the tolerated maximum — evaluated inside the table's single scan.  Built
+    as SQL text: one expression per column plus one for the count."""
+    aggs = [F.expr(f"count_if({_q(c)} IS NULL)").alias(f"_null_{c}") for c in df.columns]
+    terms = [
+        f"CASE WHEN coalesce(try_divide(CAST({_q('_null_' + c)} AS DOUBLE), CAST(_rows AS DOUBLE)), 0.0D) > {float(limits.get(c, default_max))!r}D THEN 1 ELSE 0 END"
+        for c in df.columns
+    ]
+    return aggs, F.expr(" + ".join(terms) if terms else "0")
 
 
 def validation_report(users: DataFrame, events: DataFrame, experiments: DataFrame, start: str = START_DATE, end: str = END_DATE, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
