@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import flag, pct, pct_expr_sql, rnd, rnd_pct, rnd_sql
+from cohortlab.functions.expr import flag, pct_expr_sql, rnd_pct, rnd_sql
 from cohortlab.plans.facts import flag_name, user_event_flags
 from cohortlab.plans.scale import scalars
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy

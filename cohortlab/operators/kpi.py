@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import div, flag, from_cents, month_key, pct, rnd, week_key, day_offset, rnd_div, rnd_pct
-from cohortlab.plans.facts import user_activity, user_bookings, user_day_facts
+from cohortlab.functions.expr import day_offset, div, flag, from_cents, month_key, pct, rnd, rnd_div, rnd_pct, week_key
+from cohortlab.plans.facts import user_bookings, user_day_facts
 from cohortlab.plans.scale import scalars, with_scalars
 from cohortlab.sources.schema import ACTIVATION_WINDOW_DAYS, CHURN_INACTIVITY_DAYS, DEFAULT_TAXONOMY, Taxonomy
 

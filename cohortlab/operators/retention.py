@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import cents, day_offset, from_cents, month_index, month_key, pct, rnd, rnd_pct
+from cohortlab.functions.expr import cents, from_cents, month_index, month_key, pct, rnd, rnd_pct
 from cohortlab.plans.facts import retention_flags, user_activity, user_offsets
 from cohortlab.plans.scale import with_scalars
 from cohortlab.sources.schema import CHURN_INACTIVITY_DAYS, DEFAULT_TAXONOMY, RETENTION_CHECKPOINTS_DAYS, Taxonomy
