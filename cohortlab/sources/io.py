@@ -56,15 +56,26 @@ def read_csv_table(spark: SparkSession, path: str, name: str, none_is_null: bool
     tokens into NULL; ``none_is_null=True`` (default) reproduces that, and
     ``False`` keeps the literal text."""
     schema = SCHEMAS[name]
-    if name == "experiments":
-        # converted arrives as True/False text (or 0/1); parse as string first.
-        raw_schema = T.StructType(
-            [f if f.name != "converted" else T.StructField("converted", T.StringType(), True) for f in schema.fields]
-        )
-        df = _csv_reader(spark, raw_schema).csv(path)
-        df = df.withColumn("converted", F.lower(F.col("converted")).isin("true", "1", "1.0"))
-    else:
-        df = _csv_reader(spark, schema).csv(path)
+    # Integer columns with gaps are written by pandas as floats ("12.0");
+    # read them as DOUBLE and cast.  ``converted`` arrives as True/False text.
+    raw_fields = []
+    for f in schema.fields:
+        if f.name == "converted":
+            raw_fields.append(T.StructField(f.name, T.StringType(), True))
+        elif isinstance(f.dataType, (T.IntegerType, T.LongType)):
+            raw_fields.append(T.StructField(f.name, T.DoubleType(), True))
+        else:
+            raw_fields.append(f)
+    df = _csv_reader(spark, T.StructType(raw_fields)).csv(path)
+    cols = []
+    for f in schema.fields:
+        c = F.col(f.name)
+        if f.name == "converted":
+            c = F.lower(c).isin("true", "1", "1.0")
+        elif isinstance(f.dataType, (T.IntegerType, T.LongType)):
+            c = c.cast(f.dataType)
+        cols.append(c.alias(f.name))
+    df = df.select(*cols)
     return _missing_to_null(df) if none_is_null else df
 
 

@@ -242,15 +242,17 @@ def test_csv_ingest_round_trip(spark, tmp_path):
     )
     (src / "experiments.csv").write_text(
         "user_id,experiment_name,experiment_group,exposure_date,converted,conversion_date,days_to_conversion\n"
-        "U1,simplified_booking_flow,control,2024-01-01,True,2024-01-01,0\n"
+        "U1,simplified_booking_flow,control,2024-01-01,True,2024-01-01,3.0\n"
+        "U2,simplified_booking_flow,treatment,2024-01-01,False,,\n"
     )
     counts = ingest_csv(spark, str(src), str(tmp_path / "pq"), none_is_null=False)
-    assert counts == {"users": 1, "events": 1, "experiments": 1}
+    assert counts == {"users": 1, "events": 1, "experiments": 2}
     t = load_tables(spark, str(tmp_path / "pq"))
     ev = t.events.first()
     assert ev["payment_method"] == "None" and ev["revenue"] == 12.5  # literal kept on request
     assert t.users.first()["age_group"] is None
-    assert t.experiments.first()["converted"] is True
+    ex = {r["user_id"]: (r["converted"], r["days_to_conversion"]) for r in t.experiments.collect()}
+    assert ex == {"U1": (True, 3), "U2": (False, None)}  # pandas-style "3.0" integer column
     parity = load_tables(spark, str(src), fmt="csv")  # default: pandas missing tokens → NULL
     assert parity.events.first()["payment_method"] is None
     assert parity.users.first()["age_group"] is None
