@@ -26,7 +26,7 @@ def _user_flags(users: DataFrame, events: DataFrame, names, days=()) -> DataFram
     a single events scan, and at most one row per active day per user reaches
     the join."""
     if not days:
-        flags = user_event_flags(events.filter(F.col("event_name").isin(*names)), names)
+        flags = user_event_flags(events, names)
         return users.select("user_id").join(flags, "user_id", "left").select(
             "user_id", *[F.coalesce(F.col(flag_name(n)), F.lit(0)).alias(flag_name(n)) for n in names]
         )
@@ -45,7 +45,7 @@ def _user_flags(users: DataFrame, events: DataFrame, names, days=()) -> DataFram
 def adoption(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
     """A1 — feature, adopters, adoption_rate_pct (over all users, 1 dp)."""
     features = list(tax.features)
-    flags = user_event_flags(events.filter(F.col("event_name").isin(*features)), features)
+    flags = user_event_flags(events, features)
     counts = flags.agg(*[F.coalesce(F.sum(flag_name(f)), F.lit(0)).cast("long").alias(f) for f in features])
     total = users.agg(F.count(F.lit(1)).alias("_total"))
     rows = counts.unpivot([], features, "feature", "adopters")

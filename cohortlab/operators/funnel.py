@@ -20,7 +20,7 @@ from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy
 
 def _stage_counts(events: DataFrame, names) -> DataFrame:
     """One row: number of distinct users per funnel event (0 on empty input)."""
-    flags = user_event_flags(events.filter(F.col("event_name").isin(*names)), names)
+    flags = user_event_flags(events, names)
     return flags.agg(
         *[F.coalesce(F.sum(flag_name(n)), F.lit(0)).cast("long").alias(f"n_{i}") for i, n in enumerate(names, start=1)]
     )
@@ -90,7 +90,7 @@ def funnel_by(users: DataFrame, events: DataFrame, dim: str, tax: Taxonomy = DEF
     drop_off_pct (= 100 − pct_of_previous_stage, unrounded inputs).
     """
     names = list(tax.funnel)
-    flags = user_event_flags(events.filter(F.col("event_name").isin(*names)), names)
+    flags = user_event_flags(events, names)
     per_dim = (
         users.select("user_id", dim)
         .join(flags, "user_id", "left")
@@ -162,7 +162,7 @@ def step_rates(users: DataFrame, events: DataFrame, dim: str = "acquisition_chan
     """U6 — per segment: signups, searched, booking_started, booked and the
     step-over-step rates (1 dp)."""
     names = [tax.search_started, tax.booking_started, tax.booking_completed]
-    flags = user_event_flags(events.filter(F.col("event_name").isin(*names)), names)
+    flags = user_event_flags(events, names)
     per = (
         users.select("user_id", dim)
         .join(flags, "user_id", "left")

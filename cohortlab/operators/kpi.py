@@ -171,12 +171,7 @@ def activation(users: DataFrame, events: DataFrame, window: int = ACTIVATION_WIN
 
 
 def _converted_count(events: DataFrame, tax: Taxonomy, alias: str = "converted_users") -> DataFrame:
-    return (
-        events.filter(F.col("event_name") == tax.booking_completed)
-        .select("user_id")
-        .distinct()
-        .agg(F.count(F.lit(1)).alias(alias))
-    )
+    return user_bookings(events, tax).agg(F.count(F.lit(1)).alias(alias))
 
 
 def conversion(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
@@ -335,7 +330,7 @@ def conversion_by(users: DataFrame, events: DataFrame, dim: str, tax: Taxonomy =
 
     Best / worst come from ``max_by`` / ``min_by`` over the per-segment rows
     (ties: the larger / smaller segment value wins)."""
-    payers = events.filter(F.col("event_name") == tax.booking_completed).select("user_id").distinct().withColumn("_c", F.lit(1))
+    payers = user_bookings(events, tax).select("user_id").withColumn("_c", F.lit(1))
     per = (
         users.select("user_id", dim)
         .join(payers, "user_id", "left")

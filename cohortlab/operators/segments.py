@@ -66,11 +66,10 @@ def value_tiers(users: DataFrame, events: DataFrame, tiles: int = 3, tax: Taxono
     agg = tiered.groupBy(seg.alias("revenue_segment")).agg(
         F.count(F.lit(1)).alias("users"), F.sum("_cents").alias("_rev"), F.avg(F.col("_cents").cast("double")).alias("_avg")
     )
+    # all booking revenue, orphan users included (per-user sums add up to it)
     totals = scalars(
         users.agg(F.count(F.lit(1)).alias("_users")),
-        events.filter(F.col("event_name") == tax.booking_completed).agg(
-            F.sum(F.round(F.col("revenue") * 100.0).cast("long")).alias("_all")
-        ),
+        user_bookings(events, tax).agg(F.sum("revenue_cents").alias("_all")),
     )
     return with_scalars(agg, totals).select(
         "revenue_segment",

@@ -20,15 +20,28 @@ def flag_name(event_name: str) -> str:
     return f"has_{event_name}"
 
 
+def is_user_facts(df: DataFrame) -> bool:
+    """True for the per-user fact table built by :func:`user_facts`."""
+    return "_user_facts" in df.columns
+
+
 def user_event_flags(events: DataFrame, names) -> DataFrame:
-    """Per user: ``has_<name>`` 0/1 for each event name (one pass)."""
-    return events.groupBy("user_id").agg(
-        *[F.max(flag(F.col("event_name") == n)).alias(flag_name(n)) for n in names]
-    )
+    """Per user: ``has_<name>`` 0/1 for each event name (one pass).
+
+    ``events`` may be raw events (only the named events are read) or the
+    per-user fact table of :func:`user_facts` (its flags are projected)."""
+    if is_user_facts(events):
+        return events.select("user_id", *[flag_name(n) for n in names])
+    ev = events.filter(F.col("event_name").isin(*names))
+    return ev.groupBy("user_id").agg(*[F.max(flag(F.col("event_name") == n)).alias(flag_name(n)) for n in names])
 
 
 def user_bookings(events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
-    """Per paying user: bookings, revenue in cents, bookings with revenue."""
+    """Per paying user: bookings, booking ids, revenue in cents, bookings with
+    revenue.  Accepts raw events or the per-user fact table."""
+    cols = ["bookings", "booking_ids", "revenue_cents", "revenue_rows"]
+    if is_user_facts(events):
+        return events.filter(F.col("bookings") > 0).select("user_id", *cols)
     return (
         events.filter(F.col("event_name") == tax.booking_completed)
         .groupBy("user_id")
@@ -41,6 +54,28 @@ def user_bookings(events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFr
     )
 
 
+def user_facts(events: DataFrame, names=None, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
+    """One row per active user: ``has_<name>`` for every tracked event name,
+    bookings, booking ids, revenue cents and revenue rows — one aggregate
+    over events.  Operators built on :func:`user_event_flags` /
+    :func:`user_bookings` accept this table in place of ``events``, so a job
+    running many per-user reports scans events once (see
+    ``cohortlab.reports``)."""
+    from cohortlab.sources.schema import EVENT_NAMES
+
+    names = list(names or EVENT_NAMES)
+    name = F.col("event_name")
+    booking = name == tax.booking_completed
+    return events.groupBy("user_id").agg(
+        *[F.max(flag(name == n)).alias(flag_name(n)) for n in names],
+        F.count_if(booking).alias("bookings"),
+        F.count(F.when(booking, F.col("event_id"))).alias("booking_ids"),
+        F.sum(F.when(booking, cents("revenue"))).alias("revenue_cents"),
+        F.count(F.when(booking, F.col("revenue"))).alias("revenue_rows"),
+        F.lit(1).alias("_user_facts"),
+    )
+
+
 def user_activity(events: DataFrame) -> DataFrame:
     """Per active user: event count and last event date."""
     return events.groupBy("user_id").agg(

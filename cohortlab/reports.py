@@ -136,16 +136,45 @@ REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
-def run_reports(tables: Tables, output: str, fmt: str = "parquet", names=None) -> dict:
+# Reports whose operators read events only through per-user aggregates
+# (event flags, booking totals): they can run from the shared fact table.
+FACTS_READY = {
+    "kpi_ever_active", "kpi_conversion", "kpi_revenue",
+    "kpi_revenue_by_country", "kpi_revenue_by_platform", "kpi_revenue_by_acquisition_channel",
+    "kpi_conversion_by_channel", "kpi_conversion_by_platform",
+    "funnel_counts", "funnel", "funnel_by_platform", "funnel_by_channel", "funnel_channel_steps",
+    "adoption", "adoption_by_platform", "adoption_impact",
+    "segment_by_country", "segment_by_platform", "segment_by_age_group", "segment_by_acquisition_channel",
+    "segment_value_tiers", "segment_top", "segment_underperforming_channels",
+    "ab_arpu", "ab_revenue_ztest", "ab_revenue_welch", "ab_bookings_welch", "ab_arpu_ci", "ab_bookings_ci",
+}
+
+
+def shared_facts(tables: Tables) -> Tables:
+    """Tables whose ``events`` slot is the per-user fact table, computed once
+    and checkpointed to the shared ``spark.checkpoint.dir`` (one events scan
+    for every report in :data:`FACTS_READY`)."""
+    from cohortlab.plans.facts import user_facts
+    from cohortlab.session import checkpoint_dir
+
+    checkpoint_dir(tables.events.sparkSession)
+    return Tables(tables.users, user_facts(tables.events).checkpoint(eager=True), tables.experiments)
+
+
+def run_reports(tables: Tables, output: str, fmt: str = "parquet", names=None, use_facts: bool = True) -> dict:
     """Compute each report and write it to ``<output>/<name>`` (Parquet or CSV).
 
     Every report is written straight from its distributed plan (no collect);
-    returns {name: output path}."""
+    with ``use_facts`` the per-user reports read the shared fact table
+    instead of scanning events again.  Returns {name: output path}."""
     from cohortlab.sources.io import write_csv
 
+    names = list(names or REPORTS)
+    facts = shared_facts(tables) if use_facts and FACTS_READY.intersection(names) else None
     done = {}
-    for name in names or REPORTS:
-        df = REPORTS[name](tables)
+    for name in names:
+        source = facts if facts is not None and name in FACTS_READY else tables
+        df = REPORTS[name](source)
         path = os.path.join(output, name)
         if fmt == "csv":
             write_csv(df, path)

@@ -34,3 +34,15 @@ def test_every_report_runs_and_writes(spark, tmp_path):
     assert funnel["signup"] == t.users.count()
     csv = run_reports(tables, str(tmp_path / "csv_out"), fmt="csv", names=["kpi_dau"])
     assert spark.read.option("header", True).csv(csv["kpi_dau"]).count() == t.events.select("event_date").distinct().count()
+
+
+def test_fact_table_path_equals_raw_events(spark):
+    from cohortlab.reports import FACTS_READY, REPORTS, shared_facts
+    from cohortlab.sources.testdata import clickstream
+
+    t = clickstream(spark, "/root/testdata/sf0.01")
+    facts = shared_facts(t)
+    for name in sorted(FACTS_READY):
+        raw = sorted(map(tuple, REPORTS[name](t).collect()))
+        fast = sorted(map(tuple, REPORTS[name](facts).collect()))
+        assert raw == fast, name
