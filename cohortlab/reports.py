@@ -150,6 +150,27 @@ FACTS_READY = {
 }
 
 
+# Reports that read events only as (user, day) activity: they can run from
+# the shared distinct user-day table.
+DAYS_READY = {
+    "kpi_dau", "kpi_wau", "kpi_mau", "kpi_stickiness",
+    "retention_flags", "retention", "retention_by_country", "retention_by_platform",
+    "retention_by_acquisition_channel", "retention_curve", "churn",
+    "cohort_retention", "cohort_matrix", "segment_retention_risk",
+}
+
+
+def shared_user_days(tables: Tables) -> Tables:
+    """Tables whose ``events`` slot is the distinct (user_id, event_date)
+    activity, computed once and checkpointed (one events scan for every
+    report in :data:`DAYS_READY`)."""
+    from cohortlab.session import checkpoint_dir
+
+    checkpoint_dir(tables.events.sparkSession)
+    days = tables.events.select("user_id", "event_date").distinct().checkpoint(eager=True)
+    return Tables(tables.users, days, tables.experiments)
+
+
 def shared_facts(tables: Tables) -> Tables:
     """Tables whose ``events`` slot is the per-user fact table, computed once
     and checkpointed to the shared ``spark.checkpoint.dir`` (one events scan
@@ -165,15 +186,21 @@ def run_reports(tables: Tables, output: str, fmt: str = "parquet", names=None, u
     """Compute each report and write it to ``<output>/<name>`` (Parquet or CSV).
 
     Every report is written straight from its distributed plan (no collect);
-    with ``use_facts`` the per-user reports read the shared fact table
-    instead of scanning events again.  Returns {name: output path}."""
+    with ``use_facts`` the per-user reports read the shared per-user fact
+    table and the day-grained ones the shared user-day table, instead of
+    scanning events again.  Returns {name: output path}."""
     from cohortlab.sources.io import write_csv
 
     names = list(names or REPORTS)
     facts = shared_facts(tables) if use_facts and FACTS_READY.intersection(names) else None
+    days = shared_user_days(tables) if use_facts and DAYS_READY.intersection(names) else None
     done = {}
     for name in names:
-        source = facts if facts is not None and name in FACTS_READY else tables
+        source = tables
+        if facts is not None and name in FACTS_READY:
+            source = facts
+        elif days is not None and name in DAYS_READY:
+            source = days
         df = REPORTS[name](source)
         path = os.path.join(output, name)
         if fmt == "csv":

@@ -46,3 +46,15 @@ def test_fact_table_path_equals_raw_events(spark):
         raw = sorted(map(tuple, REPORTS[name](t).collect()))
         fast = sorted(map(tuple, REPORTS[name](facts).collect()))
         assert raw == fast, name
+
+
+def test_user_day_path_equals_raw_events(spark):
+    from cohortlab.reports import DAYS_READY, REPORTS, shared_user_days
+    from cohortlab.sources.testdata import order_history
+
+    t = order_history(spark, "/root/testdata/sf0.01")  # multi-year: months, weeks, churn
+    days = shared_user_days(t)
+    for name in sorted(DAYS_READY):
+        raw = sorted(map(tuple, REPORTS[name](t).collect()))
+        fast = sorted(map(tuple, REPORTS[name](days).collect()))
+        assert raw == fast, name
