@@ -194,3 +194,18 @@ reg("dq13_signup_span", "O", lambda t: dq.date_span(t.users, "signup_date", "sig
 reg("dq13_event_span", "O", lambda t: dq.date_span(t.events, "event_date", "event"), sq.DQ13("events", "event_date", "event"))
 reg("dq14_date_bounds", "E", lambda t: dq.date_bounds(t.users, t.events), sq.DQ14())
 reg("dq18_volume_checks", "E", lambda t: dq.volume_checks(t.users, t.events, t.experiments), sq.DQ18)
+
+# --- same operators fed from the shared fact tables of the report job --------
+from cohortlab.plans.facts import user_facts  # noqa: E402
+
+
+def _days(t):
+    return t.events.select("user_id", "event_date").distinct()
+
+
+reg("u2_funnel_from_user_facts", "E", lambda t: funnel.compute_funnel(t.users, user_facts(t.events)), sf.U2)
+reg("k15_revenue_by_channel_from_user_facts", "E", lambda t: kpi.revenue_by(t.users, user_facts(t.events), "acquisition_channel"), sk.K15("acquisition_channel"))
+reg("s2_value_tiers_from_user_facts", "O", lambda t: seg.value_tiers(t.users, user_facts(t.events)), ss.S2)
+reg("x6_mean_ztest_from_user_facts", "O", lambda t: xp.mean_ztest(t.experiments, user_facts(t.events)), sx.X6)
+reg("t1_retention_from_user_days", "O", lambda t: ret.retention(t.users, _days(t)), sr.T1())
+reg("c2_cohort_retention_from_user_days", "O", lambda t: ret.cohort_retention(t.users, _days(t)), sr.C2)
