@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.functions.expr import day_offset, flag, rnd, rnd_pct
-from cohortlab.plans.facts import flag_name, user_event_flags
+from cohortlab.plans.facts import flag_name, is_user_day_facts, user_event_flags
 from cohortlab.plans.scale import with_scalars
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy
 
@@ -30,10 +30,11 @@ def _user_flags(users: DataFrame, events: DataFrame, names, days=()) -> DataFram
         return users.select("user_id").join(flags, "user_id", "left").select(
             "user_id", *[F.coalesce(F.col(flag_name(n)), F.lit(0)).alias(flag_name(n)) for n in names]
         )
-    name = F.col("event_name")
-    per_day = events.groupBy("user_id", "event_date").agg(
-        *[F.max(flag(name == n)).alias(flag_name(n)) for n in names]
-    )
+    if is_user_day_facts(events):
+        per_day = events.select("user_id", "event_date", *[flag_name(n) for n in names])
+    else:
+        name = F.col("event_name")
+        per_day = events.groupBy("user_id", "event_date").agg(*[F.max(flag(name == n)).alias(flag_name(n)) for n in names])
     joined = users.select("user_id", "signup_date").join(per_day, "user_id", "left")
     off = day_offset("event_date", "signup_date")
     return joined.groupBy("user_id").agg(

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.functions.expr import day_offset, div, flag, from_cents, month_key, pct, rnd, rnd_div, rnd_pct, week_key
-from cohortlab.plans.facts import user_bookings, user_day_facts
+from cohortlab.plans.facts import flag_name, is_user_day_facts, user_bookings, user_day_facts
 from cohortlab.plans.scale import scalars, with_scalars
 from cohortlab.sources.schema import ACTIVATION_WINDOW_DAYS, CHURN_INACTIVITY_DAYS, DEFAULT_TAXONOMY, Taxonomy
 
@@ -148,13 +148,18 @@ def stickiness(events: DataFrame) -> DataFrame:
 def activated_users(users: DataFrame, events: DataFrame, window: int = ACTIVATION_WINDOW_DAYS, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
     """Users with both a search_completed and a booking_completed whose day
     offset from signup is within [0, window].  Events are first reduced to
-    (user, date) flags so the join with users sees one row per active day."""
-    name = F.col("event_name")
-    per_day = (
-        events.filter(name.isin(tax.search_completed, tax.booking_completed))
-        .groupBy("user_id", "event_date")
-        .agg(F.max(flag(name == tax.search_completed)).alias("_s"), F.max(flag(name == tax.booking_completed)).alias("_b"))
-    )
+    (user, date) flags so the join with users sees one row per active day
+    (``events`` may already be the table of :func:`user_day_facts`)."""
+    s_col, b_col = flag_name(tax.search_completed), flag_name(tax.booking_completed)
+    if is_user_day_facts(events):
+        per_day = events.select("user_id", "event_date", F.col(s_col).alias("_s"), F.col(b_col).alias("_b"))
+    else:
+        name = F.col("event_name")
+        per_day = (
+            events.filter(name.isin(tax.search_completed, tax.booking_completed))
+            .groupBy("user_id", "event_date")
+            .agg(F.max(flag(name == tax.search_completed)).alias("_s"), F.max(flag(name == tax.booking_completed)).alias("_b"))
+        )
     joined = per_day.join(users.select("user_id", "signup_date"), "user_id").filter(
         day_offset("event_date", "signup_date").between(0, window)
     )
@@ -244,11 +249,11 @@ def _executive_row(users: DataFrame, events: DataFrame, window: int, tax: Taxono
     off = day_offset("event_date", "signup_date")
     in_window = off.between(0, window)
     per_user = joined.groupBy("user_id").agg(
-        F.max("did_booking").alias("_paid"),
+        F.max(flag_name(tax.booking_completed)).alias("_paid"),
         F.sum("revenue_cents").alias("_cents"),
         F.sum("revenue_rows").alias("_rows"),
-        F.max(F.when(in_window, F.col("did_search"))).alias("_s"),
-        F.max(F.when(in_window, F.col("did_booking"))).alias("_b"),
+        F.max(F.when(in_window, F.col(flag_name(tax.search_completed)))).alias("_s"),
+        F.max(F.when(in_window, F.col(flag_name(tax.booking_completed)))).alias("_b"),
         (F.max(flag(off == day)) if day is not None else F.lit(0)).alias("_ret"),
         F.max("event_date").alias("_last"),
     )

@@ -110,22 +110,32 @@ def retention_flags(users: DataFrame, events: DataFrame, days=(1, 7, 30), keep=(
     )
 
 
-def user_day_facts(events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
-    """Per (user, day): event count, search_completed / booking_completed
-    flags, bookings, booking ids, revenue cents and revenue rows.
-
-    One partial+final aggregate over events; executive KPI rows derive every
-    figure (active users, activation, conversion, revenue, churn, day-N
-    retention) from this frame, so Spark plans it once and reuses its
-    exchange — events are scanned once per report."""
+def is_user_day_facts(df: DataFrame) -> bool:
+    """True for the per-(user, day) fact table built by :func:`user_day_facts`."""
+    return "_user_day_facts" in df.columns
+
+
+def user_day_facts(events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY, names=None) -> DataFrame:
+    """Per (user, day): event count, ``has_<name>`` flags, bookings, booking
+    ids, revenue cents and revenue rows.
+
+    One partial+final aggregate over events (a hot user collapses to one row
+    per active day).  Day-grained operators (activity, retention, cohorts,
+    activation, executive rows, adoption vs retention) accept this table in
+    place of ``events``; an already built table is returned unchanged.
+    ``names`` defaults to the two activation events; the report job builds it
+    with every tracked event name."""
+    if is_user_day_facts(events):
+        return events
+    names = list(names or (tax.search_completed, tax.booking_completed))
     name = F.col("event_name")
     booking = name == tax.booking_completed
     return events.groupBy("user_id", "event_date").agg(
         F.count(F.lit(1)).alias("events"),
-        F.max(flag(name == tax.search_completed)).alias("did_search"),
-        F.max(flag(booking)).alias("did_booking"),
+        *[F.max(flag(name == n)).alias(flag_name(n)) for n in names],
         F.count_if(booking).alias("bookings"),
         F.count(F.when(booking, F.col("event_id"))).alias("booking_ids"),
         F.sum(F.when(booking, cents("revenue"))).alias("revenue_cents"),
         F.count(F.when(booking, F.col("revenue"))).alias("revenue_rows"),
+        F.lit(1).alias("_user_day_facts"),
     )

@@ -150,24 +150,28 @@ FACTS_READY = {
 }
 
 
-# Reports that read events only as (user, day) activity: they can run from
-# the shared distinct user-day table.
+# Reports that read events only at (user, day) grain: they can run from the
+# shared per-(user, day) fact table.
 DAYS_READY = {
     "kpi_dau", "kpi_wau", "kpi_mau", "kpi_stickiness",
     "retention_flags", "retention", "retention_by_country", "retention_by_platform",
     "retention_by_acquisition_channel", "retention_curve", "churn",
     "cohort_retention", "cohort_matrix", "segment_retention_risk",
+    "kpi_activation", "kpi_executive", "kpi_executive_churn", "kpi_tiles",
+    "adoption_effect", "adoption_depth",
 }
 
 
 def shared_user_days(tables: Tables) -> Tables:
-    """Tables whose ``events`` slot is the distinct (user_id, event_date)
-    activity, computed once and checkpointed (one events scan for every
-    report in :data:`DAYS_READY`)."""
+    """Tables whose ``events`` slot is the per-(user, day) fact table with a
+    flag for every tracked event name, computed once and checkpointed (one
+    events scan for every report in :data:`DAYS_READY`)."""
+    from cohortlab.plans.facts import user_day_facts
     from cohortlab.session import checkpoint_dir
+    from cohortlab.sources.schema import EVENT_NAMES
 
     checkpoint_dir(tables.events.sparkSession)
-    days = tables.events.select("user_id", "event_date").distinct().checkpoint(eager=True)
+    days = user_day_facts(tables.events, names=EVENT_NAMES).checkpoint(eager=True)
     return Tables(tables.users, days, tables.experiments)
 
 

@@ -209,3 +209,9 @@ reg("s2_value_tiers_from_user_facts", "O", lambda t: seg.value_tiers(t.users, us
 reg("x6_mean_ztest_from_user_facts", "O", lambda t: xp.mean_ztest(t.experiments, user_facts(t.events)), sx.X6)
 reg("t1_retention_from_user_days", "O", lambda t: ret.retention(t.users, _days(t)), sr.T1())
 reg("c2_cohort_retention_from_user_days", "O", lambda t: ret.cohort_retention(t.users, _days(t)), sr.C2)
+
+from cohortlab.plans.facts import user_day_facts  # noqa: E402
+from cohortlab.sources.schema import EVENT_NAMES  # noqa: E402
+
+reg("k16_exec_kpis_from_user_day_facts", "E", lambda t: kpi.exec_kpis(t.users, user_day_facts(t.events, names=EVENT_NAMES)), sk.K16)
+reg("a2_adoption_effect_from_user_day_facts", "E", lambda t: adoption.adoption_effect(t.users, user_day_facts(t.events, names=EVENT_NAMES), days=(7, 14)), sa.A2((7, 14)))

@@ -48,11 +48,15 @@ def test_fact_table_path_equals_raw_events(spark):
         assert raw == fast, name
 
 
-def test_user_day_path_equals_raw_events(spark):
+import pytest
+
+
+@pytest.mark.parametrize("binding", ["E", "O"])  # clickstream (activation) and multi-year orders (months, churn)
+def test_user_day_path_equals_raw_events(spark, binding):
     from cohortlab.reports import DAYS_READY, REPORTS, shared_user_days
-    from cohortlab.sources.testdata import order_history
+    from cohortlab.sources.testdata import BINDINGS
 
-    t = order_history(spark, "/root/testdata/sf0.01")  # multi-year: months, weeks, churn
+    t = BINDINGS[binding](spark, "/root/testdata/sf0.01")
     days = shared_user_days(t)
     for name in sorted(DAYS_READY):
         raw = sorted(map(tuple, REPORTS[name](t).collect()))
