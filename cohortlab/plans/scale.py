@@ -88,10 +88,15 @@ def global_ranks(df: DataFrame, order_cols, group_cols=(), num_ranges: int | Non
         F.sum("_cnt").over(whole).alias("_total"),
         "_first",
     )
-    keys = ["_pid", *groups]
+    n, o = numbered.alias("_n"), offsets.alias("_o")
     if not groups or max_groups is not None:
-        offsets = F.broadcast(offsets)
-    ranked = numbered.join(offsets, keys).withColumn("_rank", F.col("_off") + F.col("_pos") - F.col("_first") + 1)
+        o = F.broadcast(o)
+    # null-safe on the group columns: a NULL group is a group of its own
+    cond = F.col("_n._pid") == F.col("_o._pid")
+    for g in groups:
+        cond = cond & F.col(f"_n.{g}").eqNullSafe(F.col(f"_o.{g}"))
+    ranked = n.join(o, cond).select("_n.*", "_o._off", "_o._total", "_o._first")
+    ranked = ranked.withColumn("_rank", F.col("_off") + F.col("_pos") - F.col("_first") + 1)
     return ranked.drop("_pid", "_pos", "_off", "_first")
 
 

@@ -185,7 +185,9 @@ def test_rank_machinery_edges(spark):
     assert exact_ntile(empty, 3, ["v", "id"]).count() == 0
     one = spark.createDataFrame([(5, 1)], "v long, id long")
     assert [r["tile"] for r in exact_ntile(one, 3, ["v", "id"]).collect()] == [1]
-    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 4.0), ("a", 10.0), ("b", 7.0), ("c", None)], "g string, x double")
-    got = {r["g"]: (r["q0"], r["q1"], r["q2"]) for r in exact_quantiles(df, "x", [0.25, 0.5, 0.75], ["g"], max_groups=3).collect()}
-    # linear interpolation at (n-1)p: a = [1, 2, 4, 10]
-    assert got == {"a": (1.75, 3.0, 5.5), "b": (7.0, 7.0, 7.0)}
+    df = spark.createDataFrame(
+        [("a", 1.0), ("a", 2.0), ("a", 4.0), ("a", 10.0), ("b", 7.0), ("c", None), (None, 3.0), (None, 5.0)], "g string, x double"
+    )
+    got = {r["g"]: (r["q0"], r["q1"], r["q2"]) for r in exact_quantiles(df, "x", [0.25, 0.5, 0.75], ["g"], max_groups=4).collect()}
+    # linear interpolation at (n-1)p: a = [1, 2, 4, 10]; the NULL group is a group too
+    assert got == {"a": (1.75, 3.0, 5.5), "b": (7.0, 7.0, 7.0), None: (3.5, 4.0, 4.5)}
