@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlab.llm import mixing, simhash, url_filter
-from cohortlab.llm.common import n_words, prepare, table
+from cohortlab.llm import decontaminate, html_extract, language_id, line_dedup, mixing, quality_model, quality_rules, simhash, toxicity, url_filter
+from cohortlab.llm.common import id_remainder, n_words, prepare, table
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -36,6 +36,73 @@ FROM parts
 """
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.remove_duplicate_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", F.length("text").alias("kept_chars"), F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
+#: Pairs of lines by the number of words they share; lines of a word set are one class with its first place.
+OP2_SQL = """
+WITH docs AS (
+  SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents
+), lines AS (
+  SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) - 1 AS line_no FROM docs
+), sets AS (
+  SELECT doc_id, line_no, line, list_sort(list_distinct(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+'))) AS toks FROM lines
+), classes AS (
+  SELECT row_number() OVER () AS c, toks, len(toks) AS n, min((doc_id, line_no)) AS first FROM sets WHERE len(toks) > 0 GROUP BY toks
+), tokens AS (
+  SELECT c, n, first, unnest(toks) AS tok FROM classes
+), near AS (
+  SELECT DISTINCT c FROM (
+    SELECT a.c AS c, a.n AS na, b.n AS nb, count(*) AS shared FROM tokens a JOIN tokens b
+      ON a.tok = b.tok AND b.first < a.first AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n) GROUP BY a.c, b.c, a.n, b.n
+  ) WHERE 9 * shared >= 4 * (na + nb)
+), judged AS (
+  SELECT s.doc_id, s.line_no, s.line, len(s.toks) > 0 AND (k.first < (s.doc_id, s.line_no) OR k.c IN (SELECT c FROM near)) AS gone
+  FROM sets s LEFT JOIN classes k ON s.toks = k.toks
+), kept AS (
+  SELECT doc_id, count(*)::INT AS n_lines, (count(*) FILTER (gone))::INT AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT coalesce(gone, false)), '') AS text FROM judged GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0)::INT AS n_lines, coalesce(n_removed, 0)::INT AS n_removed, length(text)::INT AS kept_chars, md5(text) AS kept_md5
+FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), id_remainder("doc_id", 4) == 2
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), id_remainder("doc_id", 3) == 1
+    model = language_id.fit(docs, ~held_out)
+    return language_id.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), id_remainder("doc_id", 5) == 0
+    model = quality_model.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return quality_model.score(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "items", "containment", (F.size("items") > 0).alias("contaminated"))
+
+
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_extract.extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -77,5 +144,16 @@ FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
 JOIN units ON d.source IS NOT DISTINCT FROM units.source AND d.k = units.k
 """
 
-QUERIES = {"op1_url_filter": op1_url_filter, "op5_simhash": op5_simhash, "op10_mix_sources": op10_mix_sources}
-SQL = {"op1_url_filter": OP1_SQL, "op10_mix_sources": OP10_SQL}
+QUERIES = {
+    "op1_url_filter": op1_url_filter,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_toxicity": op3_toxicity,
+    "op4_language": op4_language,
+    "op5_simhash": op5_simhash,
+    "op6_quality": op6_quality,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_decontaminate": op8_decontaminate,
+    "op9_main_text": op9_main_text,
+    "op10_mix_sources": op10_mix_sources,
+}
+SQL = {"op1_url_filter": OP1_SQL, "op2_line_dedup": OP2_SQL, "op10_mix_sources": OP10_SQL}
