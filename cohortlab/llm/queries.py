@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cohortlab.llm import decontaminate, html_extract, language_id, line_dedup, mixing, quality_model, quality_rules, simhash, toxicity, url_filter
 from cohortlab.llm.common import id_remainder, n_words, prepare, table
 
@@ -155,5 +156,6 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_main_text": op9_main_text,
     "op10_mix_sources": op10_mix_sources,
+    "pipeline": corpus_pipeline.run,
 }
 SQL = {"op1_url_filter": OP1_SQL, "op2_line_dedup": OP2_SQL, "op10_mix_sources": OP10_SQL}
