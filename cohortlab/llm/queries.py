@@ -94,9 +94,94 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def _class_sql(pattern: str) -> str:
+    return f"(length(t) - length(regexp_replace(t, '{pattern.replace(chr(39), chr(39) * 2)}', '', 'g')))"
+
+
+_CLASS_LIST = ", ".join(map(_class_sql, quality_rules.CLASSES.values()))
+_JS = "sqrt(greatest(0, list_sum([CASE WHEN z[1] > 0 THEN z[1] * log2(2 * z[1] / (z[1] + z[2])) ELSE 0 END + CASE WHEN z[2] > 0 THEN z[2] * log2(2 * z[2] / (z[1] + z[2])) ELSE 0 END FOR z IN list_zip({0}, {1})]) / 2))"
+_COMMON = quality_rules.COMMON_WORDS
+#: Reference '*' is that of all texts; a language has its own from 1,000 words on.
+OP7_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM documents
+), windows AS (
+  SELECT r, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 1, 1))) AS i FROM d WHERE len(w) >= 3)
+), covered AS (
+  SELECT r, count(DISTINCT p) AS n FROM (
+    SELECT r, unnest([i, i + 1, i + 2]) AS p FROM (SELECT *, count(*) OVER (PARTITION BY r, a, b, c) AS k FROM windows) WHERE k > 1
+  ) GROUP BY r
+), classes AS (
+  SELECT r, lang, [{_CLASS_LIST}] AS c, length(t) AS chars FROM d
+), full_classes AS (
+  SELECT r, lang, chars, list_append(c, chars - list_sum(c)) AS c FROM classes
+), word_counts AS (
+  SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(w) AS word FROM d) GROUP BY lang, word
+), langs AS (
+  SELECT lang FROM word_counts WHERE lang IS NOT NULL GROUP BY lang HAVING sum(n) >= {quality_rules.MIN_REFERENCE_WORDS}
+), keyed AS (
+  SELECT r, CASE WHEN lang IN (SELECT lang FROM langs) THEN lang ELSE '*' END AS k FROM d
+), ref_words AS (
+  SELECT k, word, n, row_number() OVER (PARTITION BY k ORDER BY n DESC, word) AS rank, sum(n) OVER (PARTITION BY k) AS total FROM (
+    SELECT lang AS k, word, n FROM word_counts WHERE lang IN (SELECT lang FROM langs)
+    UNION ALL SELECT '*', word, sum(n) FROM word_counts GROUP BY word
+  )
+), ref_common AS (
+  SELECT k, list(word ORDER BY rank) AS ws, list_append(list(n / total ORDER BY rank), (any_value(total) - sum(n)) / any_value(total)) AS q FROM ref_words WHERE rank <= {_COMMON} GROUP BY k
+), ref_classes AS (
+  SELECT k, list(s / total ORDER BY i) AS q FROM (
+    SELECT k, i, s, sum(s) OVER (PARTITION BY k) AS total FROM (
+      SELECT k, i, sum(x) AS s FROM (
+        SELECT lang AS k, unnest(c) AS x, generate_subscripts(c, 1) AS i FROM full_classes WHERE lang IN (SELECT lang FROM langs)
+        UNION ALL SELECT '*', unnest(c), generate_subscripts(c, 1) FROM full_classes
+      ) GROUP BY k, i
+    )
+  ) GROUP BY k
+), drawn AS (
+  SELECT d.r, ws, rc.q AS wq, cl.q AS cq, [len(list_filter(w, lambda x: x = y)) / len(w) FOR y IN ws] AS p
+  FROM d JOIN keyed USING (r) JOIN ref_common rc USING (k) JOIN ref_classes cl USING (k) WHERE len(w) > 0
+), distances AS (
+  SELECT drawn.r, {_JS.format("list_append(p, 1 - list_sum(p))", "wq")} AS word_distance, {_JS.format("[x / chars FOR x IN c]", "cq")} AS class_distance
+  FROM drawn JOIN full_classes f ON drawn.r = f.r
+), base AS (
+  SELECT d.r, doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         (length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')))::BIGINT AS n_symbols,
+         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN covered ON d.r = covered.r
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+         AND (n_words < {quality_rules.MIN_WORDS_FOR_HISTOGRAM} OR (class_distance <= {quality_rules.MAX_CLASS_DISTANCE} AND word_distance <= {quality_rules.MAX_WORD_DISTANCE})) AS kept
+FROM base LEFT JOIN distances ON base.r = distances.r
+"""
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "items", "containment", (F.size("items") > 0).alias("contaminated"))
+    return found.select("doc_id", F.array_join("items", ",").alias("items"), "containment", (F.size("items") > 0).alias("contaminated"))
+
+
+OP8_SQL = f"""
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') AS w FROM benchmark WHERE text IS NOT NULL
+), doc_words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}_]+') AS w FROM documents
+), item_shingles AS (
+  SELECT DISTINCT item_id, w[i : i + 4] AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM item_words WHERE len(w) > 0)
+), doc_shingles AS (
+  SELECT DISTINCT r, w[i : i + 4] AS s FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM doc_words WHERE len(w) > 0)
+), sizes AS (
+  SELECT item_id, count(*) AS n FROM item_shingles GROUP BY item_id
+), shares AS (
+  SELECT r, item_id, count(*) / any_value(n) AS share FROM doc_shingles JOIN item_shingles USING (s) JOIN sizes USING (item_id) GROUP BY r, item_id
+), held AS (
+  SELECT r, string_agg(item_id, ',' ORDER BY item_id) AS items, max(share) AS share FROM shares WHERE share >= {decontaminate.CONTAINMENT} GROUP BY r
+)
+SELECT doc_id, coalesce(items, '') AS items, coalesce(share, 0.0)::DOUBLE AS containment, items IS NOT NULL AS contaminated FROM doc_words LEFT JOIN held ON doc_words.r = held.r
+"""
 
 
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,4 +243,4 @@ QUERIES = {
     "op10_mix_sources": op10_mix_sources,
     "pipeline": corpus_pipeline.run,
 }
-SQL = {"op1_url_filter": OP1_SQL, "op2_line_dedup": OP2_SQL, "op10_mix_sources": OP10_SQL}
+SQL = {"op1_url_filter": OP1_SQL, "op2_line_dedup": OP2_SQL, "op7_quality_rules": OP7_SQL, "op8_decontaminate": OP8_SQL, "op10_mix_sources": OP10_SQL}
