@@ -65,6 +65,16 @@ def id_remainder(doc_id: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def quoted(name: str) -> str:
-    """A column name that may hold dots or back-ticks."""
-    return "`" + name.replace("`", "``") + "`"
+def hide(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns renamed to ``_in0``, ``_in1``, ..., and the new
+    name of each: whatever the caller's columns are called, they can't clash
+    with an operator's own."""
+    names = {c: f"_in{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
+def show(df: DataFrame, names: dict[str, str], *results: str) -> DataFrame:
+    """The caller's columns under their names again, but for those that are
+    called like a result, then the results."""
+    taken = {r.lower() for r in results}
+    return df.select(*[F.col(new).alias(old) for old, new in names.items() if old.lower() not in taken], *results)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import prepare
+from cohortlab.llm.common import hide, prepare, show
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -141,17 +141,19 @@ def contaminated(docs: DataFrame, items: DataFrame, shingle: int = SHINGLE, cont
             cache = _WordHashes()
             return pd.Series([[{"item": i, "share": s} for i, s in index.value.search(t, cache)] for t in texts])
 
-        return search(F.col(text_col))
+        return search(F.col(names[text_col]))
 
     spark = docs.sparkSession
+    docs, names = hide(docs)
     found = [searcher(spark.sparkContext.broadcast(ItemIndex(block, shingle, containment))) for block in _blocks(items, item_id, item_text, max_bytes)]
-    out = docs.drop("items", "containment").withColumn("_found", F.concat(*found))
+    out = docs.withColumn("_found", F.concat(*found))
     best = F.coalesce(F.array_max(F.col("_found.share")), F.lit(0.0))
-    return out.withColumn("items", F.array_sort(F.array_distinct(F.col("_found.item")))).withColumn("containment", best).drop("_found")
+    out = out.withColumns({"items": F.array_sort(F.array_distinct(F.col("_found.item"))), "containment": best})
+    return show(out, names, "items", "containment")
 
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without those that hold an item; columns as given."""
-    kept = contaminated(docs.withColumnsRenamed({c: f"_own_{c}" for c in docs.columns if c in ("items", "containment")}), items, **options)
-    kept = kept.filter(F.size("items") == 0).drop("items", "containment")
-    return kept.withColumnsRenamed({f"_own_{c}": c for c in ("items", "containment")})
+    hidden, names = hide(docs)
+    options["text_col"] = names[options.get("text_col", "text")]
+    return show(contaminated(hidden, items, **options).filter(F.size("items") == 0), names)

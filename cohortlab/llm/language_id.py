@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import prepare, saved
+from cohortlab.llm.common import hide, prepare, saved, show
 
 ORDER = 4
 MAX_GRAMS = 500_000  # distinct (language, gram) rows that a model keeps at most, the most frequent
@@ -197,5 +197,6 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     def predict(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(shared.value.predict(list(texts)), columns=["lang_pred", "score", "rejected"])
 
-    found = docs.drop("lang_pred", "score", "rejected").withColumn("_found", predict(F.col(text_col)))
-    return found.select("*", "_found.*").drop("_found")
+    docs, names = hide(docs)
+    found = docs.withColumn("_found", predict(F.col(names[text_col]))).select("*", "_found.*")
+    return show(found, names, "lang_pred", "score", "rejected")

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import prepare, quoted, saved, words
+from cohortlab.llm.common import hide, prepare, saved, show, words
 
 SIMILARITY = 0.8
 _BUCKETS = 1 << 18  # of word counts
@@ -134,18 +134,19 @@ def remove_duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY, id_c
     rows give no rows.
     """
     prepare(docs.sparkSession)
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    docs, names = hide(docs)
+    own = docs.select(F.col(names[id_col]).alias("id"), F.col(names[text_col]).alias("text"))
     known = saved(duplicate_lines(own, similarity))
     mark = F.xxhash64("text").alias("mark")
     places = _lines(own.select("id", "text", mark), "mark").select("id", "mark", "line_no", "h", F.xxhash64(F.lit(1), "line").alias("check"))
     a, b = places.alias("a"), known.alias("b")
     gone = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.check") == F.col("b.check")) & (F.col("b.near") | _earlier("b", "a")))
     gone = saved(gone.groupBy("a.id", "a.mark").agg(F.sort_array(F.collect_set("a.line_no")).alias("gone")))
-    base = docs.drop("n_lines", "n_removed").withColumn("_mark", F.xxhash64(text_col))
-    gone = gone.select(F.col("id").alias("_gone_id"), F.col("mark").alias("_gone_mark"), "gone")
-    joined = base.join(gone, F.col(id_col).eqNullSafe(F.col("_gone_id")) & (F.col("_mark") == F.col("_gone_mark")), "left")
-    joined = joined.withColumn("_parts", F.split(text_col, "\n")).withColumn("n_lines", F.coalesce(F.size("_parts"), F.lit(0)))
+    text = F.col(names[text_col])
+    same = F.col(names[id_col]).eqNullSafe(F.col("id")) & (F.col("own_mark") == F.col("mark"))
+    joined = docs.withColumn("own_mark", F.xxhash64(text)).join(gone, same, "left")
+    joined = joined.withColumn("parts", F.split(text, "\n")).withColumn("n_lines", F.coalesce(F.size("parts"), F.lit(0)))
     stay = F.array_except(F.sequence(F.lit(0), F.col("n_lines") - 1), F.col("gone"))
-    rebuilt = F.array_join(F.transform(stay, lambda i: F.get("_parts", i)), "\n")
-    out = joined.withColumns({text_col: F.when(F.col("gone").isNull(), F.col(text_col)).otherwise(rebuilt), "n_removed": F.coalesce(F.size("gone"), F.lit(0))})
-    return out.select(*[F.col(quoted(c)) for c in docs.columns if c not in ("n_lines", "n_removed")], "n_lines", "n_removed")
+    rebuilt = F.array_join(F.transform(stay, lambda i: F.get("parts", i)), "\n")
+    out = joined.withColumns({names[text_col]: F.when(F.col("gone").isNull(), text).otherwise(rebuilt), "n_removed": F.coalesce(F.size("gone"), F.lit(0))})
+    return show(out, names, "n_lines", "n_removed")

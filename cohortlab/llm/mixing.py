@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import n_words, prepare, saved
+from cohortlab.llm.common import hide, n_words, prepare, saved, show
 from cohortlab.plans.scale import global_ranks
 
 WEIGHT_CYCLE = (3.0, 1.0, 2.0)
@@ -104,10 +104,11 @@ def with_takes(docs: DataFrame, plan: DataFrame, seed: int = SEED, id_col: str =
     its known size allows, else it splits large sources in the join."""
     p = plan.select(F.col("source").alias("_s"), "source_size", "target", "whole", "last_key")
     p = p.withColumn("_sk", _source_key("_s")).drop("_s")
-    keyed = docs.drop("source_size", "target", "whole", "last_key", "times").withColumn("_sk", _source_key(source_col))
+    docs, names = hide(docs)
+    keyed = docs.withColumn("_sk", _source_key(names[source_col]))
     joined = keyed.join(p, "_sk", "left")
-    extra = F.coalesce((_order_key(id_col, seed) <= F.col("last_key")).cast("long"), F.lit(0))
-    return joined.withColumn("times", F.col("whole") + extra).drop("_sk", "whole", "last_key")
+    extra = F.coalesce((_order_key(names[id_col], seed) <= F.col("last_key")).cast("long"), F.lit(0))
+    return show(joined.withColumn("times", F.col("whole") + extra), names, "source_size", "target", "times")
 
 
 def mix(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
@@ -115,6 +116,9 @@ def mix(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
     ``copy`` (1, 2, ...).  Nulls: a null source is a source of its own, a null
     text has no words, a null id has the key of ''.  Documents without words
     follow their source's rule.  An input column ``copy`` is replaced."""
-    taken = with_takes(docs, mixing_plan(docs, seed, **options), seed).drop("source_size", "target", "copy")
+    plan = mixing_plan(docs, seed, **options)
+    hidden, names = hide(docs)
+    keys = [F.col(names[c]).alias(c) for c in ("doc_id", "source")]
+    taken = with_takes(hidden.select("*", *keys), plan, seed).filter("times > 0")
     copies = F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))
-    return taken.filter("times > 0").select("*", copies.alias("copy")).drop("times")
+    return show(taken.select(*names.values(), copies.alias("copy")), names, "copy")

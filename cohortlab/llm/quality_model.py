@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import prepare, saved, words
+from cohortlab.llm.common import hide, prepare, saved, show, words
 from cohortlab.llm.toxicity import labelled_texts
 
 MAX_LABELLED = 20_000  # labelled rows that a fit uses at most
@@ -165,5 +165,6 @@ def score(docs: DataFrame, model: RuleModel, threshold: float = THRESHOLD, text_
     from ``threshold`` on); input columns of these names are replaced.  Null
     and empty texts are scored by the statistics of an empty text."""
     prepare(docs.sparkSession)
-    scored = with_statistics(docs.drop("score", "predicted", "_stats"), text_col).withColumn("score", model.column())
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int")).drop("_stats")
+    docs, names = hide(docs)
+    scored = with_statistics(docs, names[text_col]).withColumn("score", model.column())
+    return show(scored.withColumn("predicted", (F.col("score") >= threshold).cast("int")), names, "score", "predicted")

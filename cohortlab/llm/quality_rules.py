@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import prepare, quoted, saved, words
+from cohortlab.llm.common import hide, prepare, saved, show, words
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of words in repeated windows
@@ -121,12 +121,14 @@ def judge(docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE, max_w
     """
     spark = prepare(docs.sparkSession)
     made = references(docs, text_col, lang_col)
+    df, names = hide(docs)
+    text_col, lang_col = names[text_col], names[lang_col]
     overall = made[-1]
     rows = [(r["lang"], r["classes"], r["words"], r["common"]) for r in made[:-1]]
     known = spark.createDataFrame(rows, "_lang string, _classes array<double>, _bins map<string,string>, _common array<double>")
     results = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept")
     # at most MAX_LANGUAGES small rows
-    df = docs.drop(*results).withColumn("_key", F.col(lang_col).cast("string")).join(F.broadcast(known), F.col("_key") == F.col("_lang"), "left")
+    df = df.withColumn("_key", F.col(lang_col).cast("string")).join(F.broadcast(known), F.col("_key") == F.col("_lang"), "left")
     df = df.withColumn("_words", words(F.col(text_col)))
     df = df.withColumn("_hashes", window_hashes("_words"))
     whole = F.create_map(*[F.lit(x) for pair in overall["words"].items() for x in pair]) if overall["words"] else F.create_map().cast("map<string,string>")
@@ -151,4 +153,4 @@ def judge(docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE, max_w
     })
     near = (F.col("class_distance") <= max_class_distance) & (F.col("word_distance") <= max_word_distance)
     df = df.withColumn("kept", ~F.col("base_failed") & ((F.col("n_words") < min_histogram) | near))
-    return df.select(*[F.col(quoted(c)) for c in docs.columns if c not in results], *results)
+    return show(df, names, *results)

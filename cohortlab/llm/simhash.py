@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import prepare, saved
+from cohortlab.llm.common import hide, prepare, saved, show
 from cohortlab.llm.graph import component_labels
 
 RADIUS = 3
@@ -176,5 +176,6 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, id_c
     the smallest id (of rows that share that id, one)."""
     found = near_duplicates(docs, radius, shingle, id_col=id_col, text_col=text_col)
     keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(keep, F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi")
-    return kept.dropDuplicates([id_col])
+    docs, names = hide(docs)
+    kept = docs.join(keep, F.col(names[id_col]).eqNullSafe(F.col("_keep")), "left_semi")
+    return show(kept.dropDuplicates([names[id_col]]), names)

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import prepare, saved
+from cohortlab.llm.common import hide, prepare, saved, show
 
 #: Terms that may be swapped for one another, by axis.
 IDENTITY_TERMS = {
@@ -169,5 +169,6 @@ def score(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD, t
     def scorer(texts: pd.Series) -> pd.Series:
         return pd.Series([model.score(t) for t in texts], dtype="float64")
 
-    scored = docs.drop("score", "predicted").withColumn("score", scorer(F.col(text_col)))
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    docs, names = hide(docs)
+    scored = docs.withColumn("score", scorer(F.col(names[text_col])))
+    return show(scored.withColumn("predicted", (F.col("score") >= threshold).cast("int")), names, "score", "predicted")

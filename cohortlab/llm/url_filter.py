@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import LOWER, UPPER, prepare, saved
+from cohortlab.llm.common import LOWER, UPPER, hide, prepare, saved, show
 
 DEFAULT_VERDICT = "allow"
 
@@ -93,7 +93,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
     tables give an empty result (no pages) or the default for all (no rules).
     """
     prepare(pages.sparkSession)
-    judged = pages.drop("host", "path", "rule", "verdict").withColumns({"host": url_host(F.col(url_col)), "path": url_path(F.col(url_col))})
+    pages, names = hide(pages)
+    judged = pages.withColumns({"host": url_host(F.col(names[url_col])), "path": url_path(F.col(names[url_col]))})
     rules = saved(normalised_rules(rules).withColumn("key", host_key(F.col("rule_host"))))
     # first sweep: distinct hosts against rule hosts
     hosts = judged.select("host").distinct().withColumn("key", host_key(F.col("host")))
@@ -112,4 +113,5 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
         F.max(F.struct((F.length("_top.rule_host") + F.length("_top.rule_path")).alias("n"), F.length("_top.rule_host").alias("h"), F.col("_top.rule_host").alias("rule_host"), F.col("_top.rule_path").alias("rule_path"), F.col("_top.verdict").alias("verdict"))).alias("_best")
     )
     best = best.select("host", "path", F.concat("_best.rule_host", "_best.rule_path").alias("rule"), F.col("_best.verdict").alias("verdict"))
-    return judged.join(best, ["host", "path"], "left").withColumn("verdict", F.coalesce("verdict", F.lit(default)))
+    judged = judged.join(best, ["host", "path"], "left").withColumn("verdict", F.coalesce("verdict", F.lit(default)))
+    return show(judged, names, "host", "path", "rule", "verdict")
