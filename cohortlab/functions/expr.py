@@ -6,8 +6,8 @@ independent SQL engine evaluating the same formula gets bit-identical doubles:
 
 * ``rnd``      — round half away from zero via ``floor(|x|*10^k + 0.5)``.
 * ``pct``      — ``100.0 * n / d`` in DOUBLE, NULL when ``d`` is 0.
-* ``money``    — amounts are summed as integer cents (exact and independent
-                 of summation order), then turned back into a DOUBLE.
+* ``amount``   — amounts are summed as decimals, exact to 1e-10 and independent
+                 of summation order; rounding is left to the output.
 """
 
 from __future__ import annotations
@@ -73,6 +73,11 @@ def rnd(x, k: int = 2) -> Column:
     return (F.when(x < 0, -up).otherwise(up) + F.lit(0.0)).cast("double")
 
 
+def shown(x, k: int | None) -> Column:
+    """:func:`rnd` for presentation; the DOUBLE as it is when ``k`` is None."""
+    return col(x).cast("double") if k is None else rnd(x, k)
+
+
 def div(n, d) -> Column:
     """``n / d`` as DOUBLE; NULL when ``d`` is 0 or NULL (no ANSI error)."""
     return F.try_divide(col(n).cast("double"), col(d).cast("double"))
@@ -93,14 +98,14 @@ def flag(cond: Column) -> Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 
-def cents(x) -> Column:
-    """Money amount → integer cents (BIGINT)."""
-    return F.round(col(x).cast("double") * 100.0).cast("long")
+def amount(x) -> Column:
+    """Money amount as DECIMAL(28,10): its sum is DECIMAL(38,10) and exact."""
+    return col(x).cast("decimal(28,10)")
 
 
-def from_cents(c) -> Column:
-    """Integer cents (or a cents sum) → DOUBLE amount."""
-    return col(c).cast("double") / 100.0
+def plain(x) -> Column:
+    """A decimal amount (or a sum of amounts) as DOUBLE."""
+    return col(x).cast("double")
 
 
 def month_key(d) -> Column:

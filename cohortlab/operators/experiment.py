@@ -1,7 +1,7 @@
 """Experiment (A/B test) operators (X1–X13).
 
-All test statistics are computed from per-arm aggregates (count, sums, sums
-of squares, exact medians): one hash aggregate keyed by arm over the
+All test statistics are computed from per-arm aggregates (count, means,
+variances, exact medians): one hash aggregate keyed by arm over the
 experiment table, after per-user revenue has been pre-aggregated from
 events.  The arms are then pivoted into one row with conditional ``max``
 (fixed by the ``control`` / ``treatment`` labels), and the statistics are
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import div, from_cents, rnd, rnd_pct, week_key
+from cohortlab.functions.expr import div, plain, rnd, rnd_pct, shown, week_key
 from cohortlab.functions.stats import normal_p_udf, significance_label, student_t_p_udf, z_verdict
 from cohortlab.plans.facts import user_bookings
 from cohortlab.plans.scale import with_scalars
@@ -86,31 +86,32 @@ def prop_ztest(experiments: DataFrame) -> DataFrame:
     )
 
 
-def two_proportion_ztest(experiments: DataFrame, with_p: bool = True) -> DataFrame:
+def two_proportion_ztest(experiments: DataFrame, with_p: bool = True, digits: int | None = None) -> DataFrame:
     """X5 — z statistic (treatment − control) and its two-tailed p-value,
-    with the p-value significance label (X13)."""
+    with the p-value significance label (X13).  Values are as computed unless
+    ``digits`` asks for rounding."""
     r = _z(_prop_row(experiments))
     out = r.select(
         F.col("conv_c").alias("control_conversions"),
         F.col("n_c").alias("control_n"),
         F.col("conv_t").alias("treatment_conversions"),
         F.col("n_t").alias("treatment_n"),
-        rnd("_z", 6).alias("z_statistic"),
+        shown(F.col("_z"), digits).alias("z_statistic"),
         F.col("_z"),
     )
     if not with_p:
         return out.drop("_z")
     p = normal_p_udf(F.col("_z"))
-    return out.withColumn("p_value", rnd(p, 6)).withColumn("verdict", significance_label(p)).drop("_z")
+    return out.withColumn("p_value", shown(p, digits)).withColumn("verdict", significance_label(p)).drop("_z")
 
 
 def user_revenue(experiments: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
-    """Per experiment unit: group, lifetime revenue cents (0 when none), bookings."""
+    """Per experiment unit: group, lifetime revenue (exact decimal, 0 when none), bookings."""
     per = user_bookings(events, tax)
     return experiments.select("user_id", "experiment_group").join(per, "user_id", "left").select(
         "user_id",
         "experiment_group",
-        F.coalesce("revenue_cents", F.lit(0)).alias("cents"),
+        F.coalesce("revenue", F.lit(0).cast("decimal(38,10)")).alias("revenue"),
         F.coalesce("bookings", F.lit(0)).cast("long").alias("bookings"),
     )
 
@@ -119,13 +120,11 @@ def arm_arpu(experiments: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_
     """X3 — per group: n, revenue, ARPU (2 dp) and ARPU uplift vs control
     computed from the *rounded* ARPUs (1 dp)."""
     ur = user_revenue(experiments, events, tax)
-    agg = ur.groupBy("experiment_group").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("cents").alias("_rev"), F.avg(F.col("cents").cast("double")).alias("_avg")
-    ).select(
+    agg = ur.groupBy("experiment_group").agg(F.count(F.lit(1)).alias("n"), F.sum("revenue").alias("_rev")).select(
         "experiment_group",
         "n",
-        rnd(from_cents("_rev"), 2).alias("total_revenue_eur"),
-        rnd(F.col("_avg") / 100.0, 2).alias("arpu_eur"),
+        rnd(plain("_rev"), 2).alias("total_revenue_eur"),
+        rnd(div("_rev", "n"), 2).alias("arpu_eur"),
     )
     ctrl = agg.agg(F.max(F.when(F.col("experiment_group") == CONTROL, F.col("arpu_eur"))).alias("_ctrl"))
     return with_scalars(agg, ctrl).select(
@@ -138,28 +137,22 @@ def arm_arpu(experiments: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_
 
 
 def _moments(experiments: DataFrame, events: DataFrame, value: str, tax: Taxonomy) -> DataFrame:
-    """Per arm: n, Σx, Σx² with x in exact integer units (cents / bookings)."""
-    ur = user_revenue(experiments, events, tax)
-    x = F.col(value)
-    return ur.groupBy("experiment_group").agg(
+    """Per arm: n, mean, population and sample variance of a per-user value
+    (``revenue`` or ``bookings``); the sample variance of one user is NULL."""
+    x = plain(value)
+    return user_revenue(experiments, events, tax).groupBy("experiment_group").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(x).alias("s1"),
-        F.sum(x.cast("decimal(38,0)") * x.cast("decimal(38,0)")).cast("double").alias("s2"),
+        div(F.sum(value), F.count(F.lit(1))).alias("mean"),
+        F.var_pop(x).alias("var_pop"),
+        F.var_samp(x).alias("var_samp"),
     )
 
 
 def mean_ztest(experiments: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
-    """X6 — two-sample z-test on revenue per unit with population variance
-    ``E[x²] − E[x]²`` per arm (sums kept exact in integer cents)."""
-    row = _pivot(_moments(experiments, events, "cents", tax), ["n", "s1", "s2"])
-    out = []
-    for s in ("c", "t"):
-        n = F.col(f"n_{s}").cast("double")
-        mean = F.col(f"s1_{s}").cast("double") / n / 100.0
-        var = (F.col(f"s2_{s}") / n - (F.col(f"s1_{s}").cast("double") / n) * (F.col(f"s1_{s}").cast("double") / n)) / 10000.0
-        out += [mean.alias(f"mean_{s}"), var.alias(f"var_{s}")]
-    r = row.select("n_c", "n_t", *out)
-    z = F.try_divide(F.col("mean_t") - F.col("mean_c"), F.sqrt(F.col("var_c") / F.col("n_c") + F.col("var_t") / F.col("n_t")))
+    """X6 — two-sample z-test on revenue per unit with the population
+    variance of each arm."""
+    r = _pivot(_moments(experiments, events, "revenue", tax), ["n", "mean", "var_pop"])
+    z = F.try_divide(F.col("mean_t") - F.col("mean_c"), F.sqrt(F.col("var_pop_c") / F.col("n_c") + F.col("var_pop_t") / F.col("n_t")))
     return r.select(
         rnd("mean_c", 2).alias("control_arpu_eur"),
         rnd("mean_t", 2).alias("treatment_arpu_eur"),
@@ -169,39 +162,33 @@ def mean_ztest(experiments: DataFrame, events: DataFrame, tax: Taxonomy = DEFAUL
     )
 
 
-def welch_ttest(experiments: DataFrame, events: DataFrame, value: str = "cents", tax: Taxonomy = DEFAULT_TAXONOMY, with_p: bool = True) -> DataFrame:
+def welch_ttest(experiments: DataFrame, events: DataFrame, value: str = "revenue", tax: Taxonomy = DEFAULT_TAXONOMY, with_p: bool = True, digits: int | None = None) -> DataFrame:
     """X7 — Welch's t-test (sample variances), statistic = treatment − control,
     Welch–Satterthwaite degrees of freedom, two-tailed p-value and label.
-    ``value`` is ``cents`` (revenue per user, reported in EUR) or ``bookings``."""
-    scale = 100.0 if value == "cents" else 1.0
-    row = _pivot(_moments(experiments, events, value, tax), ["n", "s1", "s2"])
-    out = []
-    for s in ("c", "t"):
-        n = F.col(f"n_{s}").cast("double")
-        s1 = F.col(f"s1_{s}").cast("double")
-        var = (F.col(f"s2_{s}") - s1 * s1 / n) / (n - 1.0)
-        out += [(s1 / n / scale).alias(f"mean_{s}"), (var / (scale * scale)).alias(f"var_{s}"), n.alias(f"nn_{s}")]
-    r = row.select(*out)
-    a = F.col("var_c") / F.col("nn_c")
-    b = F.col("var_t") / F.col("nn_t")
+    ``value`` is ``revenue`` (per user, EUR) or ``bookings``.  An arm of one
+    user has no sample variance: the statistic, degrees of freedom and p-value
+    are NULL.  Values are as computed unless ``digits`` asks for rounding."""
+    r = _pivot(_moments(experiments, events, value, tax), ["n", "mean", "var_samp"])
+    a, b = F.try_divide("var_samp_c", "n_c"), F.try_divide("var_samp_t", "n_t")
     t = F.try_divide(F.col("mean_t") - F.col("mean_c"), F.sqrt(a + b))
-    dof = F.try_divide((a + b) * (a + b), a * a / (F.col("nn_c") - 1.0) + b * b / (F.col("nn_t") - 1.0))
-    res = r.select(
-        rnd("mean_c", 4).alias("control_mean"),
-        rnd("mean_t", 4).alias("treatment_mean"),
-        rnd(div(F.lit(100.0) * (F.col("mean_t") - F.col("mean_c")), "mean_c"), 2).alias("relative_uplift_pct"),
-        rnd(t, 4).alias("t_statistic"),
-        rnd(dof, 2).alias("welch_df"),
-        t.alias("_t"),
-        dof.alias("_df"),
+    spread = F.try_divide(a * a, F.col("n_c") - 1) + F.try_divide(b * b, F.col("n_t") - 1)
+    res = r.select("mean_c", "mean_t", t.alias("_t"), F.try_divide((a + b) * (a + b), spread).alias("_df"))
+    res = res.select(
+        shown(F.col("mean_c"), digits).alias("control_mean"),
+        shown(F.col("mean_t"), digits).alias("treatment_mean"),
+        shown(div(F.lit(100.0) * (F.col("mean_t") - F.col("mean_c")), "mean_c"), digits).alias("relative_uplift_pct"),
+        shown(F.col("_t"), digits).alias("t_statistic"),
+        shown(F.col("_df"), digits).alias("welch_df"),
+        "_t",
+        "_df",
     )
     if not with_p:
         return res.drop("_t", "_df")
     p = student_t_p_udf(F.col("_t"), F.col("_df"))
-    return res.withColumn("p_value", rnd(p, 6)).withColumn("verdict", significance_label(p)).drop("_t", "_df")
+    return res.withColumn("p_value", shown(p, digits)).withColumn("verdict", significance_label(p)).drop("_t", "_df")
 
 
-def wald_ci(experiments: DataFrame, z: float = 1.96) -> DataFrame:
+def wald_ci(experiments: DataFrame, z: float = 1.96, digits: int | None = None) -> DataFrame:
     """X8 — per group: conversion rate with an (unclipped) Wald interval, in %."""
     agg = experiments.groupBy("experiment_group").agg(
         F.count(F.lit(1)).alias("n"), F.sum(_conv(experiments)).cast("long").alias("conversions")
@@ -212,27 +199,23 @@ def wald_ci(experiments: DataFrame, z: float = 1.96) -> DataFrame:
         "experiment_group",
         "n",
         "conversions",
-        rnd(p * 100.0, 4).alias("rate"),
-        rnd((p - F.lit(z) * se) * 100.0, 4).alias("ci_low"),
-        rnd((p + F.lit(z) * se) * 100.0, 4).alias("ci_high"),
+        shown(p * 100.0, digits).alias("rate"),
+        shown((p - F.lit(z) * se) * 100.0, digits).alias("ci_low"),
+        shown((p + F.lit(z) * se) * 100.0, digits).alias("ci_high"),
     )
 
 
-def mean_ci(experiments: DataFrame, events: DataFrame, value: str = "cents", z: float = 1.96, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
-    """X9 — per group: mean of revenue per user (``cents`` → EUR) or bookings
-    per user with a normal interval (sample std, ddof = 1)."""
-    scale = 100.0 if value == "cents" else 1.0
+def mean_ci(experiments: DataFrame, events: DataFrame, value: str = "revenue", z: float = 1.96, tax: Taxonomy = DEFAULT_TAXONOMY, digits: int | None = None) -> DataFrame:
+    """X9 — per group: mean of ``revenue`` or ``bookings`` per user with a
+    normal interval (sample std, ddof = 1); NULL bounds for one user."""
     m = _moments(experiments, events, value, tax)
-    n = F.col("n").cast("double")
-    s1 = F.col("s1").cast("double")
-    mean = s1 / n / scale
-    sem = F.sqrt((F.col("s2") - s1 * s1 / n) / (n - 1.0)) / scale / F.sqrt(n)
+    sem = F.sqrt(F.try_divide("var_samp", "n"))
     return m.select(
         "experiment_group",
         F.col("n"),
-        rnd(mean, 4).alias("mean"),
-        rnd(mean - F.lit(z) * sem, 4).alias("ci_low"),
-        rnd(mean + F.lit(z) * sem, 4).alias("ci_high"),
+        shown(F.col("mean"), digits).alias("mean"),
+        shown(F.col("mean") - F.lit(z) * sem, digits).alias("ci_low"),
+        shown(F.col("mean") + F.lit(z) * sem, digits).alias("ci_high"),
     )
 
 

@@ -67,9 +67,14 @@ def _stages_sql(labels, digits, drop_from_share: bool) -> str:
     return "inline(array(" + ", ".join(structs) + "))"
 
 
-def compute_funnel(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY, digits: int = 1) -> DataFrame:
+def compute_funnel(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY, digits: int = 1, subset: DataFrame | None = None) -> DataFrame:
     """U2 — stage, users_reached, pct_of_top_of_funnel, pct_of_previous_stage,
-    drop_off_pct_vs_previous (first stage: NULL for the last two)."""
+    drop_off_pct_vs_previous (first stage: NULL for the last two).
+
+    ``subset`` (a frame with ``user_id``) restricts the funnel to its users."""
+    if subset is not None:
+        chosen = subset.select("user_id")
+        users, events = users.join(chosen, "user_id", "left_semi"), events.join(chosen, "user_id", "left_semi")
     names = list(tax.funnel)
     row = scalars(users.agg(F.count(F.lit(1)).alias("n_0")), _stage_counts(events, names))
     return row.selectExpr(_stages_sql(list(tax.funnel_labels), digits, drop_from_share=False)).selectExpr(
@@ -135,18 +140,21 @@ def attempt_outcomes(events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> Dat
 def abandonment(events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY, start: str | None = None, goal: str | None = None) -> DataFrame:
     """U5 — last event of sessions that fired ``start`` but never ``goal``.
 
-    One hash aggregate per session computes both flags and the last event
-    (``max_by`` on (event_time, event_id), so ties resolve to the larger
-    event_id); no join back to events and no per-session window.  Output:
-    last_event_reached, session_count, pct_of_non_converting_sessions.
+    Events are first reduced to the latest time of each event name in a
+    session (a hash aggregate with a fixed-width buffer); a session is then
+    at most one row per event name, from which both flags and the last event
+    are taken.  Of several events at the last time, the one whose name comes
+    last counts.  Output: last_event_reached, session_count,
+    pct_of_non_converting_sessions.
     """
     start = start or tax.search_started
     goal = goal or tax.booking_completed
     name = F.col("event_name")
-    sessions = events.groupBy("session_id").agg(
+    latest = events.groupBy("session_id", "event_name").agg(F.max("event_time").alias("_t"))
+    sessions = latest.groupBy("session_id").agg(
         F.max(flag(name == start)).alias("_start"),
         F.max(flag(name == goal)).alias("_goal"),
-        F.max_by("event_name", F.struct("event_time", "event_id")).alias("last_event_reached"),
+        F.max(F.struct("_t", "event_name"))["event_name"].alias("last_event_reached"),
     )
     lost = sessions.filter((F.col("_start") == 1) & (F.col("_goal") == 0))
     per_event = lost.groupBy("last_event_reached").agg(F.count(F.lit(1)).alias("session_count"))

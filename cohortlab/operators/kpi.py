@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import day_offset, div, flag, from_cents, month_key, pct, rnd, rnd_div, rnd_pct, week_key
+from cohortlab.functions.expr import amount, day_offset, div, flag, plain, month_key, pct, rnd, rnd_div, rnd_pct, week_key
 from cohortlab.plans.facts import flag_name, is_user_day_facts, user_bookings, user_day_facts
 from cohortlab.plans.scale import scalars, with_scalars
 from cohortlab.sources.schema import ACTIVATION_WINDOW_DAYS, CHURN_INACTIVITY_DAYS, DEFAULT_TAXONOMY, Taxonomy
@@ -35,14 +35,14 @@ def headline(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXONO
     )
     e = events.agg(
         F.count_if(booking).alias("total_bookings"),
-        F.sum(F.when(booking, F.round(F.col("revenue") * 100.0).cast("long"))).alias("_rev"),
+        F.sum(F.when(booking, amount("revenue"))).alias("_rev"),
         F.min("event_date").alias("first_event"),
         F.max("event_date").alias("last_event"),
     )
     return scalars(u, e).select(
         "total_users",
         "total_bookings",
-        rnd(from_cents("_rev"), 2).alias("total_revenue_eur"),
+        rnd(plain("_rev"), 2).alias("total_revenue_eur"),
         "first_signup",
         "last_signup",
         "first_event",
@@ -78,14 +78,14 @@ def booking_trend(events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFr
     b = events.filter(F.col("event_name") == tax.booking_completed)
     agg = b.groupBy(month_key("event_date").alias("month")).agg(
         F.count(F.lit(1)).alias("completed_bookings"),
-        F.sum(F.round(F.col("revenue") * 100.0).cast("long")).alias("_rev"),
+        F.sum(amount("revenue")).alias("_rev"),
         F.count("revenue").alias("_n"),
     )
     return agg.select(
         "month",
         "completed_bookings",
-        rnd(from_cents("_rev"), 2).alias("revenue_eur"),
-        rnd(div(from_cents("_rev"), "_n"), 2).alias("avg_booking_value_eur"),
+        rnd(plain("_rev"), 2).alias("revenue_eur"),
+        rnd(div(plain("_rev"), "_n"), 2).alias("avg_booking_value_eur"),
     )
 
 
@@ -127,17 +127,15 @@ def active_users(events: DataFrame, grain: str = "day", approx: bool = False, rs
 
 
 def stickiness(events: DataFrame) -> DataFrame:
-    """K11 — per month: mean DAU over days with events, MAU, and mean DAU / MAU."""
-    days = events.select("user_id", "event_date").distinct()
-    daily = days.groupBy("event_date").agg(F.count(F.lit(1)).alias("dau"))
-    avg_dau = daily.groupBy(month_key("event_date").alias("month")).agg(F.avg("dau").alias("_avg_dau"))
-    monthly = (
-        days.select(month_key("event_date").alias("month"), "user_id")
-        .distinct()
-        .groupBy("month")
-        .agg(F.count(F.lit(1)).alias("mau"))
+    """K11 — per month: mean DAU over days with events, MAU, and mean DAU / MAU.
+
+    One pass: a user's active days of a month are the bits of one number."""
+    day = F.call_function("shiftleft", F.lit(1).cast("long"), F.dayofmonth("event_date"))
+    masks = events.groupBy(month_key("event_date").alias("month"), "user_id").agg(F.bit_or(day).alias("_days"))
+    per = masks.groupBy("month").agg(
+        F.sum(F.bit_count("_days")).alias("_user_days"), F.bit_count(F.bit_or("_days")).alias("_n_days"), F.count(F.lit(1)).alias("mau")
     )
-    return avg_dau.join(monthly, "month").select(
+    return per.withColumn("_avg_dau", div("_user_days", "_n_days")).select(
         "month",
         rnd("_avg_dau", 1).alias("avg_dau"),
         "mau",
@@ -187,10 +185,10 @@ def conversion(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXO
 
 
 def _booking_totals(events: DataFrame, tax: Taxonomy) -> DataFrame:
-    """One row: bookings, revenue cents, revenue rows, paying users."""
+    """One row: bookings, revenue, revenue rows, paying users."""
     return user_bookings(events, tax).agg(
         F.coalesce(F.sum("bookings"), F.lit(0)).cast("long").alias("_bookings"),
-        F.sum("revenue_cents").alias("_rev"),
+        F.sum("revenue").alias("_rev"),
         F.coalesce(F.sum("revenue_rows"), F.lit(0)).cast("long").alias("_rev_rows"),
         F.count(F.lit(1)).alias("_payers"),
     )
@@ -199,7 +197,7 @@ def _booking_totals(events: DataFrame, tax: Taxonomy) -> DataFrame:
 def revenue_kpis(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
     """K14 — total revenue, ARPU, ARPPU, AOV, bookings per user / per payer."""
     row = scalars(_total_users(users, "_users"), _booking_totals(events, tax))
-    rev = from_cents("_rev")
+    rev = plain("_rev")
     return row.select(
         rnd(rev, 2).alias("total_revenue_eur"),
         rnd(div(rev, "_users"), 2).alias("arpu_eur"),
@@ -220,12 +218,12 @@ def revenue_by(users: DataFrame, events: DataFrame, dim: str, tax: Taxonomy = DE
         .groupBy(dim)
         .agg(
             F.coalesce(F.sum("booking_ids"), F.lit(0)).cast("long").alias("completed_bookings"),
-            F.sum("revenue_cents").alias("_rev"),
+            F.sum("revenue").alias("_rev"),
             F.sum("revenue_rows").alias("_rows"),
             F.count_distinct("user_id").alias("_users"),
         )
     )
-    rev = from_cents("_rev")
+    rev = plain("_rev")
     return agg.select(
         dim,
         "completed_bookings",
@@ -250,7 +248,7 @@ def _executive_row(users: DataFrame, events: DataFrame, window: int, tax: Taxono
     in_window = off.between(0, window)
     per_user = joined.groupBy("user_id").agg(
         F.max(flag_name(tax.booking_completed)).alias("_paid"),
-        F.sum("revenue_cents").alias("_cents"),
+        F.sum("revenue").alias("_amount"),
         F.sum("revenue_rows").alias("_rows"),
         F.max(F.when(in_window, F.col(flag_name(tax.search_completed)))).alias("_s"),
         F.max(F.when(in_window, F.col(flag_name(tax.booking_completed)))).alias("_b"),
@@ -260,7 +258,7 @@ def _executive_row(users: DataFrame, events: DataFrame, window: int, tax: Taxono
     by_last = per_user.groupBy("_last").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum("_paid").alias("_paid"),
-        F.sum(F.when(F.col("_paid") == 1, F.col("_cents"))).alias("_cents"),
+        F.sum(F.when(F.col("_paid") == 1, F.col("_amount"))).alias("_amount"),
         F.sum("_rows").alias("_rows"),
         F.count_if((F.col("_s") == 1) & (F.col("_b") == 1)).alias("_act"),
         F.sum("_ret").alias("_ret"),
@@ -268,7 +266,7 @@ def _executive_row(users: DataFrame, events: DataFrame, window: int, tax: Taxono
     return by_last.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("_active"),
         F.coalesce(F.sum("_paid"), F.lit(0)).cast("long").alias("_payers"),
-        F.sum("_cents").alias("_rev"),
+        F.sum("_amount").alias("_rev"),
         F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("_rev_rows"),
         F.coalesce(F.sum("_act"), F.lit(0)).cast("long").alias("_activated"),
         F.coalesce(F.sum("_ret"), F.lit(0)).cast("long").alias("_ret"),
@@ -287,7 +285,7 @@ def _churned(inactive: int):
 def exec_kpis(users: DataFrame, events: DataFrame, window: int = ACTIVATION_WINDOW_DAYS, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
     """K16 — single-row executive KPI summary (9 columns)."""
     row = scalars(_total_users(users), _executive_row(users, events, window, tax))
-    rev = from_cents("_rev")
+    rev = plain("_rev")
     return row.select(
         "total_users",
         F.col("_active").alias("active_users"),
@@ -304,7 +302,7 @@ def exec_kpis(users: DataFrame, events: DataFrame, window: int = ACTIVATION_WIND
 def exec_kpis_churn(users: DataFrame, events: DataFrame, window: int = ACTIVATION_WINDOW_DAYS, inactive: int = CHURN_INACTIVITY_DAYS, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
     """K17 — executive row with churn; the churn denominator is *active* users."""
     row = scalars(_total_users(users), _executive_row(users, events, window, tax)).withColumn("_churned", _churned(inactive))
-    rev = from_cents("_rev")
+    rev = plain("_rev")
     return row.select(
         "total_users",
         rnd_pct("_activated", "total_users", 1).alias("activation_rate_pct"),
@@ -319,7 +317,7 @@ def kpi_tiles(users: DataFrame, events: DataFrame, day: int = 30, tax: Taxonomy
     """K18 — the six headline tiles: users, revenue (0 dp), ARPU, conversion %
     (1 dp), day-``day`` retention % (1 dp), average booking value."""
     row = scalars(_total_users(users), _executive_row(users, events, ACTIVATION_WINDOW_DAYS, tax, day=day))
-    rev = from_cents("_rev")
+    rev = plain("_rev")
     return row.select(
         "total_users",
         rnd(rev, 0).alias("total_revenue_eur"),
@@ -365,12 +363,21 @@ def mismatch_rate(users: DataFrame, a: str = "platform", b: str = "first_device_
     ).select("total_users", "mismatched_users", rnd_pct("mismatched_users", "total_users", 2).alias("mismatch_pct"))
 
 
-def crosstab(users: DataFrame, row: str, column: str, values, labels=None, normalize: bool = False) -> DataFrame:
-    """K21/K22 — cross-tab counts of ``row`` × ``column`` for the listed
-    ``values`` of ``column`` (+ total); with ``normalize`` the cells are the
-    row-normalised percentage (2 dp) over all of the row's users."""
-    labels = labels or [f"{str(v).lower()}_users" for v in values]
-    cells = [F.sum(flag(F.col(column) == v)).cast("long").alias(lbl) for v, lbl in zip(values, labels)]
+def crosstab(users: DataFrame, row: str, column: str, values=None, labels=None, normalize: bool = False, max_values: int = 1000) -> DataFrame:
+    """K21/K22 — cross-tab counts of ``row`` × ``column`` (+ total); with
+    ``normalize`` the cells are the row-normalised percentage (2 dp) over all
+    of the row's users.
+
+    ``values`` lists the columns of a fixed report (K21).  By default there is
+    a column for every value present, nulls as ``null``; more than
+    ``max_values`` of them are an error, not a cut."""
+    if values is None:
+        found = users.select(column).distinct().limit(max_values + 1).collect()
+        if len(found) > max_values:
+            raise ValueError(f"{column} has more than {max_values} values")
+        values = sorted((r[0] for r in found), key=lambda v: (v is None, str(v)))
+    labels = labels or [f"{'null' if v is None else str(v).lower()}_users" for v in values]
+    cells = [F.sum(flag(F.col(column).eqNullSafe(F.lit(v)))).cast("long").alias(lbl) for v, lbl in zip(values, labels)]
     out = users.groupBy(row).agg(*cells, F.count(F.lit(1)).alias("total_users"))
     if normalize:
         return out.select(row, *[rnd(pct(lbl, "total_users"), 2).alias(lbl.replace("_users", "_pct")) for lbl in labels], "total_users")

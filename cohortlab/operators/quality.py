@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.functions.expr import day_offset, flag, rnd, rnd_pct
-from cohortlab.plans.scale import scalars
+from cohortlab.plans.scale import scalars, staged
 from cohortlab.sources.schema import (
     COUNTRIES,
     DEFAULT_NULL_RATE_MAX,
@@ -86,6 +86,20 @@ def schema_contract(df: DataFrame, table: str) -> list[tuple]:
     return out
 
 
+def schema_report(tables: dict) -> DataFrame:
+    """DQ17 — :func:`schema_contract` of each table as rows, with the number
+    of values (``n_values``, NULL for a missing column) of every required
+    column: one scan per table."""
+    frames = []
+    for name, df in tables.items():
+        found = schema_contract(df, name)
+        contract = df.sparkSession.createDataFrame(found, "table_name string, column_name string, expected string, actual string, status string")
+        present = [c for _, c, _, actual, _ in found if actual is not None]
+        counts = df.agg(*[F.count(F.col(_q(c))).alias(c) for c in present]).unpivot([], present, "column_name", "n_values") if present else None
+        frames.append(contract.join(counts, "column_name", "left").select(*contract.columns, "n_values") if present else contract.withColumn("n_values", F.lit(None).cast("long")))
+    return _union(frames)
+
+
 def _union(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
@@ -113,17 +127,28 @@ def duplicate_keys(tables: dict, keys=(("users", "user_id"), ("events", "event_i
     return _union(frames)
 
 
-def full_row_duplicates(tables: dict) -> DataFrame:
-    """DQ3 — per table: rows, distinct rows and fully duplicated rows."""
+# Key column of each table.
+KEYS = {"users": "user_id", "events": "event_id", "experiments": "user_id"}
+
+
+def full_row_duplicates(tables: dict, keys: dict = KEYS) -> DataFrame:
+    """DQ3 — per table: rows, distinct rows and fully duplicated rows.
+
+    Equal rows share their key, so only rows whose key repeats are compared in
+    full width: the repeated keys are staged, and the rows they select are
+    grouped.  Tables without a known key are grouped as a whole."""
     frames = []
     for name, df in tables.items():
-        per = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-        frames.append(
-            per.agg(
-                F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"),
-                F.count(F.lit(1)).alias("distinct_rows"),
-            ).select(F.lit(name).alias("table_name"), "rows", "distinct_rows", (F.col("rows") - F.col("distinct_rows")).alias("duplicate_rows"))
-        )
+        key = keys.get(name)
+        if key is None:
+            per = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+            row = per.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
+        else:
+            repeated = staged(df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_key"))
+            suspects = df.join(repeated, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+            extra = suspects.groupBy(*df.columns).agg((F.count(F.lit(1)) - 1).alias("_x")).agg(F.coalesce(F.sum("_x"), F.lit(0)).cast("long").alias("duplicate_rows"))
+            row = scalars(df.agg(F.count(F.lit(1)).alias("rows")), extra)
+        frames.append(row.select(F.lit(name).alias("table_name"), "rows", (F.col("rows") - F.col("duplicate_rows")).alias("distinct_rows"), "duplicate_rows"))
     return _union(frames)
 
 
@@ -145,17 +170,17 @@ def orphans(users: DataFrame, children: dict, key: str = "user_id") -> DataFrame
 def events_before_signup(users: DataFrame, events: DataFrame) -> DataFrame:
     """DQ5 — events dated before their user's signup date.
 
-    Violating (user, date) pairs are found on distinct activity days joined
-    to users; only then are the matching events fetched.  The pair set is
-    normally empty or small, so AQE turns the final join into a broadcast and
-    a user with a huge number of events never concentrates in one task."""
+    Violating (user, date) pairs are found on distinct activity days joined to
+    users and staged, so their size is known: normally they are few and are
+    broadcast, and the events stream past them without a shuffle; a large set
+    is sort-merged with skew splitting."""
     bad_days = (
         events.select("user_id", "event_date")
         .distinct()
         .join(users.select("user_id", "signup_date"), "user_id")
         .filter(F.col("event_date") < F.col("signup_date"))
     )
-    return events.select("event_id", "user_id", "event_date").join(bad_days, ["user_id", "event_date"]).select(
+    return events.select("event_id", "user_id", "event_date").join(staged(bad_days), ["user_id", "event_date"]).select(
         "event_id", "user_id", "event_date", "signup_date"
     )
 
@@ -365,26 +390,19 @@ def volume_checks(users: DataFrame, events: DataFrame, experiments: DataFrame, u
     )
 
 
-def _check(table: str, check: str, violations, severity_if_bad: str = "fail") -> DataFrame:
-    return violations.select(
-        F.lit(table).alias("table_name"),
-        F.lit(check).alias("check_name"),
-        F.col("v").cast("long").alias("violations"),
-        F.when(F.col("v") == 0, F.lit("ok")).otherwise(F.lit(severity_if_bad)).alias("severity"),
-    )
-
-
-def _rows_to_checks(row: DataFrame, table: str, checks: dict) -> DataFrame:
-    """One aggregated row with a column per check → (table, check, violations, severity) rows.
-
-    ``checks`` maps check name → severity when violated."""
-    long = row.select(*checks).unpivot([], list(checks), "check_name", "v")
-    sev = F.create_map(*[F.lit(x) for kv in checks.items() for x in kv])
+def _checks(row: DataFrame, table: str, severities: dict) -> DataFrame:
+    """One aggregated row with a column per check → rows of table_name,
+    check_name, violations, severity (of a violated check) and message."""
+    long = row.select(*severities).unpivot([], list(severities), "check_name", "v")
+    sev = F.create_map(*[F.lit(x) for kv in severities.items() for x in kv])
+    bad = F.coalesce(F.col("v"), F.lit(0)) > 0
+    text = F.when(bad, F.format_string("%s: %d rows violate %s", F.lit(table), F.col("v"), F.col("check_name"))).otherwise(F.format_string("%s: %s holds", F.lit(table), F.col("check_name")))
     return long.select(
         F.lit(table).alias("table_name"),
         "check_name",
-        F.col("v").cast("long").alias("violations"),
-        F.when(F.col("v") == 0, F.lit("ok")).otherwise(F.element_at(sev, F.col("check_name"))).alias("severity"),
+        F.coalesce(F.col("v"), F.lit(0)).cast("long").alias("violations"),
+        F.when(bad, F.element_at(sev, F.col("check_name"))).otherwise(F.lit("ok")).alias("severity"),
+        text.alias("message"),
     )
 
 
@@ -392,119 +410,149 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _null_exceed_count(df: DataFrame, limits: dict, default_max: float):
-    """(aggregate columns, expression) counting columns whose null rate exceeds
-    the tolerated maximum — evaluated inside the table's single scan.  Built
-    as SQL text: one expression per column plus one for the count."""
-    aggs = [F.expr(f"count_if({_q(c)} IS NULL)").alias(f"_null_{c}") for c in df.columns]
-    terms = [
-        f"CASE WHEN coalesce(try_divide(CAST({_q('_null_' + c)} AS DOUBLE), CAST(_rows AS DOUBLE)), 0.0D) > {float(limits.get(c, default_max))!r}D THEN 1 ELSE 0 END"
-        for c in df.columns
+def _row_rules(start: str, end: str, tax: Taxonomy) -> list[tuple]:
+    """(table, check, columns, condition of a violating row) of all row rules."""
+    s, e = F.lit(start).cast("date"), F.lit(end).cast("date")
+    rev, nm = F.col("revenue"), F.col("event_name")
+    money = ("revenue", "event_name")
+    rules = [
+        ("events", "negative_revenue", ("revenue",), rev < 0),
+        ("events", "revenue_on_non_completed_booking", money, rev.isNotNull() & (rev > 0) & (nm != tax.booking_completed)),
+        ("events", "completed_booking_missing_revenue", money, (nm == tax.booking_completed) & (rev.isNull() | (rev <= 0))),
+        ("events", "cancelled_or_failed_with_revenue", money, nm.isin(tax.booking_cancelled, tax.payment_failed) & rev.isNotNull() & (rev > 0)),
+        ("events", "event_date_out_of_range", ("event_date",), (F.col("event_date") < s) | (F.col("event_date") > e)),
+        ("users", "signup_date_out_of_range", ("signup_date",), (F.col("signup_date") < s) | (F.col("signup_date") > e)),
     ]
-    return aggs, F.expr(" + ".join(terms) if terms else "0")
+    for chk in default_domain_checks():
+        c = F.col(chk.column)
+        bad = (~c.isin(*chk.allowed)) if chk.drop_nulls else (c.isNull() | ~c.isin(*chk.allowed))
+        rules.append((chk.table, f"domain_{chk.column}", (chk.column,), bad))
+    return rules
+
+
+def _scan_checks(df: DataFrame, name: str, rules: list[tuple]) -> DataFrame:
+    """Row rules, null counts and the signup span of one table in one scan.
+    A column with more nulls than its limit is a warning of its own."""
+    cols = df.columns
+    mine = [(check, cond) for table, check, needs, cond in rules if table == name and set(needs) <= set(cols)]
+    aggs = [F.count(F.lit(1)).alias("_rows"), *[F.count_if(cond).alias(check) for check, cond in mine]]
+    aggs += [F.count_if(F.col(_q(c)).isNull()).alias(f"_null_{c}") for c in cols]
+    severities = {check: "fail" for check, _ in mine}
+    if name == "users" and "signup_date" in cols:
+        aggs.append(F.when(day_offset(F.max("signup_date"), F.min("signup_date")) < 300, 1).otherwise(0).alias("signup_span_below_300_days"))
+        severities["signup_span_below_300_days"] = "warn"
+    row = df.agg(*aggs)
+    cells = [
+        F.struct(
+            F.lit(c).alias("c"),
+            F.col(_q(f"_null_{c}")).alias("n"),
+            F.lit(float(EXPECTED_NULL_RATE_MAX.get(c, DEFAULT_NULL_RATE_MAX))).alias("most"),
+        )
+        for c in cols
+    ]
+    # one row holds both kinds of results, so the table is read once
+    checks = [
+        F.struct(F.lit(k).alias("check_name"), F.col(k).cast("long").alias("n"), F.lit(v).alias("bad"), F.lit(None).cast("double").alias("rate"), F.lit(None).cast("double").alias("most"))
+        for k, v in severities.items()
+    ]
+    rate = lambda x: F.coalesce(F.try_divide(x["n"].cast("double"), F.col("_rows").cast("double")), F.lit(0.0))
+    over = F.filter(F.array(*cells), lambda x: rate(x) > x["most"])
+    nulls = F.transform(
+        over,
+        lambda x: F.struct(F.concat(F.lit("null_rate_"), x["c"]).alias("check_name"), x["n"].cast("long").alias("n"), F.lit("warn").alias("bad"), rate(x).alias("rate"), x["most"].alias("most")),
+    )
+    found = row.select(F.explode(F.concat(F.array(*checks), nulls) if checks else nulls).alias("x")).select("x.*")
+    bad = F.coalesce(F.col("n"), F.lit(0)) > 0
+    said = (
+        F.when(F.col("rate").isNotNull(), F.format_string("%s: %.2f%% of %s are null, at most %.2f%% are expected", F.lit(name), F.col("rate") * 100, F.regexp_replace("check_name", "^null_rate_", ""), F.col("most") * 100))
+        .when(bad, F.format_string("%s: %d rows violate %s", F.lit(name), F.col("n"), F.col("check_name")))
+        .otherwise(F.format_string("%s: %s holds", F.lit(name), F.col("check_name")))
+    )
+    return found.select(
+        F.lit(name).alias("table_name"),
+        "check_name",
+        F.coalesce("n", F.lit(0)).cast("long").alias("violations"),
+        F.when(bad, F.col("bad")).otherwise("ok").alias("severity"),
+        said.alias("message"),
+    )
 
 
 def validation_report(users: DataFrame, events: DataFrame, experiments: DataFrame, start: str = START_DATE, end: str = END_DATE, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
-    """DQ19 — one DataFrame of (table_name, check_name, violations, severity).
+    """DQ19 — rows of (table_name, check_name, violations, severity, message).
 
     Severity is ``ok`` for zero violations, else ``fail`` (``warn`` for the
-    span and null-rate rules).  The schema contract (DQ17) compares column
-    names — metadata, no data pass.
-
-    Scans: each table is read once for all of its row rules, domain rules
-    and per-column null counts; events are additionally aggregated per
-    (user, day) — which yields orphans, events before signup and the set of
-    booked users after one join with users — per event_id (duplicates) and
-    per session (funnel prerequisites).  Every aggregate is partial+final, so
-    a hot user, day or session is collapsed map-side.
+    span and for each column with too many nulls).  The last row (table
+    ``all``, check ``overall``) has the number of failed checks and says
+    PASSED or FAILED with the counts.  The schema contract (DQ17) is read off
+    the schemas; a rule whose column is missing is left out, and the missing
+    column is reported by ``required_columns``.
+
+    Events are read four times: for all row rules and null counts, per
+    (user, day) for every check that involves users, per event_id and per
+    session.  Every aggregate is partial+final, so a hot user, day or session
+    is collapsed map-side; the collected report has a few dozen rows.
     """
+    spark = users.sparkSession
     tables = {"users": users, "events": events, "experiments": experiments}
-    frames = []
-    for name, df in tables.items():
-        broken = sum(1 for row in schema_contract(df, name) if row[-1] != "ok")
-        frames.append(_check(name, "required_columns", df.agg(F.lit(broken).alias("v"))))
 
-    s, e = F.lit(start).cast("date"), F.lit(end).cast("date")
-    rev, nm = F.col("revenue"), F.col("event_name")
-    rules = {
-        "events": {
-            "negative_revenue": rev < 0,
-            "revenue_on_non_completed_booking": rev.isNotNull() & (rev > 0) & (nm != tax.booking_completed),
-            "completed_booking_missing_revenue": (nm == tax.booking_completed) & (rev.isNull() | (rev <= 0)),
-            "cancelled_or_failed_with_revenue": nm.isin(tax.booking_cancelled, tax.payment_failed) & rev.isNotNull() & (rev > 0),
-            "event_date_out_of_range": (F.col("event_date") < s) | (F.col("event_date") > e),
-        },
-        "users": {"signup_date_out_of_range": (F.col("signup_date") < s) | (F.col("signup_date") > e)},
-        "experiments": {},
-    }
-    for chk in default_domain_checks():
-        c = F.col(chk.column)
-        bad = (~c.isin(*chk.allowed)) if chk.drop_nulls else (c.isNull() | ~c.isin(*chk.allowed))
-        rules[chk.table][f"domain_{chk.column}"] = bad
+    def has(table: str, *columns: str) -> bool:
+        return set(columns) <= set(tables[table].columns)
 
-    # one scan per table: row rules + domain rules + null counts (+ signup span)
+    frames = []
     for name, df in tables.items():
-        null_aggs, exceed = _null_exceed_count(df, EXPECTED_NULL_RATE_MAX, DEFAULT_NULL_RATE_MAX)
-        extra = []
-        if name == "users":
-            extra = [F.min("signup_date").alias("_min_signup"), F.max("signup_date").alias("_max_signup")]
-        row = df.agg(
-            F.count(F.lit(1)).alias("_rows"), *[F.count_if(cond).alias(k) for k, cond in rules[name].items()], *null_aggs, *extra
-        ).withColumn("null_rate_above_limit", exceed)
-        checks = {k: "fail" for k in rules[name]}
-        if name == "users":
-            row = row.withColumn(
-                "signup_span_below_300_days", F.when(day_offset("_max_signup", "_min_signup") < 300, 1).otherwise(0)
-            )
-            checks["signup_span_below_300_days"] = "warn"
-        checks["null_rate_above_limit"] = "warn"
-        frames.append(_rows_to_checks(row, name, checks))
+        broken = [(c, status) for _, c, _, _, status in schema_contract(df, name) if status != "ok"]
+        said = f"{name}: " + (", ".join(f"{c} is {status.replace('_', ' ')}" for c, status in broken) or "required_columns holds")
+        frames.append(spark.range(1).select(F.lit(name).alias("table_name"), F.lit("required_columns").alias("check_name"), F.lit(len(broken)).cast("long").alias("violations"), F.lit("fail" if broken else "ok").alias("severity"), F.lit(said).alias("message")))
+    rules = _row_rules(start, end, tax)
+    frames += [_scan_checks(df, name, rules) for name, df in tables.items()]
 
     for name, key in (("users", "user_id"), ("events", "event_id")):
-        dup = tables[name].groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(
-            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("v")
+        if has(name, key):
+            dup = tables[name].groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias(f"duplicate_{key}"))
+            frames.append(_checks(dup, name, {f"duplicate_{key}": "fail"}))
+
+    if has("users", "user_id", "signup_date") and has("events", "user_id", "event_time", "event_name") and has("experiments", "user_id", "converted"):
+        known = users.groupBy("user_id").agg(F.min("signup_date").alias("_signup")).withColumn("_known", F.lit(1))
+        per_day = events.groupBy("user_id", F.to_date("event_time").alias("_d")).agg(
+            F.count(F.lit(1)).alias("_n"), F.max(flag(F.col("event_name") == tax.booking_completed)).alias("_booked")
         )
-        frames.append(_check(name, f"duplicate_{key}", dup))
-
-    # events per (user, day): orphans, events before signup, booked users
-    known = users.groupBy("user_id").agg(F.min("signup_date").alias("_signup"))
-    per_day = events.groupBy("user_id", F.to_date("event_time").alias("_d")).agg(
-        F.count(F.lit(1)).alias("_n"), F.max(flag(nm == tax.booking_completed)).alias("_booked")
-    )
-    matched = per_day.join(known.withColumn("_known", F.lit(1)), "user_id", "left")
-    ev_user = matched.agg(
-        F.coalesce(F.sum(F.when(F.col("_known").isNull(), F.col("_n"))), F.lit(0)).alias("orphan_user_id"),
-        F.coalesce(F.sum(F.when(F.col("_d") < F.col("_signup"), F.col("_n"))), F.lit(0)).alias("event_before_signup"),
-    )
-    frames.append(_rows_to_checks(ev_user, "events", {"orphan_user_id": "fail", "event_before_signup": "fail"}))
-    exp_orphans = (
-        experiments.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
-        .join(known, "user_id", "left_anti")
-        .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("v"))
-    )
-    frames.append(_check("experiments", "orphan_user_id", exp_orphans))
-
-    mism = group_mismatch(users, experiments).agg(F.count(F.lit(1)).alias("v"))
-    frames.append(_check("experiments", "experiment_group_mismatch", mism))
-
-    sp = session_flags(events, tax).agg(
-        F.count_if((F.col("has_booking_completed") == 1) & (F.col("has_booking_started") == 0)).alias(
-            "sessions_booking_completed_without_booking_started"
-        ),
-        F.count_if((F.col("has_booking_started") == 1) & (F.col("has_search_started") == 0)).alias(
-            "sessions_booking_started_without_search_started"
-        ),
-    )
-    frames.append(
-        _rows_to_checks(
-            sp,
-            "events",
-            {"sessions_booking_completed_without_booking_started": "fail", "sessions_booking_started_without_search_started": "fail"},
+        active = per_day.join(known.select("user_id", "_signup"), "user_id", "left").groupBy("user_id").agg(
+            F.sum("_n").alias("_n"), F.sum(F.when(F.col("_d") < F.col("_signup"), F.col("_n"))).alias("_early"), F.max("_booked").alias("_booked")
         )
-    )
-
-    booked = per_day.filter(F.col("_booked") == 1).select("user_id").distinct().withColumn("_b", F.lit(1))
-    flagged = experiments.filter(F.col("converted")).select("user_id").distinct().withColumn("_f", F.lit(1))
-    cc = booked.join(flagged, "user_id", "full_outer").agg(F.count_if(F.col("_b").isNull() | F.col("_f").isNull()).alias("v"))
-    frames.append(_check("experiments", "converted_flag_mismatch", cc))
-    return _union(frames)
+        units = experiments.groupBy("user_id").agg(F.count(F.lit(1)).alias("_units"), F.max(F.col("converted").cast("int")).alias("_flagged"))
+        people = active.join(units, "user_id", "full").join(known.select("user_id", "_known"), "user_id", "left")
+        unknown = F.col("_known").isNull()
+        row = people.agg(
+            F.sum(F.when(unknown, F.col("_n"))).alias("orphan_user_id"),
+            F.sum("_early").alias("event_before_signup"),
+            F.sum(F.when(unknown, F.col("_units"))).alias("_x_orphans"),
+            F.count_if(F.coalesce("_booked", F.lit(0)) != F.coalesce("_flagged", F.lit(0))).alias("converted_flag_mismatch"),
+        )
+        # one row per table, from one pass
+        cells = [("events", "orphan_user_id", "orphan_user_id"), ("events", "event_before_signup", "event_before_signup"), ("experiments", "orphan_user_id", "_x_orphans"), ("experiments", "converted_flag_mismatch", "converted_flag_mismatch")]
+        cells = [F.struct(F.lit(t).alias("t"), F.lit(c).alias("check_name"), F.coalesce(F.col(v), F.lit(0)).cast("long").alias("v")) for t, c, v in cells]
+        both = row.select(F.explode(F.array(*cells)).alias("x")).select("x.*")
+        frames.append(both.select(
+            F.col("t").alias("table_name"), "check_name", F.col("v").alias("violations"), F.when(F.col("v") > 0, "fail").otherwise("ok").alias("severity"),
+            F.when(F.col("v") > 0, F.format_string("%s: %d rows violate %s", "t", "v", "check_name")).otherwise(F.format_string("%s: %s holds", "t", "check_name")).alias("message"),
+        ))
+
+    if has("users", "user_id", "experiment_group") and has("experiments", "user_id", "experiment_group"):
+        mism = group_mismatch(users, experiments).agg(F.count(F.lit(1)).alias("experiment_group_mismatch"))
+        frames.append(_checks(mism, "experiments", {"experiment_group_mismatch": "fail"}))
+
+    if has("events", "session_id", "event_name"):
+        names = ("sessions_booking_completed_without_booking_started", "sessions_booking_started_without_search_started")
+        sp = session_flags(events, tax).agg(
+            F.count_if((F.col("has_booking_completed") == 1) & (F.col("has_booking_started") == 0)).alias(names[0]),
+            F.count_if((F.col("has_booking_started") == 1) & (F.col("has_search_started") == 0)).alias(names[1]),
+        )
+        frames.append(_checks(sp, "events", dict.fromkeys(names, "fail")))
+
+    report = _union(frames)
+    columns = report.columns
+    whole = report.agg(F.collect_list(F.struct(*columns)).alias("_rows"))
+    n = lambda kind: F.size(F.filter("_rows", lambda r: r["severity"] == kind))
+    said = F.format_string("%s: %d failed, %d warnings, %d checks", F.when(n("fail") > 0, "FAILED").otherwise("PASSED"), n("fail"), n("warn"), F.size("_rows"))
+    overall = F.struct(F.lit("all").alias("table_name"), F.lit("overall").alias("check_name"), n("fail").cast("long").alias("violations"), F.when(n("fail") > 0, "fail").otherwise("ok").alias("severity"), said.alias("message"))
+    return whole.select(F.inline(F.concat("_rows", F.array(overall))))

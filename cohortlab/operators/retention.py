@@ -9,10 +9,10 @@ user holding many events is collapsed map-side first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import cents, from_cents, month_index, month_key, pct, rnd, rnd_pct
+from cohortlab.functions.expr import amount, plain, month_index, month_key, pct, rnd, rnd_pct
 from cohortlab.plans.facts import retention_flags, user_activity, user_offsets
 from cohortlab.plans.scale import with_scalars
 from cohortlab.sources.schema import CHURN_INACTIVITY_DAYS, DEFAULT_TAXONOMY, RETENTION_CHECKPOINTS_DAYS, Taxonomy
@@ -134,28 +134,28 @@ def cohort_matrix(users: DataFrame, events: DataFrame, mask: bool = True, digits
 
     Cells from offset 0 to the last offset any cohort reaches are zero-filled;
     with ``mask`` a cell later than the dataset's last event month is NULL
-    (not yet observable).  The spine is cohorts × offsets, i.e. bounded by
-    (#months)², independent of the number of users or events.
+    (not yet observable).  Events are read once: distinct (user, month) pairs
+    give, per cohort, a map from offset to returning users, the largest offset
+    and the last month (orphan users count for the last month only).  Cohorts
+    are months, so the map and the window over cohorts are small.
     """
-    long = cohort_retention(users, events)
-    sizes = cohort_sizes(users)
-    idx = _cohorts(users).groupBy("cohort_month").agg(F.min("cohort_month_index").alias("cohort_month_index"))
-    span = long.agg(F.max("months_since_signup").alias("_max_off"))
-    last = events.agg(F.max(month_index("event_date")).alias("_last_idx"))
-    grid = (
-        with_scalars(idx.join(sizes, "cohort_month"), span)
-        .select("cohort_month", "cohort_month_index", "cohort_size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_max_off").cast("long"))).alias("months_since_signup"))
-    )
-    cells = with_scalars(grid, last).join(
-        long.select("cohort_month", "months_since_signup", "retained_users"), ["cohort_month", "months_since_signup"], "left"
-    )
-    value = rnd(pct(F.coalesce("retained_users", F.lit(0)), "cohort_size"), digits)
-    observable = F.col("months_since_signup") <= (F.col("_last_idx") - F.col("cohort_month_index"))
-    return cells.select(
-        "cohort_month",
-        F.col("months_since_signup").cast("long").alias("months_since_signup"),
-        (F.when(observable, value) if mask else value).alias("retention_pct"),
-    )
+    activity = events.select("user_id", month_index("event_date").alias("_m")).distinct()
+    cohorts = _cohorts(users)
+    born = F.col("cohort_month_index")
+    per = activity.join(cohorts, "user_id", "left").groupBy("cohort_month", born, "_m").agg(F.count_distinct("user_id").alias("_n"))
+    seen = (F.col("_m") >= born)
+    per = per.groupBy("cohort_month").agg(
+        F.map_from_entries(F.collect_list(F.when(seen, F.struct((F.col("_m") - born).alias("k"), "_n")))).alias("_back"),
+        F.max(F.when(seen, F.col("_m") - born)).alias("_reach"),
+        F.max("_m").alias("_last"),
+    )
+    sizes = cohorts.groupBy("cohort_month", born).agg(F.count(F.lit(1)).alias("cohort_size"))
+    whole = Window.partitionBy(F.lit(1))
+    table = sizes.join(per, "cohort_month", "full").withColumns({"_reach": F.max("_reach").over(whole), "_last": F.max("_last").over(whole)})
+    cells = table.filter("cohort_size is not null and _reach is not null").select("*", F.explode(F.sequence(F.lit(0).cast("long"), "_reach")).alias("months_since_signup"))
+    value = rnd(pct(F.coalesce(F.try_element_at("_back", F.col("months_since_signup")), F.lit(0)), "cohort_size"), digits)
+    observable = F.col("months_since_signup") <= F.col("_last") - born
+    return cells.select("cohort_month", "months_since_signup", (F.when(observable, value) if mask else value).alias("retention_pct"))
 
 
 def cohort_revenue(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
@@ -165,7 +165,7 @@ def cohort_revenue(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_
     bookings = (
         events.filter(F.col("event_name") == tax.booking_completed)
         .groupBy("user_id", month_index("event_date").alias("event_month_index"))
-        .agg(F.sum(cents("revenue")).alias("_c"))
+        .agg(F.sum(amount("revenue")).alias("_c"))
     )
     cohorts = _cohorts(users)
     sizes = cohort_sizes(users)
@@ -175,7 +175,7 @@ def cohort_revenue(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_
         .groupBy("cohort_month", (F.col("event_month_index") - F.col("cohort_month_index")).alias("months_since_signup"))
         .agg(F.sum("_c").alias("_rev"))
     )
-    money = from_cents("_rev")
+    money = plain("_rev")
     return rev.join(sizes, "cohort_month").select(
         "cohort_month",
         "months_since_signup",

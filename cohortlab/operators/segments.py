@@ -1,6 +1,6 @@
 """Segmentation and descriptive-statistics operators (S1–S9).
 
-Revenue is pre-aggregated per user (integer cents, partial aggregation)
+Revenue is pre-aggregated per user (exact decimals, partial aggregation)
 before it meets the users table, so segment totals are exact and a hot user
 is collapsed before the join.  Value tiers use the distributed exact NTILE of
 :mod:`cohortlab.plans.scale` instead of a single-partition window.
@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import div, from_cents, rnd, rnd_pct
+from cohortlab.functions.expr import amount, div, plain, rnd, rnd_pct, shown
 from cohortlab.plans.facts import retention_flags, user_bookings
-from cohortlab.plans.scale import exact_ntile, exact_quantiles, scalars, with_scalars
+from cohortlab.plans.scale import exact_quantiles, global_ranks, ntile_of_rank, with_scalars
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy
 
 
@@ -30,10 +30,10 @@ def segment_summary(users: DataFrame, events: DataFrame, dim: str, null_label: s
         .agg(
             F.count_distinct("user_id").alias("users"),
             F.count("bookings").alias("converted_users"),
-            F.coalesce(F.sum("revenue_cents"), F.lit(0)).alias("_rev"),
+            F.coalesce(F.sum("revenue"), F.lit(0).cast("decimal(38,10)")).alias("_rev"),
         )
     )
-    rev = from_cents("_rev")
+    rev = plain("_rev")
     return agg.select(
         dim,
         "users",
@@ -54,30 +54,30 @@ def value_tiers(users: DataFrame, events: DataFrame, tiles: int = 3, tax: Taxono
     Lifetime revenue per user (0 when no booking); payers (revenue > 0) are
     split into ``tiles`` equal-count tiles ordered by (revenue, user_id).  Per
     tier: users, % of users, revenue, % of total booking revenue, average.
+
+    Events are read once: per-user revenue is full-joined with the users (the
+    revenue of orphan users counts in the total only), and ranked in one pass
+    within payers and others.
     """
-    per_user = _users_with_revenue(users, events, [], tax).select(
-        "user_id", F.coalesce("revenue_cents", F.lit(0)).alias("_cents")
-    )
-    payers = exact_ntile(per_user.filter(F.col("_cents") > 0), tiles, ["_cents", "user_id"], out_col="_tile")
-    tiered = per_user.join(payers.select("user_id", "_tile"), "user_id", "left")
-    seg = F.when(F.col("_cents") == 0, F.lit("Non-payer"))
+    known = users.select("user_id", F.lit(1).alias("_known"))
+    per_user = known.join(user_bookings(events, tax).select("user_id", "revenue"), "user_id", "full").select(
+        "user_id", F.coalesce("revenue", F.lit(0).cast("decimal(38,10)")).alias("_amount"), F.coalesce("_known", F.lit(0)).alias("_known")
+    )
+    kind = F.when(F.col("_known") == 0, "orphan").when(F.col("_amount") > 0, "payer").otherwise("other")
+    ranked = global_ranks(per_user.withColumn("_kind", kind), ["_amount", "user_id"], ["_kind"], max_groups=3)
+    tile = F.when(F.col("_kind") == "payer", ntile_of_rank("_rank", "_total", tiles))
+    seg = F.when(F.col("_kind") == "orphan", F.lit(None).cast("string")).when(F.col("_amount") == 0, F.lit("Non-payer"))
     for i, lbl in enumerate(labels, start=1):
-        seg = seg.when(F.col("_tile") == i, F.lit(lbl))
-    agg = tiered.groupBy(seg.alias("revenue_segment")).agg(
-        F.count(F.lit(1)).alias("users"), F.sum("_cents").alias("_rev"), F.avg(F.col("_cents").cast("double")).alias("_avg")
-    )
-    # all booking revenue, orphan users included (per-user sums add up to it)
-    totals = scalars(
-        users.agg(F.count(F.lit(1)).alias("_users")),
-        user_bookings(events, tax).agg(F.sum("revenue_cents").alias("_all")),
-    )
-    return with_scalars(agg, totals).select(
+        seg = seg.when(tile == i, F.lit(lbl))
+    agg = ranked.groupBy("_known", seg.alias("revenue_segment")).agg(F.count(F.lit(1)).alias("users"), F.sum("_amount").alias("_rev"))
+    totals = agg.agg(F.sum(F.when(F.col("_known") == 1, F.col("users"))).alias("_users"), F.sum("_rev").alias("_all"))
+    return with_scalars(agg.filter("_known = 1"), totals).select(
         "revenue_segment",
         "users",
         rnd_pct("users", "_users", 1).alias("pct_of_users"),
-        rnd(from_cents("_rev"), 2).alias("segment_revenue_eur"),
+        rnd(plain("_rev"), 2).alias("segment_revenue_eur"),
         rnd_pct("_rev", "_all", 1).alias("pct_of_total_revenue"),
-        rnd(F.col("_avg") / 100.0, 2).alias("avg_revenue_per_user_eur"),
+        rnd(div("_rev", "users"), 2).alias("avg_revenue_per_user_eur"),
     )
 
 
@@ -93,10 +93,10 @@ def top_segments(users: DataFrame, events: DataFrame, dims=("country", "acquisit
     agg = (
         _users_with_revenue(users, events, dims, tax)
         .groupBy(*dims)
-        .agg(F.count_distinct("user_id").alias("users"), F.coalesce(F.sum("revenue_cents"), F.lit(0)).alias("_rev"))
+        .agg(F.count_distinct("user_id").alias("users"), F.coalesce(F.sum("revenue"), F.lit(0).cast("decimal(38,10)")).alias("_rev"))
     )
     top = agg.orderBy(F.col("_rev").desc(), *[F.col(d).asc() for d in dims]).limit(k)
-    rev = from_cents("_rev")
+    rev = plain("_rev")
     return top.select(
         *dims,
         "users",
@@ -144,15 +144,16 @@ def retention_risk(users: DataFrame, events: DataFrame, dim: str = "acquisition_
     )
 
 
-def user_features(users: DataFrame, events: DataFrame, experiments: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
+def user_features(users: DataFrame, events: DataFrame, experiments: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY, digits: int | None = None) -> DataFrame:
     """S6 — per user: total_events, total_bookings, lifetime_revenue (0-filled),
     avg_ride_distance_km over completed bookings and days_to_conversion
-    (both stay NULL when absent).  One aggregate over events."""
+    (both stay NULL when absent).  One aggregate over events.  With
+    ``digits``, revenue is rounded to 2 and distance to ``digits`` decimals."""
     booking = F.col("event_name") == tax.booking_completed
     per = events.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("_events"),
         F.count_if(booking).alias("_bookings"),
-        F.sum(F.when(booking, F.round(F.col("revenue") * 100.0).cast("long"))).alias("_rev"),
+        F.sum(F.when(booking, amount("revenue"))).alias("_rev"),
         F.avg(F.when(booking, F.col("ride_distance_km"))).alias("_dist"),
     )
     return (
@@ -163,8 +164,8 @@ def user_features(users: DataFrame, events: DataFrame, experiments: DataFrame, t
             "user_id",
             F.coalesce("_events", F.lit(0)).cast("long").alias("total_events"),
             F.coalesce("_bookings", F.lit(0)).cast("long").alias("total_bookings"),
-            rnd(from_cents(F.coalesce("_rev", F.lit(0))), 2).alias("lifetime_revenue"),
-            rnd("_dist", 4).alias("avg_ride_distance_km"),
+            shown(F.coalesce(plain("_rev"), F.lit(0.0)), None if digits is None else 2).alias("lifetime_revenue"),
+            shown(F.col("_dist"), digits).alias("avg_ride_distance_km"),
             F.col("days_to_conversion").cast("long").alias("days_to_conversion"),
         )
     )
@@ -173,7 +174,7 @@ def user_features(users: DataFrame, events: DataFrame, experiments: DataFrame, t
 FEATURE_COLUMNS = ("total_events", "total_bookings", "lifetime_revenue", "avg_ride_distance_km", "days_to_conversion")
 
 
-def corr_matrix(df: DataFrame, cols=FEATURE_COLUMNS, digits: int = 4) -> DataFrame:
+def corr_matrix(df: DataFrame, cols=FEATURE_COLUMNS, digits: int | None = None) -> DataFrame:
     """S7 — pairwise-complete Pearson correlations as a long table
     (feature_x, feature_y, correlation); one aggregate computes every pair."""
     cols = list(cols)
@@ -184,7 +185,7 @@ def corr_matrix(df: DataFrame, cols=FEATURE_COLUMNS, digits: int = 4) -> DataFra
         cells.append(F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"), F.col(f"{a}__{b}").alias("c")))
         if a != b:
             cells.append(F.struct(F.lit(b).alias("feature_x"), F.lit(a).alias("feature_y"), F.col(f"{a}__{b}").alias("c")))
-    return row.select(F.inline(F.array(*cells))).select("feature_x", "feature_y", rnd("c", digits).alias("correlation"))
+    return row.select(F.inline(F.array(*cells))).select("feature_x", "feature_y", shown(F.col("c"), digits).alias("correlation"))
 
 
 def describe(df: DataFrame, cols, digits: int = 4) -> DataFrame:
@@ -222,20 +223,31 @@ def describe(df: DataFrame, cols, digits: int = 4) -> DataFrame:
 
 def histogram(df: DataFrame, col: str, bins: int = 30, digits: int = 6) -> DataFrame:
     """S9 — equal-width histogram of ``col`` (nulls dropped) with ``bins`` bins
-    between its min and max; the last bin is closed.  Zero-filled over a
+    between its min and max; the last bin is closed.  A constant column gets
+    the range of half a unit to both sides.  Bins are decided by their edges
+    ``lo + i * width``: the quotient only proposes a bin, which is moved by
+    one where rounding put the value beyond an edge.  Zero-filled over a
     ``range(bins)`` spine."""
     x = F.col(col).cast("double")
     vals = df.select(x.alias("_x")).filter(F.col("_x").isNotNull())
-    bounds = vals.agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    half = F.when(F.min("_x") == F.max("_x"), 0.5).otherwise(0.0)
+    bounds = vals.agg((F.min("_x") - half).alias("_lo"), (F.max("_x") + half).alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / float(bins)
-    idx = F.when(width > 0, F.least(F.floor((F.col("_x") - F.col("_lo")) / width), F.lit(bins - 1))).otherwise(F.lit(0))
-    counts = with_scalars(vals, bounds).groupBy(idx.cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("_n"))
+
+    def edge(i):
+        return F.col("_lo") + i * width
+
+    guess = F.least(F.floor((F.col("_x") - F.col("_lo")) / width), F.lit(bins - 1)).cast("long")
+    placed = with_scalars(vals, bounds).withColumn("_g", guess)
+    g = F.col("_g")
+    idx = F.when(F.col("_x") < edge(g), g - 1).when((g < bins - 1) & (F.col("_x") >= edge(g + 1)), g + 1).otherwise(g)
+    counts = placed.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("_n"))
     spine = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
     grid = with_scalars(spine, bounds).join(counts, "bin", "left")
     return grid.select(
         F.lit(col).alias("column"),
         "bin",
-        rnd(F.col("_lo") + F.col("bin") * width, digits).alias("bin_lo"),
-        rnd(F.col("_lo") + (F.col("bin") + 1) * width, digits).alias("bin_hi"),
+        rnd(edge(F.col("bin")), digits).alias("bin_lo"),
+        rnd(edge(F.col("bin") + 1), digits).alias("bin_hi"),
         F.coalesce("_n", F.lit(0)).cast("long").alias("count"),
     )

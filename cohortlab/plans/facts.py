@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.functions.expr import cents, day_offset, flag
+from cohortlab.functions.expr import amount, day_offset, flag
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy
 
 
@@ -37,9 +37,9 @@ def user_event_flags(events: DataFrame, names) -> DataFrame:
 
 
 def user_bookings(events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
-    """Per paying user: bookings, booking ids, revenue in cents, bookings with
+    """Per paying user: bookings, booking ids, revenue, bookings with
     revenue.  Accepts raw events or the per-user fact table."""
-    cols = ["bookings", "booking_ids", "revenue_cents", "revenue_rows"]
+    cols = ["bookings", "booking_ids", "revenue", "revenue_rows"]
     if is_user_facts(events):
         return events.filter(F.col("bookings") > 0).select("user_id", *cols)
     return (
@@ -48,7 +48,7 @@ def user_bookings(events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFr
         .agg(
             F.count(F.lit(1)).alias("bookings"),
             F.count("event_id").alias("booking_ids"),
-            F.sum(cents("revenue")).alias("revenue_cents"),
+            F.sum(amount("revenue")).alias("revenue"),
             F.count("revenue").alias("revenue_rows"),
         )
     )
@@ -56,7 +56,7 @@ def user_bookings(events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFr
 
 def user_facts(events: DataFrame, names=None, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
     """One row per active user: ``has_<name>`` for every tracked event name,
-    bookings, booking ids, revenue cents and revenue rows — one aggregate
+    bookings, booking ids, revenue and revenue rows — one aggregate
     over events.  Operators built on :func:`user_event_flags` /
     :func:`user_bookings` accept this table in place of ``events``, so a job
     running many per-user reports scans events once (see
@@ -70,7 +70,7 @@ def user_facts(events: DataFrame, names=None, tax: Taxonomy = DEFAULT_TAXONOMY)
         *[F.max(flag(name == n)).alias(flag_name(n)) for n in names],
         F.count_if(booking).alias("bookings"),
         F.count(F.when(booking, F.col("event_id"))).alias("booking_ids"),
-        F.sum(F.when(booking, cents("revenue"))).alias("revenue_cents"),
+        F.sum(F.when(booking, amount("revenue"))).alias("revenue"),
         F.count(F.when(booking, F.col("revenue"))).alias("revenue_rows"),
         F.lit(1).alias("_user_facts"),
     )
@@ -117,7 +117,7 @@ def is_user_day_facts(df: DataFrame) -> bool:
 
 def user_day_facts(events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY, names=None) -> DataFrame:
     """Per (user, day): event count, ``has_<name>`` flags, bookings, booking
-    ids, revenue cents and revenue rows.
+    ids, revenue and revenue rows.
 
     One partial+final aggregate over events (a hot user collapses to one row
     per active day).  Day-grained operators (activity, retention, cohorts,
@@ -135,7 +135,7 @@ def user_day_facts(events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY, names=No
         *[F.max(flag(name == n)).alias(flag_name(n)) for n in names],
         F.count_if(booking).alias("bookings"),
         F.count(F.when(booking, F.col("event_id"))).alias("booking_ids"),
-        F.sum(F.when(booking, cents("revenue"))).alias("revenue_cents"),
+        F.sum(F.when(booking, amount("revenue"))).alias("revenue"),
         F.count(F.when(booking, F.col("revenue"))).alias("revenue_rows"),
         F.lit(1).alias("_user_day_facts"),
     )

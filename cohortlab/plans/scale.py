@@ -100,18 +100,36 @@ def global_ranks(df: DataFrame, order_cols, group_cols=(), num_ranges: int | Non
     return ranked.drop("_pid", "_pos", "_off", "_first")
 
 
-def exact_ntile(df: DataFrame, n: int, order_cols, out_col: str = "tile", num_ranges: int | None = None) -> DataFrame:
-    """Exact ``NTILE(n) OVER (ORDER BY order_cols)`` on top of
-    :func:`global_ranks`: with ``q = N // n`` and ``r = N % n`` the first
-    ``r`` tiles hold ``q + 1`` rows."""
-    ranked = global_ranks(df, order_cols, (), num_ranges)
-    total = F.col("_total")
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared checkpoint folder and read
+    back.  The planner then knows its true size: it broadcasts a small frame
+    without shuffling what it is joined with, and sort-merges a large one."""
+    import uuid
+
+    from cohortlab.session import checkpoint_dir
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def ntile_of_rank(rank: str, total: str, n: int) -> Column:
+    """Tile of a 1-based rank among ``total`` rows: with ``q = N // n`` and
+    ``r = N % n`` the first ``r`` tiles hold ``q + 1`` rows."""
+    rank, total = F.col(rank), F.col(total)
     q = F.floor(total / n).cast("long")
     r = (total % n).cast("long")
     big = r * (q + 1)
-    rank = F.col("_rank")
-    tile = F.when(rank <= big, F.floor((rank - 1) / (q + 1)) + 1).otherwise(r + F.floor((rank - 1 - big) / q) + 1)
-    return ranked.withColumn(out_col, tile.cast("long")).drop("_total", "_rank")
+    late = F.floor(F.try_divide(rank - big - 1, q))
+    return F.when(rank <= big, F.floor((rank - 1) / (q + 1)) + 1).otherwise(r + late + 1).cast("long")
+
+
+def exact_ntile(df: DataFrame, n: int, order_cols, out_col: str = "tile", num_ranges: int | None = None) -> DataFrame:
+    """Exact ``NTILE(n) OVER (ORDER BY order_cols)`` on top of
+    :func:`global_ranks`."""
+    ranked = global_ranks(df, order_cols, (), num_ranges)
+    return ranked.withColumn(out_col, ntile_of_rank("_rank", "_total", n)).drop("_total", "_rank")
 
 
 def exact_quantiles(df: DataFrame, value_col: str, probs, group_cols=(), num_ranges: int | None = None, max_groups: int | None = None) -> DataFrame:

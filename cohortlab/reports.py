@@ -125,10 +125,10 @@ REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
     "ab_conversion_ztest": lambda t: xp.prop_ztest(t.experiments),
     "ab_conversion_pvalue": lambda t: xp.two_proportion_ztest(t.experiments),
     "ab_revenue_ztest": lambda t: xp.mean_ztest(t.experiments, t.events),
-    "ab_revenue_welch": lambda t: xp.welch_ttest(t.experiments, t.events, "cents"),
+    "ab_revenue_welch": lambda t: xp.welch_ttest(t.experiments, t.events, "revenue"),
     "ab_bookings_welch": lambda t: xp.welch_ttest(t.experiments, t.events, "bookings"),
     "ab_conversion_ci": lambda t: xp.wald_ci(t.experiments),
-    "ab_arpu_ci": lambda t: xp.mean_ci(t.experiments, t.events, "cents"),
+    "ab_arpu_ci": lambda t: xp.mean_ci(t.experiments, t.events, "revenue"),
     "ab_bookings_ci": lambda t: xp.mean_ci(t.experiments, t.events, "bookings"),
     "ab_time_to_conversion": lambda t: xp.time_to_conversion(t.experiments),
     "ab_weekly_trend": lambda t: xp.conversion_trend(t.experiments),

@@ -27,56 +27,36 @@ PANDAS_MISSING_TOKENS = [
 ]
 
 
-def _csv_reader(spark: SparkSession, schema):
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
-        .option("dateFormat", "yyyy-MM-dd")
-    )
-
-
-def _missing_to_null(df: DataFrame) -> DataFrame:
-    """Text columns: pandas' default missing tokens (including ``"None"``) → NULL."""
-    out = []
-    for f in df.schema.fields:
-        c = F.col(f.name)
-        if isinstance(f.dataType, T.StringType):
-            c = F.when(c.isin(*PANDAS_MISSING_TOKENS), F.lit(None).cast("string")).otherwise(c)
-        out.append(c.alias(f.name))
-    return df.select(*out)
-
-
 def read_csv_table(spark: SparkSession, path: str, name: str, none_is_null: bool = True) -> DataFrame:
     """Read one canonical table from CSV with its explicit schema.
 
-    The source system loads its CSVs with pandas, which turns the text
-    ``"None"`` (a legal payment method) and its other default missing-value
-    tokens into NULL; ``none_is_null=True`` (default) reproduces that, and
-    ``False`` keeps the literal text."""
+    The source system loads its CSVs with pandas, whose default missing-value
+    tokens (``NA``, ``NaN``, ...) stand for a missing value in any column; so
+    does the text ``"None"`` (a legal payment method).  ``none_is_null=False``
+    keeps such tokens as text in text columns.  Integers with gaps are written
+    as floats ("12.0") and ``converted`` as True/False.  Any other text that is
+    no value of its column's type fails the read."""
     schema = SCHEMAS[name]
-    # Integer columns with gaps are written by pandas as floats ("12.0");
-    # read them as DOUBLE and cast.  ``converted`` arrives as True/False text.
-    raw_fields = []
-    for f in schema.fields:
-        if f.name == "converted":
-            raw_fields.append(T.StructField(f.name, T.StringType(), True))
-        elif isinstance(f.dataType, (T.IntegerType, T.LongType)):
-            raw_fields.append(T.StructField(f.name, T.DoubleType(), True))
-        else:
-            raw_fields.append(f)
-    df = _csv_reader(spark, T.StructType(raw_fields)).csv(path)
+    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+    df = spark.read.schema(text).option("header", True).option("mode", "FAILFAST").csv(path)
     cols = []
     for f in schema.fields:
+        is_text = isinstance(f.dataType, T.StringType) and f.name != "converted"
         c = F.col(f.name)
+        if none_is_null or not is_text:
+            c = F.when(~c.isin(*PANDAS_MISSING_TOKENS), c)
         if f.name == "converted":
             c = F.lower(c).isin("true", "1", "1.0")
         elif isinstance(f.dataType, (T.IntegerType, T.LongType)):
+            c = c.cast("double").cast(f.dataType)
+        elif isinstance(f.dataType, T.DateType):
+            c = F.to_date(c, "yyyy-MM-dd")
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = F.to_timestamp(c, "yyyy-MM-dd HH:mm:ss").cast(f.dataType)
+        elif not is_text:
             c = c.cast(f.dataType)
         cols.append(c.alias(f.name))
-    df = df.select(*cols)
-    return _missing_to_null(df) if none_is_null else df
+    return df.select(*cols)
 
 
 def load_tables(spark: SparkSession, data_dir: str, fmt: str = "parquet", none_is_null: bool = True) -> Tables:
@@ -97,16 +77,16 @@ def load_tables(spark: SparkSession, data_dir: str, fmt: str = "parquet", none_i
 def write_table(df: DataFrame, path: str, name: str) -> dict:
     """Idempotent overwrite of one canonical table as Parquet; returns its row count.
 
-    Events are partitioned by month so date filters prune whole folders.  Rows
-    are only sorted by month inside each task (no shuffle): a month holding a
-    large share of the data is still written by every task in parallel.
+    Events are partitioned by month so date filters prune whole folders.  They
+    are rebalanced by month first: a small month is one file, and a month with
+    a large share of the data is split by AQE into several tasks and files.
     """
     obs = Observation(f"rows_{name}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode("overwrite")
     if name == "events":
         observed = observed.withColumn("event_month", F.date_format("event_date", "yyyy-MM"))
-        writer = observed.sortWithinPartitions("event_month").write.mode("overwrite").partitionBy("event_month")
+        writer = observed.hint("rebalance", "event_month").write.mode("overwrite").partitionBy("event_month")
     writer.parquet(path)
     return {name: obs.get.get("rows", 0)}
 

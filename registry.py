@@ -33,6 +33,7 @@ def reg(name: str, binding: str, fn: Callable, sql: str | None) -> None:
 # --- funnel (U1–U6) ---------------------------------------------------------
 reg("u1_funnel_counts", "E", lambda t: funnel.funnel_counts(t.users, t.events), sf.U1)
 reg("u2_funnel", "E", lambda t: funnel.compute_funnel(t.users, t.events), sf.U2)
+reg("u2_funnel_subset", "E", lambda t: funnel.compute_funnel(t.users, t.events, subset=t.users.filter("platform = 'iOS'")), sf.U2_IOS)
 reg("u3_funnel_by_platform", "E", lambda t: funnel.funnel_by(t.users, t.events, "platform"), sf.U3("platform"))
 reg("u3_funnel_by_channel", "E", lambda t: funnel.funnel_by(t.users, t.events, "acquisition_channel"), sf.U3("acquisition_channel"))
 reg("u4_attempt_outcomes", "E", lambda t: funnel.attempt_outcomes(t.events), sf.U4)
@@ -87,7 +88,7 @@ reg("k21_country_platform_crosstab", "E", lambda t: kpi.crosstab(t.users, "count
 reg(
     "k22_channel_platform_mix",
     "E",
-    lambda t: kpi.crosstab(t.users, "acquisition_channel", "platform", ["iOS", "Android", "Web"], normalize=True),
+    lambda t: kpi.crosstab(t.users, "acquisition_channel", "platform", normalize=True),
     sk.K22,
 )
 
@@ -133,8 +134,8 @@ reg("s3_top_segments_orders", "O", lambda t: seg.top_segments(t.users, t.events,
 reg("s4_underperforming_channels", "E", lambda t: seg.underperformers(t.users, t.events), ss.S4())
 reg("s5_retention_risk", "E", lambda t: seg.retention_risk(t.users, t.events, day=14), ss.S5(day=14))
 reg("s5_retention_risk_orders", "O", lambda t: seg.retention_risk(t.users, t.events, day=30), ss.S5(day=30))
-reg("s6_user_features", "E", lambda t: seg.user_features(t.users, t.events, t.experiments), ss.S6)
-reg("s7_corr_matrix", "E", lambda t: seg.corr_matrix(seg.user_features(t.users, t.events, t.experiments)), ss.S7())
+reg("s6_user_features", "E", lambda t: seg.user_features(t.users, t.events, t.experiments, digits=4), ss.S6)
+reg("s7_corr_matrix", "E", lambda t: seg.corr_matrix(seg.user_features(t.users, t.events, t.experiments), digits=4), ss.S7())
 reg("s8_describe_events", "E", lambda t: seg.describe(t.events, ["revenue", "ride_distance_km"]), ss.S8("app_events", ["revenue", "ride_distance_km"]))
 reg("s8_describe_experiments", "O", lambda t: seg.describe(t.experiments, ["days_to_conversion"]), ss.S8("app_experiments", ["days_to_conversion"]))
 reg("s9_histogram_revenue", "E", lambda t: seg.histogram(t.events, "revenue"), ss.S9("app_events", "revenue"))
@@ -154,14 +155,16 @@ for _b, _sfx in (("E", ""), ("O", "_orders")):
     reg(f"x10_time_to_conversion{_sfx}", _b, lambda t: xp.time_to_conversion(t.experiments), sx.X10)
     reg(f"x11_conversion_trend{_sfx}", _b, lambda t: xp.conversion_trend(t.experiments), sx.X11)
     reg(f"x12_rollout_decision{_sfx}", _b, lambda t: xp.rollout_decision(t.experiments), sx.X12)
-reg("x5_ztest_statistic", "O", lambda t: xp.two_proportion_ztest(t.experiments, with_p=False), sx.X5)
-reg("x5_ztest_pvalue", "O", lambda t: xp.two_proportion_ztest(t.experiments), None)
-reg("x7_welch_revenue", "E", lambda t: xp.welch_ttest(t.experiments, t.events, "cents", with_p=False), sx.X7("cents"))
-reg("x7_welch_bookings", "E", lambda t: xp.welch_ttest(t.experiments, t.events, "bookings", with_p=False), sx.X7("bookings"))
-reg("x7_welch_revenue_pvalue", "E", lambda t: xp.welch_ttest(t.experiments, t.events, "cents"), None)
-reg("x8_wald_ci", "O", lambda t: xp.wald_ci(t.experiments), sx.X8)
-reg("x9_mean_ci_revenue", "E", lambda t: xp.mean_ci(t.experiments, t.events, "cents"), sx.X9("cents"))
-reg("x9_mean_ci_bookings", "E", lambda t: xp.mean_ci(t.experiments, t.events, "bookings"), sx.X9("bookings"))
+reg("x5_ztest_statistic", "O", lambda t: xp.two_proportion_ztest(t.experiments, with_p=False, digits=6), sx.X5)
+reg("x5_ztest_pvalue", "O", lambda t: xp.two_proportion_ztest(t.experiments, digits=7), sx.X5P)
+for _b, _sfx in (("E", ""), ("O", "_orders")):
+    reg(f"x13_significance_label{_sfx}", _b, lambda t: xp.two_proportion_ztest(t.experiments).select("control_n", "treatment_n", "verdict"), sx.X13)
+reg("x7_welch_revenue", "E", lambda t: xp.welch_ttest(t.experiments, t.events, "revenue", with_p=False, digits=4), sx.X7("revenue"))
+reg("x7_welch_bookings", "E", lambda t: xp.welch_ttest(t.experiments, t.events, "bookings", with_p=False, digits=4), sx.X7("bookings"))
+reg("x7_welch_revenue_pvalue", "E", lambda t: xp.welch_ttest(t.experiments, t.events, "revenue", digits=7), sx.X7P("revenue"))
+reg("x8_wald_ci", "O", lambda t: xp.wald_ci(t.experiments, digits=4), sx.X8)
+reg("x9_mean_ci_revenue", "E", lambda t: xp.mean_ci(t.experiments, t.events, "revenue", digits=4), sx.X9("revenue"))
+reg("x9_mean_ci_bookings", "E", lambda t: xp.mean_ci(t.experiments, t.events, "bookings", digits=4), sx.X9("bookings"))
 
 # --- data quality (DQ1–DQ19) --------------------------------------------------
 from cohortlab.operators import quality as dq  # noqa: E402
@@ -182,6 +185,9 @@ for _b, _sfx in (("E", ""), ("O", "_orders")):
     reg(f"dq15_session_prerequisites{_sfx}", _b, lambda t: dq.session_prerequisites(t.events), sq.DQ15)
     reg(f"dq16_converted_consistency{_sfx}", _b, lambda t: dq.converted_consistency(t.events, t.experiments), sq.DQ16)
     reg(f"dq19_validation_report{_sfx}", _b, lambda t: dq.validation_report(t.users, t.events, t.experiments), sq.DQ19())
+for _b, _sfx in (("E", ""), ("O", "_orders")):
+    reg(f"dq17_schema_report{_sfx}", _b, lambda t: dq.schema_report(_tables(t)), sq.DQ17())
+    reg(f"io5_experiments{_sfx}", _b, lambda t: t.experiments, "SELECT * FROM app_experiments")
 reg("dq3_full_row_duplicates", "E", lambda t: dq.full_row_duplicates(_tables(t)), sq.DQ3)
 reg("dq7_cancelled_revenue", "E", lambda t: dq.cancelled_revenue(t.events), sq.DQ7)
 reg("dq8_null_profile", "E", lambda t: dq.null_profile(_tables(t)), sq.DQ8)

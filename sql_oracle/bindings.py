@@ -23,12 +23,36 @@ def DIV(n: str, d: str) -> str:
     return f"(CAST(({n}) AS DOUBLE) / CAST(NULLIF(({d}), 0) AS DOUBLE))"
 
 
-def CENTS(x: str) -> str:
-    return f"CAST(round(CAST(({x}) AS DOUBLE) * CAST(100.0 AS DOUBLE)) AS BIGINT)"
+#: One row per user: the user's columns, the set of event names and of active
+#: days, booking revenue as plain sum, and counts.  Sets are lists.
+PEOPLE = """
+person AS (
+    SELECT u.*, coalesce(h.names, []) AS names, coalesce(h.days, []) AS days, h.latest, h.spent,
+           coalesce(h.priced, 0) AS priced, coalesce(h.booked, 0) AS booked, coalesce(h.n, 0) AS n_events, h.avg_km
+    FROM app_users u LEFT JOIN (
+        SELECT user_id, list(DISTINCT event_name) AS names, list(DISTINCT event_date) AS days, max(event_date) AS latest,
+               sum(revenue) FILTER (event_name = 'booking_completed') AS spent,
+               count(revenue) FILTER (event_name = 'booking_completed') AS priced,
+               count(*) FILTER (event_name = 'booking_completed') AS booked, count(*) AS n,
+               avg(ride_distance_km) FILTER (event_name = 'booking_completed') AS avg_km
+        FROM app_events GROUP BY user_id
+    ) h USING (user_id)
+)"""
+
+
+def HAS(name: str) -> str:
+    """The person has an event of this name."""
+    return f"list_contains(names, '{name}')"
+
+
+def BACK(day: int) -> str:
+    """The person was active ``day`` days after signup."""
+    return f"list_contains(days, CAST(signup_date + {day} AS DATE))"
 
 
-def MONEY(c: str) -> str:
-    return f"(CAST(({c}) AS DOUBLE) / CAST(100.0 AS DOUBLE))"
+def SHARE(condition: str, digits: int = 1) -> str:
+    """Percentage of rows for which ``condition`` holds."""
+    return R(f"100.0 * avg(CAST(({condition}) AS INTEGER))", digits)
 
 
 def WEEK(d: str) -> str:
