@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.functions.expr import flag, pct_expr_sql, rnd_pct, rnd_sql
-from cohortlab.plans.facts import flag_name, user_event_flags
+from cohortlab.plans.facts import user_facts, flag_name, user_event_flags
 from cohortlab.plans.scale import scalars
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy
 
@@ -74,7 +74,8 @@ def compute_funnel(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_
     ``subset`` (a frame with ``user_id``) restricts the funnel to its users."""
     if subset is not None:
         chosen = subset.select("user_id")
-        users, events = users.join(chosen, "user_id", "left_semi"), events.join(chosen, "user_id", "left_semi")
+        # one row per user first, so no raw events reach the join
+        users, events = users.join(chosen, "user_id", "left_semi"), user_facts(events, tax=tax).join(chosen, "user_id", "left_semi")
     names = list(tax.funnel)
     row = scalars(users.agg(F.count(F.lit(1)).alias("n_0")), _stage_counts(events, names))
     return row.selectExpr(_stages_sql(list(tax.funnel_labels), digits, drop_from_share=False)).selectExpr(

@@ -76,6 +76,13 @@ def user_facts(events: DataFrame, names=None, tax: Taxonomy = DEFAULT_TAXONOMY)
     )
 
 
+def user_facts_from_days(days: DataFrame) -> DataFrame:
+    """:func:`user_facts` rolled up from a :func:`user_day_facts` table."""
+    flags = [c for c in days.columns if c.startswith("has_")]
+    sums = ("bookings", "booking_ids", "revenue", "revenue_rows")
+    return days.groupBy("user_id").agg(*[F.max(c).alias(c) for c in flags], *[F.sum(c).alias(c) for c in sums], F.lit(1).alias("_user_facts"))
+
+
 def user_activity(events: DataFrame) -> DataFrame:
     """Per active user: event count and last event date."""
     return events.groupBy("user_id").agg(

@@ -114,6 +114,16 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(df: DataFrame) -> None:
+    """Delete the files of a :func:`staged` frame that is no longer needed."""
+    files = df.inputFiles()
+    folder = files[0].rsplit("/", 1)[0] if files else ""
+    if "/staged-" in folder:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def ntile_of_rank(rank: str, total: str, n: int) -> Column:
     """Tile of a 1-based rank among ``total`` rows: with ``q = N // n`` and
     ``r = N % n`` the first ``r`` tiles hold ``q + 1`` rows."""

@@ -22,7 +22,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlab.operators import adoption, experiment as xp, funnel, kpi, quality as dq, retention as ret, segments as seg
-from cohortlab.sources.schema import Tables
+from cohortlab.plans.facts import user_day_facts, user_facts_from_days
+from cohortlab.plans.scale import drop_staged, staged
+from cohortlab.sources.schema import EVENT_NAMES, Tables
 
 
 def _t(t: Tables) -> dict:
@@ -162,28 +164,29 @@ DAYS_READY = {
 }
 
 
+# Reports with a row per user or event: written as they come, the others in
+# the order of their columns.
+ROW_LISTS = {"retention_flags", "user_features", "dq_events_before_signup", "dq_orphans", "dq_duplicate_keys", "dq_group_mismatch"}
+
+
 def shared_user_days(tables: Tables) -> Tables:
     """Tables whose ``events`` slot is the per-(user, day) fact table with a
-    flag for every tracked event name, computed once and checkpointed (one
-    events scan for every report in :data:`DAYS_READY`)."""
-    from cohortlab.plans.facts import user_day_facts
-    from cohortlab.session import checkpoint_dir
-    from cohortlab.sources.schema import EVENT_NAMES
-
-    checkpoint_dir(tables.events.sparkSession)
-    days = user_day_facts(tables.events, names=EVENT_NAMES).checkpoint(eager=True)
+    flag for every tracked event name, staged once as Parquet: one events scan
+    for every report in :data:`DAYS_READY`, and each report reads only the
+    columns it needs."""
+    days = staged(user_day_facts(tables.events, names=EVENT_NAMES))
     return Tables(tables.users, days, tables.experiments)
 
 
-def shared_facts(tables: Tables) -> Tables:
-    """Tables whose ``events`` slot is the per-user fact table, computed once
-    and checkpointed to the shared ``spark.checkpoint.dir`` (one events scan
-    for every report in :data:`FACTS_READY`)."""
-    from cohortlab.plans.facts import user_facts
-    from cohortlab.session import checkpoint_dir
-
-    checkpoint_dir(tables.events.sparkSession)
-    return Tables(tables.users, user_facts(tables.events).checkpoint(eager=True), tables.experiments)
+def shared_facts(tables: Tables, days: Tables | None = None) -> Tables:
+    """Tables whose ``events`` slot is the per-user fact table, staged once for
+    every report in :data:`FACTS_READY`.  It is rolled up from the (user, day)
+    table, so events are scanned once for both."""
+    own = days or shared_user_days(tables)
+    facts = staged(user_facts_from_days(own.events))
+    if days is None:
+        drop_staged(own.events)
+    return Tables(tables.users, facts, tables.experiments)
 
 
 def run_reports(tables: Tables, output: str, fmt: str = "parquet", names=None, use_facts: bool = True) -> dict:
@@ -192,12 +195,13 @@ def run_reports(tables: Tables, output: str, fmt: str = "parquet", names=None, u
     Every report is written straight from its distributed plan (no collect);
     with ``use_facts`` the per-user reports read the shared per-user fact
     table and the day-grained ones the shared user-day table, instead of
-    scanning events again.  Returns {name: output path}."""
+    scanning events again; both are deleted at the end.  Returns {name: output path}."""
     from cohortlab.sources.io import write_csv
 
     names = list(names or REPORTS)
-    facts = shared_facts(tables) if use_facts and FACTS_READY.intersection(names) else None
-    days = shared_user_days(tables) if use_facts and DAYS_READY.intersection(names) else None
+    shared = use_facts and (FACTS_READY | DAYS_READY).intersection(names)
+    days = shared_user_days(tables) if shared else None
+    facts = shared_facts(tables, days) if shared and FACTS_READY.intersection(names) else None
     done = {}
     for name in names:
         source = tables
@@ -206,12 +210,16 @@ def run_reports(tables: Tables, output: str, fmt: str = "parquet", names=None, u
         elif days is not None and name in DAYS_READY:
             source = days
         df = REPORTS[name](source)
+        if name not in ROW_LISTS:
+            df = df.orderBy(*df.columns)
         path = os.path.join(output, name)
         if fmt == "csv":
             write_csv(df, path)
         else:
             df.write.mode("overwrite").parquet(path)
         done[name] = path
+    for table in filter(None, (facts, days)):
+        drop_staged(table.events)
     return done
 
 

@@ -59,7 +59,7 @@ def test_abandonment_matches_python(spark, evs):
     for k, (u, d, h, n) in enumerate(evs):
         t = dt.datetime(2024, 1, 1, h) + dt.timedelta(days=d)
         sessions.setdefault(f"U{u}_{t.date()}", []).append((t, f"E{k:04d}", n))
-    lost = {s: max(v)[2] for s, v in sessions.items() if any(x[2] == "search_started" for x in v) and not any(x[2] == "booking_completed" for x in v)}
+    lost = {s: max(v, key=lambda x: (x[0], x[2]))[2] for s, v in sessions.items() if any(x[2] == "search_started" for x in v) and not any(x[2] == "booking_completed" for x in v)}
     want = {}
     for name in lost.values():
         want[name] = want.get(name, 0) + 1

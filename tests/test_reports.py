@@ -64,21 +64,25 @@ def test_user_day_path_equals_raw_events(spark, binding):
         assert raw == fast, name
 
 
-def test_shared_tables_are_reliable_checkpoints(spark):
-    """Shared tables cut lineage with a reliable checkpoint in the session's
-    checkpoint folder (files on the shared store, not executor-local)."""
+def test_shared_tables_are_staged_and_read_events_once(spark):
+    """Both fact tables come from one scan of events, are Parquet files in the
+    shared checkpoint folder, and are deleted after the reports."""
     import glob
 
+    from cohortlab.plans.scale import drop_staged
     from cohortlab.reports import shared_facts, shared_user_days
     from cohortlab.sources.testdata import clickstream
 
     t = clickstream(spark, "/root/testdata/sf0.001")
-    root = spark.sparkContext.getCheckpointDir() or ""
-    before = set(glob.glob(root.replace("file:", "") + "/**/rdd-*", recursive=True))
-    f = shared_facts(t)
-    d = shared_user_days(t)
-    after = set(glob.glob(root.replace("file:", "") + "/**/rdd-*", recursive=True))
-    assert len(after - before) >= 2
-    for df in (f.events, d.events):
-        plan = df._jdf.queryExecution().analyzed().toString()
-        assert "LogicalRDD" in plan and "Aggregate" not in plan  # reads the checkpoint, no recompute
+    root = (spark.sparkContext.getCheckpointDir() or "").replace("file:", "")
+    before = set(glob.glob(root + "/staged-*"))
+    days = shared_user_days(t)
+    facts = shared_facts(t, days)
+    assert len(set(glob.glob(root + "/staged-*")) - before) == 2
+    for df in (facts.events, days.events):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Relation" in plan and "Aggregate" not in plan
+        pruned = df.select("user_id")._jdf.queryExecution().executedPlan().toString()
+        assert "ReadSchema: struct<user_id:bigint>" in pruned
+        drop_staged(df)
+    assert set(glob.glob(root + "/staged-*")) == before

@@ -9,12 +9,18 @@ from pyspark.sql import functions as F
 SF = "/root/testdata/sf0.001"
 
 
+def run_to_memory(df, name, checkpoint, mode="append"):
+    """Run a streaming frame into an in-memory table until its input is used up."""
+    q = df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 def test_dau_stream_matches_batch(spark):
     from cohortlab.operators.kpi import active_users
     from cohortlab.sources.schema import EVENTS_SCHEMA
     from cohortlab.sources.testdata import clickstream
-    from cohortlab.streaming.incremental import dau_stream, read_events_stream, run_to_memory
+    from cohortlab.streaming.incremental import dau_stream, read_events_stream
 
     t = clickstream(spark, SF)
     events = t.events.select(*[F.col(f.name).cast(f.dataType) for f in EVENTS_SCHEMA.fields])
@@ -65,7 +71,7 @@ def test_abandonment_stream_matches_batch(spark):
     from cohortlab.operators.funnel import abandonment
     from cohortlab.sources.schema import EVENTS_SCHEMA
     from cohortlab.sources.testdata import clickstream
-    from cohortlab.streaming.incremental import abandoned_sessions_stream, read_events_stream, run_to_memory
+    from cohortlab.streaming.incremental import abandoned_sessions_stream, read_events_stream
 
     t = clickstream(spark, SF)
     events = t.events.select(*[F.col(f.name).cast(f.dataType) for f in EVENTS_SCHEMA.fields])
