@@ -1,3 +1,5 @@
+"""Fixtures and helpers of the operator tests."""
+
 import os
 import sys
 

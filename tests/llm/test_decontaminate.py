@@ -1,6 +1,6 @@
 import random
 
-from conftest import clashing
+from llm_fixtures import clashing, make  # noqa: F401
 
 from cohortlab.llm.decontaminate import clean, contaminated, item_words, shingles
 

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import clashing
+from llm_fixtures import clashing, make  # noqa: F401
 from pyspark.sql import functions as F
 
 from cohortlab.llm.language_id import KneserNey, build, fit, gram_keys, identify, letters

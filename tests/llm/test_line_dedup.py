@@ -2,7 +2,7 @@ import random
 import re
 from collections import Counter
 
-from conftest import clashing  # noqa: F401  (tests/llm/conftest.py)
+from llm_fixtures import clashing, make  # noqa: F401
 
 from cohortlab.llm import line_dedup
 from cohortlab.llm.line_dedup import remove_duplicate_lines

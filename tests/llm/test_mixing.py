@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import clashing
+from llm_fixtures import clashing, make  # noqa: F401
 
 from cohortlab.llm.mixing import mix, mixing_plan, water_fill, with_takes
 

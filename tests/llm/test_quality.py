@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from conftest import clashing
+from llm_fixtures import clashing, make  # noqa: F401
 from pyspark.sql import functions as F
 
 from cohortlab.llm import quality_model, quality_rules

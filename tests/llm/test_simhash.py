@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 import xxhash
-from conftest import clashing
+from llm_fixtures import clashing, make  # noqa: F401
 
 from cohortlab.llm.graph import component_labels
 from cohortlab.llm.simhash import block_links, fingerprint, keep_one, links, near_duplicates
