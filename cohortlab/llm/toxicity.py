@@ -35,7 +35,8 @@ IDENTITY_TERMS = {
 AXIS = {term: terms for terms in IDENTITY_TERMS.values() for term in terms}
 WORD = re.compile(r"\w+(?:-\w+)*")
 SENTENCE = re.compile(r"[.!?\n]+")
-STEM = 5
+STEMS = (3, 5, 7)  # letters of a word's beginnings
+MIN_GAIN = 3.5  # standard errors by which a feature's share of positives must differ from the base rate
 MAX_LABELLED = 20_000  # labelled rows that a fit uses at most
 MAX_FEATURES = 1024
 MIN_DOCS = 4
@@ -44,9 +45,9 @@ THRESHOLD = 0.3
 
 
 def text_features(text: str | None) -> set[str]:
-    """Words (lower-case) and, marked with ``^``, the first letters of longer words."""
+    """Words (lower-case) and, marked with ``^``, the beginnings of longer words."""
     found = set(WORD.findall(text.lower())) if text else set()
-    return found | {"^" + w[:STEM] for w in found if len(w) > STEM}
+    return found | {"^" + w[:n] for n in STEMS for w in found if len(w) > n}
 
 
 def swapped(sentence: str) -> list[tuple[str, str]]:
@@ -76,20 +77,22 @@ class ToxicityModel:
         return float(1.0 / (1.0 + np.exp(-np.clip(self.logit(text), -30, 30))))
 
 
-def fit_weights(rows: list[list[int]], labels: np.ndarray, pairs: list[tuple[list[int], list[int]]], n: int, tie: float = 5.0, ridge: float = 1e-3, steps: int = 300) -> tuple[np.ndarray, float]:
+def fit_weights(rows: list[list[int]], labels: np.ndarray, pairs: list[tuple[list[int], list[int]]], n: int, tie: float = 5.0, ridge: float = 3e-5, steps: int = 500, positive: float = 1.0) -> tuple[np.ndarray, float]:
     """Gradient descent (Adam, fixed start, so reruns agree) on the mean
-    logistic loss + ridge * |w|^2 + tie * mean squared score change of pairs."""
+    logistic loss (positive rows count ``positive`` times) + ridge * |w|^2 +
+    tie * mean squared score change of pairs."""
     flat = np.fromiter((f for r in rows for f in r), np.int64)
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     plus = np.fromiter((f for p, _ in pairs for f in p), np.int64)
     minus = np.fromiter((f for _, m in pairs for f in m), np.int64)
     at_plus = np.repeat(np.arange(len(pairs)), [len(p) for p, _ in pairs]) if pairs else plus
     at_minus = np.repeat(np.arange(len(pairs)), [len(m) for _, m in pairs]) if pairs else minus
+    share = np.where(labels > 0.5, positive, 1.0) / max(1.0, np.where(labels > 0.5, positive, 1.0).sum())
     w, bias = np.zeros(n), 0.0
     m1, m2 = np.zeros(n + 1), np.zeros(n + 1)
     for t in range(1, steps + 1):
         z = bias + np.bincount(at, w[flat], len(rows))
-        err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) / max(1, len(rows))
+        err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) * share
         g = np.bincount(flat, err[at], n) + 2 * ridge * w
         if pairs:
             change = np.bincount(at_plus, w[plus], len(pairs)) - np.bincount(at_minus, w[minus], len(pairs))
@@ -135,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, label_col: str = "to
     # signed root of chi-square: how far a feature's share of positives is from the base rate
     base = positive / total if total else 0.0
     gain = F.abs(F.col("pos") - F.col("n") * base) / F.sqrt(F.col("n") * max(base * (1 - base), 1e-9))
-    top = counts.filter(F.col("n") >= MIN_DOCS).orderBy(gain.desc(), "feature").limit(max_features).collect() if total else []
+    top = counts.filter((F.col("n") >= MIN_DOCS) & (gain >= MIN_GAIN)).orderBy(gain.desc(), "feature").limit(max_features).collect() if total else []
     vocabulary = {r["feature"]: i for i, r in enumerate(top)}
     for term in AXIS:
         for f in sorted(text_features(term)):
