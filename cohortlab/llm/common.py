@@ -49,10 +49,7 @@ def lower_ascii(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Words of a text: maximal runs without ASCII white space.  Null: none."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), "^" + WORD_SPLIT, "")
-    parts = F.split(trimmed, WORD_SPLIT)
-    # a trailing separator leaves one empty last part, an empty text one empty part
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), WORD_SPLIT), "")
 
 
 def n_words(text: Column) -> Column:
@@ -65,6 +62,19 @@ def id_remainder(doc_id: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def matching(df: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi", most: int = 2_000_000) -> DataFrame:
+    """Semi or anti join (null-safe) of a large frame with saved distinct
+    ``keys``.  Up to ``most`` keys, which are counted, are broadcast, so the
+    large frame stays where it is; beyond that Spark shuffles both sides."""
+    small = keys.select(*[F.col(c).alias(f"_key_{c}") for c in on])
+    if small.count() <= most:
+        small = F.broadcast(small)
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"_key_{c}"))
+    return df.join(small, same, how)
+
+
 def hide(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``df`` with its columns renamed to ``_in0``, ``_in1``, ..., and the new
     name of each: whatever the caller's columns are called, they can't clash

@@ -6,7 +6,8 @@ are ordered by rarity in the corpus; two lines of Jaccard similarity at least
 filter).  Lines that meet in a prefix word are dropped early by their lengths,
 by the positions of the word (how much overlap is still possible), and by a
 64-bit signature of the sets, of which each differing bit shows a word that is
-in one line only.  The rest is verified on the words.
+in one line only.  Pairs must meet in as many prefix words as similar sets are
+sure to share.  The rest is verified on the words.
 
 Equal lines are one row, with the position of the first.  Words that are rare
 enough have short posting lists, which are joined whole.  On frequent words,
@@ -22,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import hide, prepare, saved, show, words
+from cohortlab.llm.common import hide, matching, prepare, saved, show, words
 
 SIMILARITY = 0.8
 _BUCKETS = 1 << 18  # of word counts
@@ -57,68 +58,105 @@ def _code(h: Column, levels: Column) -> Column:
 
 
 def _lines(docs: DataFrame, *more: str) -> DataFrame:
-    """(id, line_no, h, line) of the lines that hold a word; h: 64-bit hash."""
+    """(id, place, line, h) of the lines that hold a word.  h is a 64-bit hash
+    of the line; place is the line number below 32 bits of the hash, so (id,
+    place) names a line even where rows share an id."""
     rows = docs.select("id", *more, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return rows.filter(F.rlike("line", F.lit("[^\\x20\\x09-\\x0D]"))).withColumn("h", F.xxhash64("line"))
+    rows = rows.filter(F.rlike("line", F.lit("[^\\x20\\x09-\\x0D]"))).withColumn("h", F.xxhash64("line"))
+    place = F.shiftleft("h", 32).bitwiseOR(F.col("line_no").cast("long"))
+    return rows.select("id", *more, place.alias("place"), "line", "h")
+
+
+def line_no(place: Column) -> Column:
+    return place.bitwiseAND(F.lit(0xFFFFFFFF))
 
 
 def _earlier(a: str, b: str) -> Column:
     """Line a stands before line b: by id (null first), then line number."""
     x, y = F.col(f"{a}.id"), F.col(f"{b}.id")
-    return (x < y) | (x.isNull() & y.isNotNull()) | (x.eqNullSafe(y) & (F.col(f"{a}.line_no") < F.col(f"{b}.line_no")))
+    before = line_no(F.col(f"{a}.place")) < line_no(F.col(f"{b}.place"))
+    return (x < y) | (x.isNull() & y.isNotNull()) | (x.eqNullSafe(y) & before)
 
 
 def _can_match(a: str, b: str, t: float) -> Column:
-    """Length, positional and signature filter for two prefix rows."""
-    n, m, i, j = (F.col(c) for c in (f"{a}.n", f"{b}.n", f"{a}.pos", f"{b}.pos"))
+    """Length, positional and signature filter for two prefix rows, whose
+    ``at`` is the number of words (upper half) and the word's position."""
+    n, m = (F.shiftrightunsigned(f"{x}.at", 32) for x in (a, b))
+    i, j = (F.col(f"{x}.at").bitwiseAND(F.lit(0xFFFFFFFF)) for x in (a, b))
     need = F.ceil((n + m) * (t / (1 + t)) - _EPS)
     length = F.least(n, m) >= F.greatest(n, m) * t - _EPS
-    position = F.least(n - i, m - j) + F.least(i, j) + 1 >= need
+    position = F.least(n - i, m - j) + F.least(i, j) >= need - 1
     signature = F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits"))) <= n + m - 2 * need
-    return length & position & signature
+    return length & signature & position
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
+    """(id, place) of the later lines of ``pairs`` (saved; id, place of the
+    later, e_id, e_place of the earlier line) whose word sets reach the
+    similarity.  Only lines that stand in a pair are fetched."""
+    ends = pairs.select("id", "place").unionByName(pairs.select(F.col("e_id").alias("id"), F.col("e_place").alias("place")))
+    lines = saved(matching(_lines(docs).select("id", "place", "line"), saved(ends.distinct()), ["id", "place"]).dropDuplicates(["id", "place"]))
+    p, x, y = pairs.alias("p"), lines.alias("x"), lines.alias("y")
+    both = p.join(x, F.col("p.id").eqNullSafe(F.col("x.id")) & (F.col("p.place") == F.col("x.place")))
+    both = both.join(y, F.col("p.e_id").eqNullSafe(F.col("y.id")) & (F.col("p.e_place") == F.col("y.place")))
+    both = both.select("p.id", "p.place", F.array_distinct(words(F.col("x.line"))).alias("a"), F.array_distinct(words(F.col("y.line"))).alias("b"))
+    shared = F.size(F.array_intersect("a", "b"))
+    return both.filter(shared >= (F.size("a") + F.size("b") - shared) * t - _EPS).select("id", "place").distinct()
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, t: float) -> DataFrame:
-    """h of the lines of ``pairs`` (h: later line, e: earlier) whose word sets
-    reach the similarity."""
-    tokens = F.array_distinct(words(F.col("line")))
-    mine = pairs.join(lines.select("h", "line"), "h").select("h", "e", F.col("line").alias("mine"))
-    both = mine.join(lines.select(F.col("h").alias("e"), "line"), "e").select("h", tokens.alias("x"), F.array_distinct(words(F.col("mine"))).alias("y"))
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.filter(shared >= (F.size("x") + F.size("y") - shared) * t - _EPS).select("h").distinct()
+def _prefix_length(n: Column, t: float) -> Column:
+    return n - F.ceil(n * t - _EPS) + 1
+
+
+def _sure_to_share(n: Column, m: Column, t: float) -> Column:
+    """How many prefix words two sets of n and m words at least share if they
+    reach the similarity: of the words that must be common, as many as the
+    prefixes are longer than what may differ."""
+    need = F.ceil((n + m) * (t / (1 + t)) - _EPS)
+    return F.least(_prefix_length(n, t) - (n - need), _prefix_length(m, t) - (m - need))
 
 
 def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` (id, text) -> one row per distinct line with a word: h, check
-    (a second hash), id and line_no of its first place, and ``near``: whether
-    an earlier, different line has at least ``similarity``."""
+    (a second hash), id and place of its first occurrence, and ``near``:
+    whether an earlier, different line has at least ``similarity``."""
     t = similarity
     levels = F.lit(rarity_levels(docs))
-    first = _lines(docs).groupBy("h").agg(F.min(F.struct("id", "line_no", "line")).alias("f"))
-    first = first.select("h", "f.id", "f.line_no", "f.line")
-    # a word as a number: its level above 56 bits of its hash, so that sorting is by rarity
+    number = line_no(F.col("place"))
+    first = _lines(docs).groupBy("h").agg(F.min(F.struct("id", number.alias("line_no"), "place", "line")).alias("f"))
+    first = first.select("h", "f.id", "f.place", "f.line")
     codes = F.transform(F.transform(words(F.col("line")), lambda w: F.xxhash64(w)), lambda h: _code(h, levels))
     sets = first.withColumn("check", F.xxhash64(F.lit(1), "line")).withColumn("codes", F.sort_array(F.array_distinct(codes))).withColumn("n", F.size("codes"))
     bits = F.aggregate("codes", F.lit(0).cast("long"), lambda a, c: a.bitwiseOR(_shifted(F.lit(1), c.bitwiseAND(F.lit(63)))))
-    prefix = F.slice("codes", F.lit(1), (F.col("n") - F.ceil(F.col("n") * t - _EPS) + 1).cast("int"))
-    sets = saved(sets.select("h", "check", "id", "line_no", "n", bits.alias("bits"), prefix.alias("prefix")))
-    rows = sets.select("h", "id", "line_no", "n", "bits", F.posexplode("prefix").alias("pos", "c"))
+    prefix = F.slice("codes", F.lit(1), _prefix_length(F.col("n"), t).cast("int"))
+    sets = saved(sets.select("h", "check", "id", "place", "n", bits.alias("bits"), prefix.alias("prefix")))
+    rows = sets.select("id", "place", "n", "bits", F.posexplode("prefix").alias("pos", "c"))
+    rows = rows.select("c", "id", "place", _shifted(F.col("n"), F.lit(32)).bitwiseOR((F.col("pos") + 1).cast("long")).alias("at"), "bits")
     border = F.lit(int(_level(_HEAVY)) << 56)
     light, heavy = rows.filter(F.col("c") < border), rows.filter(F.col("c") >= border)
 
-    def pairs(later: DataFrame, earlier: DataFrame) -> DataFrame:
+    def met(later: DataFrame, earlier: DataFrame) -> DataFrame:
         a, b = later.alias("a"), earlier.alias("b")
-        return a.join(b, (F.col("a.c") == F.col("b.c")) & _earlier("b", "a") & _can_match("a", "b", t)).select(F.col("a.h").alias("h"), F.col("b.h").alias("e"))
-
-    # frequent words: the earliest line of each posting list
-    leaders = heavy.groupBy("c").agg(F.min(F.struct("id", "line_no", "h", "n", "bits", "pos")).alias("l")).select("c", "l.*")
-    lines = _lines(docs).groupBy("h").agg(F.min(F.struct("id", "line_no", "line")).alias("f")).select("h", F.col("f.line").alias("line"))
-    settled = saved(_verified(saved(pairs(heavy, leaders).distinct()), lines, t))
-    open_rows = heavy.join(settled, "h", "left_anti")
-    rest = pairs(light, light).unionByName(pairs(open_rows, heavy)).distinct().join(settled, "h", "left_anti")
-    found = settled.unionByName(_verified(saved(rest), lines, t))
-    near = found.distinct().withColumn("near", F.lit(True))
-    return sets.select("h", "check", "id", "line_no").join(near, "h", "left").withColumn("near", F.coalesce("near", F.lit(False)))
+        found = a.join(b, (F.col("a.c") == F.col("b.c")) & _can_match("a", "b", t) & _earlier("b", "a"))
+        n, m = F.shiftrightunsigned("a.at", 32), F.shiftrightunsigned("b.at", 32)
+        return found.select("a.id", "a.place", F.col("b.id").alias("e_id"), F.col("b.place").alias("e_place"), _sure_to_share(n, m, t).alias("sure"))
+
+    def pairs(meetings: DataFrame, share: float = 1.0) -> DataFrame:
+        """Pairs that meet in as many words as they are sure to share."""
+        counted = meetings.groupBy("id", "place", "e_id", "e_place").agg(F.count(F.lit(1)).alias("k"), F.first("sure").alias("sure"))
+        return counted.filter(F.col("k") >= F.col("sure") * share).select("id", "place", "e_id", "e_place")
+
+    # frequent words: the earliest line of each posting list; pairs that meet in few of them are left to the full join
+    leaders = heavy.groupBy("c").agg(F.min(F.struct("id", line_no(F.col("place")).alias("line_no"), "place", "at", "bits")).alias("l"))
+    leaders = leaders.select("c", "l.id", "l.place", "l.at", "l.bits")
+    settled = saved(_verified(saved(pairs(met(heavy, leaders), 0.5)), docs, t))
+    still_open = matching(heavy, settled, ["id", "place"], "left_anti")
+    rest = matching(met(light, light), settled, ["id", "place"], "left_anti").unionByName(met(still_open, heavy))
+    rest = pairs(rest)
+    near = settled.unionByName(_verified(saved(rest), docs, t)).distinct()
+    near = near.select(F.col("id").alias("near_id"), F.col("place").alias("near_place"))
+    same = F.col("id").eqNullSafe(F.col("near_id")) & (F.col("place") == F.col("near_place"))
+    return sets.select("h", "check", "id", "place").join(near, same, "left").select("h", "check", "id", "place", F.col("near_place").isNotNull().alias("near"))
 
 
 def remove_duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -138,10 +176,10 @@ def remove_duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY, id_c
     own = docs.select(F.col(names[id_col]).alias("id"), F.col(names[text_col]).alias("text"))
     known = saved(duplicate_lines(own, similarity))
     mark = F.xxhash64("text").alias("mark")
-    places = _lines(own.select("id", "text", mark), "mark").select("id", "mark", "line_no", "h", F.xxhash64(F.lit(1), "line").alias("check"))
+    places = _lines(own.select("id", "text", mark), "mark").select("id", "mark", "place", "h", F.xxhash64(F.lit(1), "line").alias("check"))
     a, b = places.alias("a"), known.alias("b")
     gone = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.check") == F.col("b.check")) & (F.col("b.near") | _earlier("b", "a")))
-    gone = saved(gone.groupBy("a.id", "a.mark").agg(F.sort_array(F.collect_set("a.line_no")).alias("gone")))
+    gone = saved(gone.groupBy("a.id", "a.mark").agg(F.collect_set(line_no(F.col("a.place")).cast("int")).alias("gone")))
     text = F.col(names[text_col])
     same = F.col(names[id_col]).eqNullSafe(F.col("id")) & (F.col("own_mark") == F.col("mark"))
     joined = docs.withColumn("own_mark", F.xxhash64(text)).join(gone, same, "left")
