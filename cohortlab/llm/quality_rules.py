@@ -28,16 +28,10 @@ _FIRST_BIN = 33  # bins are written as the characters from "!" on
 CLASSES = {"lower": "\\p{Ll}+", "space": "[\\x20\\x09-\\x0D]+", "upper": "\\p{Lu}+", "digit": "\\p{Nd}+", "stop": "[.,;:'\"()-]+", "mark": "[!?]+", "symbol": "[#*$%&|<>]+"}
 
 
-def counts(text: Column, own_words: Column) -> dict[str, Column]:
-    """n_words, word_chars, n_symbols and n_dup_lines; null text: zeros."""
-    t = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.split(t, "\n"), lambda x: F.rlike(x, F.lit("[^\\x20\\x09-\\x0D]")))
-    return {
-        "n_words": F.size(own_words).cast("long"),
-        "word_chars": F.length(F.translate(t, " \t\n\x0b\x0c\r", "")).cast("long"),
-        "n_symbols": (F.length(t) - F.length(F.translate(t, "#*$%&|<>", ""))).cast("long"),
-        "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
-    }
+def repeated_lines(text: Column) -> Column:
+    """Lines with a word that are equal to an earlier line."""
+    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.rlike(x, F.lit("[^\\x20\\x09-\\x0D]")))
+    return (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
 
 
 def window_hashes(own_words: str) -> Column:
@@ -46,17 +40,18 @@ def window_hashes(own_words: str) -> Column:
     return F.expr(f"if(size({own_words}) < 3, cast(array() as array<bigint>), transform(arrays_zip({parts}), z -> xxhash64(z['0'], z['1'], z['2'])))")
 
 
-def repeated_words(hashes: str) -> Column:
-    """Words in 3-word windows found twice or more, each word once.
+def with_repeated_words(df: DataFrame, hashes: str, name: str) -> DataFrame:
+    """``df`` with ``name``: words in 3-word windows found twice or more, each
+    word once.
 
-    Most texts have no window twice; that shows in the number of distinct
+    Many texts have no window twice; that shows in the number of distinct
     hashes.  Else the windows are sorted with their positions, those with an
     equal neighbour are taken, and the positions they cover are counted."""
-    placed = f"sort_array(transform({hashes}, (h, i) -> struct(h as h, i as i)))"
-    twice = f"filter(arrays_zip(slice({placed}, 1, size({hashes}) - 1), slice({placed}, 2, size({hashes}) - 1)), z -> z['0'].h = z['1'].h)"
+    placed = f"if(size(array_distinct({hashes})) < size({hashes}), sort_array(transform({hashes}, (h, i) -> struct(h as h, i as i))), null)"
+    twice = "filter(arrays_zip(slice(_placed, 1, size(_placed) - 1), slice(_placed, 2, size(_placed) - 1)), z -> z['0'].h = z['1'].h)"
     starts = f"array_distinct(flatten(transform({twice}, z -> array(z['0'].i, z['1'].i))))"
     covered = f"array_distinct(flatten(transform({starts}, i -> array(i, i + 1, i + 2))))"
-    return F.expr(f"if(size(array_distinct({hashes})) = size({hashes}), 0L, cast(size({covered}) as bigint))")
+    return df.withColumn("_placed", F.expr(placed)).withColumn(name, F.expr(f"if(_placed is null, 0L, cast(size({covered}) as bigint))"))
 
 
 def js_distance(p: list[Column], q: list[Column]) -> Column:
@@ -133,11 +128,14 @@ def judge(docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE, max_w
     df = df.withColumn("_hashes", window_hashes("_words"))
     whole = F.create_map(*[F.lit(x) for pair in overall["words"].items() for x in pair]) if overall["words"] else F.create_map().cast("map<string,string>")
     rare = chr(_FIRST_BIN + COMMON_WORDS)
-    df = df.withColumns(counts(F.col(text_col), F.col("_words")) | {"_bins": F.coalesce("_bins", whole), "n_repeat_words": repeated_words("_hashes")})
+    df = with_repeated_words(df, "_hashes", "n_repeat_words").withColumns({"_bins": F.coalesce("_bins", whole), "n_words": F.size("_words").cast("long"), "n_dup_lines": repeated_lines(F.col(text_col))})
     # one character per word: its bin
     df = df.withColumn("_drawn", F.array_join(F.transform("_words", lambda w: F.coalesce(F.element_at("_bins", w), F.lit(rare))), ""))
     df = with_class_counts(df, text_col)
-    n, chars = F.col("n_words").cast("double"), F.greatest(F.length(text_col), F.lit(1)).cast("double")
+    # the classes are disjoint, so two of the counts are among theirs
+    length = F.coalesce(F.length(text_col), F.lit(0))
+    df = df.withColumns({"word_chars": (length - F.col("_c_space")).cast("long"), "n_symbols": F.col("_c_symbol").cast("long")})
+    n, chars = F.col("n_words").cast("double"), F.greatest(length, F.lit(1)).cast("double")
     drawn = [(F.length("_drawn") - F.length(F.replace("_drawn", F.lit(chr(_FIRST_BIN + i)), F.lit("")))) / n for i in range(COMMON_WORDS + 1)]
     classes = [F.col(f"_c_{c}") / chars for c in (*CLASSES, "other")]
 
