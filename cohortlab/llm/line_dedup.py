@@ -99,9 +99,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
     p, x, y = pairs.alias("p"), lines.alias("x"), lines.alias("y")
     both = p.join(x, F.col("p.id").eqNullSafe(F.col("x.id")) & (F.col("p.place") == F.col("x.place")))
     both = both.join(y, F.col("p.e_id").eqNullSafe(F.col("y.id")) & (F.col("p.e_place") == F.col("y.place")))
-    both = both.select("p.id", "p.place", F.array_distinct(words(F.col("x.line"))).alias("a"), F.array_distinct(words(F.col("y.line"))).alias("b"))
-    shared = F.size(F.array_intersect("a", "b"))
-    return both.filter(shared >= (F.size("a") + F.size("b") - shared) * t - _EPS).select("id", "place").distinct()
+    # as arguments of a higher-order function, the word sets and what they share are made once a pair
+    sets = F.struct(*[F.array_distinct(words(F.col(f"{z}.line"))).alias(z) for z in ("x", "y")])
+    sizes = F.transform(F.array(sets), lambda z: F.struct(F.size(F.array_intersect(z["x"], z["y"])).alias("k"), (F.size(z["x"]) + F.size(z["y"])).alias("n")))
+    reached = F.exists(sizes, lambda z: z["k"] >= (z["n"] - z["k"]) * t - _EPS)
+    return both.filter(reached).select("p.id", "p.place").distinct()
 
 
 def _prefix_length(n: Column, t: float) -> Column:
