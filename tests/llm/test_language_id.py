@@ -7,6 +7,7 @@ from llm_fixtures import clashing, make  # noqa: F401
 from pyspark.sql import functions as F
 
 from cohortlab.llm.language_id import KneserNey, build, fit, gram_keys, identify, letters
+from cohortlab.llm.language_id import StoredModel
 
 SYLLABLES = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["schr", "ein", "ung", "eit"], "cc": ["ção", "é", "lh", "as"]}
 
@@ -62,3 +63,33 @@ def test_edge_cases(make):
     nothing = fit(make([(1, "abc", None)]), F.lit(True))
     assert nothing.languages == [] and identify(make([(1, "abc")]), nothing).first().lang_pred == "und"
     assert fit(make([]), F.lit(True)).languages == [] and identify(make([]), model).count() == 0
+
+
+def test_every_gram_and_language_is_kept(make):
+    rnd = random.Random(11)
+    names = [f"l{i:02d}" for i in range(70)]  # each language of letters of its own
+    rows = [(i, " ".join("".join(rnd.choices(list(map(chr, range(0x4E00 + 40 * k, 0x4E28 + 40 * k))), k=5)) for _ in range(6 if k else 400)), n) for i, (k, n) in enumerate([*enumerate(names), (0, names[0])])]
+    model = fit(make(rows), F.lit(True))
+    assert model.languages == names and np.isfinite(model.limits).all()
+    assert [r.lang_pred for r in identify(make([r[:2] for r in rows[:70]]), model).orderBy("doc_id").collect()] == names
+
+
+def test_model_in_tables_equals_the_held_one(make):
+    rows = corpus(60)
+    df = make([*rows, rows[0], (900, None), (901, "12 %"), (902, "Ka zzz, éin"), (903, "x")])
+    learn = F.col("doc_id") < 60
+    held = fit(df, learn)
+    for size in (300,):  # workers hold a few grams
+        stored = fit(df, learn, max_bytes=size)
+        assert isinstance(stored, StoredModel) and stored.languages == held.languages
+        assert np.allclose(stored.limits, held.limits, atol=1e-5)
+        a, b = (sorted((r.doc_id, r.lang_pred, round(r.score, 4), r.rejected) for r in identify(df, m).collect()) for m in (held, stored))
+        assert a == b
+
+
+def test_limits_come_from_all_learned_texts(make):
+    rows = [(i, "ka lo mi tu " * 3, "aa") for i in range(2_500)]
+    rows += [(5_000 + i, "schrein einung eitein schr " + "ab"[i % 2] * 3, "bb") for i in range(3)]
+    model = fit(make(rows), F.lit(True))
+    texts = [letters(r[1]) for r in rows if r[2] == "bb"]
+    assert model.limits[1] == pytest.approx(model.own_entropies(texts, 1).max())
