@@ -21,8 +21,8 @@ MAX_CLASS_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.42
 MIN_WORDS_FOR_HISTOGRAM = 100
 COMMON_WORDS = 20
-MAX_LANGUAGES = 64  # languages with a reference, those with most words
-MIN_REFERENCE_WORDS = 1_000
+MIN_REFERENCE_WORDS = 1_000  # words from which on a language has a reference of its own
+BROADCAST_REFERENCES = 20_000  # references, of about 1 KB each, that are broadcast at most
 _FIRST_BIN = 33  # bins are written as the characters from "!" on
 #: Character classes in the order in which they are taken out of a text.
 CLASSES = {"lower": "\\p{Ll}+", "space": "[\\x20\\x09-\\x0D]+", "upper": "\\p{Lu}+", "digit": "\\p{Nd}+", "stop": "[.,;:'\"()-]+", "mark": "[!?]+", "symbol": "[#*$%&|<>]+"}
@@ -76,28 +76,37 @@ def with_class_counts(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("_c_other", F.length(f"_left{last}").cast("double")).drop(*[f"_left{i}" for i in range(last + 1)])
 
 
-def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[dict]:
-    """References of the ``MAX_LANGUAGES`` languages with most words, and of
-    all texts together (lang None): shares of the classes, the common words
-    (most frequent first, ties by code point) and their shares.  Counts cover
-    the whole corpus; only the common words reach the driver."""
-    own = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    sums = saved(with_class_counts(own, "text").groupBy("lang").agg(*[F.sum(f"_c_{c}").alias(c) for c in (*CLASSES, "other")]))
+def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, dict]:
+    """References of all languages with ``MIN_REFERENCE_WORDS`` words (a row
+    each: _lang, _classes, _bins, _common), and that of all texts together:
+    shares of the classes, the common words (most frequent first, ties by code
+    point) and their shares.  Counts cover the whole corpus; only the common
+    words of all texts reach the driver."""
+    own = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    names = [*CLASSES, "other"]
+    sums = saved(with_class_counts(own, "text").groupBy("lang").agg(*[F.sum(f"_c_{c}").alias(c) for c in names]))
     counted = saved(own.select("lang", F.explode(words(F.col("text"))).alias("w")).groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")))
-    sizes = counted.filter("lang is not null").groupBy("lang").agg(F.sum("n").alias("words")).filter(F.col("words") >= MIN_REFERENCE_WORDS)
-    chosen = [r["lang"] for r in sizes.orderBy(F.desc("words"), "lang").limit(MAX_LANGUAGES).collect()]
-    out = []
-    for lang in [*chosen, None]:
-        same = F.lit(True) if lang is None else F.col("lang") == lang
-        classes = sums.filter(same).agg(*[F.sum(c).alias(c) for c in (*CLASSES, "other")]).first()
-        total = sum(x or 0.0 for x in classes)
-        by_word = counted.filter(same)
-        n = by_word.agg(F.sum("n")).first()[0] or 0
-        top = by_word.groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(COMMON_WORDS).collect()
-        shares = [r["n"] / n for r in top] + [0.0] * (COMMON_WORDS - len(top))
-        rest = (n - sum(r["n"] for r in top)) / n if n else 0.0
-        out.append({"lang": lang, "classes": [(x or 0.0) / total if total else 0.0 for x in classes], "words": {r["w"]: chr(_FIRST_BIN + i) for i, r in enumerate(top)}, "common": [*shares, rest]})
-    return out
+    named = counted.filter("lang is not null")
+    sizes = named.groupBy("lang").agg(F.sum("n").alias("words")).filter(F.col("words") >= MIN_REFERENCE_WORDS)
+    # Spark cuts to the first ranks in each task before it shuffles
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "w")
+    top = named.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= COMMON_WORDS)
+    top = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "w", "n"))).alias("top"), F.sum("n").alias("found"))
+    total = reduce(lambda x, y: x + y, [F.col(c) for c in names])
+    known = top.join(sizes, "lang").join(sums.filter("lang is not null"), "lang").select(
+        F.col("lang").alias("_lang"),
+        F.array(*[F.col(c) / total for c in names]).alias("_classes"),
+        F.expr(f"map_from_entries(transform(top, x -> struct(x.w, char({_FIRST_BIN - 1} + x.rank))))").alias("_bins"),
+        F.expr(f"concat(transform(top, x -> x.n / words), array_repeat(0D, {COMMON_WORDS} - size(top)), array((words - found) / words))").alias("_common"),
+    )
+    classes = sums.agg(*[F.sum(c).alias(c) for c in names]).first()
+    chars = sum(x or 0.0 for x in classes)
+    n = counted.agg(F.sum("n")).first()[0] or 0
+    most = counted.groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(COMMON_WORDS).collect()
+    shares = [r["n"] / n for r in most] + [0.0] * (COMMON_WORDS - len(most))
+    rest = (n - sum(r["n"] for r in most)) / n if n else 0.0
+    overall = {"classes": [(x or 0.0) / chars if chars else 0.0 for x in classes], "words": {r["w"]: chr(_FIRST_BIN + i) for i, r in enumerate(most)}, "common": [*shares, rest]}
+    return saved(known), overall
 
 
 def judge(docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE, min_words: int = MIN_WORDS, max_repeated: int = MAX_REPEATED, min_histogram: int = MIN_WORDS_FOR_HISTOGRAM, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -109,21 +118,19 @@ def judge(docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE, max_w
     percent of them in repeated 3-word windows.  kept: not base_failed and,
     for texts of at least ``min_histogram`` words, both distances to the
     reference of their language within their limits (below that length the
-    distances are given but don't count).  A null or rare language is compared
-    with the reference of all texts.  Null, empty and word-less texts fail the
+    distances are given but don't count).  A null language and one of fewer than
+    ``MIN_REFERENCE_WORDS`` words are compared with the reference of all texts.  Null, empty and word-less texts fail the
     base rule and have distances of null.  Repeated rows are judged alike; an
     empty table gives no rows.
     """
-    spark = prepare(docs.sparkSession)
-    made = references(docs, text_col, lang_col)
+    prepare(docs.sparkSession)
+    known, overall = references(docs, text_col, lang_col)
+    if known.count() <= BROADCAST_REFERENCES:
+        known = F.broadcast(known)
     df, names = hide(docs)
     text_col, lang_col = names[text_col], names[lang_col]
-    overall = made[-1]
-    rows = [(r["lang"], r["classes"], r["words"], r["common"]) for r in made[:-1]]
-    known = spark.createDataFrame(rows, "_lang string, _classes array<double>, _bins map<string,string>, _common array<double>")
     results = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept")
-    # at most MAX_LANGUAGES small rows
-    df = df.withColumn("_key", F.col(lang_col).cast("string")).join(F.broadcast(known), F.col("_key") == F.col("_lang"), "left")
+    df = df.withColumn("_key", F.col(lang_col).cast("string")).join(known, F.col("_key") == F.col("_lang"), "left")
     df = df.withColumn("_words", words(F.col(text_col)))
     df = df.withColumn("_hashes", window_hashes("_words"))
     whole = F.create_map(*[F.lit(x) for pair in overall["words"].items() for x in pair]) if overall["words"] else F.create_map().cast("map<string,string>")

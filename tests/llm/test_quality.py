@@ -92,3 +92,18 @@ def test_divergence_keeps_clean_and_drops_strange_texts(make):
     assert got[103][0] and got[103][1] > quality_rules.MAX_CLASS_DISTANCE  # too short to be judged by it
     assert all(0 <= d <= 1 for g in got.values() for d in g[1:])
     assert quality_rules.judge(make([])).count() == 0
+
+
+def test_every_language_has_a_reference_of_its_own(make, monkeypatch):
+    rnd = random.Random(12)
+
+    def text(letters, k=200):
+        return " ".join("".join(rnd.choices(letters, k=5)) for _ in range(k))
+
+    rows = [(i, text("abcdefghijklm"), f"l{i % 69:02d}") for i in range(6 * 69)]
+    rows += [(1_000 + i, text("ABCDEFGHIJKLM"), "small") for i in range(5)] + [(2_000, text("ABCDEFGHIJKLM"), "rare"), (2_001, text("ABCDEFGHIJKLM"), None)]
+    for most in (20_000, 3):  # broadcast and not
+        monkeypatch.setattr(quality_rules, "BROADCAST_REFERENCES", most)
+        got = {r.doc_id: r.kept for r in quality_rules.judge(make(rows)).collect()}
+        assert len(got) == len(rows) and all(got[i] for i in got if i < 2_000)
+        assert not got[2_000] and not got[2_001]  # compared with all texts
