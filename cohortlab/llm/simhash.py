@@ -151,6 +151,14 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
     return src.mapInPandas(run, "doc_id string, fp long").withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
+def labelled(prints: DataFrame, radius: int, tile: int) -> DataFrame:
+    """(fp, least, label of the component) from rows (fp, least) of distinct
+    fingerprints."""
+    prints = saved(prints)
+    labels = component_labels(links(prints.select("fp"), radius, tile))
+    return saved(prints.join(labels, prints["fp"] == labels["u"], "left").select("fp", "least", F.coalesce("label", "fp").alias("label")))
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, tile: int = TILE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint as 16 hex digits, component_id) for every row.
 
@@ -162,20 +170,27 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     Empty table: no rows.  Columns other than id and text are not read.
     """
     docs = saved(fingerprints(docs, shingle, id_col, text_col))
-    prints = saved(docs.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    labels = component_labels(links(prints.select("fp"), radius, tile))
-    classes = saved(prints.join(labels, prints["fp"] == labels["u"], "left").select("fp", "least", F.coalesce("label", "fp").alias("label")))
+    classes = labelled(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), radius, tile)
     smallest = classes.groupBy("label").agg(F.min("least").alias("component_id"))
     by_print = saved(classes.join(smallest, "label").select("fp", "component_id"))
     out = docs.join(by_print, "fp")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, tile: int = TILE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each near-duplicate group: the one with
-    the smallest id (of rows that share that id, one)."""
-    found = near_duplicates(docs, radius, shingle, id_col=id_col, text_col=text_col)
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
+    the smallest id, null ids last, and of those the one with the smallest md5
+    of its text (of rows that share both, one).  Groups are told by their
+    component, not by an id, so each keeps its document if ids are null or
+    used again."""
+    kind = docs.schema[id_col].dataType
+    marked = docs.select(F.to_json(F.struct(F.col(id_col).cast("string").alias("i"), F.md5(text_col).alias("m"))).alias("doc_id"), F.col(text_col).alias("text"))
+    prints = saved(fingerprints(marked, shingle)).select("fp", F.from_json("doc_id", "i string, m string").alias("d"))
+    own_id = F.col("d.i").cast(kind)
+    first = F.min(F.struct(own_id.isNull().alias("nameless"), own_id.alias("i"), F.col("d.m").alias("m")))
+    classes = labelled(prints.groupBy("fp").agg(first.alias("least")), radius, tile)
+    keep = classes.groupBy("label").agg(F.min("least").alias("least")).select(F.col("least.i").alias("_keep"), F.col("least.m").alias("_keep_mark"))
     docs, names = hide(docs)
-    kept = docs.join(keep, F.col(names[id_col]).eqNullSafe(F.col("_keep")), "left_semi")
-    return show(kept.dropDuplicates([names[id_col]]), names)
+    docs = docs.withColumn("_mark", F.md5(names[text_col]))
+    kept = docs.join(keep, F.col(names[id_col]).eqNullSafe(F.col("_keep")) & F.col("_mark").eqNullSafe(F.col("_keep_mark")), "left_semi")
+    return show(kept.dropDuplicates([names[id_col], "_mark"]), names)

@@ -109,3 +109,12 @@ def test_near_duplicates_against_brute_force(make):
     kept = keep_one(clashing(make(rows), "fp", "_keep")).collect()
     assert sorted(r.doc_id for r in kept) == sorted(set(least.values()))
     assert near_duplicates(make([])).count() == 0 and keep_one(make([])).count() == 0
+
+
+def test_groups_with_null_or_reused_ids_keep_their_document(make):
+    rnd = random.Random(21)
+    texts = [" ".join("".join(rnd.choices("abcdefghij", k=6)) for _ in range(60)) for _ in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (None, texts[4]), (9, texts[4]), (3, texts[5]), (4, texts[5])]
+    got = [(r.doc_id, r.text) for r in keep_one(make(rows)).collect()]
+    want = [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (9, texts[4]), (3, texts[5])]
+    assert sorted(got, key=str) == sorted(want, key=str)
