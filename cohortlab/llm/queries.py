@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortlab.llm import decontaminate, html_extract, language_id, line_dedup, mixing, quality_model, quality_rules, simhash, toxicity, url_filter
+from cohortlab.llm import byte_bpe, decontaminate, html_extract, language_id, line_dedup, merkle, mixing, quality_model, quality_rules, simhash, spelling, toxicity, url_filter
 from cohortlab.llm.common import id_remainder, n_words, prepare, table
 
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -230,6 +230,110 @@ FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
 JOIN units ON d.source IS NOT DISTINCT FROM units.source AND d.k = units.k
 """
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    seen = {"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    return merkle.merkle_manifest(docs, observed=seen).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+#: The table of crc32 by bytes, and crc32 of a list of bytes by it.
+CRC_TABLE = "SELECT list(" + "case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end ORDER BY i) AS t FROM " + "(SELECT i, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end AS c FROM " * 7 + "(SELECT i, i AS c FROM range(256) r(i))" + ")" * 7
+
+
+def _crc32(byte_list: str) -> str:
+    return f"xor(list_reduce({byte_list}, lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295)"
+
+
+def _framed(column: str) -> str:
+    return f"coalesce(strlen({column}::VARCHAR) || ':' || {column}::VARCHAR, '-')"
+
+
+#: Levels of the trees and then the paths, upwards, one step of the recursion a level.
+OP11_SQL = f"""
+WITH RECURSIVE crc AS ({CRC_TABLE}), d AS (
+  SELECT doc_id, lang, sha256({" || ".join(map(_framed, merkle.FIELDS))}) AS leaf,
+         sha256({" || ".join(_framed("seen_chars" if f == "n_chars" else f) for f in merkle.FIELDS)}) AS seen
+  FROM (SELECT *, CASE WHEN {_crc32("list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)")} % 7 = 0
+                       THEN n_chars + 1 ELSE n_chars END AS seen_chars FROM documents, crc)
+), g AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) AS k FROM (SELECT DISTINCT lang FROM d)
+), leaves AS (
+  SELECT k, doc_id, leaf, seen, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY k) AS total
+  FROM d JOIN g ON d.lang IS NOT DISTINCT FROM g.lang
+), nodes AS (
+  SELECT k, 0 AS lvl, pos, leaf AS node, total FROM leaves
+  UNION ALL
+  SELECT k, lvl + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (total + 1) // 2 FROM nodes WHERE total > 1 GROUP BY k, lvl, pos // 2, total
+), tops AS (
+  SELECT k - 1 AS pos, node, k, count(*) OVER () AS total FROM nodes WHERE total = 1
+), upper AS (
+  SELECT 0 AS lvl, pos, node, total FROM tops
+  UNION ALL
+  SELECT lvl + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (total + 1) // 2 FROM upper WHERE total > 1 GROUP BY lvl, pos // 2, total
+), walk AS (
+  SELECT k, pos AS leaf_pos, lvl, pos, total, seen AS node, '' AS proof FROM (SELECT k, 0 AS lvl, pos, total, seen FROM leaves)
+  UNION ALL
+  SELECT w.k, leaf_pos, w.lvl + 1, w.pos // 2, (w.total + 1) // 2,
+         sha256(CASE WHEN w.pos % 2 = 1 THEN coalesce(n.node, '') || w.node ELSE w.node || coalesce(n.node, '') END), proof || coalesce(n.node, '')
+  FROM walk w LEFT JOIN nodes n ON n.k = w.k AND n.lvl = w.lvl AND n.pos = xor(w.pos, 1) WHERE w.total > 1
+), walk_up AS (
+  SELECT w.k, leaf_pos, 0 AS lvl, t.pos, t.total, w.node, w.proof FROM walk w JOIN tops t ON t.k = w.k WHERE w.total = 1
+  UNION ALL
+  SELECT w.k, leaf_pos, w.lvl + 1, w.pos // 2, (w.total + 1) // 2,
+         sha256(CASE WHEN w.pos % 2 = 1 THEN coalesce(n.node, '') || w.node ELSE w.node || coalesce(n.node, '') END), proof || coalesce(n.node, '')
+  FROM walk_up w LEFT JOIN upper n ON n.lvl = w.lvl AND n.pos = xor(w.pos, 1) WHERE w.total > 1
+), root AS (SELECT node AS root FROM upper WHERE total = 1)
+SELECT doc_id, leaf, t.node AS subroot, root, sha256(proof) AS proof_sha256, w.node AS folded_root, w.node = root AS verified
+FROM leaves l JOIN walk_up w ON w.k = l.k AND w.leaf_pos = l.pos AND w.total = 1 JOIN tops t ON t.k = l.k, root
+"""
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), drop_every=199)
+    return spelling.spelling_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+#: Near words by the word without one code point: two words have it in common at the same place, or it is the other word.
+OP12_SQL = f"""
+WITH RECURSIVE crc AS ({CRC_TABLE}), runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY 1, 2
+), hashed AS (
+  SELECT run, n, {_crc32("flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195::BIGINT, unicode(x)::BIGINT - 64] END))")} AS h
+  FROM runs, crc
+), vocabulary AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= {spelling.MIN_LENGTH} AND sum(n) >= {spelling.MIN_COUNT}
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS k FROM (SELECT word, n, unnest(range(length(word))) AS i FROM vocabulary)
+), near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.k = b.k AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, v.word, v.n FROM cut c JOIN vocabulary v ON c.k = v.word
+  UNION SELECT v.word, c.word, c.n FROM cut c JOIN vocabulary v ON c.k = v.word
+), ranked AS (
+  SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS r FROM near
+), forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= {spelling.RATIO} * v.n THEN near END AS form, CASE WHEN near_n >= {spelling.RATIO} * v.n THEN near_n END AS form_n
+  FROM vocabulary v LEFT JOIN (SELECT * FROM ranked WHERE r = 1) x ON v.word = x.word
+), chain AS (
+  SELECT word, word AS root, 0 AS steps FROM forms
+  UNION ALL
+  SELECT c.word, f.form, steps + 1 FROM chain c JOIN forms f ON c.root = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, form, root, n, n_near, form_n FROM forms f JOIN (SELECT word, arg_max(root, steps) AS root FROM chain GROUP BY word) r ON f.word = r.word
+"""
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = byte_bpe.encode_documents(docs, path, pattern).select("doc_id", "n_tokens", "ids")
+    coded = byte_bpe.decode_documents(coded, path, pattern)
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_line_dedup": op2_line_dedup,
@@ -241,6 +345,9 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_main_text": op9_main_text,
     "op10_mix_sources": op10_mix_sources,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_byte_bpe": op13_byte_bpe,
     "pipeline": corpus_pipeline.run,
 }
-SQL = {"op1_url_filter": OP1_SQL, "op2_line_dedup": OP2_SQL, "op7_quality_rules": OP7_SQL, "op8_decontaminate": OP8_SQL, "op10_mix_sources": OP10_SQL}
+SQL = {"op1_url_filter": OP1_SQL, "op2_line_dedup": OP2_SQL, "op7_quality_rules": OP7_SQL, "op8_decontaminate": OP8_SQL, "op10_mix_sources": OP10_SQL, "op11_merkle_manifest": OP11_SQL, "op12_spelling_variants": OP12_SQL}
