@@ -18,6 +18,7 @@ from cohortlab.functions.expr import div, plain, rnd, rnd_pct, shown, week_key
 from cohortlab.functions.stats import normal_p_udf, significance_label, student_t_p_udf, z_verdict
 from cohortlab.plans.facts import user_bookings
 from cohortlab.plans.scale import with_scalars
+from cohortlab.plans.selection import selected_quantiles
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy
 
 CONTROL, TREATMENT = "control", "treatment"
@@ -223,17 +224,16 @@ def time_to_conversion(experiments: DataFrame) -> DataFrame:
     """X10 — per group over converted units: count, mean and exact median of
     days_to_conversion (1 dp).
 
-    Spark's exact ``median`` keeps one counter per distinct value of the
-    group; days between two dates of the observed span are a bounded domain
-    (a few thousand values at most), so its state stays small however many
-    units convert.  Wide-domain quantiles use
-    :func:`cohortlab.plans.scale.exact_quantiles` instead."""
+    The median is selected by histograms (:func:`selected_quantiles`): its
+    state is one histogram a pass and group, whatever the values' domain."""
     conv = experiments.filter(F.col("converted"))
-    return conv.groupBy("experiment_group").agg(
+    stats = conv.groupBy("experiment_group").agg(
         F.count(F.lit(1)).alias("converted_users"),
         rnd(F.avg(F.col("days_to_conversion").cast("double")), 1).alias("avg_days_to_conversion"),
-        rnd(F.median(F.col("days_to_conversion").cast("double")), 1).alias("median_days_to_conversion"),
     )
+    middle = selected_quantiles(conv, "days_to_conversion", [0.5], ["experiment_group"]).select(F.col("experiment_group").alias("_g"), "q0")
+    both = stats.join(middle, F.col("experiment_group").eqNullSafe(F.col("_g")), "left")
+    return both.select("experiment_group", "converted_users", "avg_days_to_conversion", rnd("q0", 1).alias("median_days_to_conversion"))
 
 
 def conversion_trend(experiments: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.functions.expr import day_offset, flag, rnd, rnd_pct
+from cohortlab.plans.repeats import repeated_keys
 from cohortlab.plans.scale import scalars, staged
 from cohortlab.sources.schema import (
     COUNTRIES,
@@ -114,14 +115,14 @@ def row_counts(users: DataFrame, events: DataFrame, experiments: DataFrame) -> D
 
 
 def duplicate_keys(tables: dict, keys=(("users", "user_id"), ("events", "event_id"))) -> DataFrame:
-    """DQ2 — key_checked, duplicate_value, occurrences (keys seen more than once)."""
+    """DQ2 — key_checked, duplicate_value, occurrences (keys seen more than once).
+
+    Keys that certainly occur once never leave their task (see
+    :mod:`cohortlab.plans.repeats`)."""
     frames = []
     for table, key in keys:
         frames.append(
-            tables[table]
-            .groupBy(key)
-            .agg(F.count(F.lit(1)).alias("occurrences"))
-            .filter(F.col("occurrences") > 1)
+            repeated_keys(tables[table], [key])
             .select(F.lit(f"{table}.{key}").alias("key_checked"), F.col(key).cast("string").alias("duplicate_value"), "occurrences")
         )
     return _union(frames)
@@ -135,8 +136,8 @@ def full_row_duplicates(tables: dict, keys: dict = KEYS) -> DataFrame:
     """DQ3 — per table: rows, distinct rows and fully duplicated rows.
 
     Equal rows share their key, so only rows whose key repeats are compared in
-    full width: the repeated keys are staged, and the rows they select are
-    grouped.  Tables without a known key are grouped as a whole."""
+    full width: the repeated keys are found by a seen-twice table and staged,
+    and the rows they select are grouped.  Tables without a known key are grouped as a whole."""
     frames = []
     for name, df in tables.items():
         key = keys.get(name)
@@ -144,7 +145,7 @@ def full_row_duplicates(tables: dict, keys: dict = KEYS) -> DataFrame:
             per = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
             row = per.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("rows"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
         else:
-            repeated = staged(df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_key"))
+            repeated = staged(repeated_keys(df, [key]).select(F.col(key).alias("_key")))
             suspects = df.join(repeated, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
             extra = suspects.groupBy(*df.columns).agg((F.count(F.lit(1)) - 1).alias("_x")).agg(F.coalesce(F.sum("_x"), F.lit(0)).cast("long").alias("duplicate_rows"))
             row = scalars(df.agg(F.count(F.lit(1)).alias("rows")), extra)
@@ -508,7 +509,7 @@ def validation_report(users: DataFrame, events: DataFrame, experiments: DataFram
 
     for name, key in (("users", "user_id"), ("events", "event_id")):
         if has(name, key):
-            dup = tables[name].groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias(f"duplicate_{key}"))
+            dup = repeated_keys(tables[name], [key]).agg(F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).alias(f"duplicate_{key}"))
             frames.append(_checks(dup, name, {f"duplicate_{key}": "fail"}))
 
     if has("users", "user_id", "signup_date") and has("events", "user_id", "event_time", "event_name") and has("experiments", "user_id", "converted"):

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlab.functions.expr import amount, plain, month_index, month_key, pct, rnd, rnd_pct
+from cohortlab.plans.activity import active_months, active_on, is_activity_bitmap, months_of
 from cohortlab.plans.facts import retention_flags, user_activity, user_offsets
 from cohortlab.plans.scale import with_scalars
 from cohortlab.sources.schema import CHURN_INACTIVITY_DAYS, DEFAULT_TAXONOMY, RETENTION_CHECKPOINTS_DAYS, Taxonomy
@@ -54,6 +55,8 @@ def retention_curve(users: DataFrame, events: DataFrame, max_day: int = 60, digi
     joined to the per-offset distinct-user counts.
     """
     spark = users.sparkSession
+    if is_activity_bitmap(events):
+        return _curve_of_bitmaps(users, events, max_day, digits)
     offs = user_offsets(users, events).filter(F.col("days_since_signup").between(0, max_day))
     per_day = offs.distinct().groupBy("days_since_signup").agg(F.count(F.lit(1)).alias("active_users"))
     spine = spark.range(0, max_day + 1).select(F.col("id").alias("days_since_signup"))
@@ -66,6 +69,15 @@ def retention_curve(users: DataFrame, events: DataFrame, max_day: int = 60, digi
     )
 
 
+def _curve_of_bitmaps(users: DataFrame, bitmap: DataFrame, max_day: int, digits: int) -> DataFrame:
+    """The curve as one global aggregate of bit tests, one count per offset."""
+    signup = F.datediff("signup_date", F.col("base"))
+    own = users.select("user_id", "signup_date").join(bitmap.select("user_id", "base", "words"), "user_id", "left").withColumn("_s", signup)
+    row = own.agg(F.count(F.lit(1)).alias("_total"), *[F.count_if(active_on(F.col("_s") + d)).alias(f"_{d}") for d in range(max_day + 1)])
+    cells = [F.struct(F.lit(d).cast("long").alias("days_since_signup"), F.col(f"_{d}").alias("active_users")) for d in range(max_day + 1)]
+    return row.select("_total", F.inline(F.array(*cells))).select("days_since_signup", "active_users", rnd(pct("active_users", "_total"), digits).alias("pct_of_users"))
+
+
 def churn(users: DataFrame, events: DataFrame, inactive: int = CHURN_INACTIVITY_DAYS) -> DataFrame:
     """T4 — total users, churned users (last event ≥ ``inactive`` days before the
     dataset's last event date) and rate; denominator is all users and
@@ -109,7 +121,10 @@ def cohort_sizes(users: DataFrame) -> DataFrame:
 def cohort_retention(users: DataFrame, events: DataFrame) -> DataFrame:
     """C2 — long-form cohort table: cohort_month, months_since_signup,
     cohort_size, retained_users, retention_pct (sparse; offsets ≥ 0)."""
-    activity = events.select("user_id", month_index("event_date").alias("event_month_index")).distinct()
+    if is_activity_bitmap(events):
+        activity = events.select("user_id", F.explode(active_months(*months_of(events))).alias("event_month_index"))
+    else:
+        activity = events.select("user_id", month_index("event_date").alias("event_month_index")).distinct()
     cohorts = _cohorts(users)
     sizes = cohort_sizes(users)
     cohort_activity = (
@@ -117,9 +132,9 @@ def cohort_retention(users: DataFrame, events: DataFrame) -> DataFrame:
         .filter(F.col("event_month_index") >= F.col("cohort_month_index"))
         .select("cohort_month", "user_id", (F.col("event_month_index") - F.col("cohort_month_index")).alias("months_since_signup"))
     )
-    retained = cohort_activity.groupBy("cohort_month", "months_since_signup").agg(
-        F.count_distinct("user_id").alias("retained_users")
-    )
+    # a bitmap has one row per user and month by construction: nothing to deduplicate
+    users_in = F.count(F.lit(1)) if is_activity_bitmap(events) else F.count_distinct("user_id")
+    retained = cohort_activity.groupBy("cohort_month", "months_since_signup").agg(users_in.alias("retained_users"))
     return retained.join(sizes, "cohort_month").select(
         "cohort_month",
         "months_since_signup",
@@ -183,3 +198,36 @@ def cohort_revenue(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_
         rnd(money, 2).alias("revenue_eur"),
         rnd(money / F.col("cohort_size"), 2).alias("revenue_per_cohort_user_eur"),
     )
+
+
+def cohort_revenue_cumulative(users: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
+    """C4 — revenue of each cohort month by month and its running sum, also per
+    cohort user, on a dense cohort × offset spine.
+
+    The spine goes from offset 0 to the one that the oldest cohort has reached
+    in the last month with an event.  A month without bookings adds nothing
+    and carries the sum on; a cell later than the last month is not yet
+    observable: revenue and sums are NULL.  Events are read once; cohorts and
+    offsets are months, so the window runs over a few hundred rows at most."""
+    booking = F.col("event_name") == tax.booking_completed
+    monthly = events.groupBy("user_id", month_index("event_date").alias("_m")).agg(F.sum(F.when(booking, amount("revenue"))).alias("_c"))
+    cohorts = _cohorts(users)
+    born, zero = F.col("cohort_month_index"), F.lit(0).cast("decimal(38,10)")
+    per = monthly.join(cohorts, "user_id", "left").groupBy("cohort_month", born, "_m").agg(F.sum("_c").alias("_c"))
+    spent = F.struct((F.col("_m") - born).alias("k"), F.coalesce("_c", zero).alias("c"))
+    per = per.groupBy("cohort_month").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("_m") >= born, spent))).alias("_spent"), F.max("_m").alias("_last")
+    )
+    sizes = cohorts.groupBy("cohort_month", born).agg(F.count(F.lit(1)).alias("cohort_size"))
+    whole = Window.partitionBy(F.lit(1))
+    table = sizes.join(per, "cohort_month", "full").withColumns({"_last": F.max("_last").over(whole), "_first": F.min("cohort_month_index").over(whole)})
+    table = table.filter(F.col("cohort_size").isNotNull() & (F.col("_last") >= F.col("_first")))
+    cells = table.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last") - F.col("_first"))).alias("months_since_signup"))
+    seen = F.col("months_since_signup") <= F.col("_last") - born
+    cells = cells.withColumn("_rev", F.when(seen, F.coalesce(F.try_element_at("_spent", F.col("months_since_signup")), zero)))
+    until = Window.partitionBy("cohort_month").orderBy("months_since_signup").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = plain(F.when(seen, F.sum("_rev").over(until)))
+    return cells.select(
+        "cohort_month", "months_since_signup", "cohort_size", rnd(plain("_rev"), 2).alias("revenue_eur"),
+        rnd(total, 2).alias("cumulative_revenue_eur"), rnd(total / F.col("cohort_size"), 2).alias("cumulative_per_cohort_user_eur"),
+    )

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from cohortlab.functions.expr import amount, div, plain, rnd, rnd_pct, shown
 from cohortlab.plans.facts import retention_flags, user_bookings
-from cohortlab.plans.scale import exact_quantiles, global_ranks, ntile_of_rank, with_scalars
+from cohortlab.plans.scale import global_ranks, ntile_of_rank, with_scalars
+from cohortlab.plans.selection import selected_quantiles
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy
 
 
@@ -193,9 +194,8 @@ def describe(df: DataFrame, cols, digits: int = 4) -> DataFrame:
     max per numeric column, nulls dropped.
 
     Columns are unpivoted to (column, value).  Moments come from one partial
-    aggregate; the quartiles from :func:`exact_quantiles`, which ranks values
-    with range partitioning instead of collecting a column's distinct values
-    into a single task."""
+    aggregate; the quartiles from :func:`selected_quantiles`, which narrows
+    each rank down by histograms: no value is sorted, shuffled or stored."""
     cols = list(cols)
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value").filter(
         F.col("value").isNotNull()
@@ -207,7 +207,7 @@ def describe(df: DataFrame, cols, digits: int = 4) -> DataFrame:
         F.min("value").alias("_min"),
         F.max("value").alias("_max"),
     )
-    quarts = exact_quantiles(long, "value", [0.25, 0.5, 0.75], ["column"], max_groups=len(cols))
+    quarts = selected_quantiles(long, "value", [0.25, 0.5, 0.75], ["column"])
     return moments.join(quarts, "column").select(
         "column",
         "count",

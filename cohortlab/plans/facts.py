@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlab.functions.expr import amount, day_offset, flag
+from cohortlab.plans.activity import active_on, is_activity_bitmap
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy
 
 
@@ -105,7 +106,14 @@ def user_offsets(users: DataFrame, events: DataFrame, names=None) -> DataFrame:
 
 
 def retention_flags(users: DataFrame, events: DataFrame, days=(1, 7, 30), keep=()) -> DataFrame:
-    """T0 — one row per user with ``retained_day<N>`` 0/1 flags (never-active → 0)."""
+    """T0 — one row per user with ``retained_day<N>`` 0/1 flags (never-active → 0).
+
+    ``events`` may be the table of :func:`activity_bitmap`: the flags are then
+    bit tests on the user's row."""
+    if is_activity_bitmap(events):
+        signup = F.datediff("signup_date", F.col("base"))
+        own = users.select("user_id", "signup_date", *keep).join(events.select("user_id", "base", "words"), "user_id", "left")
+        return own.select("user_id", *keep, *[flag(active_on(signup + d)).alias(f"retained_day{d}") for d in days])
     offs = user_offsets(users, events).filter(F.col("days_since_signup").isin(*days))
     per_user = offs.groupBy("user_id").agg(
         *[F.max(flag(F.col("days_since_signup") == d)).alias(f"retained_day{d}") for d in days]

@@ -9,8 +9,9 @@ Parquet or CSV under ``<output>/<name>``.
     spark-submit --py-files cohortlab.zip cohortlab/reports.py --input DIR --output DIR
     python -m cohortlab.reports --input DIR [--format csv] --output DIR
 
-Input is a folder with ``users``, ``events`` and ``experiments`` (Parquet
-folders, or ``*.csv`` files with ``--format csv``).
+Input is a folder with ``users``, ``events`` and ``experiments``: Parquet
+folders, ``*.csv`` files with ``--format csv``, or the versioned tables of
+``sources.io.publish_tables`` with ``--format versions``.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlab.operators import adoption, experiment as xp, funnel, kpi, quality as dq, retention as ret, segments as seg
+from cohortlab.operators import adoption, all_dims, experiment as xp, funnel, kpi, quality as dq, retention as ret, segments as seg
 from cohortlab.plans.facts import user_day_facts, user_facts_from_days
 from cohortlab.plans.scale import drop_staged, staged
+from cohortlab.plans.stores import refresh_user_days
 from cohortlab.sources.schema import EVENT_NAMES, Tables
+from cohortlab.sources.versions import VersionedTable
 
 
 def _t(t: Tables) -> dict:
@@ -101,6 +104,12 @@ REPORTS: dict[str, Callable[[Tables], DataFrame]] = {
     "cohort_retention": lambda t: ret.cohort_retention(t.users, t.events),
     "cohort_matrix": lambda t: ret.cohort_matrix(t.users, t.events),
     "cohort_revenue": lambda t: ret.cohort_revenue(t.users, t.events),
+    "cohort_revenue_cumulative": lambda t: ret.cohort_revenue_cumulative(t.users, t.events),
+    # the families above for every dimension, one pass each
+    "kpi_users_by_all_dims": lambda t: all_dims.composition_by_all(t.users, _DIMS | dict.fromkeys(("city", "experiment_group", "first_device_type"))),
+    "kpi_revenue_by_all_dims": lambda t: all_dims.revenue_by_all(t.users, t.events, _DIMS),
+    "retention_by_all_dims": lambda t: all_dims.retention_by_all(t.users, t.events, _DIMS),
+    "segment_by_all_dims": lambda t: all_dims.segment_summary_all(t.users, t.events, _DIMS),
     # feature adoption
     "adoption": lambda t: adoption.adoption(t.users, t.events),
     "adoption_effect": lambda t: adoption.adoption_effect(t.users, t.events),
@@ -146,6 +155,7 @@ FACTS_READY = {
     "kpi_conversion_by_channel", "kpi_conversion_by_platform",
     "funnel_counts", "funnel", "funnel_by_platform", "funnel_by_channel", "funnel_channel_steps",
     "adoption", "adoption_by_platform", "adoption_impact",
+    "kpi_revenue_by_all_dims", "segment_by_all_dims",
     "segment_by_country", "segment_by_platform", "segment_by_age_group", "segment_by_acquisition_channel",
     "segment_value_tiers", "segment_top", "segment_underperforming_channels",
     "ab_arpu", "ab_revenue_ztest", "ab_revenue_welch", "ab_bookings_welch", "ab_arpu_ci", "ab_bookings_ci",
@@ -157,7 +167,7 @@ FACTS_READY = {
 DAYS_READY = {
     "kpi_dau", "kpi_wau", "kpi_mau", "kpi_stickiness",
     "retention_flags", "retention", "retention_by_country", "retention_by_platform",
-    "retention_by_acquisition_channel", "retention_curve", "churn",
+    "retention_by_acquisition_channel", "retention_by_all_dims", "retention_curve", "churn",
     "cohort_retention", "cohort_matrix", "segment_retention_risk",
     "kpi_activation", "kpi_executive", "kpi_executive_churn", "kpi_tiles",
     "adoption_effect", "adoption_depth",
@@ -189,18 +199,30 @@ def shared_facts(tables: Tables, days: Tables | None = None) -> Tables:
     return Tables(tables.users, facts, tables.experiments)
 
 
-def run_reports(tables: Tables, output: str, fmt: str = "parquet", names=None, use_facts: bool = True) -> dict:
+def stored_user_days(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The kept (user, day) facts of the versioned events below ``data_dir``
+    (``publish_tables``, ``stores.add_events``), brought up to date first:
+    only months whose events changed since are built again."""
+    events, facts = (VersionedTable(spark, os.path.join(data_dir, n)) for n in ("events", "user_days"))
+    refresh_user_days(events, facts)
+    return facts.read()
+
+
+def run_reports(tables: Tables, output: str, fmt: str = "parquet", names=None, use_facts: bool = True, user_days: DataFrame | None = None) -> dict:
     """Compute each report and write it to ``<output>/<name>`` (Parquet or CSV).
 
     Every report is written straight from its distributed plan (no collect);
     with ``use_facts`` the per-user reports read the shared per-user fact
     table and the day-grained ones the shared user-day table, instead of
-    scanning events again; both are deleted at the end.  Returns {name: output path}."""
+    scanning events again; both are deleted at the end.  With ``user_days``
+    (:func:`stored_user_days`) the kept facts are read instead of building
+    them, and stay.  Returns {name: output path}."""
     from cohortlab.sources.io import write_csv
 
     names = list(names or REPORTS)
     shared = use_facts and (FACTS_READY | DAYS_READY).intersection(names)
-    days = shared_user_days(tables) if shared else None
+    kept = Tables(tables.users, user_days, tables.experiments) if user_days is not None else None
+    days = kept or shared_user_days(tables) if shared else None
     facts = shared_facts(tables, days) if shared and FACTS_READY.intersection(names) else None
     done = {}
     for name in names:
@@ -219,26 +241,31 @@ def run_reports(tables: Tables, output: str, fmt: str = "parquet", names=None, u
             df.write.mode("overwrite").parquet(path)
         done[name] = path
     for table in filter(None, (facts, days)):
-        drop_staged(table.events)
+        if table is not kept:
+            drop_staged(table.events)
     return done
 
 
 def main(argv=None) -> None:
     from cohortlab.session import checkpoint_dir
-    from cohortlab.sources.io import load_tables
+    from cohortlab.sources.io import load_published, load_tables
 
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--input", required=True)
     ap.add_argument("--output", required=True)
-    ap.add_argument("--format", choices=("parquet", "csv"), default="parquet", help="input format")
+    ap.add_argument("--format", choices=("parquet", "csv", "versions"), default="parquet", help="input format; with versions the (user, day) facts are kept beside the tables")
     ap.add_argument("--output-format", choices=("parquet", "csv"), default="parquet")
     ap.add_argument("--only", nargs="*", help="report names to run (default: all)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("cohortlab-reports").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     checkpoint_dir(spark)
-    tables = load_tables(spark, args.input, fmt=args.format)
-    for name, path in run_reports(tables, args.output, args.output_format, args.only).items():
+    days = None
+    if args.format == "versions":
+        tables, days = load_published(spark, args.input), stored_user_days(spark, args.input)
+    else:
+        tables = load_tables(spark, args.input, fmt=args.format)
+    for name, path in run_reports(tables, args.output, args.output_format, args.only, user_days=days).items():
         print(f"{name}\t{path}")
 
 

@@ -4,18 +4,23 @@
 * :func:`ingest_csv`    — CSV → typed Parquet (``converted`` cast to boolean,
                           events partitioned by ``event_date`` for pruning);
                           returns the written row counts via ``observe``.
+* :func:`read_csv_checked`, :func:`ingest_csv_checked` — the same, with rows
+                          that don't fit the schema set aside and explained.
+* :func:`publish_tables`, :func:`load_published` — atomic rebuild and read.
 * :func:`write_csv`     — CSV sink with a header.
 """
 
 from __future__ import annotations
 
 import os
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlab.sources.schema import EVENTS_SCHEMA, SCHEMAS, USERS_SCHEMA, Tables
+from cohortlab.sources.versions import VersionedTable
 
 TABLES = ("users", "events", "experiments")
 
@@ -59,6 +64,69 @@ def read_csv_table(spark: SparkSession, path: str, name: str, none_is_null: bool
     return df.select(*cols)
 
 
+class CheckedRows(NamedTuple):
+    """Rows of a CSV that fit the schema, and what is wrong with the others."""
+
+    good: DataFrame
+    rejects: DataFrame
+
+
+_MALFORMED = "__malformed"
+
+
+def _checked(f: T.StructField, none_is_null: bool):
+    """(value or null, reason or null) of one text cell."""
+    is_text = isinstance(f.dataType, T.StringType) and f.name != "converted"
+    cell = F.col(f"`{f.name}`")
+    if none_is_null or not is_text:
+        cell = F.when(~cell.isin(*PANDAS_MISSING_TOKENS), cell)
+    if is_text:
+        return cell, F.lit(None).cast("string")
+    if f.name == "converted":
+        said = F.lower(cell)
+        value, reason = F.when(said.isin("true", "1", "1.0"), True).when(said.isin("false", "0", "0.0"), False), "not a boolean"
+        if none_is_null:  # the strict reader takes a missing flag as false
+            value = F.when(cell.isNull(), False).otherwise(value)
+    elif isinstance(f.dataType, (T.IntegerType, T.LongType)):
+        number = cell.try_cast("double")
+        value, reason = F.coalesce(cell.try_cast(f.dataType), F.when(number == F.floor(number), number.try_cast(f.dataType))), "not an integer"
+    elif isinstance(f.dataType, T.DateType):
+        value, reason = F.try_to_date(cell, "yyyy-MM-dd"), "not a date"
+    elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+        value, reason = F.try_to_timestamp(cell, F.lit("yyyy-MM-dd HH:mm:ss")).cast(f.dataType), "not a timestamp"
+    else:
+        value, reason = cell.try_cast(f.dataType), "not a number"
+    return value, F.when(cell.isNotNull() & value.isNull(), F.lit(reason))
+
+
+def read_csv_checked(spark: SparkSession, path: str, name: str, none_is_null: bool = True, max_bad_share: float | None = None) -> CheckedRows:
+    """Read one canonical table from CSV and keep going over bad rows.
+
+    ``good`` has the rows whose every cell is missing or a value of its
+    column's type, like :func:`read_csv_table`.  ``rejects`` has a row per bad
+    cell of the others: table_name, column_name, value, reason and raw (the
+    row as CSV); a line with too many or too few cells has one row without a
+    column, with the line as it is.  A row is in exactly one of the two.  With
+    ``max_bad_share`` the load fails if a larger share of rows is rejected."""
+    schema = SCHEMAS[name]
+    text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields] + [T.StructField(_MALFORMED, T.StringType(), True)])
+    # whole lines are parsed whatever is read of them: a line is malformed for every reader or for none
+    rows = spark.read.schema(text).option("header", True).option("columnPruning", False).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _MALFORMED).csv(path)
+    cells = [(f.name, *_checked(f, none_is_null)) for f in schema.fields]
+    faults = F.array(*[F.when(reason.isNotNull(), F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("value"), reason.alias("reason"))) for c, _, reason in cells])
+    line = F.struct(F.lit(None).cast("string").alias("column_name"), F.lit(None).cast("string").alias("value"), F.lit("malformed line").alias("reason"))
+    bad = F.when(F.col(_MALFORMED).isNotNull(), F.array(line)).otherwise(F.array_compact(faults))
+    judged = rows.withColumn("__bad", bad)
+    if max_bad_share is not None:
+        n, lost = judged.agg(F.count(F.lit(1)), F.count_if(F.size("__bad") > 0)).first()
+        if lost > max_bad_share * n:
+            raise ValueError(f"{path}: {lost} of {n} rows rejected, at most {max_bad_share:.2%} are allowed")
+    good = judged.filter(F.size("__bad") == 0).select(*[value.alias(c) for c, value, _ in cells])
+    raw = F.coalesce(F.col(_MALFORMED), F.to_csv(F.struct(*[F.col(f"`{f.name}`") for f in schema.fields])))
+    rejects = judged.filter(F.size("__bad") > 0).select(F.lit(name).alias("table_name"), raw.alias("raw"), F.explode("__bad").alias("x"))
+    return CheckedRows(good, rejects.select("table_name", "x.column_name", "x.value", "x.reason", "raw"))
+
+
 def load_tables(spark: SparkSession, data_dir: str, fmt: str = "parquet", none_is_null: bool = True) -> Tables:
     """Load users / events / experiments from ``data_dir`` (parquet or csv)."""
     out = {}
@@ -91,6 +159,39 @@ def write_table(df: DataFrame, path: str, name: str) -> dict:
     return {name: obs.get.get("rows", 0)}
 
 
+def publish_tables(tables: Tables, out_dir: str) -> dict[str, list[str]]:
+    """Rebuild the three tables below ``out_dir`` as versioned tables (events
+    by month): readers see the old rows until a table is complete, and months
+    whose rows are the same are left alone.  Returns the parts that changed."""
+    spark, changed = tables.users.sparkSession, {}
+    for name in TABLES:
+        part = F.date_format("event_date", "yyyy-MM") if name == "events" else None
+        changed[name] = VersionedTable(spark, os.path.join(out_dir, name)).publish(getattr(tables, name), part)
+    return changed
+
+
+def load_published(spark: SparkSession, data_dir: str) -> Tables:
+    """The tables as last published by :func:`publish_tables`."""
+    return Tables(*[VersionedTable(spark, os.path.join(data_dir, name)).read() for name in TABLES])
+
+
+def ingest_csv_checked(spark: SparkSession, csv_dir: str, out_dir: str, none_is_null: bool = True, max_bad_share: float = 0.01) -> dict:
+    """Bulk-load the three CSV files into versioned tables; rows with a bad
+    cell go to the versioned table ``rejects`` instead.  Nothing is published
+    if more than ``max_bad_share`` of a file is rejected.  Returns rows
+    published and cells rejected per table."""
+    read = {n: read_csv_checked(spark, os.path.join(csv_dir, f"{n}.csv"), n, none_is_null, max_bad_share) for n in TABLES}
+    publish_tables(Tables(*[read[n].good for n in TABLES]), out_dir)
+    bad = read[TABLES[0]].rejects
+    for name in TABLES[1:]:
+        bad = bad.unionByName(read[name].rejects)
+    rejects = VersionedTable(spark, os.path.join(out_dir, "rejects"))
+    rejects.publish(bad, F.col("table_name"))
+    rows = lambda table: sum(p["rows"] for p in table.manifest()["parts"].values())
+    lost = rejects.manifest()["parts"]
+    return {n: {"rows": rows(VersionedTable(spark, os.path.join(out_dir, n))), "rejected_cells": lost.get(n, {"rows": 0})["rows"]} for n in TABLES}
+
+
 def ingest_csv(spark: SparkSession, csv_dir: str, out_dir: str, none_is_null: bool = True) -> dict:
     """Bulk-load the three CSV files into typed Parquet tables (drop and recreate)."""
     counts = {}
@@ -118,4 +219,4 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-__all__ = ["load_tables", "ingest_csv", "write_csv", "write_table", "read_csv_table", "USERS_SCHEMA", "EVENTS_SCHEMA"]
+__all__ = ["load_tables", "ingest_csv", "read_csv_checked", "ingest_csv_checked", "publish_tables", "load_published", "write_csv", "write_table", "read_csv_table", "USERS_SCHEMA", "EVENTS_SCHEMA"]

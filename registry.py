@@ -221,3 +221,119 @@ from cohortlab.sources.schema import EVENT_NAMES  # noqa: E402
 
 reg("k16_exec_kpis_from_user_day_facts", "E", lambda t: kpi.exec_kpis(t.users, user_day_facts(t.events, names=EVENT_NAMES)), sk.K16)
 reg("a2_adoption_effect_from_user_day_facts", "E", lambda t: adoption.adoption_effect(t.users, user_day_facts(t.events, names=EVENT_NAMES), days=(7, 14)), sa.A2((7, 14)))
+
+# --- activity bitmaps: the same reports from one row per user ------------------
+from cohortlab.plans.activity import activity_bitmap  # noqa: E402
+
+reg("t0_retention_flags_from_bitmap", "E", lambda t: ret.compute_retention_flags(t.users, activity_bitmap(t.events), _E_DAYS), sr.T0(_E_DAYS))
+reg("t1_retention_from_bitmap", "O", lambda t: ret.retention(t.users, activity_bitmap(t.events)), sr.T1())
+reg("t2_retention_by_platform_from_bitmap", "E", lambda t: ret.retention_by(t.users, activity_bitmap(t.events), "platform", _E_DAYS), sr.T2("platform", _E_DAYS))
+reg("t3_retention_curve_from_bitmap", "O", lambda t: ret.retention_curve(t.users, activity_bitmap(t.events), max_day=60), sr.T3(60))
+reg("c2_cohort_retention_from_bitmap", "O", lambda t: ret.cohort_retention(t.users, activity_bitmap(t.events)), sr.C2)
+
+# --- every dimension of a family in one pass ----------------------------------
+from cohortlab.operators import all_dims as ad  # noqa: E402
+from sql_oracle.bindings import ALL_DIMS  # noqa: E402
+
+_DIMS = ad.SEGMENT_DIMS
+_WIDE = _DIMS | {"city": None, "experiment_group": None, "first_device_type": None}
+reg("k2_users_by_all_dims", "E", lambda t: ad.composition_by_all(t.users, _WIDE), ALL_DIMS(sk.K2, _WIDE))
+_PLAIN = {d: None for d in _DIMS}
+for _b, _sfx in (("E", ""), ("O", "_orders")):
+    reg(f"k15_revenue_by_all_dims{_sfx}", _b, lambda t: ad.revenue_by_all(t.users, t.events, _PLAIN), ALL_DIMS(lambda d, _: sk.K15(d), _PLAIN))
+    reg(f"s1_segment_by_all_dims{_sfx}", _b, lambda t: ad.segment_summary_all(t.users, t.events), ALL_DIMS(ss.S1, _DIMS))
+reg("t2_retention_by_all_dims", "E", lambda t: ad.retention_by_all(t.users, t.events, _PLAIN, _E_DAYS), ALL_DIMS(lambda d, _: sr.T2(d, _E_DAYS), _PLAIN))
+reg("t2_retention_by_all_dims_from_bitmap", "O", lambda t: ad.retention_by_all(t.users, activity_bitmap(t.events), _PLAIN), ALL_DIMS(lambda d, _: sr.T2(d), _PLAIN))
+
+reg("c4_cohort_revenue_cumulative", "O", lambda t: ret.cohort_revenue_cumulative(t.users, t.events), sr.C4_CUMULATIVE)
+
+# --- tables kept by month: loaded in slices, facts and sketches refreshed -----
+from cohortlab.plans import stores  # noqa: E402
+from cohortlab.sources import io as table_io  # noqa: E402
+from cohortlab.sources.versions import VersionedTable  # noqa: E402
+
+
+def _folder(df):
+    import uuid
+
+    from cohortlab.session import checkpoint_dir
+
+    return f"{checkpoint_dir(df.sparkSession)}/store-{uuid.uuid4().hex}"
+
+
+def _loaded_days(t):
+    """(user, day) facts after events have arrived in three slices, one of
+    them twice; facts are refreshed after each."""
+    folder = _folder(t.events)
+    events, facts = (VersionedTable(t.events.sparkSession, f"{folder}/{n}") for n in ("events", "user_days"))
+    for part in (0, 1, 1, 2):
+        stores.add_events(events, t.events.filter(f"event_id % 3 = {part}"))
+        stores.refresh_user_days(events, facts)
+    return facts
+
+
+def _sketch_check(t, dim):
+    facts = _loaded_days(t)
+    sketches = VersionedTable(t.events.sparkSession, f"{facts.path}_sketches")
+    stores.refresh_sketches(facts, sketches, t.users, dim)
+    return stores.compare_actives(sketches.read(), facts.read(), t.users, dim).drop("estimate")
+
+
+for _b, _sfx in (("E", ""), ("O", "_orders")):
+    reg(f"k8_k10_actives_from_sketches{_sfx}", _b, lambda t: _sketch_check(t, "platform"), sk.ACTIVES("platform"))
+reg("k17_exec_kpis_churn_from_slices", "O", lambda t: kpi.exec_kpis_churn(t.users, _loaded_days(t).read(), inactive=30), sk.K17(30))
+reg("c3_cohort_matrix_from_slices", "O", lambda t: ret.cohort_matrix(t.users, _loaded_days(t).read()), sr.C3())
+
+
+def _csv_round_trip(t, name):
+    path = f"{_folder(t.events)}/{name}.csv"
+    df = getattr(t, name)
+    table_io.write_csv(df, path)
+    return table_io.read_csv_table(df.sparkSession, path, name)
+
+
+def _published_twice(t):
+    """Events published, one month's rows replaced by none and then restored."""
+    from pyspark.sql import functions as F
+
+    table = VersionedTable(t.events.sparkSession, _folder(t.events))
+    month = F.date_format("event_date", "yyyy-MM")
+    table.publish(t.events, month)
+    first = min(table.manifest()["parts"])
+    table.publish(t.events.filter(F.lit(False)), month, keep_others=True, drop=[first])
+    table.publish(t.events.filter(month == first), month, keep_others=True)
+    return table.read()
+
+
+#: Cells that the checked load must reject: column -> (rows by event_id, text, reason).
+BROKEN_CELLS = {"revenue": (97, "12,5 EUR", "not a number"), "event_date": (101, "2024-13-45", "not a date"), "ride_distance_km": (103, "far", "not a number"), "event_time": (107, "yesterday", "not a timestamp")}
+
+
+def _checked_load(t):
+    """A CSV of all events with some broken cells, loaded: rows good, rejected
+    and in all, and rejected cells by column and reason."""
+    from pyspark.sql import functions as F
+
+    df, path = t.events, f"{_folder(t.events)}/events.csv"
+    cells = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") if c == "event_time" else F.col(c).cast("string") for c in df.columns}
+    for c, (every, said, _) in BROKEN_CELLS.items():
+        cells[c] = F.when(F.col("event_id") % every == 0, F.lit(said)).otherwise(cells[c])
+    text = df.select(*[cell.alias(c) for c, cell in cells.items()])
+    table_io.write_csv(text, path)
+    read = table_io.read_csv_checked(df.sparkSession, path, "events")
+    cells = read.rejects.groupBy(F.col("column_name").alias("what"), "reason").agg(F.count(F.lit(1)).alias("n"))
+    bad = read.rejects.select("raw").distinct().agg(F.count(F.lit(1)).alias("n"))
+    good = read.good.agg(F.count(F.lit(1)).alias("n"))
+    rows = [(good, "good rows"), (bad, "rejected rows"), (df.agg(F.count(F.lit(1)).alias("n")), "all rows")]
+    out = cells
+    for frame, what in rows:
+        out = out.unionByName(frame.select(F.lit(what).alias("what"), F.lit(None).cast("string").alias("reason"), "n"))
+    return out
+
+
+reg("io1_csv_round_trip_users", "E", lambda t: _csv_round_trip(t, "users"), "SELECT * REPLACE (user_id::VARCHAR AS user_id) FROM app_users")
+reg("io1_csv_round_trip_experiments", "O", lambda t: _csv_round_trip(t, "experiments"), "SELECT * REPLACE (user_id::VARCHAR AS user_id) FROM app_experiments")
+reg("io1_checked_csv_load", "E", _checked_load, sq.CHECKED_LOAD(BROKEN_CELLS))
+reg("io1_checked_csv_load_orders", "O", _checked_load, sq.CHECKED_LOAD(BROKEN_CELLS))
+for _b, _sfx in (("E", ""), ("O", "_orders")):
+    reg(f"io2_versioned_round_trip{_sfx}", _b, _published_twice, "SELECT * FROM app_events")

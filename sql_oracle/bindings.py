@@ -197,3 +197,11 @@ def with_binding(binding: str, body: str) -> str:
     if body.upper().startswith("SELECT"):
         return head + "\n" + body
     return head + ",\n" + body
+
+
+def ALL_DIMS(family, dims: dict) -> str:
+    """The tables of a family (dimension, null label) -> body, each body a
+    plain SELECT or one over ``person``, one below the other as (dim, value)."""
+    bodies = {d: family(d, label).replace(PEOPLE, "").strip() for d, label in dims.items()}
+    union = "\nUNION ALL\n".join(f"SELECT '{d}' AS dim, {d} AS value, * EXCLUDE ({d}) FROM ({body})" for d, body in bodies.items())
+    return f"{PEOPLE}\n{union}"

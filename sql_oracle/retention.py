@@ -69,3 +69,24 @@ SELECT cohort_month, k AS months_since_signup, cohort_size, {R('money', 2)} AS r
 FROM seen WHERE bookings > 0
 """
 )
+
+#: Every cohort and offset up to the last month with an event, and what the cohort has spent until then.
+C4_CUMULATIVE = f"""
+member AS (SELECT user_id, {MONTH('signup_date')} AS cohort_month, {MIDX('signup_date')} AS born FROM app_users),
+cohort AS (SELECT cohort_month, any_value(born) AS born, count(*) AS cohort_size FROM member GROUP BY cohort_month),
+paid AS (
+    SELECT cohort_month, {MIDX('event_date')} - born AS k, sum(revenue) AS money
+    FROM app_events JOIN member USING (user_id) WHERE event_name = 'booking_completed' AND {MIDX('event_date')} >= born GROUP BY ALL
+),
+edge AS (SELECT max({MIDX('event_date')}) AS last FROM app_events),
+cell AS (
+    SELECT cohort.*, j, born + j <= last AS seen
+    FROM cohort, edge, (SELECT unnest(range((SELECT last FROM edge) - (SELECT min(born) FROM cohort) + 1)) AS j)
+)
+SELECT cell.cohort_month, j::BIGINT AS months_since_signup, any_value(cohort_size) AS cohort_size,
+       CASE WHEN any_value(seen) THEN {R('coalesce(round(sum(money) FILTER (k = j), 6), 0)', 2)} END AS revenue_eur,
+       CASE WHEN any_value(seen) THEN {R('coalesce(round(sum(money), 6), 0)', 2)} END AS cumulative_revenue_eur,
+       CASE WHEN any_value(seen) THEN {R('coalesce(round(sum(money), 6), 0) / any_value(cohort_size)', 2)} END AS cumulative_per_cohort_user_eur
+FROM cell LEFT JOIN paid ON paid.cohort_month = cell.cohort_month AND k <= j
+GROUP BY cell.cohort_month, j
+"""
