@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cohortlab.functions.expr import div, plain, rnd, rnd_pct, shown, week_key
 from cohortlab.functions.stats import normal_p_udf, significance_label, student_t_p_udf, z_verdict
 from cohortlab.plans.facts import user_bookings
+from cohortlab.plans.moments import merged, sums, variance
 from cohortlab.plans.scale import with_scalars
 from cohortlab.plans.selection import selected_quantiles
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy
@@ -106,12 +107,13 @@ def two_proportion_ztest(experiments: DataFrame, with_p: bool = True, digits: in
     return out.withColumn("p_value", shown(p, digits)).withColumn("verdict", significance_label(p)).drop("_z")
 
 
-def user_revenue(experiments: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
+def user_revenue(experiments: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY, keep=()) -> DataFrame:
     """Per experiment unit: group, lifetime revenue (exact decimal, 0 when none), bookings."""
     per = user_bookings(events, tax)
-    return experiments.select("user_id", "experiment_group").join(per, "user_id", "left").select(
+    return experiments.select("user_id", "experiment_group", *keep).join(per, "user_id", "left").select(
         "user_id",
         "experiment_group",
+        *keep,
         F.coalesce("revenue", F.lit(0).cast("decimal(38,10)")).alias("revenue"),
         F.coalesce("bookings", F.lit(0)).cast("long").alias("bookings"),
     )
@@ -137,16 +139,26 @@ def arm_arpu(experiments: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_
     )
 
 
+def daily_moments(experiments: DataFrame, events: DataFrame, value: str, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:
+    """Per exposure day and arm: count, sum and sum of squares of a per-user
+    value (``revenue`` or ``bookings``), exact.  Tables of this kind can be
+    kept, and added up over days or over slices of users."""
+    per_user = user_revenue(experiments, events, tax, keep=("exposure_date",))
+    return per_user.groupBy("exposure_date", "experiment_group").agg(*sums(value))
+
+
+def arm_moments(daily: DataFrame) -> DataFrame:
+    """Per arm, from :func:`daily_moments`: n, mean, population and sample
+    variance; the sample variance of one user is NULL."""
+    total = merged(daily, ["experiment_group"])
+    return total.select("experiment_group", "n", div(plain("s1"), "n").alias("mean"), variance(0).alias("var_pop"), variance(1).alias("var_samp"))
+
+
 def _moments(experiments: DataFrame, events: DataFrame, value: str, tax: Taxonomy) -> DataFrame:
-    """Per arm: n, mean, population and sample variance of a per-user value
-    (``revenue`` or ``bookings``); the sample variance of one user is NULL."""
-    x = plain(value)
-    return user_revenue(experiments, events, tax).groupBy("experiment_group").agg(
-        F.count(F.lit(1)).alias("n"),
-        div(F.sum(value), F.count(F.lit(1))).alias("mean"),
-        F.var_pop(x).alias("var_pop"),
-        F.var_samp(x).alias("var_samp"),
-    )
+    """Moments per arm; ``experiments`` may be a :func:`daily_moments` table
+    (of the same ``value``), which has all that is needed."""
+    daily = experiments if "s2" in experiments.columns else daily_moments(experiments, events, value, tax)
+    return arm_moments(daily)
 
 
 def mean_ztest(experiments: DataFrame, events: DataFrame, tax: Taxonomy = DEFAULT_TAXONOMY) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortlab.functions.expr import amount, div, plain, rnd, rnd_pct, shown
 from cohortlab.plans.facts import retention_flags, user_bookings
+from cohortlab.plans.moments import co_sums, correlation
 from cohortlab.plans.scale import global_ranks, ntile_of_rank, with_scalars
 from cohortlab.plans.selection import selected_quantiles
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy
@@ -155,7 +156,8 @@ def user_features(users: DataFrame, events: DataFrame, experiments: DataFrame, t
         F.count(F.lit(1)).alias("_events"),
         F.count_if(booking).alias("_bookings"),
         F.sum(F.when(booking, amount("revenue"))).alias("_rev"),
-        F.avg(F.when(booking, F.col("ride_distance_km"))).alias("_dist"),
+        F.sum(F.when(booking, amount("ride_distance_km"))).alias("_km"),
+        F.count(F.when(booking, F.col("ride_distance_km"))).alias("_rides"),
     )
     return (
         users.select("user_id")
@@ -166,7 +168,7 @@ def user_features(users: DataFrame, events: DataFrame, experiments: DataFrame, t
             F.coalesce("_events", F.lit(0)).cast("long").alias("total_events"),
             F.coalesce("_bookings", F.lit(0)).cast("long").alias("total_bookings"),
             shown(F.coalesce(plain("_rev"), F.lit(0.0)), None if digits is None else 2).alias("lifetime_revenue"),
-            shown(F.col("_dist"), digits).alias("avg_ride_distance_km"),
+            shown(div(plain("_km"), "_rides"), digits).alias("avg_ride_distance_km"),
             F.col("days_to_conversion").cast("long").alias("days_to_conversion"),
         )
     )
@@ -177,10 +179,12 @@ FEATURE_COLUMNS = ("total_events", "total_bookings", "lifetime_revenue", "avg_ri
 
 def corr_matrix(df: DataFrame, cols=FEATURE_COLUMNS, digits: int | None = None) -> DataFrame:
     """S7 — pairwise-complete Pearson correlations as a long table
-    (feature_x, feature_y, correlation); one aggregate computes every pair."""
+    (feature_x, feature_y, correlation); one aggregate computes every pair
+    from exact sums, so the result is the same however the rows are dealt."""
     cols = list(cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}") for a, b in pairs])
+    row = df.agg(*[c for a, b in pairs for c in co_sums(a, b, f"{a}__{b}__")])
+    row = row.select(*[correlation(f"{a}__{b}__").alias(f"{a}__{b}") for a, b in pairs])
     cells = []
     for a, b in pairs:
         cells.append(F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"), F.col(f"{a}__{b}").alias("c")))

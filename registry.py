@@ -337,3 +337,17 @@ reg("io1_checked_csv_load", "E", _checked_load, sq.CHECKED_LOAD(BROKEN_CELLS))
 reg("io1_checked_csv_load_orders", "O", _checked_load, sq.CHECKED_LOAD(BROKEN_CELLS))
 for _b, _sfx in (("E", ""), ("O", "_orders")):
     reg(f"io2_versioned_round_trip{_sfx}", _b, _published_twice, "SELECT * FROM app_events")
+
+
+# --- moments of slices, added up ------------------------------------------------
+def _daily_in_slices(t, value):
+    """Daily moments of three slices of the users, one below the other."""
+    from functools import reduce
+
+    slices = [xp.daily_moments(t.experiments.filter(f"user_id % 3 = {i}"), t.events, value) for i in range(3)]
+    return reduce(lambda a, b: a.unionByName(b), slices)
+
+
+reg("x6_mean_ztest_from_slices", "O", lambda t: xp.mean_ztest(_daily_in_slices(t, "revenue"), None), sx.X6)
+reg("x7_welch_revenue_from_slices", "E", lambda t: xp.welch_ttest(_daily_in_slices(t, "revenue"), None, "revenue", with_p=False, digits=4), sx.X7("revenue"))
+reg("x9_mean_ci_bookings_from_slices", "E", lambda t: xp.mean_ci(_daily_in_slices(t, "bookings"), None, "bookings", digits=4), sx.X9("bookings"))

@@ -190,3 +190,45 @@ def test_running_sum_on_the_dense_spine(spark):
         (mar, 0): (0.0, 0.0, 0.0), (mar, 1): (4.0, 4.0, 4.0), (mar, 2): (0.0, 4.0, 4.0), (mar, 3): (None, None, None), (mar, 4): (None, None, None),
     }
     assert ret.cohort_revenue_cumulative(users, events.limit(0)).count() == 0
+
+
+# --- mergeable moments ------------------------------------------------------------
+def test_moments_are_the_same_to_the_last_bit_however_rows_are_dealt(spark):
+    from cohortlab.plans import moments as M
+
+    rnd = random.Random(3)
+    vals = [(rnd.choice("ab"), i % 7, round(rnd.expovariate(0.01), rnd.randrange(9)), rnd.gauss(5, 2) if i % 11 else None) for i in range(4000)]
+    df = spark.createDataFrame(vals, "arm string, day int, x double, y double")
+
+    def result(rows):
+        total = M.merged(rows.groupBy("day", "arm").agg(*M.sums("x")), ["arm"])
+        return sorted(tuple(r) for r in total.select("arm", "n", "s1", "s2", M.variance(0), M.variance(1)).collect())
+
+    want = result(df.repartition(1))
+    assert result(df.repartition(7)) == result(df.repartition(200, "x")) == want
+    slices = [df.filter(f"day = {d}").groupBy("day", "arm").agg(*M.sums("x")) for d in range(7)]
+    merged = slices[0]
+    for s in slices[1:]:
+        merged = s.unionByName(merged)
+    total = M.merged(merged, ["arm"])
+    assert sorted(tuple(r) for r in total.select("arm", "n", "s1", "s2", M.variance(0), M.variance(1)).collect()) == want
+    for arm, n, _, _, pop, samp in want:
+        mine = [v[2] for v in vals if v[0] == arm]
+        assert n == len(mine) and np.allclose([pop, samp], [np.var(mine), np.var(mine, ddof=1)], rtol=1e-9)
+    corr = [{tuple(r) for r in segments.corr_matrix(df.repartition(n), ["x", "y"]).collect()} for n in (1, 7, 200)]
+    assert corr[0] == corr[1] == corr[2]
+    pairs = [(v[2], v[3]) for v in vals if v[3] is not None]
+    got = {(a, b): c for a, b, c in corr[0]}
+    assert got["x", "y"] == pytest.approx(np.corrcoef(*zip(*pairs))[0, 1], abs=1e-9) and got["x", "x"] == 1.0
+
+
+def test_small_spread_beside_a_large_mean_and_degenerate_groups(spark):
+    from cohortlab.plans import moments as M
+
+    df = spark.createDataFrame([("a", 1e9 + 0.25 * (i % 4)) for i in range(1000)] + [("b", 5.0), ("c", None)], "g string, x double")
+    got = {r.g: tuple(r)[1:] for r in df.groupBy("g").agg(*M.sums("x")).select("g", M.variance(0), M.variance(1)).collect()}
+    assert got["a"] == (0.078125, 0.078125 * 1000 / 999) and got["b"] == (0.0, None) and got["c"] == (None, None)
+    one = segments.corr_matrix(spark.createDataFrame([(1.0, 2.0), (1.0, 3.0)], "x double, y double"), ["x", "y"]).collect()
+    assert {(r.feature_x, r.feature_y): r.correlation for r in one}["y", "y"] == 1.0
+    with pytest.raises(Exception, match="(?i)out of range|cannot be represented|overflow"):
+        df.select((F.col("x") * 100).alias("x")).agg(*M.sums("x")).collect()
