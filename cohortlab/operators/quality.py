@@ -488,10 +488,12 @@ def validation_report(users: DataFrame, events: DataFrame, experiments: DataFram
     the schemas; a rule whose column is missing is left out, and the missing
     column is reported by ``required_columns``.
 
-    Events are read four times: for all row rules and null counts, per
-    (user, day) for every check that involves users, per event_id and per
-    session.  Every aggregate is partial+final, so a hot user, day or session
-    is collapsed map-side; the collected report has a few dozen rows.
+    Events are read for all row rules and null counts, for the keys (twice,
+    the key column alone: a seen-twice table, then the suspects), and once for
+    narrow rows per (user, day, session), which are staged: the checks that
+    involve users and those of sessions are rolled up from them.  Every
+    aggregate is partial+final, so a hot user, day or session is collapsed
+    map-side; the collected report has a few dozen rows.
     """
     spark = users.sparkSession
     tables = {"users": users, "events": events, "experiments": experiments}
@@ -512,11 +514,16 @@ def validation_report(users: DataFrame, events: DataFrame, experiments: DataFram
             dup = repeated_keys(tables[name], [key]).agg(F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).alias(f"duplicate_{key}"))
             frames.append(_checks(dup, name, {f"duplicate_{key}": "fail"}))
 
+    by_session = has("events", "session_id", "event_name")
+    keys = (["user_id", F.to_date("event_time").alias("_d")] if has("events", "user_id", "event_time") else []) + (["session_id"] if by_session else [])
+    if keys and has("events", "event_name"):
+        name = F.col("event_name")
+        names = (tax.search_started, tax.booking_started, tax.booking_completed)
+        visits = staged(events.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.max(flag(name == x)).alias(f"has_{k}") for k, x in zip(("search_started", "booking_started", "booking_completed"), names)]))
+
     if has("users", "user_id", "signup_date") and has("events", "user_id", "event_time", "event_name") and has("experiments", "user_id", "converted"):
         known = users.groupBy("user_id").agg(F.min("signup_date").alias("_signup")).withColumn("_known", F.lit(1))
-        per_day = events.groupBy("user_id", F.to_date("event_time").alias("_d")).agg(
-            F.count(F.lit(1)).alias("_n"), F.max(flag(F.col("event_name") == tax.booking_completed)).alias("_booked")
-        )
+        per_day = visits.groupBy("user_id", "_d").agg(F.sum("_n").alias("_n"), F.max("has_booking_completed").alias("_booked"))
         active = per_day.join(known.select("user_id", "_signup"), "user_id", "left").groupBy("user_id").agg(
             F.sum("_n").alias("_n"), F.sum(F.when(F.col("_d") < F.col("_signup"), F.col("_n"))).alias("_early"), F.max("_booked").alias("_booked")
         )
@@ -542,9 +549,10 @@ def validation_report(users: DataFrame, events: DataFrame, experiments: DataFram
         mism = group_mismatch(users, experiments).agg(F.count(F.lit(1)).alias("experiment_group_mismatch"))
         frames.append(_checks(mism, "experiments", {"experiment_group_mismatch": "fail"}))
 
-    if has("events", "session_id", "event_name"):
+    if by_session:
         names = ("sessions_booking_completed_without_booking_started", "sessions_booking_started_without_search_started")
-        sp = session_flags(events, tax).agg(
+        steps = ("has_search_started", "has_booking_started", "has_booking_completed")
+        sp = visits.groupBy("session_id").agg(*[F.max(c).alias(c) for c in steps]).agg(
             F.count_if((F.col("has_booking_completed") == 1) & (F.col("has_booking_started") == 0)).alias(names[0]),
             F.count_if((F.col("has_booking_started") == 1) & (F.col("has_search_started") == 0)).alias(names[1]),
         )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cohortlab.functions.expr import amount, div, plain, rnd, rnd_pct, shown
 from cohortlab.plans.facts import retention_flags, user_bookings
 from cohortlab.plans.moments import co_sums, correlation
-from cohortlab.plans.scale import global_ranks, ntile_of_rank, with_scalars
+from cohortlab.plans.scale import global_ranks, ntile_of_rank, scalars, staged, with_scalars
 from cohortlab.plans.selection import selected_quantiles
 from cohortlab.sources.schema import DEFAULT_TAXONOMY, Taxonomy
 
@@ -57,23 +57,27 @@ def value_tiers(users: DataFrame, events: DataFrame, tiles: int = 3, tax: Taxono
     split into ``tiles`` equal-count tiles ordered by (revenue, user_id).  Per
     tier: users, % of users, revenue, % of total booking revenue, average.
 
-    Events are read once: per-user revenue is full-joined with the users (the
-    revenue of orphan users counts in the total only), and ranked in one pass
-    within payers and others.
+    Events are read once, for the users with a booking; these are staged as
+    narrow rows, and only the payers among them are ranked.  Everyone else is
+    counted: users without a booking are all users less those found, and the
+    revenue of orphan users is part of the total only.
     """
+    zero = F.lit(0).cast("decimal(38,10)")
     known = users.select("user_id", F.lit(1).alias("_known"))
-    per_user = known.join(user_bookings(events, tax).select("user_id", "revenue"), "user_id", "full").select(
-        "user_id", F.coalesce("revenue", F.lit(0).cast("decimal(38,10)")).alias("_amount"), F.coalesce("_known", F.lit(0)).alias("_known")
-    )
-    kind = F.when(F.col("_known") == 0, "orphan").when(F.col("_amount") > 0, "payer").otherwise("other")
-    ranked = global_ranks(per_user.withColumn("_kind", kind), ["_amount", "user_id"], ["_kind"], max_groups=3)
-    tile = F.when(F.col("_kind") == "payer", ntile_of_rank("_rank", "_total", tiles))
-    seg = F.when(F.col("_kind") == "orphan", F.lit(None).cast("string")).when(F.col("_amount") == 0, F.lit("Non-payer"))
+    spent = user_bookings(events, tax).select("user_id", F.coalesce("revenue", zero).alias("_amount"))
+    spent = staged(spent.join(known, "user_id", "left"))
+    ranked = global_ranks(spent.filter("_known = 1 AND _amount > 0").select("user_id", "_amount"), ["_amount", "user_id"])
+    tile = ntile_of_rank("_rank", "_total", tiles)
+    tier = F.lit(None).cast("string")
     for i, lbl in enumerate(labels, start=1):
-        seg = seg.when(tile == i, F.lit(lbl))
-    agg = ranked.groupBy("_known", seg.alias("revenue_segment")).agg(F.count(F.lit(1)).alias("users"), F.sum("_amount").alias("_rev"))
-    totals = agg.agg(F.sum(F.when(F.col("_known") == 1, F.col("users"))).alias("_users"), F.sum("_rev").alias("_all"))
-    return with_scalars(agg.filter("_known = 1"), totals).select(
+        tier = F.when(tile == i, F.lit(lbl)).otherwise(tier)
+    money = [F.count(F.lit(1)).alias("users"), F.sum("_amount").alias("_rev")]
+    payers = ranked.groupBy(tier.alias("revenue_segment")).agg(*money)
+    rest = spent.filter("_known = 1 AND _amount <= 0").groupBy(F.when(F.col("_amount") == 0, F.lit("Non-payer")).alias("revenue_segment")).agg(*money)
+    totals = scalars(known.agg(F.count(F.lit(1)).alias("_users")), spent.agg(F.count("_known").alias("_found"), F.sum("_amount").alias("_all")))
+    never = totals.select(F.lit("Non-payer").alias("revenue_segment"), (F.col("_users") - F.col("_found")).alias("users"), zero.alias("_rev"))
+    agg = payers.unionByName(rest).unionByName(never).groupBy("revenue_segment").agg(F.sum("users").alias("users"), F.sum("_rev").alias("_rev")).filter("users > 0")
+    return with_scalars(agg, totals).select(
         "revenue_segment",
         "users",
         rnd_pct("users", "_users", 1).alias("pct_of_users"),
