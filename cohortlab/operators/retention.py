@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlab.functions.expr import amount, plain, month_index, month_key, pct, rnd, rnd_pct
-from cohortlab.plans.activity import active_months, active_on, is_activity_bitmap, months_of
+from cohortlab.plans.activity import active_months, bits_from, is_activity_bitmap, months_of
 from cohortlab.plans.facts import retention_flags, user_activity, user_offsets
 from cohortlab.plans.scale import with_scalars
 from cohortlab.sources.schema import CHURN_INACTIVITY_DAYS, DEFAULT_TAXONOMY, RETENTION_CHECKPOINTS_DAYS, Taxonomy
@@ -70,10 +70,13 @@ def retention_curve(users: DataFrame, events: DataFrame, max_day: int = 60, digi
 
 
 def _curve_of_bitmaps(users: DataFrame, bitmap: DataFrame, max_day: int, digits: int) -> DataFrame:
-    """The curve as one global aggregate of bit tests, one count per offset."""
+    """The curve as one global aggregate: the days from signup on are cut out
+    of the user's bitmap, 64 to a number, and each bit is counted."""
+    own = users.select("user_id", "signup_date").join(bitmap.select("user_id", "base", "words"), "user_id", "left")
     signup = F.datediff("signup_date", F.col("base"))
-    own = users.select("user_id", "signup_date").join(bitmap.select("user_id", "base", "words"), "user_id", "left").withColumn("_s", signup)
-    row = own.agg(F.count(F.lit(1)).alias("_total"), *[F.count_if(active_on(F.col("_s") + d)).alias(f"_{d}") for d in range(max_day + 1)])
+    own = own.select(*[bits_from(signup + first).alias(f"_w{first // 64}") for first in range(0, max_day + 1, 64)])
+    bit = lambda d: F.lit((1 << d % 64) - ((1 << 64) if d % 64 == 63 else 0)).cast("long")
+    row = own.agg(F.count(F.lit(1)).alias("_total"), *[F.count_if(F.col(f"_w{d // 64}").bitwiseAND(bit(d)) != 0).alias(f"_{d}") for d in range(max_day + 1)])
     cells = [F.struct(F.lit(d).cast("long").alias("days_since_signup"), F.col(f"_{d}").alias("active_users")) for d in range(max_day + 1)]
     return row.select("_total", F.inline(F.array(*cells))).select("days_since_signup", "active_users", rnd(pct("active_users", "_total"), digits).alias("pct_of_users"))
 

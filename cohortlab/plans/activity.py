@@ -61,6 +61,16 @@ def active_on(day: Column) -> Column:
     return F.coalesce((day >= 0) & (bit != 0), F.lit(False))
 
 
+def bits_from(day: Column) -> Column:
+    """The 64 days from ``day`` (a number of days after the base) on as the
+    bits of one number."""
+    at, shift = F.floor(day / 64).cast("int"), F.pmod(day, F.lit(64)).cast("int")
+    zero = F.lit(0).cast("long")
+    low, high = (F.coalesce(F.get("words", at + i), zero) for i in (0, 1))
+    both = F.call_function("shiftrightunsigned", low, shift).bitwiseOR(F.call_function("shiftleft", high, F.lit(64) - shift))
+    return F.coalesce(F.when(shift == 0, low).otherwise(both), zero)
+
+
 def months_of(bitmap: DataFrame) -> tuple[dt.date | None, int]:
     """Base and number of words of a bitmap table (one row is read)."""
     row = bitmap.select("base", F.size("words").alias("n")).first()
