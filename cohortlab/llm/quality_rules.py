@@ -134,16 +134,16 @@ def judge(docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE, max_w
     df = df.withColumn("_words", words(F.col(text_col)))
     df = df.withColumn("_hashes", window_hashes("_words"))
     whole = F.create_map(*[F.lit(x) for pair in overall["words"].items() for x in pair]) if overall["words"] else F.create_map().cast("map<string,string>")
-    rare = chr(_FIRST_BIN + COMMON_WORDS)
     df = with_repeated_words(df, "_hashes", "n_repeat_words").withColumns({"_bins": F.coalesce("_bins", whole), "n_words": F.size("_words").cast("long"), "n_dup_lines": repeated_lines(F.col(text_col))})
-    # one character per word: its bin
-    df = df.withColumn("_drawn", F.array_join(F.transform("_words", lambda w: F.coalesce(F.element_at("_bins", w), F.lit(rare))), ""))
+    # one character per common word: its bin (array_join leaves the nulls of other words out)
+    df = df.withColumn("_drawn", F.array_join(F.transform("_words", lambda w: F.try_element_at("_bins", w)), ""))
     df = with_class_counts(df, text_col)
     # the classes are disjoint, so two of the counts are among theirs
     length = F.coalesce(F.length(text_col), F.lit(0))
     df = df.withColumns({"word_chars": (length - F.col("_c_space")).cast("long"), "n_symbols": F.col("_c_symbol").cast("long")})
     n, chars = F.col("n_words").cast("double"), F.greatest(length, F.lit(1)).cast("double")
-    drawn = [(F.length("_drawn") - F.length(F.replace("_drawn", F.lit(chr(_FIRST_BIN + i)), F.lit("")))) / n for i in range(COMMON_WORDS + 1)]
+    bins = [F.length("_drawn") - F.length(F.replace("_drawn", F.lit(chr(_FIRST_BIN + i)), F.lit(""))) for i in range(COMMON_WORDS)]
+    drawn = [*[b / n for b in bins], (F.col("n_words") - F.length("_drawn")) / n]
     classes = [F.col(f"_c_{c}") / chars for c in (*CLASSES, "other")]
 
     def reference(name: str, key: str, size: int) -> list[Column]:
