@@ -35,13 +35,40 @@ def prepare(spark: SparkSession) -> SparkSession:
 def saved(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet to the shared checkpoint folder and read
     back: cuts the lineage, survives lost executors, and later reads prune
-    columns.  The files stay until the owner of that folder expires them."""
+    columns.  The files stay until :func:`release` or the owner of that folder
+    deletes them."""
     spark = prepare(df.sparkSession)
     path = f"{checkpoint_dir(spark)}/cohortlab-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folder(df: DataFrame):
+    """Hadoop file system and folder of a :func:`saved` frame."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    folder = files[0].rsplit("/", 1)[0] if files else ""
+    if not folder.rsplit("/", 1)[-1].startswith("cohortlab-"):
+        return None, None
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the files of :func:`saved` frames that nothing reads any more:
+    what was made from them has been written."""
+    for df in frames:
+        fs, path = _folder(df)
+        if path is not None:
+            fs.delete(path, True)
+
+
+def saved_bytes(df: DataFrame) -> int:
+    """Size of the files of a :func:`saved` frame."""
+    fs, path = _folder(df)
+    return 0 if path is None else fs.getContentSummary(path).getLength()
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, everything else as it is."""
     return F.translate(text, UPPER, LOWER)
@@ -62,12 +89,12 @@ def id_remainder(doc_id: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def matching(df: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi", most: int = 2_000_000) -> DataFrame:
+def matching(df: DataFrame, keys: DataFrame, on: list[str], how: str = "left_semi", most: int = 8 << 20) -> DataFrame:
     """Semi or anti join (null-safe) of a large frame with saved distinct
-    ``keys``.  Up to ``most`` keys, which are counted, are broadcast, so the
-    large frame stays where it is; beyond that Spark shuffles both sides."""
+    ``keys``.  Keys whose files hold at most ``most`` bytes are broadcast, so
+    the large frame stays where it is; beyond that Spark shuffles both."""
     small = keys.select(*[F.col(c).alias(f"_key_{c}") for c in on])
-    if small.count() <= most:
+    if saved_bytes(keys) <= most:
         small = F.broadcast(small)
     same = F.lit(True)
     for c in on:

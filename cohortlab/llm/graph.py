@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import saved
+from cohortlab.llm.common import release, saved
 
 
 def _large_star(e: DataFrame) -> DataFrame:
@@ -39,4 +39,5 @@ def component_labels(edges: DataFrame) -> DataFrame:
         if now == mark or now[0] == 0:
             return e.select("u", F.col("v").alias("label"))
         mark = now
-        e = saved(_small_star(_large_star(e)))
+        before, e = e, saved(_small_star(_large_star(e)))
+        release(before)

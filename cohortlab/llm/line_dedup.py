@@ -9,12 +9,12 @@ by the positions of the word (how much overlap is still possible), and by a
 in one line only.  Pairs must meet in as many prefix words as similar sets are
 sure to share.  The rest is verified on the words.
 
-Equal lines are one row, with the position of the first.  Words that are rare
-enough have short posting lists, which are joined whole.  On frequent words,
-every line is first compared with the earliest line of the posting list only:
-of a large group of near copies nearly all lines are settled by that, and only
-lines that are still open are joined with the whole list.  Nothing is capped:
-an open line meets all lines with which it shares a prefix word.
+Equal lines are one row, with the position of the first.  Before the join every
+line meets the earliest line that has two neighbouring words of its prefix in
+common: of a group of near copies nearly all lines are settled by that, and
+need no partner more.  Lines that are still open are then joined with the
+whole posting lists of their prefix words, so nothing is capped and no pair of
+an open line is left out.
 """
 
 from __future__ import annotations
@@ -23,11 +23,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import hide, matching, prepare, saved, show, words
+from cohortlab.llm.common import hide, matching, prepare, release, saved, show, words
 
 SIMILARITY = 0.8
 _BUCKETS = 1 << 18  # of word counts
-_HEAVY = 256  # occurrences from which on a word is frequent
+_NEIGHBOURS = 4  # rarest words of a line whose neighbours name its leaders
 _EPS = 1e-9
 
 
@@ -78,16 +78,21 @@ def _earlier(a: str, b: str) -> Column:
     return (x < y) | (x.isNull() & y.isNotNull()) | (x.eqNullSafe(y) & before)
 
 
+def _alike(n: Column, m: Column, x: Column, y: Column, t: float) -> Column:
+    """Length and signature filter: sizes n and m, signatures x and y."""
+    need = F.ceil((n + m) * (t / (1 + t)) - _EPS)
+    return (F.least(n, m) >= F.greatest(n, m) * t - _EPS) & (F.bit_count(x.bitwiseXOR(y)) <= n + m - 2 * need)
+
+
 def _can_match(a: str, b: str, t: float) -> Column:
     """Length, positional and signature filter for two prefix rows, whose
-    ``at`` is the number of words (upper half) and the word's position."""
-    n, m = (F.shiftrightunsigned(f"{x}.at", 32) for x in (a, b))
+    ``at`` is the number of words (upper half) and the word's position.  A
+    settled line has its number negated, and as ``a`` is like none."""
+    n, m = F.shiftright(f"{a}.at", 32), F.abs(F.shiftright(f"{b}.at", 32))
     i, j = (F.col(f"{x}.at").bitwiseAND(F.lit(0xFFFFFFFF)) for x in (a, b))
     need = F.ceil((n + m) * (t / (1 + t)) - _EPS)
-    length = F.least(n, m) >= F.greatest(n, m) * t - _EPS
     position = F.least(n - i, m - j) + F.least(i, j) >= need - 1
-    signature = F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits"))) <= n + m - 2 * need
-    return length & signature & position
+    return _alike(n, m, F.col(f"{a}.bits"), F.col(f"{b}.bits"), t) & position
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
@@ -95,7 +100,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
     later, e_id, e_place of the earlier line) whose word sets reach the
     similarity.  Only lines that stand in a pair are fetched."""
     ends = pairs.select("id", "place").unionByName(pairs.select(F.col("e_id").alias("id"), F.col("e_place").alias("place")))
-    lines = saved(matching(_lines(docs).select("id", "place", "line"), saved(ends.distinct()), ["id", "place"]).dropDuplicates(["id", "place"]))
+    ends = saved(ends.distinct())
+    lines = saved(matching(_lines(docs).select("id", "place", "line"), ends, ["id", "place"]).dropDuplicates(["id", "place"]))
     p, x, y = pairs.alias("p"), lines.alias("x"), lines.alias("y")
     both = p.join(x, F.col("p.id").eqNullSafe(F.col("x.id")) & (F.col("p.place") == F.col("x.place")))
     both = both.join(y, F.col("p.e_id").eqNullSafe(F.col("y.id")) & (F.col("p.e_place") == F.col("y.place")))
@@ -103,7 +109,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
     sets = F.struct(*[F.array_distinct(words(F.col(f"{z}.line"))).alias(z) for z in ("x", "y")])
     sizes = F.transform(F.array(sets), lambda z: F.struct(F.size(F.array_intersect(z["x"], z["y"])).alias("k"), (F.size(z["x"]) + F.size(z["y"])).alias("n")))
     reached = F.exists(sizes, lambda z: z["k"] >= (z["n"] - z["k"]) * t - _EPS)
-    return both.filter(reached).select("p.id", "p.place").distinct()
+    found = saved(both.filter(reached).select("p.id", "p.place").distinct())
+    release(pairs, ends, lines)
+    return found
 
 
 def _prefix_length(n: Column, t: float) -> Column:
@@ -118,6 +126,21 @@ def _sure_to_share(n: Column, m: Column, t: float) -> Column:
     return F.least(_prefix_length(n, t) - (n - need), _prefix_length(m, t) - (m - need))
 
 
+def _led(sets: DataFrame, t: float) -> DataFrame:
+    """Pairs of a line and the earliest line that shares two neighbours of its
+    rarest words (id, place, e_id, e_place), if length and signature allow.
+    A prefix of one word goes by the word and the signature."""
+    few = F.slice("prefix", 1, _NEIGHBOURS)
+    pairs = F.zip_with(few, F.slice(few, 2, _NEIGHBOURS), lambda x, y: F.when(y.isNotNull(), F.xxhash64(x, y)))
+    keys = F.when(F.size("prefix") > 1, F.array_compact(pairs)).otherwise(F.array(F.xxhash64(F.get("prefix", F.lit(0)), "bits")))
+    rows = sets.select("id", "place", "n", "bits", F.explode(keys).alias("key"))
+    least = F.min(F.struct("id", line_no(F.col("place")).alias("line_no"), "place", "n", "bits"))
+    leaders = rows.groupBy("key").agg(F.count(F.lit(1)).alias("k"), least.alias("l")).filter("k > 1").select("key", "l.id", "l.place", "l.n", "l.bits")
+    a, b = rows.alias("a"), leaders.alias("b")
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & _alike(F.col("a.n"), F.col("b.n"), F.col("a.bits"), F.col("b.bits"), t) & _earlier("b", "a"))
+    return met.select("a.id", "a.place", F.col("b.id").alias("e_id"), F.col("b.place").alias("e_place")).distinct()
+
+
 def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` (id, text) -> one row per distinct line with a word: h, check
     (a second hash), id and place of its first occurrence, and ``near``:
@@ -125,40 +148,31 @@ def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     t = similarity
     levels = F.lit(rarity_levels(docs))
     number = line_no(F.col("place"))
-    first = _lines(docs).groupBy("h").agg(F.min(F.struct("id", number.alias("line_no"), "place", "line")).alias("f"))
-    first = first.select("h", "f.id", "f.place", "f.line")
     codes = F.transform(F.transform(words(F.col("line")), lambda w: F.xxhash64(w)), lambda h: _code(h, levels))
-    sets = first.withColumn("check", F.xxhash64(F.lit(1), "line")).withColumn("codes", F.sort_array(F.array_distinct(codes))).withColumn("n", F.size("codes"))
+    sets = _lines(docs).withColumn("check", F.xxhash64(F.lit(1), "line")).withColumn("codes", F.sort_array(F.array_distinct(codes))).withColumn("n", F.size("codes"))
     bits = F.aggregate("codes", F.lit(0).cast("long"), lambda a, c: a.bitwiseOR(_shifted(F.lit(1), c.bitwiseAND(F.lit(63)))))
     prefix = F.slice("codes", F.lit(1), _prefix_length(F.col("n"), t).cast("int"))
-    sets = saved(sets.select("h", "check", "id", "place", "n", bits.alias("bits"), prefix.alias("prefix")))
-    rows = sets.select("id", "place", "n", "bits", F.posexplode("prefix").alias("pos", "c"))
+    # equal lines have equal sets, so only the place decides which struct is the least
+    sets = sets.groupBy("h").agg(F.min(F.struct("id", number.alias("line_no"), "place", "check", "n", bits.alias("bits"), prefix.alias("prefix"))).alias("f"))
+    sets = saved(sets.select("h", "f.check", "f.id", "f.place", "f.n", "f.bits", "f.prefix"))
+
+    settled = _verified(saved(_led(sets, t)), docs, t)
+    marks = settled.select(F.col("id").alias("s_id"), F.col("place").alias("s_place"))
+    done = sets.join(marks, F.col("id").eqNullSafe(F.col("s_id")) & (F.col("place") == F.col("s_place")), "left")
+    rows = done.select("id", "place", F.when(F.col("s_place").isNull(), F.col("n")).otherwise(-F.col("n")).alias("n"), "bits", F.posexplode("prefix").alias("pos", "c"))
     rows = rows.select("c", "id", "place", _shifted(F.col("n"), F.lit(32)).bitwiseOR((F.col("pos") + 1).cast("long")).alias("at"), "bits")
-    border = F.lit(int(_level(_HEAVY)) << 56)
-    light, heavy = rows.filter(F.col("c") < border), rows.filter(F.col("c") >= border)
-
-    def met(later: DataFrame, earlier: DataFrame) -> DataFrame:
-        a, b = later.alias("a"), earlier.alias("b")
-        found = a.join(b, (F.col("a.c") == F.col("b.c")) & _can_match("a", "b", t) & _earlier("b", "a"))
-        n, m = F.shiftrightunsigned("a.at", 32), F.shiftrightunsigned("b.at", 32)
-        return found.select("a.id", "a.place", F.col("b.id").alias("e_id"), F.col("b.place").alias("e_place"), _sure_to_share(n, m, t).alias("sure"))
-
-    def pairs(meetings: DataFrame, share: float = 1.0) -> DataFrame:
-        """Pairs that meet in as many words as they are sure to share."""
-        counted = meetings.groupBy("id", "place", "e_id", "e_place").agg(F.count(F.lit(1)).alias("k"), F.first("sure").alias("sure"))
-        return counted.filter(F.col("k") >= F.col("sure") * share).select("id", "place", "e_id", "e_place")
-
-    # frequent words: the earliest line of each posting list; pairs that meet in few of them are left to the full join
-    leaders = heavy.groupBy("c").agg(F.min(F.struct("id", line_no(F.col("place")).alias("line_no"), "place", "at", "bits")).alias("l"))
-    leaders = leaders.select("c", "l.id", "l.place", "l.at", "l.bits")
-    settled = saved(_verified(saved(pairs(met(heavy, leaders), 0.5)), docs, t))
-    still_open = matching(heavy, settled, ["id", "place"], "left_anti")
-    rest = matching(met(light, light), settled, ["id", "place"], "left_anti").unionByName(met(still_open, heavy))
-    rest = pairs(rest)
-    near = settled.unionByName(_verified(saved(rest), docs, t)).distinct()
-    near = near.select(F.col("id").alias("near_id"), F.col("place").alias("near_place"))
+    # both sides are the same frame, so it is shuffled once
+    a, b = rows.alias("a"), rows.alias("b")
+    met = a.join(b, (F.col("a.c") == F.col("b.c")) & _can_match("a", "b", t) & _earlier("b", "a"))
+    n, m = F.shiftright("a.at", 32), F.abs(F.shiftright("b.at", 32))
+    met = met.select("a.id", "a.place", F.col("b.id").alias("e_id"), F.col("b.place").alias("e_place"), _sure_to_share(n, m, t).alias("sure"))
+    counted = met.groupBy("id", "place", "e_id", "e_place").agg(F.count(F.lit(1)).alias("k"), F.first("sure").alias("sure"))
+    found = _verified(saved(counted.filter(F.col("k") >= F.col("sure")).select("id", "place", "e_id", "e_place")), docs, t)
+    near = settled.unionByName(found).select(F.col("id").alias("near_id"), F.col("place").alias("near_place"))
     same = F.col("id").eqNullSafe(F.col("near_id")) & (F.col("place") == F.col("near_place"))
-    return sets.select("h", "check", "id", "place").join(near, same, "left").select("h", "check", "id", "place", F.col("near_place").isNotNull().alias("near"))
+    known = saved(sets.select("h", "check", "id", "place").join(near, same, "left").select("h", "check", "id", "place", F.col("near_place").isNotNull().alias("near")))
+    release(sets, settled, found)
+    return known
 
 
 def remove_duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -176,12 +190,13 @@ def remove_duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY, id_c
     prepare(docs.sparkSession)
     docs, names = hide(docs)
     own = docs.select(F.col(names[id_col]).alias("id"), F.col(names[text_col]).alias("text"))
-    known = saved(duplicate_lines(own, similarity))
+    known = duplicate_lines(own, similarity)
     mark = F.xxhash64("text").alias("mark")
     places = _lines(own.select("id", "text", mark), "mark").select("id", "mark", "place", "h", F.xxhash64(F.lit(1), "line").alias("check"))
     a, b = places.alias("a"), known.alias("b")
     gone = a.join(b, (F.col("a.h") == F.col("b.h")) & (F.col("a.check") == F.col("b.check")) & (F.col("b.near") | _earlier("b", "a")))
     gone = saved(gone.groupBy("a.id", "a.mark").agg(F.collect_set(line_no(F.col("a.place")).cast("int")).alias("gone")))
+    release(known)
     text = F.col(names[text_col])
     same = F.col(names[id_col]).eqNullSafe(F.col("id")) & (F.col("own_mark") == F.col("mark"))
     joined = docs.withColumn("own_mark", F.xxhash64(text)).join(gone, same, "left")

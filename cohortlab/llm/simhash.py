@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import hide, prepare, saved, show
+from cohortlab.llm.common import hide, matching, prepare, release, saved, show
 from cohortlab.llm.graph import component_labels
 
 RADIUS = 3
@@ -156,7 +156,9 @@ def labelled(prints: DataFrame, radius: int, tile: int) -> DataFrame:
     fingerprints."""
     prints = saved(prints)
     labels = component_labels(links(prints.select("fp"), radius, tile))
-    return saved(prints.join(labels, prints["fp"] == labels["u"], "left").select("fp", "least", F.coalesce("label", "fp").alias("label")))
+    out = saved(prints.join(labels, prints["fp"] == labels["u"], "left").select("fp", "least", F.coalesce("label", "fp").alias("label")))
+    release(prints, labels)
+    return out
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, tile: int = TILE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -173,6 +175,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
     classes = labelled(docs.groupBy("fp").agg(F.min("doc_id").alias("least")), radius, tile)
     smallest = classes.groupBy("label").agg(F.min("least").alias("component_id"))
     by_print = saved(classes.join(smallest, "label").select("fp", "component_id"))
+    release(classes)
     out = docs.join(by_print, "fp")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -185,12 +188,20 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, tile
     used again."""
     kind = docs.schema[id_col].dataType
     marked = docs.select(F.to_json(F.struct(F.col(id_col).cast("string").alias("i"), F.md5(text_col).alias("m"))).alias("doc_id"), F.col(text_col).alias("text"))
-    prints = saved(fingerprints(marked, shingle)).select("fp", F.from_json("doc_id", "i string, m string").alias("d"))
+    prints = fingerprints(marked, shingle).select("fp", F.from_json("doc_id", "i string, m string").alias("d"))
     own_id = F.col("d.i").cast(kind)
-    first = F.min(F.struct(own_id.isNull().alias("nameless"), own_id.alias("i"), F.col("d.m").alias("m")))
-    classes = labelled(prints.groupBy("fp").agg(first.alias("least")), radius, tile)
-    keep = classes.groupBy("label").agg(F.min("least").alias("least")).select(F.col("least.i").alias("_keep"), F.col("least.m").alias("_keep_mark"))
+    prints = saved(prints.select("fp", F.struct(own_id.isNull().alias("nameless"), own_id.alias("i"), F.col("d.m").alias("m")).alias("d")))
+    classes = labelled(prints.groupBy("fp").agg(F.min("d").alias("least")), radius, tile)
+    by_print = classes.join(classes.groupBy("label").agg(F.min("least").alias("keep")), "label").select("fp", "keep")
+    # rows of an id and a text share fate and fingerprint; only those that must go or repeat are named
+    rows = prints.groupBy("fp", "d").agg(F.count(F.lit(1)).alias("n")).join(by_print, "fp")
+    gone = saved(rows.filter("not d <=> keep").select("d.i", "d.m"))
+    repeated = saved(rows.filter("d <=> keep and n > 1").select("d.i", "d.m"))
+    release(prints, classes)
     docs, names = hide(docs)
-    docs = docs.withColumn("_mark", F.md5(names[text_col]))
-    kept = docs.join(keep, F.col(names[id_col]).eqNullSafe(F.col("_keep")) & F.col("_mark").eqNullSafe(F.col("_keep_mark")), "left_semi")
-    return show(kept.dropDuplicates([names[id_col], "_mark"]), names)
+    docs = docs.withColumns({"i": F.col(names[id_col]), "m": F.md5(names[text_col])})
+    kept = matching(docs, gone, ["i", "m"], "left_anti")
+    if repeated.isEmpty():
+        return show(kept, names)
+    once = matching(kept, repeated, ["i", "m"]).dropDuplicates(["i", "m"])
+    return show(matching(kept, repeated, ["i", "m"], "left_anti").unionByName(once), names)

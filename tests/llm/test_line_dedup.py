@@ -53,10 +53,30 @@ def test_against_brute_force(make):
     assert spark_rows(remove_duplicate_lines(make(rows))) == brute(rows)
 
 
-def test_against_brute_force_when_all_words_are_frequent(make, monkeypatch):
-    monkeypatch.setattr(line_dedup, "_HEAVY", 2)
+def test_against_brute_force_whatever_leaders_settle(make, monkeypatch):
     rows = corpus(6)
+    for neighbours in (2, 50):
+        monkeypatch.setattr(line_dedup, "_NEIGHBOURS", neighbours)
+        assert spark_rows(remove_duplicate_lines(make(rows))) == brute(rows)
+
+
+def test_pairs_of_a_group_of_near_copies_grow_with_its_size(make, monkeypatch):
+    seen, whole = [], line_dedup._verified
+
+    def counted(pairs, docs, t):
+        seen.append(pairs.count())
+        return whole(pairs, docs, t)
+
+    monkeypatch.setattr(line_dedup, "_verified", counted)
+    rnd = random.Random(8)
+    base = [f"v{k}" for k in range(30)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        words[rnd.randrange(30)] = f"u{i}"
+        rows.append((i, " ".join(words)))
     assert spark_rows(remove_duplicate_lines(make(rows))) == brute(rows)
+    assert sum(seen) <= 4 * len(rows)
 
 
 def test_edge_cases(make):
