@@ -4,9 +4,9 @@ An exact set-similarity join over lines as sets of words.  The words of a line
 are ordered by rarity in the corpus; two lines of Jaccard similarity at least
 ``t`` must share one of their first ``n - ceil(t * n) + 1`` words (prefix
 filter).  Lines that meet in a prefix word are dropped early by their lengths,
-by the positions of the word (how much overlap is still possible), and by a
-64-bit signature of the sets, of which each differing bit shows a word that is
-in one line only.  Pairs must meet in as many prefix words as similar sets are
+by the positions of the word (how much overlap is still possible), and by two
+64-bit signatures of the sets, in which every word flips one bit: as many bits
+as differ, as many words at least are in one line only, however long the lines.  Pairs must meet in as many prefix words as similar sets are
 sure to share.  The rest is verified on the words.
 
 Equal lines are one row, with the position of the first.  Before the join every
@@ -40,7 +40,7 @@ def rarity_levels(docs: DataFrame) -> bytes:
     """Level of each of 2^18 hash buckets of words, from the counts of all
     words of the corpus.  The table has a fixed size; buckets that share words
     only make a word seem less rare, which changes costs, not results."""
-    found = docs.select(F.explode(words(F.col("text"))).alias("w")).groupBy(F.pmod(F.xxhash64("w"), F.lit(_BUCKETS)).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+    found = docs.select(F.explode(words(F.col("text"))).alias("w")).groupBy(F.xxhash64("w").bitwiseAND(F.lit(_BUCKETS - 1)).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n")).toArrow()
     table = np.full(_BUCKETS, _level(0), np.uint8)
     table[found["b"].to_numpy()] = _level(found["n"].to_numpy())
     return table.tobytes()
@@ -52,7 +52,7 @@ def _shifted(number: Column, by: Column) -> Column:
 
 def _code(h: Column, levels: Column) -> Column:
     """A word hash as a number that sorts by rarity: level, then hash."""
-    place = (F.pmod(h, F.lit(_BUCKETS)) + 1).cast("int")
+    place = (h.bitwiseAND(F.lit(_BUCKETS - 1)) + 1).cast("int")
     level = F.ascii(F.substring(levels, place, F.lit(1)).cast("string"))
     return _shifted(level, F.lit(56)).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
 
@@ -78,21 +78,28 @@ def _earlier(a: str, b: str) -> Column:
     return (x < y) | (x.isNull() & y.isNotNull()) | (x.eqNullSafe(y) & before)
 
 
-def _alike(n: Column, m: Column, x: Column, y: Column, t: float) -> Column:
-    """Length and signature filter: sizes n and m, signatures x and y."""
+def _signature(codes: str, shift: int) -> Column:
+    """64 parities of the words of a set, by six bits of their hashes."""
+    bit = lambda c: _shifted(F.lit(1), F.shiftright(c, shift).bitwiseAND(F.lit(63)))
+    return F.aggregate(codes, F.lit(0).cast("long"), lambda a, c: a.bitwiseXOR(bit(c)))
+
+
+def _alike(n: Column, m: Column, t: float) -> Column:
+    """Length and signature filter for rows a and b of n and m words."""
     need = F.ceil((n + m) * (t / (1 + t)) - _EPS)
-    return (F.least(n, m) >= F.greatest(n, m) * t - _EPS) & (F.bit_count(x.bitwiseXOR(y)) <= n + m - 2 * need)
+    apart = [F.bit_count(F.col(f"a.{x}").bitwiseXOR(F.col(f"b.{x}"))) <= n + m - 2 * need for x in ("bits", "more")]
+    return (F.least(n, m) >= F.greatest(n, m) * t - _EPS) & apart[0] & apart[1]
 
 
-def _can_match(a: str, b: str, t: float) -> Column:
-    """Length, positional and signature filter for two prefix rows, whose
+def _can_match(t: float) -> Column:
+    """Length, positional and signature filter for prefix rows a and b, whose
     ``at`` is the number of words (upper half) and the word's position.  A
     settled line has its number negated, and as ``a`` is like none."""
-    n, m = F.shiftright(f"{a}.at", 32), F.abs(F.shiftright(f"{b}.at", 32))
-    i, j = (F.col(f"{x}.at").bitwiseAND(F.lit(0xFFFFFFFF)) for x in (a, b))
+    n, m = F.shiftright("a.at", 32), F.abs(F.shiftright("b.at", 32))
+    i, j = (F.col(x).bitwiseAND(F.lit(0xFFFFFFFF)) for x in ("a.at", "b.at"))
     need = F.ceil((n + m) * (t / (1 + t)) - _EPS)
     position = F.least(n - i, m - j) + F.least(i, j) >= need - 1
-    return _alike(n, m, F.col(f"{a}.bits"), F.col(f"{b}.bits"), t) & position
+    return _alike(n, m, t) & position
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
@@ -133,11 +140,11 @@ def _led(sets: DataFrame, t: float) -> DataFrame:
     few = F.slice("prefix", 1, _NEIGHBOURS)
     pairs = F.zip_with(few, F.slice(few, 2, _NEIGHBOURS), lambda x, y: F.when(y.isNotNull(), F.xxhash64(x, y)))
     keys = F.when(F.size("prefix") > 1, F.array_compact(pairs)).otherwise(F.array(F.xxhash64(F.get("prefix", F.lit(0)), "bits")))
-    rows = sets.select("id", "place", "n", "bits", F.explode(keys).alias("key"))
-    least = F.min(F.struct("id", line_no(F.col("place")).alias("line_no"), "place", "n", "bits"))
-    leaders = rows.groupBy("key").agg(F.count(F.lit(1)).alias("k"), least.alias("l")).filter("k > 1").select("key", "l.id", "l.place", "l.n", "l.bits")
+    rows = sets.select("id", "place", "n", "bits", "more", F.explode(keys).alias("key"))
+    least = F.min(F.struct("id", line_no(F.col("place")).alias("line_no"), "place", "n", "bits", "more"))
+    leaders = rows.groupBy("key").agg(F.count(F.lit(1)).alias("k"), least.alias("l")).filter("k > 1").select("key", "l.id", "l.place", "l.n", "l.bits", "l.more")
     a, b = rows.alias("a"), leaders.alias("b")
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & _alike(F.col("a.n"), F.col("b.n"), F.col("a.bits"), F.col("b.bits"), t) & _earlier("b", "a"))
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & _alike(F.col("a.n"), F.col("b.n"), t) & _earlier("b", "a"))
     return met.select("a.id", "a.place", F.col("b.id").alias("e_id"), F.col("b.place").alias("e_place")).distinct()
 
 
@@ -148,22 +155,23 @@ def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     t = similarity
     levels = F.lit(rarity_levels(docs))
     number = line_no(F.col("place"))
-    codes = F.transform(F.transform(words(F.col("line")), lambda w: F.xxhash64(w)), lambda h: _code(h, levels))
-    sets = _lines(docs).withColumn("check", F.xxhash64(F.lit(1), "line")).withColumn("codes", F.sort_array(F.array_distinct(codes))).withColumn("n", F.size("codes"))
-    bits = F.aggregate("codes", F.lit(0).cast("long"), lambda a, c: a.bitwiseOR(_shifted(F.lit(1), c.bitwiseAND(F.lit(63)))))
+    hashes = F.array_distinct(F.transform(words(F.col("line")), lambda w: F.xxhash64(w)))
+    codes = F.sort_array(F.array_distinct(F.transform(hashes, lambda h: _code(h, levels))))
+    sets = _lines(docs).withColumn("check", F.xxhash64(F.lit(1), "line")).withColumn("codes", codes).withColumn("n", F.size("codes"))
+    own = [_signature("codes", 0).alias("bits"), _signature("codes", 6).alias("more")]
     prefix = F.slice("codes", F.lit(1), _prefix_length(F.col("n"), t).cast("int"))
     # equal lines have equal sets, so only the place decides which struct is the least
-    sets = sets.groupBy("h").agg(F.min(F.struct("id", number.alias("line_no"), "place", "check", "n", bits.alias("bits"), prefix.alias("prefix"))).alias("f"))
-    sets = saved(sets.select("h", "f.check", "f.id", "f.place", "f.n", "f.bits", "f.prefix"))
+    sets = sets.groupBy("h").agg(F.min(F.struct("id", number.alias("line_no"), "place", "check", "n", *own, prefix.alias("prefix"))).alias("f"))
+    sets = saved(sets.select("h", "f.check", "f.id", "f.place", "f.n", "f.bits", "f.more", "f.prefix"))
 
     settled = _verified(saved(_led(sets, t)), docs, t)
     marks = settled.select(F.col("id").alias("s_id"), F.col("place").alias("s_place"))
     done = sets.join(marks, F.col("id").eqNullSafe(F.col("s_id")) & (F.col("place") == F.col("s_place")), "left")
-    rows = done.select("id", "place", F.when(F.col("s_place").isNull(), F.col("n")).otherwise(-F.col("n")).alias("n"), "bits", F.posexplode("prefix").alias("pos", "c"))
-    rows = rows.select("c", "id", "place", _shifted(F.col("n"), F.lit(32)).bitwiseOR((F.col("pos") + 1).cast("long")).alias("at"), "bits")
+    rows = done.select("id", "place", F.when(F.col("s_place").isNull(), F.col("n")).otherwise(-F.col("n")).alias("n"), "bits", "more", F.posexplode("prefix").alias("pos", "c"))
+    rows = rows.select("c", "id", "place", _shifted(F.col("n"), F.lit(32)).bitwiseOR((F.col("pos") + 1).cast("long")).alias("at"), "bits", "more")
     # both sides are the same frame, so it is shuffled once
     a, b = rows.alias("a"), rows.alias("b")
-    met = a.join(b, (F.col("a.c") == F.col("b.c")) & _can_match("a", "b", t) & _earlier("b", "a"))
+    met = a.join(b, (F.col("a.c") == F.col("b.c")) & _can_match(t) & _earlier("b", "a"))
     n, m = F.shiftright("a.at", 32), F.abs(F.shiftright("b.at", 32))
     met = met.select("a.id", "a.place", F.col("b.id").alias("e_id"), F.col("b.place").alias("e_place"), _sure_to_share(n, m, t).alias("sure"))
     counted = met.groupBy("id", "place", "e_id", "e_place").agg(F.count(F.lit(1)).alias("k"), F.first("sure").alias("sure"))
