@@ -24,12 +24,14 @@ STATISTICS = ("words", "word_length", "distinct", "upper", "digits", "space", "m
 
 
 def statistics(text: Column) -> dict[str, Column]:
-    """Statistics of a whole text as columns; a null text is an empty one."""
+    """Statistics of a whole text as columns; a null text is an empty
+    one, with one line and otherwise zeros (line_words: 1)."""
     t = F.coalesce(text, F.lit(""))
-    n = F.greatest(F.length(t), F.lit(1)).cast("double")
+    chars = F.length(t)
+    n = F.greatest(chars, F.lit(1)).cast("double")
 
     def share(pattern: str) -> Column:
-        return (n - F.length(F.regexp_replace(t, pattern, ""))) / n
+        return (chars - F.length(F.regexp_replace(t, pattern, ""))) / n
 
     w = words(t)
     count = F.greatest(F.size(w), F.lit(1)).cast("double")
