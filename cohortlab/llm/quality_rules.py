@@ -2,12 +2,16 @@
 
 A text's histogram of character classes and its histogram of common words are
 compared with those of the language's whole corpus by Jensen-Shannon distance
-(base 2, so 0 to 1).  Texts below a minimum length are not judged by it: their
-histograms say too little.  Everything is column expressions.
+(base 2, so 0 to 1).  How far a text's common words may be from its language's
+follows from the reference: half of the distance that a text without any of
+them has, widened for the chance in a text of its length.  Texts below a
+minimum length are not judged: their histograms say too little.  Everything is
+column expressions.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,10 +22,12 @@ from cohortlab.llm.common import hide, prepare, saved, show, words
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of words in repeated windows
 MAX_CLASS_DISTANCE = 0.25
-MAX_WORD_DISTANCE = 0.42
+MAX_WORD_SHARE = 0.5  # of the distance of a text without common words
 MIN_WORDS_FOR_HISTOGRAM = 100
 COMMON_WORDS = 20
 MIN_REFERENCE_WORDS = 1_000  # words from which on a language has a reference of its own
+# squared distance that n words drawn from the reference itself have on average, times n: a bin adds 1 / (8 ln 2); one and a half times that is allowed
+WORD_CHANCE = 1.5 * COMMON_WORDS / (8 * math.log(2))
 BROADCAST_REFERENCES = 20_000  # references, of about 1 KB each, that are broadcast at most
 _FIRST_BIN = 33  # bins are written as the characters from "!" on
 #: Character classes in the order in which they are taken out of a text.
@@ -64,6 +70,13 @@ def js_distance(p: list[Column], q: list[Column]) -> Column:
     return F.sqrt(F.greatest(reduce(lambda a, b: a + b, terms) / 2, F.lit(0.0)))
 
 
+def foreign_distance(rest: Column) -> Column:
+    """Jensen-Shannon distance of a text without common words to a reference
+    in which other words have the share ``rest``."""
+    both = F.log2(2 / (1 + rest)) + F.when(rest > 0, rest * F.log2(2 * rest / (1 + rest))).otherwise(F.lit(0.0))
+    return F.sqrt(F.greatest((1 - rest + both) / 2, F.lit(0.0)))
+
+
 def with_class_counts(df: DataFrame, text: str) -> DataFrame:
     """``df`` with ``_c_<class>`` counts of characters and ``_c_other``.  Each
     class is taken out of what the classes before it have left, so the text
@@ -78,7 +91,7 @@ def with_class_counts(df: DataFrame, text: str) -> DataFrame:
 
 def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, dict]:
     """References of all languages with ``MIN_REFERENCE_WORDS`` words (a row
-    each: _lang, _classes, _bins, _common), and that of all texts together:
+    each: _lang, _classes, _bins, _common, _foreign), and that of all texts together:
     shares of the classes, the common words (most frequent first, ties by code
     point) and their shares.  Counts cover the whole corpus; only the common
     words of all texts reach the driver."""
@@ -98,6 +111,7 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
         F.array(*[F.col(c) / total for c in names]).alias("_classes"),
         F.expr(f"map_from_entries(transform(top, x -> struct(x.w, char({_FIRST_BIN - 1} + x.rank))))").alias("_bins"),
         F.expr(f"concat(transform(top, x -> x.n / words), array_repeat(0D, {COMMON_WORDS} - size(top)), array((words - found) / words))").alias("_common"),
+        foreign_distance((F.col("words") - F.col("found")) / F.col("words")).alias("_foreign"),
     )
     classes = sums.agg(*[F.sum(c).alias(c) for c in names]).first()
     chars = sum(x or 0.0 for x in classes)
@@ -105,11 +119,11 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     most = counted.groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(COMMON_WORDS).collect()
     shares = [r["n"] / n for r in most] + [0.0] * (COMMON_WORDS - len(most))
     rest = (n - sum(r["n"] for r in most)) / n if n else 0.0
-    overall = {"classes": [(x or 0.0) / chars if chars else 0.0 for x in classes], "words": {r["w"]: chr(_FIRST_BIN + i) for i, r in enumerate(most)}, "common": [*shares, rest]}
+    overall = {"classes": [(x or 0.0) / chars if chars else 0.0 for x in classes], "words": {r["w"]: chr(_FIRST_BIN + i) for i, r in enumerate(most)}, "common": [*shares, rest], "rest": rest}
     return saved(known), overall
 
 
-def judge(docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE, min_words: int = MIN_WORDS, max_repeated: int = MAX_REPEATED, min_histogram: int = MIN_WORDS_FOR_HISTOGRAM, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def judge(docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE, max_word_share: float = MAX_WORD_SHARE, min_words: int = MIN_WORDS, max_repeated: int = MAX_REPEATED, min_histogram: int = MIN_WORDS_FOR_HISTOGRAM, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, class_distance, word_distance and kept (input
     columns of these names are replaced).
@@ -118,7 +132,9 @@ def judge(docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE, max_w
     percent of them in repeated 3-word windows.  kept: not base_failed and,
     for texts of at least ``min_histogram`` words, both distances to the
     reference of their language within their limits (below that length the
-    distances are given but don't count).  A null language and one of fewer than
+    distances are given but don't count).  The limit of the words is
+    ``max_word_share`` of the distance of a text that has none of the common
+    words, its square plus ``WORD_CHANCE`` / n_words.  A null language and one of fewer than
     ``MIN_REFERENCE_WORDS`` words are compared with the reference of all texts.  Null, empty and word-less texts fail the
     base rule and have distances of null.  Repeated rows are judged alike; an
     empty table gives no rows.
@@ -156,6 +172,8 @@ def judge(docs: DataFrame, max_class_distance: float = MAX_CLASS_DISTANCE, max_w
         "word_distance": F.when(has_words, js_distance(drawn, reference("_common", "common", COMMON_WORDS + 1))),
         "base_failed": (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeated * F.col("n_words")),
     })
-    near = (F.col("class_distance") <= max_class_distance) & (F.col("word_distance") <= max_word_distance)
+    foreign = F.coalesce("_foreign", foreign_distance(F.lit(float(overall["rest"]))))
+    word_limit = F.sqrt(F.pow(max_word_share * foreign, F.lit(2)) + WORD_CHANCE / F.col("n_words"))
+    near = (F.col("class_distance") <= max_class_distance) & (F.col("word_distance") <= word_limit)
     df = df.withColumn("kept", ~F.col("base_failed") & ((F.col("n_words") < min_histogram) | near))
     return show(df, names, *results)

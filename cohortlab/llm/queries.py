@@ -129,7 +129,7 @@ WITH d AS (
     UNION ALL SELECT '*', word, sum(n) FROM word_counts GROUP BY word
   )
 ), ref_common AS (
-  SELECT k, list(word ORDER BY rank) AS ws, list_append(list(n / total ORDER BY rank), (any_value(total) - sum(n)) / any_value(total)) AS q FROM ref_words WHERE rank <= {_COMMON} GROUP BY k
+  SELECT k, list(word ORDER BY rank) AS ws, list_append(list(n / total ORDER BY rank), (any_value(total) - sum(n)) / any_value(total)) AS q, (any_value(total) - sum(n)) / any_value(total) AS rest FROM ref_words WHERE rank <= {_COMMON} GROUP BY k
 ), ref_classes AS (
   SELECT k, list(s / total ORDER BY i) AS q FROM (
     SELECT k, i, s, sum(s) OVER (PARTITION BY k) AS total FROM (
@@ -140,10 +140,11 @@ WITH d AS (
     )
   ) GROUP BY k
 ), drawn AS (
-  SELECT d.r, ws, rc.q AS wq, cl.q AS cq, [len(list_filter(w, lambda x: x = y)) / len(w) FOR y IN ws] AS p
+  SELECT d.r, ws, rc.q AS wq, cl.q AS cq,
+         (1 - rest + log2(2 / (1 + rest)) + CASE WHEN rest > 0 THEN rest * log2(2 * rest / (1 + rest)) ELSE 0 END) / 2 AS foreign_js, len(w) AS n, [len(list_filter(w, lambda x: x = y)) / len(w) FOR y IN ws] AS p
   FROM d JOIN keyed USING (r) JOIN ref_common rc USING (k) JOIN ref_classes cl USING (k) WHERE len(w) > 0
 ), distances AS (
-  SELECT drawn.r, {_JS.format("list_append(p, 1 - list_sum(p))", "wq")} AS word_distance, {_JS.format("[x / chars FOR x IN c]", "cq")} AS class_distance
+  SELECT drawn.r, sqrt({quality_rules.MAX_WORD_SHARE ** 2} * foreign_js + {quality_rules.WORD_CHANCE} / n) AS word_limit, {_JS.format("list_append(p, 1 - list_sum(p))", "wq")} AS word_distance, {_JS.format("[x / chars FOR x IN c]", "cq")} AS class_distance
   FROM drawn JOIN full_classes f ON drawn.r = f.r
 ), base AS (
   SELECT d.r, doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,
@@ -154,7 +155,7 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-         AND (n_words < {quality_rules.MIN_WORDS_FOR_HISTOGRAM} OR (class_distance <= {quality_rules.MAX_CLASS_DISTANCE} AND word_distance <= {quality_rules.MAX_WORD_DISTANCE})) AS kept
+         AND (n_words < {quality_rules.MIN_WORDS_FOR_HISTOGRAM} OR (class_distance <= {quality_rules.MAX_CLASS_DISTANCE} AND word_distance <= word_limit)) AS kept
 FROM base LEFT JOIN distances ON base.r = distances.r
 """
 

@@ -43,6 +43,16 @@ def test_rule_column_equals_rule_matrix(spark, make):
     assert np.allclose(1 / (1 + np.exp(-z)), rows["s"])
 
 
+def test_an_empty_text_has_no_share_of_anything(spark, make):
+    docs, labels = corpus()
+    model = quality_model.fit(make(docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), F.lit(True))
+    rows = quality_model.with_statistics(make([(1, None), (2, "")])).select("_stats.*").collect()
+    assert all(v == 0 for r in rows for k, v in r.asDict().items() if k not in ("lines", "line_words"))
+    x = np.array([list(rows[0])], float)
+    z = quality_model.rule_matrix(x, list(model.rules)).astype(float) @ np.array(model.weights) + model.bias
+    assert np.allclose([r.score for r in quality_model.score(make([(1, None), (2, "")]), model).collect()], 1 / (1 + np.exp(-z[0])))
+
+
 def test_rule_model_edge_cases(spark, make):
     df = clashing(make([(1, None), (1, None), (2, ""), (None, "x"), (3, "word " * 60_000)]), "score", "predicted", "_stats", "words")
     empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
@@ -94,6 +104,32 @@ def test_divergence_keeps_clean_and_drops_strange_texts(make):
     assert quality_rules.judge(make([])).count() == 0
 
 
+def test_texts_of_another_language_or_without_common_words_go(make):
+    rnd = random.Random(21)
+    common = {lang: ["".join(rnd.choices("abcdefghijklm", k=3)) + lang for _ in range(20)] for lang in ("aa", "bb", "cc")}
+
+    def text(lang, share=0.22, k=None):
+        own = common.get(lang, [""])
+        return " ".join(rnd.choice(own) if rnd.random() < share else "".join(rnd.choices("abcdefghijklm", k=6)) for _ in range(k or rnd.randint(100, 600)))
+
+    langs = list(common)
+    rows = [(i, text(langs[i % 3]), langs[i % 3]) for i in range(600)]
+    rows += [(1_000 + i, text(langs[i % 3]), langs[(i + 1) % 3]) for i in range(45)]  # labelled as another language
+    rows += [(2_000 + i, text(None, 0), langs[i % 3]) for i in range(45)]
+    kept = {r.doc_id: r.kept for r in quality_rules.judge(make(rows)).collect()}
+    assert np.mean([kept[i] for i in range(600)]) > 0.99
+    assert np.mean([kept[i] for i in kept if 1_000 <= i < 2_000]) <= 0.05
+    assert np.mean([kept[i] for i in kept if i >= 2_000]) <= 0.05
+
+
+def test_distance_of_a_text_without_common_words(spark):
+    for shares in ([0.1, 0.05], [0.5, 0.5], [0.02]):
+        q = [F.lit(x) for x in (*shares, 1 - sum(shares))]
+        p = [F.lit(0.0)] * len(shares) + [F.lit(1.0)]
+        row = spark.range(1).select(quality_rules.foreign_distance(q[-1]).alias("a"), quality_rules.js_distance(p, q).alias("b")).first()
+        assert abs(row.a - row.b) < 1e-12
+
+
 def test_every_language_has_a_reference_of_its_own(make, monkeypatch):
     rnd = random.Random(12)
 
