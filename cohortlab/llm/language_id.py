@@ -33,6 +33,7 @@ SHORTEST = 20  # letters() of texts that rejection is calibrated on
 UNKNOWN = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 _UNIT = 16
+SLICE, LARGE_SLICE = 1 << 17, 1 << 20  # grams worked on at a time, with a number per language and with one number
 
 
 def letters(text: str | None) -> str:
@@ -47,6 +48,25 @@ def gram_keys(text: str) -> np.ndarray:
     return u[:-3] << np.uint64(48) | u[1:-2] << np.uint64(32) | u[2:-1] << np.uint64(16) | u[3:]
 
 
+def pieces(texts: list[str], size: int):
+    """(number of the text of each gram, grams) of letters() texts in order,
+    at most ``size`` grams at a time, so that what is made of them is bounded
+    however long the texts are."""
+    numbers, keys, room = [], [], size
+    for i, text in enumerate(texts):
+        own = gram_keys(text)
+        while len(own):
+            part, own = own[:room], own[room:]
+            numbers.append(i)
+            keys.append(part)
+            room -= len(part)
+            if not room:
+                yield np.repeat(numbers, [len(k) for k in keys]), np.concatenate(keys)
+                numbers, keys, room = [], [], size
+    if keys:
+        yield np.repeat(numbers, [len(k) for k in keys]), np.concatenate(keys)
+
+
 def _lookup(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Value of each wanted key in a sorted array, 0 where it is absent."""
     if not len(keys):
@@ -98,29 +118,32 @@ class LanguageModel:
 
     def entropies(self, texts: list[str]) -> np.ndarray:
         """Mean cross-entropy (nats per character) of letters() texts, [text, language]."""
-        keys = [gram_keys(t) for t in texts]
-        flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        at = np.minimum(np.searchsorted(self.grams, flat), len(self.grams) - 1)
-        logs = self.logs[at]
-        missing = np.flatnonzero(self.grams[at] != flat)
-        if len(missing):
-            rare, back = np.unique(flat[missing], return_inverse=True)
-            logs[missing] = np.stack([np.log(m.probability(rare)) for m in self.models], 1)[back]
-        lengths = np.array([len(k) for k in keys])
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(int)
-        return -np.add.reduceat(logs, starts, axis=0) / lengths[:, None]
+        sums, lengths = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
+        for number, flat in pieces(texts, SLICE):
+            at = np.minimum(np.searchsorted(self.grams, flat), len(self.grams) - 1)
+            logs = self.logs[at]
+            missing = np.flatnonzero(self.grams[at] != flat)
+            if len(missing):
+                rare, back = np.unique(flat[missing], return_inverse=True)
+                logs[missing] = np.stack([np.log(m.probability(rare)) for m in self.models], 1)[back]
+            starts = np.flatnonzero(np.diff(number, prepend=-1))
+            sums[number[starts]] += np.add.reduceat(logs, starts, axis=0)
+            lengths[number[starts]] += np.diff(starts, append=len(flat))
+        return -sums / lengths[:, None]
 
     def own_entropies(self, texts: list[str], language: int) -> np.ndarray:
         """Mean cross-entropy of letters() texts under one language."""
-        keys = [gram_keys(t) for t in texts]
-        flat = np.concatenate(keys)
-        at = np.minimum(np.searchsorted(self.grams, flat), len(self.grams) - 1)
-        logs = self.logs[at, language].astype(float)
-        missing = np.flatnonzero(self.grams[at] != flat)
-        if len(missing):
-            logs[missing] = np.log(self.models[language].probability(flat[missing]))
-        lengths = np.array([len(k) for k in keys])
-        return -np.add.reduceat(logs, np.cumsum(lengths) - lengths) / lengths
+        sums, lengths = np.zeros(len(texts)), np.zeros(len(texts))
+        for number, flat in pieces(texts, LARGE_SLICE):
+            at = np.minimum(np.searchsorted(self.grams, flat), len(self.grams) - 1)
+            logs = self.logs[at, language].astype(float)
+            missing = np.flatnonzero(self.grams[at] != flat)
+            if len(missing):
+                logs[missing] = np.log(self.models[language].probability(flat[missing]))
+            starts = np.flatnonzero(np.diff(number, prepend=-1))
+            sums[number[starts]] += np.add.reduceat(logs, starts)
+            lengths[number[starts]] += np.diff(starts, append=len(flat))
+        return -sums / lengths
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         """(language, score, rejected) of each text; ``und``, 0 and True for
@@ -231,8 +254,8 @@ def stored_entropies(model: StoredModel, docs: DataFrame) -> DataFrame:
     def occurring(batches):
         for b in batches:
             clean = [t for t in map(letters, b["text"]) if t]
-            if clean:
-                keys, n = np.unique(np.concatenate([gram_keys(t) for t in clean]), return_counts=True)
+            for _, flat in pieces(clean, LARGE_SLICE):
+                keys, n = np.unique(flat, return_counts=True)
                 yield pd.DataFrame({"gram": keys.view(np.int64), "n": n})
 
     grams = saved(docs.select("text").mapInPandas(occurring, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
@@ -287,8 +310,8 @@ def fit(docs: DataFrame, usable: Column, max_bytes: int = MODEL_BYTES, id_col: s
         for b in batches:
             for lang, texts in b.groupby("lang")["text"]:
                 clean = [t for t in map(letters, texts) if t]
-                if clean:
-                    keys, n = np.unique(np.concatenate([gram_keys(t) for t in clean]), return_counts=True)
+                for _, flat in pieces(clean, LARGE_SLICE):
+                    keys, n = np.unique(flat, return_counts=True)
                     yield pd.DataFrame({"lang": lang, "gram": keys.view(np.int64), "n": n})
 
     counts = learned.select("lang", "text").mapInPandas(count, "lang string, gram long, n long")

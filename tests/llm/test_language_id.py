@@ -52,6 +52,27 @@ def test_union_table_equals_back_off():
     assert np.allclose(model.entropies([text])[0], slow, atol=1e-5)
 
 
+def test_memory_of_a_batch_of_long_texts(monkeypatch):
+    import tracemalloc
+
+    counts = pd.DataFrame([(f"l{i:02d}", k, c) for i in range(40) for k, c in zip(*(a.tolist() for a in np.unique(gram_keys("aba caba dada").view(np.int64), return_counts=True)))], columns=["lang", "gram", "n"])
+    model = build(counts)
+    texts = [letters("bad aba caba qx " * k) for k in (7_500, 3, 1, 7_500)] * 64  # two in four of 120,000 characters
+    tracemalloc.start()
+    got = model.entropies(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20  # 2.4 GB if the whole batch were looked up at once
+    monkeypatch.setattr("cohortlab.llm.language_id.SLICE", 1 << 24)
+    assert np.allclose(got[:4], model.entropies(texts[:4]), rtol=1e-4)
+    few = [letters("bad aba"), letters("x"), letters("caba dada ab")]
+    whole = model.entropies(few), model.own_entropies(few, 1)
+    for size in (1, 2, 5, 8):
+        monkeypatch.setattr("cohortlab.llm.language_id.SLICE", size)
+        monkeypatch.setattr("cohortlab.llm.language_id.LARGE_SLICE", size)
+        assert np.allclose(whole[0], model.entropies(few), rtol=1e-5) and np.allclose(whole[1], model.own_entropies(few, 1))
+
+
 def test_edge_cases(make):
     rows = corpus(60)
     model = fit(make(rows), F.lit(True))
