@@ -3,16 +3,21 @@ across counterfactuals.
 
 Features are the presence of words and of word beginnings (inflected forms
 share them).  The most telling ones are chosen from document counts by label.
-For every labelled sentence that names a group, the same sentence with another
-group of its axis put in is made; the loss adds the squared difference of the
-two scores, so what a group is called can't carry the label, and neutral
-mentions are not held against a text.
+A labelled sentence that names a group is paired with the same sentence for
+every other group of its axis, and a sentence that names none with the same
+sentence after a group is put in.  The loss adds the squared difference of the two scores
+(logits), so what a group is called can't carry the label, and neutral mentions
+are not held against a text.  Scores are sums over features, so of a pair only
+the features count that one side has and the other lacks: pairs with the same
+difference are one row with their number, and all of them take part.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +27,8 @@ from pyspark.sql import functions as F
 
 from cohortlab.llm.common import hide, prepare, saved, show
 
-#: Terms that may be swapped for one another, by axis.
+#: Terms that may be swapped for one another, by axis; for other languages or
+#: terms the caller passes axes of their own.
 IDENTITY_TERMS = {
     "gender": ("women", "men", "woman", "man", "girls", "boys", "female", "male", "transgender"),
     "religion": ("muslims", "christians", "jews", "hindus", "buddhists", "atheists", "muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
@@ -32,7 +38,6 @@ IDENTITY_TERMS = {
     "ability": ("disabled", "blind", "deaf", "able-bodied"),
     "age": ("old", "young", "elderly"),
 }
-AXIS = {term: terms for terms in IDENTITY_TERMS.values() for term in terms}
 WORD = re.compile(r"\w+(?:-\w+)*")
 SENTENCE = re.compile(r"[.!?\n]+")
 STEMS = (3, 5, 7)  # letters of a word's beginnings
@@ -40,25 +45,36 @@ MIN_GAIN = 3.5  # standard errors by which a feature's share of positives must d
 MAX_LABELLED = 20_000  # labelled rows that a fit uses at most
 MAX_FEATURES = 1024
 MIN_DOCS = 4
-MAX_PAIRS = 20_000  # counterfactual sentence pairs that a fit uses at most
+TIE = 5.0  # weight of the squared score change of pairs
 THRESHOLD = 0.3
 
 
 def text_features(text: str | None) -> set[str]:
     """Words (lower-case) and, marked with ``^``, the beginnings of longer words."""
-    found = set(WORD.findall(text.lower())) if text else set()
+    return word_features(WORD.findall(text.lower())) if text else set()
+
+
+def word_features(words: Iterable[str]) -> set[str]:
+    found = set(words)
     return found | {"^" + w[:n] for n in STEMS for w in found if len(w) > n}
 
 
-def swapped(sentence: str) -> list[tuple[str, str]]:
-    """(sentence, counterfactual) for each group term in it, put in its place
-    the next term of its axis; lower-case."""
-    found = WORD.findall(sentence.lower())
+def counterfactuals(sentence: str, axes: dict[str, tuple[str, ...]]) -> list[tuple[frozenset[str], frozenset[str]]]:
+    """(features lost, features won) when a group term of the sentence becomes
+    another of its axis, for every term in it and every other term of the axis;
+    of a sentence without a term, when a term is put in, for every term of the
+    axis that a hash of the sentence names.  No words give no pairs."""
+    found = set(WORD.findall(sentence.lower()))
+    of = {term: terms for terms in axes.values() for term in terms}
+    swaps = [(term, other) for term in sorted(found & of.keys()) for other in of[term] if other != term]
+    if found and axes and not found & of.keys():
+        h = zlib.crc32(" ".join(sorted(found)).encode("utf-8", "replace"))
+        swaps = [("", other) for other in [*axes.values()][h % len(axes)]]
     out = []
-    for term in {w for w in found if w in AXIS}:
-        axis = AXIS[term]
-        other = axis[(axis.index(term) + 1) % len(axis)]
-        out.append((" ".join(found), " ".join(other if w == term else w for w in found)))
+    rest = {term: word_features(found - {term}) for term, _ in swaps}
+    for term, other in swaps:
+        before, after = text_features(term), text_features(other)
+        out.append((frozenset(before - after - rest[term]), frozenset(after - before - rest[term])))
     return out
 
 
@@ -77,16 +93,17 @@ class ToxicityModel:
         return float(1.0 / (1.0 + np.exp(-np.clip(self.logit(text), -30, 30))))
 
 
-def fit_weights(rows: list[list[int]], labels: np.ndarray, pairs: list[tuple[list[int], list[int]]], n: int, tie: float = 5.0, ridge: float = 3e-5, steps: int = 500, positive: float = 1.0) -> tuple[np.ndarray, float]:
+def fit_weights(rows: list[list[int]], labels: np.ndarray, pairs: list[tuple[list[int], list[int]]], n: int, tie: float = TIE, ridge: float = 3e-5, steps: int = 500, positive: float = 1.0, times: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Gradient descent (Adam, fixed start, so reruns agree) on the mean
     logistic loss (positive rows count ``positive`` times) + ridge * |w|^2 +
-    tie * mean squared score change of pairs."""
+    tie * mean squared score change of pairs, each counted ``times`` times."""
     flat = np.fromiter((f for r in rows for f in r), np.int64)
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     plus = np.fromiter((f for p, _ in pairs for f in p), np.int64)
     minus = np.fromiter((f for _, m in pairs for f in m), np.int64)
     at_plus = np.repeat(np.arange(len(pairs)), [len(p) for p, _ in pairs]) if pairs else plus
     at_minus = np.repeat(np.arange(len(pairs)), [len(m) for _, m in pairs]) if pairs else minus
+    often = np.ones(len(pairs)) if times is None else np.asarray(times, float)
     share = np.where(labels > 0.5, positive, 1.0) / max(1.0, np.where(labels > 0.5, positive, 1.0).sum())
     w, bias = np.zeros(n), 0.0
     m1, m2 = np.zeros(n + 1), np.zeros(n + 1)
@@ -96,7 +113,8 @@ def fit_weights(rows: list[list[int]], labels: np.ndarray, pairs: list[tuple[lis
         g = np.bincount(flat, err[at], n) + 2 * ridge * w
         if pairs:
             change = np.bincount(at_plus, w[plus], len(pairs)) - np.bincount(at_minus, w[minus], len(pairs))
-            g += 2 * tie / len(pairs) * (np.bincount(plus, change[at_plus], n) - np.bincount(minus, change[at_minus], n))
+            change *= often
+            g += 2 * tie / often.sum() * (np.bincount(plus, change[at_plus], n) - np.bincount(minus, change[at_minus], n))
         g = np.append(g, err.sum())
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
         step = 0.1 * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.999**t)) + 1e-8)
@@ -113,12 +131,15 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label_col: str, usable: C
     return docs.select(id_col, F.col(text_col).alias("text")).join(F.broadcast(chosen), id_col).select("text", "label")
 
 
-def fit(docs: DataFrame, labels: DataFrame, usable: Column, label_col: str = "toxic", max_labelled: int = MAX_LABELLED, max_features: int = MAX_FEATURES, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, usable: Column, label_col: str = "toxic", max_labelled: int = MAX_LABELLED, max_features: int = MAX_FEATURES, id_col: str = "doc_id", text_col: str = "text", terms: dict[str, tuple[str, ...]] = IDENTITY_TERMS, tie: float = TIE) -> ToxicityModel:
     """Learns from the labelled rows for which ``usable`` holds, at most
     ``max_labelled`` of them.  Feature counts, feature rows and counterfactual
     pairs are made on the executors; the driver gets at most ``max_features``
-    features, ``max_labelled`` sparse rows and ``MAX_PAIRS`` pairs.  Without
-    labelled rows the model scores every text alike (0.5)."""
+    features, ``max_labelled`` sparse rows, and the distinct differences of all
+    pairs, whose number goes with that of the ``terms`` (lower-case single
+    words by axis) and of their features.  Without labelled rows the model
+    scores every text alike (0.5); without terms it has no penalty, and with a
+    ``tie`` of 0 one that does not act."""
     prepare(docs.sparkSession)
     train = saved(labelled_texts(docs, labels, label_col, usable, max_labelled, id_col, text_col))
 
@@ -140,7 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, label_col: str = "to
     gain = F.abs(F.col("pos") - F.col("n") * base) / F.sqrt(F.col("n") * max(base * (1 - base), 1e-9))
     top = counts.filter((F.col("n") >= MIN_DOCS) & (gain >= MIN_GAIN)).orderBy(gain.desc(), "feature").limit(max_features).collect() if total else []
     vocabulary = {r["feature"]: i for i, r in enumerate(top)}
-    for term in AXIS:
+    for term in sorted({t for axis in terms.values() for t in axis}):
         for f in sorted(text_features(term)):
             vocabulary.setdefault(f, len(vocabulary))
 
@@ -149,16 +170,15 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, label_col: str = "to
 
     def encode(batches):
         for b in batches:
-            out = [(ids(t), int(y), [], []) for t, y in zip(b["text"], b["label"])]
-            for t in b["text"]:
-                for sentence in SENTENCE.split(t or ""):
-                    out += [([], -1, ids(x), ids(y)) for x, y in swapped(sentence)]
-            yield pd.DataFrame(out, columns=["x", "label", "plus", "minus"])
-
-    coded = saved(train.mapInPandas(encode, "x array<int>, label int, plus array<int>, minus array<int>"))
-    rows = coded.filter("label >= 0").orderBy(F.xxhash64("x", "label")).limit(max_labelled).toPandas()
-    pairs = coded.filter("label < 0").orderBy(F.xxhash64("plus", "minus")).limit(MAX_PAIRS).toPandas()
-    weights, bias = fit_weights([list(x) for x in rows["x"]], rows["label"].to_numpy(float), list(zip(pairs["plus"], pairs["minus"])), len(vocabulary))
+            found = Counter(pair for t in b["text"] for sentence in SENTENCE.split(t or "") for pair in counterfactuals(sentence, terms))
+            out = [(ids(t), int(y), [], [], 0) for t, y in zip(b["text"], b["label"])]
+            out += [([], -1, sorted(vocabulary[f] for f in x), sorted(vocabulary[f] for f in y), k) for (x, y), k in found.items()]
+            yield pd.DataFrame(out, columns=["x", "label", "plus", "minus", "n"])
+
+    coded = saved(train.mapInPandas(encode, "x array<int>, label int, plus array<int>, minus array<int>, n long"))
+    rows = coded.filter("label >= 0").orderBy("x", "label").limit(max_labelled).toPandas()
+    pairs = coded.filter("label < 0").groupBy("plus", "minus").agg(F.sum("n").alias("n")).orderBy("plus", "minus").toPandas()
+    weights, bias = fit_weights([list(x) for x in rows["x"]], rows["label"].to_numpy(float), list(zip(pairs["plus"], pairs["minus"])), len(vocabulary), tie=tie, times=pairs["n"].to_numpy(float))
     return ToxicityModel({f: float(weights[i]) for f, i in vocabulary.items() if abs(weights[i]) > 1e-6}, bias)
 
 
