@@ -19,6 +19,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -59,21 +60,26 @@ def word_features(words: Iterable[str]) -> set[str]:
     return found | {"^" + w[:n] for n in STEMS for w in found if len(w) > n}
 
 
+@cache
+def _term_features(term: str) -> frozenset[str]:
+    return frozenset(text_features(term))
+
+
 def counterfactuals(sentence: str, axes: dict[str, tuple[str, ...]]) -> list[tuple[frozenset[str], frozenset[str]]]:
     """(features lost, features won) when a group term of the sentence becomes
     another of its axis, for every term in it and every other term of the axis;
     of a sentence without a term, when a term is put in, for every term of the
     axis that a hash of the sentence names.  No words give no pairs."""
     found = set(WORD.findall(sentence.lower()))
-    of = {term: terms for terms in axes.values() for term in terms}
-    swaps = [(term, other) for term in sorted(found & of.keys()) for other in of[term] if other != term]
-    if found and axes and not found & of.keys():
+    of = {term: terms for terms in axes.values() for term in terms if term in found}
+    swaps = [(term, other) for term in sorted(of) for other in of[term] if other != term]
+    if found and axes and not of:
         h = zlib.crc32(" ".join(sorted(found)).encode("utf-8", "replace"))
         swaps = [("", other) for other in [*axes.values()][h % len(axes)]]
     out = []
     rest = {term: word_features(found - {term}) for term, _ in swaps}
     for term, other in swaps:
-        before, after = text_features(term), text_features(other)
+        before, after = _term_features(term), _term_features(other)
         out.append((frozenset(before - after - rest[term]), frozenset(after - before - rest[term])))
     return out
 
