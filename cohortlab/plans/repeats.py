@@ -1,9 +1,11 @@
 """Keys that occur more than once, without shuffling those that occur once.
 
 Every key has a slot of a table with two bits a slot: seen, and seen again.
-Map tasks fill their own table, Spark merges the tables run by run (seen again
-is what either side saw again, or both saw), and a key whose slot was seen
-only once is certainly unique.  The rows of the other keys, the repeated ones
+Map tasks fill their own table, two packed bit planes of 64 MB at most; Spark
+groups the tables by their runs, and a group adds them as they stream in (seen
+again is what either side saw again, or both saw), so its memory depends on
+neither rows nor tasks.  A key whose slot was seen only once is certainly
+unique.  The rows of the other keys, the repeated ones
 and a few that share a slot, are counted exactly.  The table's size is fixed
 beforehand from the number of rows and bounded, so its second bit plane (32 MB
 at most) is broadcast.
@@ -28,6 +30,8 @@ MIN_BITS, MAX_BITS = 15, 28
 SLOTS_PER_ROW = 16
 
 _WORDS = (1 << RUN_BITS) // 64
+#: Runs (a power of two) that are sent in one batch and merged as one group.
+_GROUP_RUNS = 32
 _RUNS = "run long, once array<long>, again array<long>"
 
 
@@ -41,8 +45,8 @@ def _slot(keys: list[str], bits: int) -> Column:
 
 
 def _planes(once: np.ndarray, again: np.ndarray) -> pa.RecordBatch:
-    """The runs of a table that hold anything, as rows."""
-    a, b = (np.packbits(p.reshape(-1, 8, 8), axis=-1, bitorder="little").reshape(-1, _WORDS, 8).view("<i8").reshape(-1, _WORDS) for p in (once, again))
+    """The runs of a part of the bit planes (bytes) that hold anything, as rows."""
+    a, b = (p.view("<i8").reshape(-1, _WORDS) for p in (once, again))
     used = np.flatnonzero(a.any(axis=1))
     offsets = pa.array(np.arange(len(used) + 1, dtype=np.int32) * _WORDS)
     lists = [pa.ListArray.from_arrays(offsets, pa.array(x[used].ravel())) for x in (a, b)]
@@ -51,46 +55,51 @@ def _planes(once: np.ndarray, again: np.ndarray) -> pa.RecordBatch:
 
 def _filler(bits: int):
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << bits, np.uint8)  # 0, 1 or 2: saturating
+        # two bits a slot: a task holds 2 ** bits / 4 bytes, 64 MB at most
+        once, again = np.zeros(1 << (bits - 3), np.uint8), np.zeros(1 << (bits - 3), np.uint8)
         for batch in batches:
+            if not batch.num_rows:
+                continue
             slots, n = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_counts=True)
-            counts[slots] = np.minimum(counts[slots] + np.minimum(n, 2).astype(np.uint8), 2)
-        step = 1 << 24  # bit planes are made from a part of the counts at a time
-        for i in range(0, len(counts), step):
-            part = counts[i : i + step]
-            out = _planes(part > 0, part > 1)
+            byte, bit = slots >> 3, np.left_shift(1, slots & 7).astype(np.uint8)
+            first = np.flatnonzero(np.diff(byte, prepend=-1))
+            at, seen = byte[first], np.bitwise_or.reduceat(bit, first)
+            again[at] |= np.bitwise_or.reduceat(np.where(n > 1, bit, np.uint8(0)), first) | (once[at] & seen)
+            once[at] |= seen
+        step = _GROUP_RUNS * _WORDS * 8
+        for i in range(0, len(once), step):
+            out = _planes(once[i : i + step], again[i : i + step])
             if out.num_rows:
-                yield out.set_column(0, "run", pa.array(out.column(0).to_numpy() + (i >> RUN_BITS)))
+                yield out.set_column(0, "run", pa.array(out.column(0).to_numpy() + i // (_WORDS * 8)))
 
     return fill
 
 
-def _merge(rows: DataFrame, by: list[str]) -> DataFrame:
-    """One row for each value of ``by``: the tables of a group are added, a
-    saturating addition on two bits a slot."""
-
-    @F.arrow_udf("struct<once: array<long>, again: array<long>>")
-    def added(once: pa.Array, again: pa.Array) -> pa.Array:
-        out = []
-        for a, b in zip(once, again):
-            one, two = np.zeros(_WORDS, np.int64), np.zeros(_WORDS, np.int64)
-            for x, y in zip(*(np.asarray(p.values.flatten()).reshape(-1, _WORDS) for p in (a, b))):
-                two |= y | (one & x)
-                one |= x
-            out.append({"once": one, "again": two})
-        return pa.array(out, pa.struct([("once", pa.list_(pa.int64())), ("again", pa.list_(pa.int64()))]))
-
-    per = rows.groupBy(*by).agg(F.collect_list(F.struct("once", "again")).alias("t"))
-    return per.select(*by, added(F.col("t.once"), F.col("t.again")).alias("t")).select(*by, "t.*")
+def _merged(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The runs of one group that hold a slot seen again: the tables of all
+    tasks are added row by row, a saturating addition on two bits a slot."""
+    runs: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for batch in tables:
+        once, again = (batch.column(c).flatten().to_numpy().reshape(-1, _WORDS) for c in ("once", "again"))
+        for run, x, y in zip(batch.column("run").to_pylist(), once, again):
+            if run not in runs:
+                runs[run] = (np.zeros(_WORDS, np.int64), np.zeros(_WORDS, np.int64))
+            one, two = runs[run]
+            two |= y | (one & x)
+            one |= x
+    found = [(run, two) for run, (_, two) in runs.items() if two.any()]
+    if found:
+        offsets = pa.array(np.arange(len(found) + 1, dtype=np.int32) * _WORDS)
+        lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([two for _, two in found])))
+        yield pa.RecordBatch.from_arrays([pa.array([run for run, _ in found], pa.int64()), lists], names=["run", "again"])
 
 
 def repeat_table(df: DataFrame, keys: list[str], bits: int) -> DataFrame:
     """(run, again: 512 words): the slots of 2 ** ``bits`` that more than one
     row of ``df`` falls into, in runs of 2 ** 15 slots."""
     filled = df.select(_slot(keys, bits).alias("s")).mapInArrow(_filler(bits), _RUNS)
-    # 64 map tasks at a time, so that a group stays small however many there are
-    some = _merge(filled.withColumn("tasks", F.shiftright(F.spark_partition_id(), 6)), ["run", "tasks"])
-    return _merge(some, ["run"]).select("run", "again").filter(F.exists("again", lambda w: w != 0))
+    group = F.shiftright("run", _GROUP_RUNS.bit_length() - 1)
+    return filled.groupBy(group).applyInArrow(_merged, "run long, again array<long>")
 
 
 def suspects(df: DataFrame, keys: list[str], bits: int | None = None) -> DataFrame:

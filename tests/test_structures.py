@@ -4,9 +4,11 @@ import datetime as dt
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import D, TS, events_df, users_df
 from hypothesis import HealthCheck, given, settings
@@ -155,6 +157,25 @@ def test_a_table_that_would_be_full_is_left_out(spark, monkeypatch):
     assert got == {k: n for k, n in Counter(k for k, _ in data).items() if n > 1}
 
 
+def test_memory_of_a_seen_twice_table_is_two_bits_a_slot_however_many_tasks():
+    rnd = np.random.default_rng(3)
+    slots = [rnd.integers(0, 1 << 24, 5000) for _ in range(40)]
+    batches = lambda i: iter([pa.RecordBatch.from_arrays([pa.array(s)], names=["s"]) for s in slots[i::10]])
+    tracemalloc.start()
+    filled = [b.num_rows for b in repeats._filler(24)(batches(0))]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    groups = {}
+    for i in range(10):
+        for b in repeats._filler(24)(batches(i)):
+            groups.setdefault(b.column(0)[0].as_py() >> 5, []).append(b)
+    merged = [b for g in groups.values() for b in repeats._merged(iter(g))]
+    tracemalloc.stop()
+    assert sum(filled) == 512 and most < 2 * (1 << 24) / 4
+    got = {(run << 15) + 64 * w + bit for b in merged for run, words in zip(b["run"].to_pylist(), b["again"].to_pylist()) for w, x in enumerate(words) for bit in range(64) if x >> bit & 1}
+    assert got == {s for s, n in Counter(np.concatenate(slots).tolist()).items() if n > 1}
+
+
 # --- every dimension in one pass ------------------------------------------------
 def test_all_dims_equal_the_tables_by_dimension_from_one_events_scan(spark):
     from cohortlab.operators import kpi
