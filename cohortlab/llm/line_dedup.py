@@ -4,9 +4,9 @@ An exact set-similarity join over lines as sets of words.  The words of a line
 are ordered by rarity in the corpus; two lines of Jaccard similarity at least
 ``t`` must share one of their first ``n - ceil(t * n) + 1`` words (prefix
 filter).  Lines that meet in a prefix word are dropped early by their lengths,
-by the positions of the word (how much overlap is still possible), and by two
-64-bit signatures of the sets, in which every word flips one bit: as many bits
-as differ, as many words at least are in one line only, however long the lines.  Pairs must meet in as many prefix words as similar sets are
+by the positions of the word (how much overlap is still possible), and by a
+128-bit signature of the sets, in which every word flips one bit: as many bits
+as differ, as many words at least are in one line only.  Pairs must meet in as many prefix words as similar sets are
 sure to share.  The rest is verified on the words.
 
 Equal lines are one row, with the position of the first.  Before the join every
@@ -78,17 +78,20 @@ def _earlier(a: str, b: str) -> Column:
     return (x < y) | (x.isNull() & y.isNotNull()) | (x.eqNullSafe(y) & before)
 
 
-def _signature(codes: str, shift: int) -> Column:
-    """64 parities of the words of a set, by six bits of their hashes."""
-    bit = lambda c: _shifted(F.lit(1), F.shiftright(c, shift).bitwiseAND(F.lit(63)))
+def _signature(codes: str, half: int) -> Column:
+    """One half of 128 parities of the words of a set, by seven bits of their
+    hashes: a word flips one bit of one half."""
+    bit = lambda c: _shifted(F.shiftright(c, 6).bitwiseXOR(F.lit(1 - half)).bitwiseAND(F.lit(1)), c.bitwiseAND(F.lit(63)))
     return F.aggregate(codes, F.lit(0).cast("long"), lambda a, c: a.bitwiseXOR(bit(c)))
 
 
 def _alike(n: Column, m: Column, t: float) -> Column:
-    """Length and signature filter for rows a and b of n and m words."""
+    """Length and signature filter for rows a and b of n and m words.  Words
+    that are in one line only flip one bit each, so both halves together must
+    not differ in more bits than there may be such words."""
     need = F.ceil((n + m) * (t / (1 + t)) - _EPS)
-    apart = [F.bit_count(F.col(f"a.{x}").bitwiseXOR(F.col(f"b.{x}"))) <= n + m - 2 * need for x in ("bits", "more")]
-    return (F.least(n, m) >= F.greatest(n, m) * t - _EPS) & apart[0] & apart[1]
+    apart = [F.bit_count(F.col(f"a.{x}").bitwiseXOR(F.col(f"b.{x}"))) for x in ("bits", "more")]
+    return (F.least(n, m) >= F.greatest(n, m) * t - _EPS) & (apart[0] + apart[1] <= n + m - 2 * need)
 
 
 def _can_match(t: float) -> Column:
@@ -158,7 +161,7 @@ def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     hashes = F.array_distinct(F.transform(words(F.col("line")), lambda w: F.xxhash64(w)))
     codes = F.sort_array(F.array_distinct(F.transform(hashes, lambda h: _code(h, levels))))
     sets = _lines(docs).withColumn("check", F.xxhash64(F.lit(1), "line")).withColumn("codes", codes).withColumn("n", F.size("codes"))
-    own = [_signature("codes", 0).alias("bits"), _signature("codes", 6).alias("more")]
+    own = [_signature("codes", 0).alias("bits"), _signature("codes", 1).alias("more")]
     prefix = F.slice("codes", F.lit(1), _prefix_length(F.col("n"), t).cast("int"))
     # equal lines have equal sets, so only the place decides which struct is the least
     sets = sets.groupBy("h").agg(F.min(F.struct("id", number.alias("line_no"), "place", "check", "n", *own, prefix.alias("prefix"))).alias("f"))

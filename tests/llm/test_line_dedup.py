@@ -79,6 +79,22 @@ def test_pairs_of_a_group_of_near_copies_grow_with_its_size(make, monkeypatch):
     assert sum(seen) <= 4 * len(rows)
 
 
+def test_long_lines_of_other_words_are_no_candidates(make, monkeypatch):
+    seen, whole = [], line_dedup._verified
+
+    def counted(pairs, docs, t):
+        seen.append(pairs.count())
+        return whole(pairs, docs, t)
+
+    monkeypatch.setattr(line_dedup, "_verified", counted)
+    rnd = random.Random(9)
+    vocabulary = [f"c{k}" for k in range(1500)]
+    rows = [(i, " ".join(rnd.sample(vocabulary, 150 if i % 2 else 122))) for i in range(80)]
+    rows += [(100, rows[3][1].replace("c", "d", 9)), (101, rows[4][1] + " more words")]
+    assert spark_rows(remove_duplicate_lines(make(rows))) == brute(rows)
+    assert sum(seen) <= 10
+
+
 def test_edge_cases(make):
     long_line = " ".join(f"x{k}" for k in range(30_000))
     rows = [(2, "a b c\n\n \t\na b c"), (2, "a b c\n\n \t\na b c"), (1, "c b a"), (None, "once more"), (5, "once more\nx"), (3, None), (4, ""), (6, long_line + "\n" + long_line + " y"), (7, "\n\n"), (7, "other text of the id\nx")]
