@@ -6,13 +6,15 @@ are ordered by rarity in the corpus; two lines of Jaccard similarity at least
 filter).  Lines that meet in a prefix word are dropped early by their lengths,
 by the positions of the word (how much overlap is still possible), and by a
 128-bit signature of the sets, in which every word flips one bit: as many bits
-as differ, as many words at least are in one line only.  Pairs must meet in as many prefix words as similar sets are
-sure to share.  The rest is verified on the words.
+as differ, as many words at least are in one line only.  Two lines of n and m words that must share ``need``
+words have one in their first ``n - need + 1`` and ``m - need + 1``, so a pair is
+made there only.  The rest is verified on the words.
 
 Equal lines are one row, with the position of the first.  Before the join every
 line meets the earliest line that has two neighbouring words of its prefix in
-common: of a group of near copies nearly all lines are settled by that, and
-need no partner more.  Lines that are still open are then joined with the
+common, of its less rare half, as the words that a near copy has for itself are
+mostly rare ones: of a group of near copies nearly all lines are settled by
+that, and need no partner more.  Lines that are still open are then joined with the
 whole posting lists of their prefix words, so nothing is capped and no pair of
 an open line is left out.
 """
@@ -23,14 +25,23 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlab.llm.common import hide, matching, prepare, release, saved, show, words
+from cohortlab.llm.common import hide, matching, prepare, release, saved, show
 
 SIMILARITY = 0.8
 _BUCKETS = 1 << 18  # of word counts
-_NEIGHBOURS = 4  # rarest words of a line whose neighbours name its leaders
+_NEIGHBOURS = 5  # pairs of neighbouring words of a line that name its leaders
 _EPS = 1e-9
 
 
+def words(text: Column) -> Column:
+    """Words as :func:`cohortlab.llm.common.words` gives them, without a
+    regular expression."""
+    text = F.coalesce(text, F.lit(""))
+    for space in "\t\n\x0b\x0c\r":
+        text = F.replace(text, F.lit(space), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
+
+
 def _level(count):
     """Rarity level of a word count, 1 to 127: four steps for each doubling."""
     return np.minimum(127, 1 + np.round(4 * np.log2(np.asarray(count, float) + 1))).astype(np.uint8)
@@ -78,11 +89,11 @@ def _earlier(a: str, b: str) -> Column:
     return (x < y) | (x.isNull() & y.isNotNull()) | (x.eqNullSafe(y) & before)
 
 
-def _signature(codes: str, half: int) -> Column:
-    """One half of 128 parities of the words of a set, by seven bits of their
-    hashes: a word flips one bit of one half."""
-    bit = lambda c: _shifted(F.shiftright(c, 6).bitwiseXOR(F.lit(1 - half)).bitwiseAND(F.lit(1)), c.bitwiseAND(F.lit(63)))
-    return F.aggregate(codes, F.lit(0).cast("long"), lambda a, c: a.bitwiseXOR(bit(c)))
+def _signatures(codes: str) -> tuple[Column, Column]:
+    """128 parities of the words of a set by seven bits of their hashes, where
+    a word flips one bit of one half: both halves xor-ed, and the second."""
+    flip = lambda one: F.aggregate(codes, F.lit(0).cast("long"), lambda a, c: a.bitwiseXOR(_shifted(one(c), c.bitwiseAND(F.lit(63)))))
+    return flip(lambda c: F.lit(1)), flip(lambda c: F.shiftright(c, 6).bitwiseAND(F.lit(1)))
 
 
 def _alike(n: Column, m: Column, t: float) -> Column:
@@ -90,19 +101,20 @@ def _alike(n: Column, m: Column, t: float) -> Column:
     that are in one line only flip one bit each, so both halves together must
     not differ in more bits than there may be such words."""
     need = F.ceil((n + m) * (t / (1 + t)) - _EPS)
-    apart = [F.bit_count(F.col(f"a.{x}").bitwiseXOR(F.col(f"b.{x}"))) for x in ("bits", "more")]
-    return (F.least(n, m) >= F.greatest(n, m) * t - _EPS) & (apart[0] + apart[1] <= n + m - 2 * need)
+    both, more = (F.col(f"a.{x}").bitwiseXOR(F.col(f"b.{x}")) for x in ("bits", "more"))
+    return (F.least(n, m) >= F.greatest(n, m) * t - _EPS) & (F.bit_count(both.bitwiseXOR(more)) + F.bit_count(more) <= n + m - 2 * need)
 
 
 def _can_match(t: float) -> Column:
     """Length, positional and signature filter for prefix rows a and b, whose
     ``at`` is the number of words (upper half) and the word's position.  A
-    settled line has its number negated, and as ``a`` is like none."""
+    settled line has its number negated, and as ``a`` is like none.  Sets that
+    share ``need`` words share one of their first n - need + 1 and m - need + 1."""
     n, m = F.shiftright("a.at", 32), F.abs(F.shiftright("b.at", 32))
     i, j = (F.col(x).bitwiseAND(F.lit(0xFFFFFFFF)) for x in ("a.at", "b.at"))
     need = F.ceil((n + m) * (t / (1 + t)) - _EPS)
     position = F.least(n - i, m - j) + F.least(i, j) >= need - 1
-    return _alike(n, m, t) & position
+    return _alike(n, m, t) & (i <= n - need + 1) & (j <= m - need + 1) & position
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, t: float) -> DataFrame:
@@ -128,22 +140,24 @@ def _prefix_length(n: Column, t: float) -> Column:
     return n - F.ceil(n * t - _EPS) + 1
 
 
-def _sure_to_share(n: Column, m: Column, t: float) -> Column:
-    """How many prefix words two sets of n and m words at least share if they
-    reach the similarity: of the words that must be common, as many as the
-    prefixes are longer than what may differ."""
-    need = F.ceil((n + m) * (t / (1 + t)) - _EPS)
-    return F.least(_prefix_length(n, t) - (n - need), _prefix_length(m, t) - (m - need))
+def _keys(prefix: Column) -> Column:
+    """Keys of the leaders of a line: pairs of neighbours in the less rare half
+    of its prefix, those of the least hashes, so that near copies choose alike.
+    A prefix of two or three words also goes by its last word, and one of a
+    single word by that and the signature."""
+    size = F.size(prefix)
+    skip = F.greatest(F.least(F.floor(size / 2), size - 2), F.lit(0)).cast("int")
+    half = F.slice(prefix, skip + 1, size)
+    pairs = F.zip_with(half, F.slice(half, F.lit(2), size), lambda x, y: F.when(y.isNotNull(), F.xxhash64(x, y)))
+    pairs = F.slice(F.sort_array(F.array_compact(pairs)), 1, _NEIGHBOURS)
+    last = F.xxhash64(F.get(prefix, size - 1))
+    return F.when(size > 3, pairs).when(size > 1, F.array_append(pairs, last)).otherwise(F.array(F.xxhash64(F.get(prefix, F.lit(0)), "bits")))
 
 
 def _led(sets: DataFrame, t: float) -> DataFrame:
-    """Pairs of a line and the earliest line that shares two neighbours of its
-    rarest words (id, place, e_id, e_place), if length and signature allow.
-    A prefix of one word goes by the word and the signature."""
-    few = F.slice("prefix", 1, _NEIGHBOURS)
-    pairs = F.zip_with(few, F.slice(few, 2, _NEIGHBOURS), lambda x, y: F.when(y.isNotNull(), F.xxhash64(x, y)))
-    keys = F.when(F.size("prefix") > 1, F.array_compact(pairs)).otherwise(F.array(F.xxhash64(F.get("prefix", F.lit(0)), "bits")))
-    rows = sets.select("id", "place", "n", "bits", "more", F.explode(keys).alias("key"))
+    """Pairs of a line and the earliest line that shares one of its keys (id,
+    place, e_id, e_place), if length and signature allow."""
+    rows = sets.select("id", "place", "n", "bits", "more", F.explode(_keys(F.col("prefix"))).alias("key"))
     least = F.min(F.struct("id", line_no(F.col("place")).alias("line_no"), "place", "n", "bits", "more"))
     leaders = rows.groupBy("key").agg(F.count(F.lit(1)).alias("k"), least.alias("l")).filter("k > 1").select("key", "l.id", "l.place", "l.n", "l.bits", "l.more")
     a, b = rows.alias("a"), leaders.alias("b")
@@ -161,7 +175,7 @@ def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     hashes = F.array_distinct(F.transform(words(F.col("line")), lambda w: F.xxhash64(w)))
     codes = F.sort_array(F.array_distinct(F.transform(hashes, lambda h: _code(h, levels))))
     sets = _lines(docs).withColumn("check", F.xxhash64(F.lit(1), "line")).withColumn("codes", codes).withColumn("n", F.size("codes"))
-    own = [_signature("codes", 0).alias("bits"), _signature("codes", 1).alias("more")]
+    own = [half.alias(name) for half, name in zip(_signatures("codes"), ("bits", "more"))]
     prefix = F.slice("codes", F.lit(1), _prefix_length(F.col("n"), t).cast("int"))
     # equal lines have equal sets, so only the place decides which struct is the least
     sets = sets.groupBy("h").agg(F.min(F.struct("id", number.alias("line_no"), "place", "check", "n", *own, prefix.alias("prefix"))).alias("f"))
@@ -175,10 +189,8 @@ def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     # both sides are the same frame, so it is shuffled once
     a, b = rows.alias("a"), rows.alias("b")
     met = a.join(b, (F.col("a.c") == F.col("b.c")) & _can_match(t) & _earlier("b", "a"))
-    n, m = F.shiftright("a.at", 32), F.abs(F.shiftright("b.at", 32))
-    met = met.select("a.id", "a.place", F.col("b.id").alias("e_id"), F.col("b.place").alias("e_place"), _sure_to_share(n, m, t).alias("sure"))
-    counted = met.groupBy("id", "place", "e_id", "e_place").agg(F.count(F.lit(1)).alias("k"), F.first("sure").alias("sure"))
-    found = _verified(saved(counted.filter(F.col("k") >= F.col("sure")).select("id", "place", "e_id", "e_place")), docs, t)
+    met = met.select("a.id", "a.place", F.col("b.id").alias("e_id"), F.col("b.place").alias("e_place")).distinct()
+    found = _verified(saved(met), docs, t)
     near = settled.unionByName(found).select(F.col("id").alias("near_id"), F.col("place").alias("near_place"))
     same = F.col("id").eqNullSafe(F.col("near_id")) & (F.col("place") == F.col("near_place"))
     known = saved(sets.select("h", "check", "id", "place").join(near, same, "left").select("h", "check", "id", "place", F.col("near_place").isNotNull().alias("near")))

@@ -79,6 +79,32 @@ def test_pairs_of_a_group_of_near_copies_grow_with_its_size(make, monkeypatch):
     assert sum(seen) <= 4 * len(rows)
 
 
+def test_near_copies_with_several_own_words_are_mostly_settled_by_leaders(make, monkeypatch):
+    seen, whole = [], line_dedup._verified
+
+    def counted(pairs, docs, t):
+        seen.append(pairs.count())
+        return whole(pairs, docs, t)
+
+    monkeypatch.setattr(line_dedup, "_verified", counted)
+    rnd = random.Random(12)
+    rows = []
+    for i in range(150):
+        words = [f"v{k}" for k in range(60)]
+        for k in rnd.sample(range(60), 3):
+            words[k] = f"u{i}x{k}"
+        short = [f"s{k}" for k in range(24)]
+        short[rnd.randrange(24)] = f"u{i}"
+        rows.append((i, " ".join(words) + "\n" + " ".join(short)))
+    assert spark_rows(remove_duplicate_lines(make(rows))) == brute(rows)
+    assert sum(seen) <= 10 * len(rows), seen
+
+
+def test_words_are_split_at_every_ascii_white_space(make):
+    rows = [(1, "a\tb\x0bc\x0cd\re f\u00a0g"), (2, "f\u00a0g e d  c b a "), (3, "a b c d e f g"), (None, "\t\r"), (4, None)]
+    assert spark_rows(remove_duplicate_lines(make(rows))) == brute(rows)
+
+
 def test_long_lines_of_other_words_are_no_candidates(make, monkeypatch):
     seen, whole = [], line_dedup._verified
 
