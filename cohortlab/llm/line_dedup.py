@@ -33,13 +33,18 @@ _NEIGHBOURS = 5  # pairs of neighbouring words of a line that name its leaders
 _EPS = 1e-9
 
 
-def words(text: Column) -> Column:
-    """Words as :func:`cohortlab.llm.common.words` gives them, without a
-    regular expression."""
+def _parts(text: Column) -> Column:
+    """Words of a text and an empty one between two white spaces."""
     text = F.coalesce(text, F.lit(""))
     for space in "\t\n\x0b\x0c\r":
         text = F.replace(text, F.lit(space), F.lit(" "))
-    return F.array_remove(F.split(text, " "), "")
+    return F.split(text, " ")
+
+
+def words(text: Column) -> Column:
+    """Words as :func:`cohortlab.llm.common.words` gives them, without a
+    regular expression."""
+    return F.array_remove(_parts(text), "")
 
 
 def _level(count):
@@ -47,25 +52,38 @@ def _level(count):
     return np.minimum(127, 1 + np.round(4 * np.log2(np.asarray(count, float) + 1))).astype(np.uint8)
 
 
-def rarity_levels(docs: DataFrame) -> bytes:
-    """Level of each of 2^18 hash buckets of words, from the counts of all
-    words of the corpus.  The table has a fixed size; buckets that share words
-    only make a word seem less rare, which changes costs, not results."""
-    found = docs.select(F.explode(words(F.col("text"))).alias("w")).groupBy(F.xxhash64("w").bitwiseAND(F.lit(_BUCKETS - 1)).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n")).toArrow()
-    table = np.full(_BUCKETS, _level(0), np.uint8)
-    table[found["b"].to_numpy()] = _level(found["n"].to_numpy())
-    return table.tobytes()
+def rarity_levels(docs: DataFrame) -> Column:
+    """Table of the levels of 2^18 hash buckets of words, from the counts of all
+    words of the corpus, as a constant array.  A bucket is the first 18 bits of
+    a hash, and its entry what turns the first byte of such a hash into the
+    level.  The table has a fixed size; buckets that share words only make a
+    word seem less rare, which changes costs, not results."""
+    found = docs.select(F.explode(words(F.col("text"))).alias("w")).groupBy(_bucket(F.xxhash64("w")).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+    levels = np.full(_BUCKETS, _level(0), np.uint8)
+    levels[found["b"].to_numpy()] = _level(found["n"].to_numpy())
+    entries = (levels ^ (np.arange(_BUCKETS) >> 10).astype(np.uint8)).astype(np.int8)
+    # parts of one string, which Spark makes an array once, when it plans the query
+    return F.split(F.lit(",".join(map(str, entries.tolist()))), ",").cast("array<tinyint>")
 
 
 def _shifted(number: Column, by: Column) -> Column:
     return F.call_function("shiftleft", number.cast("long"), by.cast("int"))
 
 
+def _bucket(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 46)
+
+
 def _code(h: Column, levels: Column) -> Column:
-    """A word hash as a number that sorts by rarity: level, then hash."""
-    place = (h.bitwiseAND(F.lit(_BUCKETS - 1)) + 1).cast("int")
-    level = F.ascii(F.substring(levels, place, F.lit(1)).cast("string"))
-    return _shifted(level, F.lit(56)).bitwiseOR(h.bitwiseAND(F.lit((1 << 56) - 1)))
+    """A word hash as a number that sorts by rarity: its first byte is the level."""
+    return F.coalesce(h.bitwiseXOR(_shifted(levels[_bucket(h)], F.lit(56))), h)  # never null, so arrays of it sort fast
+
+
+def _hashes(line: Column) -> Column:
+    """Hashes of the distinct words of a line.  What stands between two spaces
+    is the empty word, which goes by its hash."""
+    found = F.transform(_parts(line), lambda w: F.xxhash64(w))
+    return F.array_remove(F.array_distinct(found), F.xxhash64(F.lit("")))
 
 
 def _lines(docs: DataFrame, *more: str) -> DataFrame:
@@ -170,10 +188,9 @@ def duplicate_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     (a second hash), id and place of its first occurrence, and ``near``:
     whether an earlier, different line has at least ``similarity``."""
     t = similarity
-    levels = F.lit(rarity_levels(docs))
     number = line_no(F.col("place"))
-    hashes = F.array_distinct(F.transform(words(F.col("line")), lambda w: F.xxhash64(w)))
-    codes = F.sort_array(F.array_distinct(F.transform(hashes, lambda h: _code(h, levels))))
+    levels = rarity_levels(docs)
+    codes = F.sort_array(F.transform(_hashes(F.col("line")), lambda h: _code(h, levels)))
     sets = _lines(docs).withColumn("check", F.xxhash64(F.lit(1), "line")).withColumn("codes", codes).withColumn("n", F.size("codes"))
     own = [half.alias(name) for half, name in zip(_signatures("codes"), ("bits", "more"))]
     prefix = F.slice("codes", F.lit(1), _prefix_length(F.col("n"), t).cast("int"))

@@ -121,6 +121,21 @@ def test_long_lines_of_other_words_are_no_candidates(make, monkeypatch):
     assert sum(seen) <= 10
 
 
+def test_codes_of_words_sort_by_rarity_from_a_table_that_is_made_once(make):
+    from pyspark.sql import functions as F
+
+    docs = make([(i, "often often seldom" if i % 9 == 0 else "often  ") for i in range(90)] + [(90, " once\toften often seldom ")])
+    levels = line_dedup.rarity_levels(docs)
+    codes = docs.filter("doc_id = 90").select(*[line_dedup._code(F.xxhash64(F.lit(w)), levels).alias(w) for w in ("once", "seldom", "often")], F.transform(line_dedup._hashes(F.col("text")), lambda h: line_dedup._code(h, levels)).alias("line"))
+    once, seldom, often, of_line = codes.first()
+    assert once < seldom < often and sorted(of_line) == [once, seldom, often]
+    assert [c >> 56 for c in (once, seldom, often)] == line_dedup._level([1, 11, 102]).tolist()
+    # the table is a constant of the plan, not made or cut into for each word
+    plan = codes._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and "substring" not in plan
+    assert not codes.schema[3].dataType.containsNull
+
+
 def test_edge_cases(make):
     long_line = " ".join(f"x{k}" for k in range(30_000))
     rows = [(2, "a b c\n\n \t\na b c"), (2, "a b c\n\n \t\na b c"), (1, "c b a"), (None, "once more"), (5, "once more\nx"), (3, None), (4, ""), (6, long_line + "\n" + long_line + " y"), (7, "\n\n"), (7, "other text of the id\nx")]
