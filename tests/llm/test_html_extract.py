@@ -113,3 +113,85 @@ def test_the_wrapper_of_a_table_comes_from_all_pages_of_a_host(spark):
     made = {r._host: json.loads(r._wrapper) for r in wrappers(few).collect()}
     assert len(made) == 8 and all("Often said here" not in w["template"] for w in made.values())
     assert len(got) == len(rows) and all(got[p].endswith(("w%d " % (p % 100) * 3).strip()) for p in got)
+
+
+WORDS = ["alpha beta gamma delta", "one two three four five six", "red green blue yellow pink", "north south east west up"]
+FRAME = '<div class="tagline">Always the same words here</div><div class="body-text"><h1>{t}</h1><p>{t} {t}</p><p>{t}.</p></div>'
+WIDE_BODY, DEEP_BODY = "<div>" + "<hr>" * 90 + FRAME + "</div>", "<div>" * 400 + FRAME + "</div>" * 400
+
+
+def test_alignment_takes_all_children_and_levels():
+    for body in (WIDE_BODY, DEEP_BODY):
+        pages = [PAGE.format(i=i, body=body.format(t=t)) for i, t in enumerate(WORDS)]
+        wrapper = induce(pages[:3])
+        assert wrapper["path"].endswith("/div.body-text") and "Always the same words here" in wrapper["template"]
+        assert extract(pages[3], wrapper) == f"{WORDS[3]} {WORDS[3]} {WORDS[3]} {WORDS[3]}."
+    flat, deep, pairs = "<body>" + "<p>a</p>" * 3000, "<body>" + "<div>" * 3000, []
+    assert tree_match(parse(flat + "<h1>x</h1><p>y <b>z</b></p>"), parse(flat + "<p>y <b>z</b></p>"), pairs) == len(pairs) == 3004
+    assert [a.tag for a, _ in pairs].count("b") == 1
+    assert tree_match(parse(deep + "<p>x"), parse(deep + "<hr><p>y")) == 3003
+
+
+def test_tree_match_is_the_plain_table_over_all_children(monkeypatch):
+    import random
+
+    from cohortlab.llm import html_extract
+
+    def plain(a, b):
+        if a.label != b.label:
+            return 0, []
+        x, y = a.elements(), b.elements()
+        found = [[plain(p, q) for q in y] for p in x]
+        best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i in range(len(x)):
+            for j in range(len(y)):
+                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + found[i][j][0])
+        pairs, i, j = [(a, b)], len(x), len(y)
+        while i and j:
+            if best[i][j] == best[i - 1][j]:
+                i -= 1
+            elif best[i][j] == best[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs += found[i][j][1]
+        return 1 + best[-1][-1], pairs
+
+    some, shapes = random.Random(4), html_extract.Shapes()
+
+    def tree(depth, most):
+        tags = [some.choice(["div", "b", "ul"]) for _ in range(some.randint(0, most))]
+        return "".join(f"<{t}>{tree(depth - 1, most) if depth else ''}</{t}>" for t in tags)
+
+    for k in range(300):
+        # rows as arrays, tables in blocks and forgotten shapes give the same
+        for name, sizes in (("WIDE", (1, 4, 48)), ("CELLS", (1, 20, 10_000)), ("SHAPES_KEPT", (3, 10_000))):
+            monkeypatch.setattr(html_extract, name, some.choice(sizes))
+        a, b = (parse(tree(*((1, 90) if k % 50 == 0 else (3, 4)))) for _ in "ab")
+        pairs = []
+        size, want = plain(a, b)
+        assert tree_match(a, b, pairs, some.choice([None, shapes])) == tree_match(a, b) == size == len(want)
+        assert [(id(p), id(q)) for p, q in pairs] == [(id(p), id(q)) for p, q in want]
+
+
+def test_table_of_wide_and_deep_pages(spark):
+    rows = [(10 * h + i, f"http://h{h}.example/{i}", PAGE.format(i=i, body=body.format(t=t))) for h, body in enumerate((WIDE_BODY, DEEP_BODY)) for i, t in enumerate(WORDS)]
+    got = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {10 * h + i: f"{t} {t} {t} {t}." for h in range(2) for i, t in enumerate(WORDS)}
+
+
+def test_work_on_deep_pages_grows_with_the_page():
+    import time
+
+    from cohortlab.llm import html_extract
+
+    def took(levels):
+        page = "<body>" + "<div>" * levels + "<span>some text " * levels + "{}"
+        begun = time.process_time()
+        one, noted = parse(page.format(1)), {}
+        varying, _ = html_extract.align(one, parse(page.format(22)), noted)
+        assert len(varying) == 2 * levels + 1
+        return time.process_time() - begun
+
+    took(100)
+    assert took(8000) < 40 * took(1000) + 1
